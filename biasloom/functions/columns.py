@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 15 hex digits of an md5 are 60 bits, which a signed long always holds.
-HASH_DIGITS = 15
-HASH_MAX = 16**HASH_DIGITS - 1
+# Row hashes keep 60 of 64 bits, so that any two differ by less than a long.
+HASH_BITS = 60
+HASH_MAX = 2**HASH_BITS - 1
 
 
 def rmse(actual: Column, estimate: Column) -> Column:
@@ -59,11 +59,10 @@ def level_effect(total: Column, n: Column, lam: Column | float) -> Column:
     return total / (n + lam)
 
 
-def row_hash(seed: int | str, key: Sequence[str]) -> Column:
+def row_hash(seed: int, key: Sequence[str]) -> Column:
     """A 60-bit number drawn from the row's own content and a seed.
 
     It does not depend on partitioning, row order or retries.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long")
+    hashed = F.xxhash64(F.lit(seed).cast("long"), *key)
+    return F.shiftrightunsigned(hashed, 64 - HASH_BITS)

@@ -72,11 +72,6 @@ def global_mean(train: DataFrame) -> DataFrame:
     return train.agg(F.avg("rating").alias("mu"))
 
 
-def start(train: DataFrame, settings: Settings, levels=LEVELS) -> Effects:
-    """The model of level zero: the mean alone."""
-    return Effects(global_mean(train).first()["mu"], settings, (), levels)
-
-
 def add_level(
     effects: Effects, train: DataFrame, keep: Keep, name: str
 ) -> Effects:
@@ -109,7 +104,7 @@ def fit(
     levels: Sequence[str] = LEVELS,
 ) -> Effects:
     """Fit every level for every setting; levels are scanned once each."""
-    effects = start(train, settings, levels)
+    effects = Effects(global_mean(train).first()["mu"], settings, (), levels)
     for _ in levels:
         effects = add_level(effects, train, keep, name)
     return effects
@@ -123,11 +118,14 @@ def effect_table(effects: Effects, level: str, setting: str, alias: str) -> Data
     return effects.stats[i].select(level, "n", effect.alias(alias))
 
 
-def group_mean_on_rows(df: DataFrame, key: str, value: Column, alias: str) -> DataFrame:
+def group_mean_on_rows(
+    df: DataFrame, key: str, value: Column, alias: str, keep: Keep, name: str
+) -> DataFrame:
     """Every row with the mean of its group.
 
     Equal to an unordered window over the key, but groups are reduced before
     the shuffle instead of being gathered and sorted whole.
     """
-    means = df.groupBy(key).agg(F.avg(value).alias(alias))
+    mean = F.avg(value).alias(alias)
+    means = keep(f"{name}_{alias}", lambda: df.groupBy(key).agg(mean))
     return attach(df, means, key)

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biasloom.functions import row_hash
@@ -22,6 +22,7 @@ from biasloom.functions.columns import HASH_MAX
 from biasloom.operators.joins import Keep, attach
 
 BUCKETS = 4096
+COPY_CHUNK = 100_000
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -47,6 +48,7 @@ def order_statistics(
     value. A round is one scan with map-side counting; no sort or window ever
     sees more than BUCKETS rows per rank, however many rows or copies exist.
     """
+    kind = "double" if isinstance(low, float) else "long"
     stratum = F.lit(0) if stratum is None else stratum
     rows = df.select(stratum.alias("stratum"), value.alias("value"))
     spans = {rank: (low, high, 0) for rank in ranks}
@@ -54,17 +56,20 @@ def order_statistics(
     while spans:
         cells = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in spans.items()})
         cell_of = {cell: i for i, cell in enumerate(cells)}
-        cell, bucket = F.lit(None).cast("int"), F.lit(None).cast("long")
+        cell, start, width = (F.lit(None).cast(t) for t in ("int", kind, "double"))
         for (s, lo, hi), i in cell_of.items():
             here = (F.col("stratum") == s) & F.col("value").between(lo, hi)
-            width = (hi - lo) or 1
-            index = F.floor((F.col("value") - F.lit(lo)) / F.lit(width) * BUCKETS)
             cell = F.when(here, i).otherwise(cell)
-            bucket = F.when(here, F.least(index, F.lit(BUCKETS - 1))).otherwise(bucket)
+            start = F.when(F.col("cell") == i, F.lit(lo)).otherwise(start)
+            width = F.when(F.col("cell") == i, F.lit(float(hi - lo) or 1.0)).otherwise(
+                width
+            )
+        bucket = F.floor((F.col("value") - start) / width * BUCKETS)
+        # Rows of no interval share one group, which no rank asks for. Dropping
+        # them first would evaluate the value once more per interval.
         counts = (
-            rows.select(cell.alias("cell"), bucket.alias("bucket"), "value")
-            .filter(F.col("cell").isNotNull())
-            .groupBy("cell", "bucket")
+            rows.select(cell.alias("cell"), "value")
+            .groupBy("cell", F.least(bucket, F.lit(BUCKETS - 1)).alias("bucket"))
             .agg(
                 F.count(F.lit(1)).alias("n"),
                 F.min("value").alias("lo"),
@@ -141,7 +146,7 @@ class Sample:
 
     ``thresholds`` maps a stratum to the largest hash that is sampled whole.
     ``ties`` covers strata whose quota ends inside a group of rows with one
-    hash: either a finer rule over them or, for exact copies, their counts.
+    hash: either a finer rule over them or, for exact copies, their quotas.
     """
 
     stratum: Column
@@ -177,29 +182,43 @@ class Sample:
 
 @dataclass(frozen=True)
 class Copies:
-    """Groups of identical rows of which only some copies are sampled."""
+    """Identical rows of which only so many copies per stratum are sampled."""
 
-    groups: list[tuple[Row, int, int]]  # content, sampled copies, other copies
+    stratum: Column
+    quotas: dict[int, int]
 
     def flagged(self, df: DataFrame) -> DataFrame:
-        """The copies laid out again from their counts, in parallel."""
-        parts = []
-        for content, inside, outside in self.groups:
-            literals = [
-                F.lit(content[f.name]).cast(f.dataType).alias(f.name)
-                for f in df.schema.fields
-            ]
-            flag = (F.col("id") < inside).alias("in_sample")
-            copies = df.sparkSession.range(inside + outside)
-            parts.append(copies.select(*literals, flag))
-        return reduce(DataFrame.unionByName, parts)
+        """The copies counted, and laid out again from the counts in parallel."""
+        quota = F.lit(0).cast("long")
+        for s, n in self.quotas.items():
+            quota = F.when(F.col("_stratum") == s, F.lit(n)).otherwise(quota)
+        # One group per stratum, unless two contents share a 60-bit hash.
+        groups = df.groupBy(self.stratum.alias("_stratum"), *df.columns).agg(
+            F.count(F.lit(1)).alias("_copies")
+        )
+        upto = F.sum("_copies").over(
+            Window.partitionBy("_stratum").orderBy(*df.columns)
+        )
+        inside = quota - (upto - F.col("_copies"))
+        last_chunk = F.floor((F.col("_copies") - 1) / COPY_CHUNK)
+        first = F.col("_chunk") * COPY_CHUNK
+        last = F.least(first + COPY_CHUNK, "_copies") - 1
+        # A fixed partition count: AQE would merge the few, tiny chunk rows.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (
+            groups.withColumn("_inside", inside)
+            .withColumn("_chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
+            .repartition(tasks, "_chunk")
+            .withColumn("_copy", F.explode(F.sequence(first, last)))
+            .select(*df.columns, (F.col("_copy") < F.col("_inside")).alias("in_sample"))
+        )
 
 
 def _select(
     df: DataFrame,
     stratum: Column,
     quotas: dict[int, int],
-    seed: int | str,
+    seed: int,
     keys: Sequence[Sequence[str]],
 ) -> Sample:
     """The rule that takes exactly quotas[s] rows of each stratum s."""
@@ -221,18 +240,7 @@ def _select(
     if len(keys) > 1:
         ties = _select(df.filter(tie), stratum, left, seed, keys[1:])
     else:
-        groups = (
-            df.filter(tie)
-            .groupBy(stratum.alias("stratum__"), *df.columns)
-            .agg(F.count(F.lit(1)).alias("copies__"))
-        )
-        # One row per stratum unless two contents share a 60-bit hash.
-        laid_out = []
-        for row in groups.orderBy(*groups.columns).collect():
-            inside = min(left[row["stratum__"]], row["copies__"])
-            left[row["stratum__"]] -= inside
-            laid_out.append((row, inside, row["copies__"] - inside))
-        ties = Copies(laid_out)
+        ties = Copies(stratum, left)
     return Sample(stratum, hashed, thresholds, tied, ties)
 
 
@@ -240,7 +248,7 @@ def stratified_sample(
     df: DataFrame,
     outcome: str,
     p: float,
-    seed: int | str,
+    seed: int,
     key: Sequence[str] | None = None,
 ) -> Sample:
     """Fit a sample of ``ceil(p * n)`` rows of every quartile bin of outcome.

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biasloom.functions import level_effect, residual
-from biasloom.operators.effects import Effects, add_level, start, total_column
+from biasloom.operators.effects import Effects, add_level, total_column
 from biasloom.operators.joins import Keep, attach
 from biasloom.schemas import LEVELS
 
@@ -112,6 +112,7 @@ def best_point(curve: DataFrame) -> DataFrame:
 
 
 def tune(
+    mu: float,
     train: DataFrame,
     test: DataFrame,
     axes: Sequence[Axis],
@@ -123,7 +124,7 @@ def tune(
 
     Returns the last level's best grid row: every penalty and the error.
     """
-    effects = start(train, {"tuned": ()}, levels)
+    effects = Effects(mu, {"tuned": ()}, (), levels)
     curve = None
     for depth, axis in enumerate(axes):
         effects = add_level(effects, train, keep, name)

@@ -18,12 +18,46 @@ def _ratings(rater: str) -> list[str]:
         f"""ratings AS (
             SELECT {user} AS user_id, l_partkey AS item_id,
                    CAST(CEIL(l_quantity / 5) AS DOUBLE) / 2 AS rating,
-                   {EPOCH} AS ts, l_orderkey AS order_id, l_linenumber AS line_no,
+                   {EPOCH} AS ts, l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no,
                    l_suppkey AS supplier_id, p_name AS title, {GENRES} AS genres
             FROM lineitem {orders} LEFT JOIN part ON l_partkey = p_partkey)"""
     ]
 
 
+# The constants of the public 64-bit xxHash.
+PRIME_1 = 11400714785074694791
+PRIME_2 = 14029467366897019727
+PRIME_3 = 1609587929392839161
+PRIME_4 = 9650029242287828579
+PRIME_5 = 2870177450012600261
+SPARK_SEED = 42
+
+
+def _row_hash(seed: int, key: str) -> str:
+    """Spark's ``xxhash64`` over longs, in arithmetic modulo 2^64."""
+    mask = f"{2**64 - 1}::UHUGEINT"
+
+    def times(x: str, c: int) -> str:
+        return f"(({x} * {c}::UHUGEINT) & {mask})"
+
+    def plus(x: str, c: int) -> str:
+        return f"(({x} + {c}::UHUGEINT) & {mask})"
+
+    def rotated(x: str, bits: int) -> str:
+        return f"((({x} * {2**64 + 1}::UHUGEINT) >> {64 - bits}) & {mask})"
+
+    def folded(x: str, bits: int) -> str:
+        return f"list_transform([{x}], lambda v: xor(v, v >> {bits}))[1]"
+
+    word = times(rotated(times("l", PRIME_2), 31), PRIME_1)
+    mixed = f"xor({plus('h', PRIME_5 + 8)}, {word})"
+    mixed = plus(times(rotated(mixed, 27), PRIME_1), PRIME_4)
+    mixed = times(folded(mixed, 33), PRIME_2)
+    mixed = folded(times(folded(mixed, 29), PRIME_3), 32)
+    words = ", ".join(f"CAST({c} AS UHUGEINT)" for c in [str(seed), *key.split(", ")])
+    return f"list_reduce([{SPARK_SEED}::UHUGEINT, {words}], lambda h, l: {mixed})"
+
+
 def _sample(
     name: str, source: str, p: float, seed: int, outcome="rating", key=KEY
 ) -> list[str]:
@@ -44,7 +78,7 @@ def _sample(
         f"""{name} AS MATERIALIZED (
             SELECT * EXCLUDE (bin), row_number() OVER (
                        PARTITION BY bin
-                       ORDER BY md5(concat_ws('|', '{seed}', {key})))
+                       ORDER BY {_row_hash(seed, key)})
                    <= ceil(count(*) OVER (PARTITION BY bin) * {p}e0) AS in_sample
             FROM {name}_bin)""",
     ]

@@ -19,7 +19,7 @@ from biasloom.operators.sampling import Sample, holdout_split, stratified_sample
 from biasloom.operators.scoring import Model, predict, score
 from biasloom.operators.tuning import Axis, tune, tuning_curve
 from biasloom.schemas import LEVELS, ROW_KEY
-from biasloom.sources import TableStore, bind_ratings
+from biasloom.sources import INPUTS, TableStore, bind_ratings, version
 
 # Published penalties, tuning grids, fractions and seeds.
 PENALTIES = (2.2, 5.3, 1.7)
@@ -47,10 +47,15 @@ FINAL = Model("final on holdout", 3, "shrunk")
 class Pipeline:
     """The prepared tables and models over one folder of input tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rater: str = "customer"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        rater: str = "customer",
+        store: str = "tables",
+    ):
         self.spark, self.sf_dir, self.rater = spark, sf_dir, rater
-        folder = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-        self.store = TableStore(spark, f"{folder}-{rater}")
+        self.store = TableStore(spark, f"{store}/{rater}")
         self.keep = self.store.keep
 
     # -- tables ------------------------------------------------------------
@@ -173,18 +178,20 @@ class Pipeline:
         return tuning_curve(self.effects, self.test, depth, "shrunk", GRIDS[depth])
 
     def best_penalties(self) -> DataFrame:
-        return tune(self.train, self.test, GRIDS, self.keep, "tuned")
+        return tune(self.effects.mu, self.train, self.test, GRIDS, self.keep, "tuned")
 
 
-_pipelines: dict[tuple[str, str, str], Pipeline] = {}
+_pipelines: dict[str, Pipeline] = {}
 _lock = threading.Lock()
 
 
 def pipeline(spark: SparkSession, sf_dir: str, rater: str = "customer") -> Pipeline:
-    """The application's pipeline over a folder."""
+    """The application's pipeline over a folder, a new one when its files change."""
     sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, sf_dir, rater)
+    marks = [version(spark, f"{sf_dir}/{name}.parquet") for name in INPUTS]
+    marks += [spark.sparkContext.applicationId, rater]
+    key = hashlib.md5("|".join(marks).encode()).hexdigest()
     with _lock:
         if key not in _pipelines:
-            _pipelines[key] = Pipeline(spark, sf_dir, rater)
+            _pipelines[key] = Pipeline(spark, sf_dir, rater, key[:12])
         return _pipelines[key]

@@ -273,18 +273,21 @@ def genre_effect_shrunk(p: Pipeline) -> DataFrame:
     return _effects_of(p, "genres", "shrunk", "bg")
 
 
+def _rows_with_item_mean(p: Pipeline) -> DataFrame:
+    off_mean = residual(p.effects.mu, [])
+    return group_mean_on_rows(p.train, "item_id", off_mean, "bi", p.keep, "on_rows")
+
+
 @query
 def item_effect_window(p: Pipeline) -> DataFrame:
-    off_mean = residual(p.effects.mu, [])
-    rows = group_mean_on_rows(p.train, "item_id", off_mean, "bi")
-    return rounded(rows.select(*ROW_KEY, "bi"), "bi")
+    return rounded(_rows_with_item_mean(p).select(*ROW_KEY, "bi"), "bi")
 
 
 @query
 def user_effect_window(p: Pipeline) -> DataFrame:
-    mu = p.effects.mu
-    rows = group_mean_on_rows(p.train, "item_id", residual(mu, []), "bi")
-    rows = group_mean_on_rows(rows, "user_id", residual(mu, ["bi"]), "bu")
+    rows = _rows_with_item_mean(p)
+    off_item = residual(p.effects.mu, ["bi"])
+    rows = group_mean_on_rows(rows, "user_id", off_item, "bu", p.keep, "on_rows")
     return rounded(rows.select(*ROW_KEY, "bi", "bu"), "bi", "bu")
 
 

@@ -1,8 +1,9 @@
-from biasloom.sources.store import TableStore, load_or_build, shared_root
-from biasloom.sources.tables import bind_items, bind_ratings, table
+from biasloom.sources.store import TableStore, load_or_build, shared_root, version
+from biasloom.sources.tables import INPUTS, bind_items, bind_ratings, table
 from biasloom.sources.text import read_items, read_ratings
 
 __all__ = [
+    "INPUTS",
     "TableStore",
     "bind_items",
     "bind_ratings",
@@ -11,4 +12,5 @@ __all__ = [
     "read_ratings",
     "shared_root",
     "table",
+    "version",
 ]

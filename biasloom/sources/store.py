@@ -38,10 +38,21 @@ def shared_root(spark: SparkSession) -> str:
         return _scratch[context.applicationId]
 
 
+def _locate(spark: SparkSession, *parts: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(*parts)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def _is_complete(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    config = spark.sparkContext._jsc.hadoopConfiguration()
-    return marker.getFileSystem(config).exists(marker)
+    files, marker = _locate(spark, path, "_SUCCESS")
+    return files.exists(marker)
+
+
+def version(spark: SparkSession, path: str) -> str:
+    """A mark that changes when the file or folder at path is replaced."""
+    files, location = _locate(spark, path)
+    status = files.getFileStatus(location)
+    return f"{path}:{status.getModificationTime()}:{status.getLen()}"
 
 
 def load_or_build(
@@ -52,10 +63,13 @@ def load_or_build(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Read the table at path; build and write it first if it is not complete."""
+    reader = spark.read.format(fmt)
     if not _is_complete(spark, path):
-        writer = build().write.mode("overwrite").format(fmt)
+        built = build()
+        writer = built.write.mode("overwrite").format(fmt)
         writer.partitionBy(*partition_by).save(path)
-    return spark.read.format(fmt).load(path)
+        reader = reader.schema(built.schema)
+    return reader.load(path)
 
 
 class TableStore:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from biasloom.operators.joins import attach
 
 RATERS = ("customer", "basket")
+INPUTS = ("lineitem", "orders", "part")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +49,7 @@ def bind_ratings(
         (F.ceil(F.col("l_quantity") / 5).cast("double") / 2).alias("rating"),
         F.timestamp_diff("SECOND", epoch, F.col("l_shipdate")).alias("ts"),
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line_no"),
+        F.col("l_linenumber").cast("long").alias("line_no"),
         F.col("l_suppkey").alias("supplier_id"),
     )
     return attach(ratings, bind_items(spark, sf_dir), "item_id")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pathlib
 import sys
 import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import SparkSession
@@ -32,3 +33,10 @@ def spark():
     spark = session()
     yield spark
     spark.stop()
+
+
+@pytest.fixture
+def keep(spark):
+    from biasloom.sources import TableStore
+
+    return TableStore(spark, f"test-{uuid.uuid4().hex}").keep

@@ -1,0 +1,38 @@
+"""Every registered query against its SQL twin, and a few sanity counts."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.oracle_check import connect, differences
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_a_twin():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_query_equals_its_twin(spark, duck, name):
+    df = entry.queries()[name](spark, SF_DIR)
+    assert differences(df, duck, entry.oracle_sql()[name]) == []
+
+
+@pytest.mark.parametrize(
+    "name", ["holdout_given_back", "cold_start_filter", "sampled_events"]
+)
+def test_cases_under_test_do_occur(spark, name):
+    assert entry.queries()[name](spark, SF_DIR).count() > 0
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["model", "rmse"]
+    assert df.count() == 8

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from biasloom.operators import histogram, profile
+
+SCHEMA = "user_id int, item_id int, rating double, genres string, title string"
+ROWS = [
+    (1, 10, 5.0, "Drama|War", "A"),
+    (1, 11, 3.0, "Comedy", "B"),
+    (2, 10, 3.0, "Drama|War", "A"),
+    (3, 12, 0.5, None, None),
+    (None, 12, None, None, None),
+]
+
+
+@pytest.fixture
+def df(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def test_dimensions(df):
+    assert tuple(profile.dimensions(df).first()) == (5, 5)
+
+
+def test_preview_is_ordered(df):
+    assert [r["item_id"] for r in profile.preview(df, ["item_id"], 2).collect()] == [10, 10]
+
+
+def test_counts(df):
+    assert tuple(
+        profile.equal_counts(df, "rating", {"zero": 0.0, "three": 3.0}).first()
+    ) == (0, 2)
+    matches = profile.match_counts(df, "genres", {"d": "Drama", "c": "Com", "x": "ama.W"})
+    assert tuple(matches.first()) == (2, 1, 2)
+    assert profile.match_counts(df.limit(0), "genres", {"d": "D"}).first()["d"] == 0
+
+
+def test_missing_counts(df):
+    rows = {r["column_name"]: r["n_missing"] for r in profile.missing_counts(df).collect()}
+    assert rows == {"user_id": 1, "item_id": 0, "rating": 1, "genres": 2, "title": 2}
+
+
+def test_summary_counts_a_missing_user(df):
+    assert tuple(profile.summary(df).first()) == (4, 3, 0.5, 5.0)
+
+
+def test_top_breaks_ties_by_key(df):
+    top = profile.most_frequent(df, ["item_id"], 2).collect()
+    assert [(r["item_id"], r["n"]) for r in top] == [(10, 2), (12, 2)]
+    assert profile.most_frequent(df, ["item_id"], 50).count() == 3
+
+
+def test_fixed_width_bins_are_centred_on_multiples(df):
+    rows = [tuple(r) for r in histogram.fixed_width(df, "rating", 0.5).collect()]
+    filled = {center: n for _, center, n in rows if n}
+    assert filled == {0.5: 1, 3.0: 2, 5.0: 1}
+    assert len(rows) == 10
+
+
+@pytest.mark.parametrize("bins", [2, 5, 20])
+def test_fixed_count_equals_numpy(spark, bins):
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=400)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    rows = histogram.fixed_count(df, "x", bins).orderBy("bin").collect()
+    width = (values.max() - values.min()) / (bins - 1)
+    edges = values.min() - width / 2 + width * np.arange(bins + 1)
+    expected = np.histogram(values, edges)[0]
+    assert [r["n"] for r in rows] == list(expected)
+    assert sum(r["n"] for r in rows) == 400
+
+
+def test_histograms_of_flat_and_empty_columns(spark):
+    flat = spark.createDataFrame([(2.0,)] * 3, "x double")
+    assert [r["n"] for r in histogram.fixed_count(flat, "x", 20).collect()] == [3]
+    assert [r["n"] for r in histogram.fixed_count(flat, "x", 1).collect()] == [3]
+    empty = flat.limit(0)
+    assert histogram.fixed_count(empty, "x", 20).count() == 0
+    assert histogram.fixed_width(empty, "x", 0.5).count() == 0

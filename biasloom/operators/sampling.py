@@ -9,23 +9,36 @@ aggregations; applying it is a filter, without shuffle, rank or row position.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
+from collections import defaultdict
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biasloom.functions import row_hash
-from biasloom.functions.columns import HASH_MAX
+from biasloom.functions.columns import HASH_BITS, HASH_MAX
 from biasloom.operators.joins import Keep, attach
 
 BUCKETS = 4096
 COPY_CHUNK = 100_000
+# Copies are heavy from 1/32 of their stratum on; a smaller group is left whole.
+HEAVY_SHARE = 32
+HEAVY_ROWS = 16
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def literal(x: float | int) -> str:
+    """x as a SQL double or bigint, to the last bit."""
+    return f"{x!r}D" if isinstance(x, float) else f"{x}L"
+
+
+def case(branches: Iterable[tuple[str, object]]) -> str:
+    """A SQL CASE over (condition, result) pairs, NULL when there are none."""
+    whens = " ".join(f"WHEN {condition} THEN {result}" for condition, result in branches)
+    return f"CASE {whens} END" if whens else "NULL"
+
+
 @dataclass(frozen=True)
 class OrderStatistic:
     value: float | int
@@ -36,40 +49,39 @@ class OrderStatistic:
 def order_statistics(
     df: DataFrame,
     value: Column,
-    ranks: Sequence[tuple[int, int]],
-    low: float | int,
-    high: float | int,
+    spans: Mapping[tuple[int, int], tuple[float | int, float | int, int]],
     stratum: Column | None = None,
 ) -> dict[tuple[int, int], OrderStatistic]:
     """The value at each (stratum, rank), ranks counted from 0.
 
-    Every round counts the rows of an interval in BUCKETS equal buckets and
-    narrows each rank to the bucket that holds it, until that bucket has one
-    value. A round is one scan with map-side counting; no sort or window ever
-    sees more than BUCKETS rows per rank, however many rows or copies exist.
+    ``spans`` gives for each of them an interval that holds it and the number
+    of rows below that interval. Every round counts the rows of an interval
+    in BUCKETS equal buckets and narrows each rank to the bucket that holds it,
+    until that bucket has one value. A round is one scan with map-side
+    counting; no sort or window ever sees more than BUCKETS rows per rank,
+    however many rows or copies exist.
     """
-    kind = "double" if isinstance(low, float) else "long"
     stratum = F.lit(0) if stratum is None else stratum
     rows = df.select(stratum.alias("stratum"), value.alias("value"))
-    spans = {rank: (low, high, 0) for rank in ranks}
     found: dict[tuple[int, int], OrderStatistic] = {}
     while spans:
         cells = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in spans.items()})
         cell_of = {cell: i for i, cell in enumerate(cells)}
-        cell, start, width = (F.lit(None).cast(t) for t in ("int", kind, "double"))
-        for (s, lo, hi), i in cell_of.items():
-            here = (F.col("stratum") == s) & F.col("value").between(lo, hi)
-            cell = F.when(here, i).otherwise(cell)
-            start = F.when(F.col("cell") == i, F.lit(lo)).otherwise(start)
-            width = F.when(F.col("cell") == i, F.lit(float(hi - lo) or 1.0)).otherwise(
-                width
-            )
-        bucket = F.floor((F.col("value") - start) / width * BUCKETS)
+        cell = case(
+            (f"stratum = {s} AND value BETWEEN {literal(lo)} AND {literal(hi)}", i)
+            for (s, lo, hi), i in cell_of.items()
+        )
+        start = case((f"cell = {i}", literal(lo)) for (_, lo, _), i in cell_of.items())
+        width = case(
+            (f"cell = {i}", literal(float(hi - lo) or 1.0))
+            for (_, lo, hi), i in cell_of.items()
+        )
+        bucket = f"least(floor((value - {start}) / {width} * {BUCKETS}), {BUCKETS - 1})"
         # Rows of no interval share one group, which no rank asks for. Dropping
         # them first would evaluate the value once more per interval.
         counts = (
-            rows.select(cell.alias("cell"), "value")
-            .groupBy("cell", F.least(bucket, F.lit(BUCKETS - 1)).alias("bucket"))
+            rows.select(F.expr(cell).alias("cell"), "value")
+            .groupBy("cell", F.expr(bucket).alias("bucket"))
             .agg(
                 F.count(F.lit(1)).alias("n"),
                 F.min("value").alias("lo"),
@@ -77,18 +89,15 @@ def order_statistics(
             )
         )
         upto = F.sum("n").over(Window.partitionBy("cell").orderBy("bucket"))
-        wanted = []
-        for (s, rank), (lo, hi, offset) in spans.items():
-            r = F.lit(rank - offset)
-            wanted.append(
-                (F.col("cell") == cell_of[s, lo, hi])
-                & (F.col("before") <= r)
-                & (r < F.col("before") + F.col("n"))
-            )
+        wanted = " OR ".join(
+            f"(cell = {cell_of[s, lo, hi]} AND before <= {rank - offset}"
+            f" AND {rank - offset} < before + n)"
+            for (s, rank), (lo, hi, offset) in spans.items()
+        )
         # At most one row per wanted rank reaches the driver.
         hits = (
             counts.withColumn("before", upto - F.col("n"))
-            .filter(reduce(or_, wanted))
+            .filter(wanted)
             .collect()
         )
         narrowed = {}
@@ -121,9 +130,9 @@ def quantiles(
     if n == 0:
         return []
     at = [(n - 1) * p for p in probabilities]
-    ranks = {(0, r) for h in at for r in (math.floor(h), math.ceil(h))}
+    ranks = sorted({r for h in at for r in (math.floor(h), math.ceil(h))})
     value = F.col(column).cast("double")
-    stats = order_statistics(df, value, sorted(ranks), low, high)
+    stats = order_statistics(df, value, {(0, r): (low, high, 0) for r in ranks})
     inner = []
     for h in at:
         a = stats[0, math.floor(h)].value
@@ -135,9 +144,9 @@ def quantiles(
 def quartile_bin(outcome: str, breaks: Sequence[float]) -> Column:
     """Right-closed quartile bin of the outcome, -1 where it is missing."""
     inner = sorted({b for b in breaks[1:-1] if breaks[0] < b < breaks[-1]})
-    above = [(F.col(outcome) > F.lit(b)).cast("int") for b in inner]
-    bin_ = reduce(lambda x, y: x + y, above, F.lit(0))
-    return F.when(F.col(outcome).isNull(), F.lit(-1)).otherwise(bin_)
+    above = [f"CAST(`{outcome}` > {literal(b)} AS INT)" for b in inner]
+    bin_ = " + ".join(["0", *above])
+    return F.expr(f"CASE WHEN `{outcome}` IS NULL THEN -1 ELSE {bin_} END")
 
 
 @dataclass(frozen=True)
@@ -145,60 +154,59 @@ class Sample:
     """A fitted sampling rule.
 
     ``thresholds`` maps a stratum to the largest hash that is sampled whole.
-    ``ties`` covers strata whose quota ends inside a group of rows with one
-    hash: either a finer rule over them or, for exact copies, their quotas.
+    Rows in ``groups``, each a (stratum, hash), follow ``ties`` instead, which
+    takes a quota out of every group: these are the rows at the threshold of
+    which only some fit, and copies so many that they must be spread.
     """
 
     stratum: Column
     hash: Column
     thresholds: dict[int, int]
-    tied: dict[int, int] = field(default_factory=dict)
+    groups: Sequence[tuple[int, int]] = ()
+    group_column: str = "_group"
     ties: Sample | Copies | None = None
 
     def flagged(self, df: DataFrame) -> DataFrame:
         """The rows of df with a Boolean column ``in_sample``."""
-        flag = self._compare(self.thresholds, lambda t: self.hash <= t)
+        placed = df.withColumns({"_stratum": self.stratum, "_hash": self.hash})
+        limit = case((f"_stratum = {s}", literal(t)) for s, t in self.thresholds.items())
+        flag = F.expr(f"coalesce(_hash <= {limit}, false)")
         if self.ties is None:
-            return df.withColumn("in_sample", flag)
-        tie = self.tie()
-        whole = df.filter(~tie).withColumn("in_sample", flag)
-        return whole.unionByName(self.ties.flagged(df.filter(tie)))
+            return placed.select(*df.columns, flag.alias("in_sample"))
+        group = self.group_column
+        placed = placed.withColumn(group, F.expr(group_index(self.groups)))
+        whole = placed.filter(F.col(group).isNull())
+        tied = placed.filter(F.col(group).isNotNull()).select(*df.columns, group)
+        tied = self.ties.flagged(tied).drop(group)
+        return whole.select(*df.columns, flag.alias("in_sample")).unionByName(tied)
 
     def rows(self, df: DataFrame) -> DataFrame:
         """The sampled rows only."""
         return self.flagged(df).filter("in_sample").drop("in_sample")
 
-    def tie(self) -> Column:
-        """True on the rows whose stratum's quota ends among their copies."""
-        return self._compare(self.tied, lambda t: self.hash == t)
 
-    def _compare(self, limits: dict[int, int], test) -> Column:
-        # One CASE for the limit, so that the hash is computed once per row.
-        limit = F.lit(None).cast("long")
-        for s, t in limits.items():
-            limit = F.when(self.stratum == s, F.lit(t)).otherwise(limit)
-        return F.coalesce(test(limit), F.lit(False))
+def group_index(groups: Sequence[tuple[int, int]]) -> str:
+    """The position of (_stratum, _hash) in groups, as SQL."""
+    return case(
+        (f"_stratum = {s} AND _hash = {literal(h)}", i)
+        for i, (s, h) in enumerate(groups)
+    )
 
 
 @dataclass(frozen=True)
 class Copies:
-    """Identical rows of which only so many copies per stratum are sampled."""
+    """Groups of identical rows, each with a number of copies to sample."""
 
-    stratum: Column
+    group_column: str
     quotas: dict[int, int]
 
     def flagged(self, df: DataFrame) -> DataFrame:
         """The copies counted, and laid out again from the counts in parallel."""
-        quota = F.lit(0).cast("long")
-        for s, n in self.quotas.items():
-            quota = F.when(F.col("_stratum") == s, F.lit(n)).otherwise(quota)
-        # One group per stratum, unless two contents share a 60-bit hash.
-        groups = df.groupBy(self.stratum.alias("_stratum"), *df.columns).agg(
-            F.count(F.lit(1)).alias("_copies")
-        )
-        upto = F.sum("_copies").over(
-            Window.partitionBy("_stratum").orderBy(*df.columns)
-        )
+        # One content per group, unless two contents share a 60-bit hash.
+        groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        group = self.group_column
+        quota = F.expr(case((f"{group} = {g}", f"{n}L") for g, n in self.quotas.items()))
+        upto = F.sum("_copies").over(Window.partitionBy(group).orderBy(*df.columns))
         inside = quota - (upto - F.col("_copies"))
         last_chunk = F.floor((F.col("_copies") - 1) / COPY_CHUNK)
         first = F.col("_chunk") * COPY_CHUNK
@@ -214,34 +222,127 @@ class Copies:
         )
 
 
+def _is_heavy(n: Column, total: Column) -> Column:
+    return (n * HEAVY_SHARE > total) & (n > HEAVY_ROWS)
+
+
+@dataclass(frozen=True)
+class Stratum:
+    size: int
+    quota: int
+    span: tuple[int, int, int] | None  # where the quota's last row lies
+    heavy: dict[int, int]  # rows per hash held by very many of them
+
+
+def _strata(
+    df: DataFrame, stratum: Column, hashed: Column, quota: Column
+) -> dict[int, Stratum]:
+    """Size, quota and hash histogram highlights of every stratum.
+
+    One scan counts rows per stratum and range of hashes. Only ranges with far
+    more rows than even hashing can give, if there are any, are looked at again.
+    """
+    rows = df.select(stratum.alias("stratum"), hashed.alias("hash"))
+    ranges = rows.groupBy(
+        "stratum", F.shiftright("hash", HASH_BITS - 12).alias("range")
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.min("hash").alias("lo"), F.max("hash").alias("hi")
+    )
+    per_stratum = Window.partitionBy("stratum")
+    upto = F.sum("n").over(per_stratum.orderBy("range"))
+    suspect = F.when(_is_heavy(F.col("n"), F.col("total")), F.struct("lo", "hi"))
+    holds = F.expr("before < quota AND quota <= before + n")
+    # One row per stratum, with at most HEAVY_SHARE suspects each.
+    strata = (
+        ranges.withColumns(
+            {"total": F.sum("n").over(per_stratum), "before": upto - F.col("n")}
+        )
+        .withColumn("quota", quota)
+        .groupBy("stratum", "total", "quota")
+        .agg(
+            F.collect_list(suspect).alias("suspects"),
+            F.max(F.when(holds, F.struct("lo", "hi", "before"))).alias("span"),
+        )
+        .collect()
+    )
+    suspects = " OR ".join(
+        f"(stratum = {r['stratum']} AND hash BETWEEN {x['lo']}L AND {x['hi']}L)"
+        for r in strata
+        for x in r["suspects"]
+    )
+    heavy = defaultdict(dict)
+    if suspects:
+        sizes = ((f"stratum = {r['stratum']}", f"{r['total']}L") for r in strata)
+        counts = (
+            rows.filter(suspects)
+            .groupBy("stratum", "hash")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .filter(_is_heavy(F.col("n"), F.expr(case(sizes))))
+        )
+        for r in counts.orderBy("hash").collect():
+            heavy[r["stratum"]][r["hash"]] = r["n"]
+    return {
+        r["stratum"]: Stratum(
+            r["total"],
+            r["quota"],
+            r["span"] and tuple(r["span"]),
+            heavy[r["stratum"]],
+        )
+        for r in strata
+    }
+
+
 def _select(
     df: DataFrame,
     stratum: Column,
-    quotas: dict[int, int],
+    quota: Column,
     seed: int,
     keys: Sequence[Sequence[str]],
 ) -> Sample:
-    """The rule that takes exactly quotas[s] rows of each stratum s."""
+    """The rule that takes exactly ``quota`` rows of each stratum.
+
+    ``quota`` may refer to a stratum's number and to its row count, ``total``.
+    """
     hashed = row_hash(seed, keys[0])
-    ranks = [(s, quota - 1) for s, quota in quotas.items() if quota > 0]
-    stats = order_statistics(df, hashed, ranks, 0, HASH_MAX, stratum)
-    thresholds, tied, left = {}, {}, {}
-    for (s, rank), at in stats.items():
-        missing = quotas[s] - at.below
-        if missing == at.equal:
-            thresholds[s] = at.value
-        else:
-            thresholds[s] = at.value - 1
-            tied[s] = at.value
-            left[s] = missing
-    if not tied:
+    groups: dict[tuple[int, int], int] = {}
+    left: dict[int, int] = {}
+    spans = {}
+    for s, found in _strata(df, stratum, hashed, quota).items():
+        # Heavy copies give their share, the other rows the rest of the quota.
+        shares = {h: found.quota * n // found.size for h, n in found.heavy.items()}
+        light = found.size - sum(found.heavy.values())
+        left[s] = found.quota - sum(shares.values())
+        for h, n in found.heavy.items():
+            more = min(max(left[s] - light, 0), n - shares[h])
+            shares[h] += more
+            left[s] -= more
+        groups |= {(s, h): share for h, share in shares.items()}
+        if left[s] > 0:
+            spans[s, left[s] - 1] = (0, HASH_MAX, 0) if found.heavy else found.span
+    rows = df.withColumns({"_stratum": stratum, "_hash": hashed})
+    is_light = F.expr(group_index(list(groups))).isNull()
+    value = F.when(is_light, F.col("_hash"))
+
+    thresholds = {}
+    stats = order_statistics(rows, value, spans, F.col("_stratum"))
+    for (s, _), at in stats.items():
+        fit = left[s] - at.below
+        whole = fit == at.equal
+        thresholds[s] = at.value if whole else at.value - 1
+        if not whole:
+            groups[s, at.value] = fit
+    if not groups:
         return Sample(stratum, hashed, thresholds)
-    tie = Sample(stratum, hashed, thresholds, tied).tie()
+    pairs, taken = list(groups), dict(enumerate(groups.values()))
+    group = f"_group{len(keys)}"  # one name per level of keys
     if len(keys) > 1:
-        ties = _select(df.filter(tie), stratum, left, seed, keys[1:])
+        tied = rows.withColumn(group, F.expr(group_index(pairs)))
+        tied = tied.filter(F.col(group).isNotNull()).select(*df.columns, group)
+        quotas = F.expr(case((f"stratum = {g}", f"{n}L") for g, n in taken.items()))
+        ties = _select(tied, F.col(group), quotas, seed, keys[1:])
     else:
-        ties = Copies(stratum, left)
-    return Sample(stratum, hashed, thresholds, tied, ties)
+        ties = Copies(group, taken)
+    return Sample(stratum, hashed, thresholds, pairs, group, ties)
 
 
 def stratified_sample(
@@ -253,15 +354,18 @@ def stratified_sample(
 ) -> Sample:
     """Fit a sample of ``ceil(p * n)`` rows of every quartile bin of outcome.
 
-    ``key`` names the columns that identify a row (all columns by default);
-    rows that agree on them are told apart by the other columns, and exact
-    copies, being interchangeable, by their number.
+    Rows are drawn in the order of a hash of ``key``, the columns that identify
+    a row (all columns by default). Rows that agree on them are told apart by
+    the other columns, and exact copies, being interchangeable, by number. A
+    few copies stay together; copies that make up much of a bin are sampled at
+    the bin's rate.
     """
+    if not 0 <= p <= 1:
+        raise ValueError("p must lie between 0 and 1")
     stratum = quartile_bin(outcome, quantiles(df, outcome))
-    sizes = df.groupBy(stratum.alias("stratum")).count().collect()  # <= 5 rows
-    quotas = {r["stratum"]: math.ceil(p * r["count"]) for r in sizes}
     keys = [df.columns] if key is None else [list(key), df.columns]
-    return _select(df, stratum, quotas, seed, keys)
+    quota = F.ceil(F.lit(float(p)) * F.col("total").cast("double"))
+    return _select(df, stratum, quota, seed, keys)
 
 
 def holdout_split(

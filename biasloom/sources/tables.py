@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biasloom.operators.joins import attach
@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def epoch_seconds(column: str) -> Column:
+    """Seconds since 1970 of a zoneless timestamp, whatever the session's zone."""
+    days = F.unix_date(F.to_date(column)).cast("long")
+    return days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+
+
 def bind_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item_id"),
@@ -35,7 +41,6 @@ def bind_ratings(
     """
     if rater not in RATERS:
         raise ValueError(f"rater must be one of {RATERS}")
-    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
     lines = table(spark, sf_dir, "lineitem")
     if rater == "customer":
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -47,7 +52,7 @@ def bind_ratings(
         user.alias("user_id"),
         F.col("l_partkey").alias("item_id"),
         (F.ceil(F.col("l_quantity") / 5).cast("double") / 2).alias("rating"),
-        F.timestamp_diff("SECOND", epoch, F.col("l_shipdate")).alias("ts"),
+        epoch_seconds("l_shipdate").alias("ts"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("long").alias("line_no"),
         F.col("l_suppkey").alias("supplier_id"),

@@ -43,9 +43,13 @@ def test_quantiles_equal_numpy(spark, shape):
     assert quantiles(numbers(spark, values), "y") == pytest.approx(list(expected))
 
 
+def spans(ranks):
+    return {(0, r): (0, 2**60, 0) for r in ranks}
+
+
 def test_order_statistics_count_ties(spark):
     df = numbers(spark, [5, 1, 3, 3, 3, 9], "long")
-    at = order_statistics(df, F.col("y"), [(0, 0), (0, 2), (0, 5)], 0, 2**60)
+    at = order_statistics(df, F.col("y"), spans([0, 2, 5]))
     found = [(s.value, s.below, s.equal) for s in at.values()]
     assert sorted(found) == [(1, 0, 1), (3, 1, 3), (9, 5, 1)]
 
@@ -54,7 +58,7 @@ def test_order_statistics_of_close_large_values(spark):
     base = 2**60 - 2000
     values = [base + i for i in range(1000)] + [0]
     df = numbers(spark, values, "long")
-    at = order_statistics(df, F.col("y"), [(0, r) for r in (1, 500, 1000)], 0, 2**60)
+    at = order_statistics(df, F.col("y"), spans([1, 500, 1000]))
     assert {r: s.value for (_, r), s in at.items()} == {
         r: sorted(values)[r] for r in (1, 500, 1000)
     }
@@ -64,9 +68,9 @@ def test_order_statistics_with_small_buckets(spark, monkeypatch):
     monkeypatch.setattr(sampling, "BUCKETS", 4)
     values = [random.Random(i).randrange(10**6) for i in range(500)]
     df = numbers(spark, values, "long")
-    ranks = [(0, r) for r in range(0, 500, 37)]
-    at = order_statistics(df, F.col("y"), ranks, 0, 2**60)
-    assert [at[r].value for r in ranks] == [sorted(values)[r] for _, r in ranks]
+    ranks = range(0, 500, 37)
+    at = order_statistics(df, F.col("y"), spans(ranks))
+    assert [at[0, r].value for r in ranks] == [sorted(values)[r] for r in ranks]
 
 
 def test_quantiles_of_nothing(spark):
@@ -137,31 +141,54 @@ def test_missing_outcomes_are_a_stratum_of_their_own(spark):
     assert flagged.filter("rating IS NULL AND in_sample").count() == 25
 
 
-@pytest.mark.parametrize("chunk", [7, 100_000])
-def test_a_third_of_all_rows_being_copies_is_sampled_exactly(spark, monkeypatch, chunk):
-    monkeypatch.setattr(sampling, "COPY_CHUNK", chunk)
-    df = ratings(spark, 600).withColumn("copy", F.lit(False))
-    copies = spark.range(300).select(
+def with_copies(df, copies):
+    """df and so many copies of one row, which fall into one bin."""
+    copy = df.sparkSession.range(copies).select(
         F.lit(1).cast("long").alias("user_id"),
         F.lit(2).cast("long").alias("item_id"),
         F.lit(3.0).alias("rating"),
         F.lit(-1).cast("long").alias("row"),
-        F.lit(True).alias("copy"),
     )
-    df = df.unionByName(copies)
+    return df.unionByName(copy)
+
+
+@pytest.mark.parametrize("key", [None, ["row"], ["user_id"]])
+@pytest.mark.parametrize("chunk", [7, 100_000])
+def test_a_third_of_all_rows_being_copies_is_spread(spark, monkeypatch, chunk, key):
+    monkeypatch.setattr(sampling, "COPY_CHUNK", chunk)
+    df = with_copies(ratings(spark, 600), 300)
+    for seed in range(2):
+        flagged = stratified_sample(df, "rating", 0.2, seed, key).flagged(df)
+        quota_check(df, flagged, 0.2)
+        assert Counter(flagged.drop("in_sample").collect()) == Counter(df.collect())
+        taken = flagged.filter("row = -1 AND in_sample").count()
+        assert 59 <= taken <= 61 or key == ["user_id"]
+
+
+def test_a_few_copies_at_the_threshold_are_split_exactly(spark):
+    df = with_copies(ratings(spark, 40), 12)
     hit = False
-    for seed in range(12):
+    for seed in range(30):
         sample = stratified_sample(df, "rating", 0.5, seed)
         flagged = sample.flagged(df)
         quota_check(df, flagged, 0.5)
-        rows = flagged.drop("in_sample").collect()
-        assert Counter(rows) == Counter(df.collect())
-        hit = hit or isinstance(sample.ties, Copies)
+        assert Counter(flagged.drop("in_sample").collect()) == Counter(df.collect())
+        hit = isinstance(sample.ties, Copies)
         if hit:
             break
     assert hit
 
 
+@pytest.mark.parametrize("p", [0.0, 0.1, 0.33, 1.0])
+def test_nothing_but_copies(spark, p):
+    df = with_copies(ratings(spark, 0), 100).unionByName(
+        with_copies(ratings(spark, 0), 41).withColumn("rating", F.lit(1.0))
+    )
+    flagged = stratified_sample(df, "rating", p, 1).flagged(df)
+    quota_check(df, flagged, p)
+    assert flagged.count() == 141
+
+
 def test_rows_that_share_the_key_are_told_apart_by_the_rest(spark):
     df = ratings(spark, 900).withColumn("key", F.lit(1))
     sample = stratified_sample(df, "rating", 0.4, 4, ["key"])

@@ -25,8 +25,10 @@ def shared_root(spark: SparkSession) -> str:
     Only a local session may go without one; it gets a scratch folder.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
+    named = (
+        context.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
     )
     if named:
         return named.rstrip("/")

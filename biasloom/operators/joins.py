@@ -22,6 +22,18 @@ def attach(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> Da
     return left.join(right, F.col(key).eqNullSafe(F.col(match)), how).drop(match)
 
 
+def rows_not_in(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of left that agree with no row of right on all shared columns.
+
+    Every copy of a matching row goes, unlike with ``exceptAll``.
+    """
+    shared = [c for c in left.columns if c in right.columns]
+    match = {c: f"{c}__right" for c in shared}
+    right = right.select(*shared).distinct().withColumnsRenamed(match)
+    same = [F.col(c).eqNullSafe(F.col(r)) for c, r in match.items()]
+    return left.join(right, same, "left_anti")
+
+
 def seen_only(
     test: DataFrame, train: DataFrame, keys: Sequence[str], keep: Keep, name: str
 ) -> DataFrame:

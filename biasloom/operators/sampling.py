@@ -21,7 +21,7 @@ from biasloom.functions.columns import HASH_BITS, HASH_MAX
 from biasloom.operators.joins import Keep, attach
 
 BUCKETS = 4096
-COPY_CHUNK = 100_000
+COPY_CHUNK = 1_000_000
 # Copies are heavy from 1/32 of their stratum on; a smaller group is left whole.
 HEAVY_SHARE = 32
 HEAVY_ROWS = 16

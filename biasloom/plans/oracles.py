@@ -7,6 +7,9 @@ penalty), sharing nothing with the Spark side but names.
 from __future__ import annotations
 
 KEY = "order_id, line_no, item_id, supplier_id"
+COLUMNS = (
+    "user_id item_id rating ts order_id line_no supplier_id title genres".split()
+)
 EPOCH = "CAST(epoch(l_shipdate) AS BIGINT)"
 GENRES = "concat(p_type, '|', replace(p_name, ' ', '|'))"
 
@@ -299,11 +302,10 @@ def _best(rater: str) -> str:
 
 
 def _missing(name: str) -> str:
-    columns = "user_id item_id rating ts order_id line_no supplier_id title genres"
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing,"
         f" '{name}' AS table_name FROM {name}"
-        for c in columns.split()
+        for c in COLUMNS
     )
 
 
@@ -317,9 +319,7 @@ def oracle_sql() -> dict[str, str]:
     seen = """validation
         WHERE item_id IN (SELECT item_id FROM train)
           AND user_id IN (SELECT user_id FROM train)"""
-    columns = (
-        "user_id, item_id, rating, ts, order_id, line_no, supplier_id, title, genres"
-    )
+    columns = ", ".join(COLUMNS)
     windows = [
         *split,
         "mu AS (SELECT avg(rating) AS mu FROM train)",
@@ -425,6 +425,13 @@ def oracle_sql() -> dict[str, str]:
             _holdout("basket"),
             f"SELECT {KEY}, rating FROM holdout WHERE sampled AND part = 'train'",
         ),
+        "sampled_not_in_holdout": _with(
+            _holdout("basket"),
+            f"""SELECT {KEY}, rating FROM
+                (SELECT * EXCLUDE (in_sample) FROM marked WHERE in_sample) s
+                ANTI JOIN validation v ON {' AND '.join(
+                    f's.{c} IS NOT DISTINCT FROM v.{c}' for c in COLUMNS)}""",
+        ),
         "train_test_split": _with(
             split,
             f"""SELECT {KEY}, 'train' AS part FROM train

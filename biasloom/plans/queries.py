@@ -14,7 +14,7 @@ from biasloom.operators.effects import (
     global_mean,
     group_mean_on_rows,
 )
-from biasloom.operators.joins import attach
+from biasloom.operators.joins import attach, rows_not_in
 from biasloom.operators.sampling import stratified_sample
 from biasloom.operators.scoring import improvement
 from biasloom.operators.tuning import best_point
@@ -216,6 +216,12 @@ def holdout_given_back(p: Pipeline) -> DataFrame:
     return back.select(*ROW_KEY, "rating")
 
 
+@basket_query
+def sampled_not_in_holdout(p: Pipeline) -> DataFrame:
+    sampled = p.sample(p.ratings, **HOLDOUT).rows(p.ratings)
+    return rows_not_in(sampled, p.validation).select(*ROW_KEY, "rating")
+
+
 @query
 def train_test_split(p: Pipeline) -> DataFrame:
     return p.split.select(*ROW_KEY, "part")

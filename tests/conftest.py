@@ -16,7 +16,7 @@ def session(cores: str = "8", **config: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("biasloom")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="biasloom-"))

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from biasloom.operators.joins import attach
+from biasloom.operators.joins import attach, rows_not_in
 from biasloom.sources import (
     bind_ratings,
     load_or_build,
@@ -66,6 +66,16 @@ def test_left_join_keeps_ratings_without_item(spark, files):
     assert [(r["item_id"], r["genres"]) for r in lost] == [(99, None)]
 
 
+def test_rows_not_in_drops_every_copy_and_matches_missing_values(spark):
+    left = spark.createDataFrame(
+        [(1, None, 0), (1, None, 0), (2, "b", 1), (3, None, 2)], "a int, b string, c int"
+    )
+    right = spark.createDataFrame([("b", 2), (None, 1)], "b string, a int")
+    rest = rows_not_in(left, right)
+    assert rest.columns == ["a", "b", "c"]
+    assert [tuple(r) for r in rest.collect()] == [(3, None, 2)]
+
+
 def test_load_or_build_builds_once_and_again_when_incomplete(spark, tmp_path):
     built = []
 

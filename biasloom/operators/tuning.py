@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from biasloom.functions import level_effect, residual
 from biasloom.operators.effects import Effects, add_level, total_column
 from biasloom.operators.joins import Keep, attach
-from biasloom.schemas import LEVELS
 
 
 @dataclass(frozen=True)
@@ -112,25 +111,29 @@ def best_point(curve: DataFrame) -> DataFrame:
 
 
 def tune(
-    mu: float,
+    effects: Effects,
     train: DataFrame,
     test: DataFrame,
     axes: Sequence[Axis],
     keep: Keep,
     name: str,
-    levels: Sequence[str] = LEVELS,
 ) -> DataFrame:
     """Tune level after level, each with the best penalties before it.
 
-    Returns the last level's best grid row: every penalty and the error.
+    ``effects`` is a model fitted on train. Its first level is reused: residuals
+    from the mean depend on no penalty. Returns the last level's best grid row,
+    that is every penalty and the error.
     """
-    effects = Effects(mu, {"tuned": ()}, (), levels)
-    curve = None
+    key, setting = effects.levels[0], next(iter(effects.settings))
+    total = F.col(total_column(setting)).alias(total_column("tuned"))
+    first = effects.stats[0].select(key, "n", total)
+    tuned = replace(effects, settings={"tuned": ()}, stats=(first,))
     for depth, axis in enumerate(axes):
-        effects = add_level(effects, train, keep, name)
-        curve = tuning_curve(effects, test, depth, "tuned", axis)
-        if depth < len(axes) - 1:
-            best = best_point(curve).first()
-            lams = (*effects.settings["tuned"], best[lam_column(levels[depth])])
-            effects = replace(effects, settings={"tuned": lams})
-    return best_point(curve)
+        curve = tuning_curve(tuned, test, depth, "tuned", axis)
+        if depth == len(axes) - 1:
+            return best_point(curve)
+        best = best_point(curve).first()
+        lams = (*tuned.settings["tuned"], best[lam_column(effects.levels[depth])])
+        tuned = replace(tuned, settings={"tuned": lams})
+        tuned = add_level(tuned, train, keep, name)
+    raise ValueError("no axis to tune over")

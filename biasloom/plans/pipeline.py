@@ -178,7 +178,7 @@ class Pipeline:
         return tuning_curve(self.effects, self.test, depth, "shrunk", GRIDS[depth])
 
     def best_penalties(self) -> DataFrame:
-        return tune(self.effects.mu, self.train, self.test, GRIDS, self.keep, "tuned")
+        return tune(self.effects, self.train, self.test, GRIDS, self.keep, "tuned")
 
 
 _pipelines: dict[str, Pipeline] = {}

@@ -90,8 +90,8 @@ def test_best_point_is_the_first_of_equals_and_skips_missing(spark):
 
 def test_tune_chains_the_best_penalties(keep, train, test_rows):
     axes = (Axis(1, 9, 2), Axis(1, 9, 2), Axis(1, 9, 2))
-    mu = sum(r[2] for r in rows(1, 400)) / 400
-    best = tune(mu, train, test_rows, axes, keep, "t").first()
+    start = fit(train, {"any": (7, 7, 7)}, keep, "start")
+    best = tune(start, train, test_rows, axes, keep, "t").first()
     lams = [0.0, 0.0, 0.0]
     for depth, axis in enumerate(axes):
         tried = []

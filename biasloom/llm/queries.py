@@ -1,15 +1,32 @@
-"""The registered queries: each operator over its whole table."""
+"""The registered queries: each operator over its whole table.
+
+They call the operators with their production parameters and derive the digest
+columns from what the operators return.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from biasloom.llm import simhash
+from biasloom.llm import (
+    cube_mix,
+    decontaminate,
+    language_id,
+    quality,
+    simhash,
+    token_blocks,
+)
 from biasloom.llm.common import Scratch, table
 
+#: The tokenizer file, by its name in the collection of public tokenizers.
+TOKENIZER = "byte_bpe_50k.json"
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: SQL twins, where SQL can express a query.
+ORACLES: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -18,11 +35,69 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
 
 
 @query
-def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(
-        table(spark, sf_dir, "documents"), Scratch(spark, "simhash")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark")
+    found = decontaminate.find(docs, items, Scratch(spark, "decontaminate"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
-#: SQL twins, where SQL can express a query.
-ORACLES: dict[str, str] = {}
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, Scratch(spark, "language"))
+
+
+@query
+def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = token_blocks.write(docs, Scratch(spark, "tokens"), TOKENIZER)
+    return token_blocks.by_document(*files).withColumnRenamed("doc", "doc_id")
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.judge(docs, Scratch(spark, "quality"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    return judged.select(*columns, "n_repeat_words", "posterior", "base_failed", "kept")
+
+
+@query
+def op8_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cube_mix.mix(docs, Scratch(spark, "mix")).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies",
+    )
+
+
+@query
+def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs, Scratch(spark, "simhash"))
+
+
+@query
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, from its text, markup, address and host."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        "url",
+        F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ").alias("text"),
+        F.regexp_extract("html", r"<html[^>]*\slang=[\"']?([A-Za-z-]+)", 1).alias("lang"),
+    )
+    return language_id.identify(
+        pages, Scratch(spark, "pages"), id="page_id", host=None, address="url"
+    )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from biasloom.sources.store import shared_root
 
 #: Bytes and rows of one Arrow batch that goes to a Python task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4000
 
 
@@ -54,17 +56,22 @@ class Scratch:
             files.delete(path, True)
 
 
-def as_batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
-    )
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, which gives its memory back to the system at the end of a task.
 
+    Python workers are kept for later tasks; what one has freed but still holds
+    would count against the executor until then.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
-def with_columns(batch: pa.RecordBatch, added: dict[str, pa.Array]) -> pa.RecordBatch:
-    """The batch with columns added behind its own."""
-    return pa.RecordBatch.from_arrays(
-        [*batch.columns, *added.values()], names=[*batch.schema.names, *added]
-    )
+    return wrapped
 
 
 def byte_texts(column: pa.Array) -> Iterator[bytes]:
@@ -76,14 +83,3 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
 def text_bytes(name: str = "text"):
     """A text column as its UTF-8 bytes; null stays null."""
     return F.col(name).cast("string").cast("binary")
-
-
-def batches_of(rows: Iterable, size: int) -> Iterator[list]:
-    held: list = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biasloom.llm.common import Scratch, byte_texts, small_batches, text_bytes
+from biasloom.llm.common import Scratch, byte_texts, lean, small_batches, text_bytes
 
 #: Bytes of item texts in one automaton.
 BLOCK_BYTES = 4 << 20
@@ -207,7 +207,7 @@ def _pass(docs: DataFrame, text: str, block: list, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*others, *FOUND.names])
 
     schema = T.StructType([docs.schema[c] for c in others] + FOUND.fields)
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def find(
@@ -278,4 +278,4 @@ def remove(
                 batch = batch.set_column(at, text, pa.array(texts, pa.string()))
             yield batch.select(columns)
 
-    return few.mapInArrow(run, found.schema)
+    return few.mapInArrow(lean(run), found.schema)

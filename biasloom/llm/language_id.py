@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, small_batches, text_bytes
+from biasloom.llm.common import Scratch, lean, small_batches, text_bytes
 
 #: Declared rows the trigram models are trained on, as an expected number, and
 #: the most frequent declared languages that get a model.
@@ -72,7 +72,7 @@ class TrigramModels:
         if len(some):
             starts = (np.cumsum(sizes) - sizes)[some]
             for k, row in enumerate(self.logs):
-                out[some, k] = np.add.reduceat(row[code], starts)
+                out[some, k] = np.add.reduceat(row[code], starts, dtype=np.float64)
         return out, sizes
 
 
@@ -136,13 +136,13 @@ def train(rows: DataFrame, text: str, declared: str) -> TrigramModels:
         )
 
     counts = np.zeros((len(languages), 1 << BUCKET_BITS))
-    found = sample.mapInArrow(run, "at long, bucket long, n long")
+    found = sample.mapInArrow(lean(run), "at long, bucket long, n long")
     for r in found.groupBy("at", "bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["at"], r["bucket"]] = r["n"]
     smooth = counts + 0.5
     logs = np.log(smooth / smooth.sum(axis=1, keepdims=True))
     # Against the mean language, so that common trigrams weigh nothing.
-    return TrigramModels(languages, (logs - logs.mean(axis=0)).astype(np.float64))
+    return TrigramModels(languages, (logs - logs.mean(axis=0)).astype(np.float32))
 
 
 def text_evidence(rows: DataFrame, text: str, models: TrigramModels) -> DataFrame:
@@ -174,7 +174,7 @@ def text_evidence(rows: DataFrame, text: str, models: TrigramModels) -> DataFram
         F.lit(0).cast("long").alias("letters"),
         F.array().cast("array<double>").alias("logs"),
     ).schema
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def _fractions(evidence: DataFrame, by: str, parent: Column, strength: float, n: int):

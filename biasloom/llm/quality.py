@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, small_batches
+from biasloom.llm.common import Scratch, lean, small_batches
 
 #: Words of a window of the repetition measure.
 WINDOW = 8
@@ -96,7 +96,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
     source = docs.select(*others, F.col(text).cast("string").alias("qr__text"))
     empty = [F.lit(0).cast("long").alias(m) for m in MEASURES]
-    return source.mapInArrow(run, docs.select(*others, *empty).schema)
+    return source.mapInArrow(lean(run), docs.select(*others, *empty).schema)
 
 
 def rules() -> dict[str, tuple[Column, Column]]:

@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from biasloom.llm import (
     cube_mix,
     decontaminate,
+    html_extract,
     language_id,
     quality,
+    secret_scan,
     simhash,
+    suffix_dedup,
     token_blocks,
+    url_filter,
 )
 from biasloom.llm.common import Scratch, table
 
@@ -49,6 +53,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), Scratch(spark, "urls"))
+
+
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host, _ = url_filter.address(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html", host.alias("host"))
+    found = html_extract.main_text(pages, Scratch(spark, "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -70,6 +87,23 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*columns, "n_repeat_words", "posterior", "base_failed", "kept")
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs)
+    model = secret_scan.KINDS.index("model")
+    base = F.filter("spans", lambda s: s["kind"] != model)
+    return found.select(
+        "doc_id",
+        *(
+            secret_scan.counted(F.col("spans"), kind).alias(f"n_{kind}")
+            for kind in ("assign", "access", "hex")
+        ),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op8_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -89,6 +123,19 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, Scratch(spark, "simhash"))
 
 
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = suffix_dedup.deduplicate(docs, Scratch(spark, "suffixes"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page, from its text, markup, address and host."""

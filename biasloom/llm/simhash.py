@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, byte_texts, small_batches, text_bytes
+from biasloom.llm.common import Scratch, byte_texts, lean, small_batches, text_bytes
 from biasloom.llm.components import components
 
 BITS = 64
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = 3) -> DataFra
             )
 
     schema = docs.select(*others, F.lit(0).cast("long").alias("fp")).schema
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def trie_links(

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, small_batches
+from biasloom.llm.common import Scratch, lean, small_batches
 
 #: Ids of one block, lanes of a block, steps between two checkpoints.
 BLOCK_IDS = 1 << 20
@@ -42,7 +42,7 @@ BLOCKS = (
     "docs array<long>, pieces array<long>, {}"
 )
 #: Cached encodings of words in a worker.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 DTYPE = "<u4"
 PIECES = (
     "part int, first long, origin long, doc long, n long, crc long, whole boolean"
@@ -180,7 +180,7 @@ def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
         if size:
             yield row(False)
 
-    return ordered.mapInArrow(run, BLOCKS.format("data binary"))
+    return ordered.mapInArrow(lean(run), BLOCKS.format("data binary"))
 
 
 def count_ids(chunks: DataFrame) -> np.ndarray:
@@ -201,7 +201,7 @@ def count_ids(chunks: DataFrame) -> np.ndarray:
             [pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"]
         )
 
-    counted = chunks.select("data").mapInArrow(run, "id long, n long")
+    counted = chunks.select("data").mapInArrow(lean(run), "id long, n long")
     rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r.id for r in rows), default=0) + 1, dtype=np.int64)
     for r in rows:
@@ -326,7 +326,7 @@ def write(
                 )
 
     schema = BLOCKS.format("code binary, marks binary, crc32 long")
-    blocks = scratch.keep(chunks.mapInArrow(run, schema), name, codec="uncompressed")
+    blocks = scratch.keep(chunks.mapInArrow(lean(run), schema), name, codec="uncompressed")
     scratch.drop(f"{name}-ids")
     return blocks, freq
 
@@ -379,7 +379,7 @@ def read(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
                     names=["part", "first", "origin", "doc", "n", "crc", "whole"],
                 )
 
-    return blocks.mapInArrow(run, PIECES)
+    return blocks.mapInArrow(lean(run), PIECES)
 
 
 def by_document(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
@@ -419,7 +419,7 @@ def by_document(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
             )
 
     columns = ["part", "origin", "doc", "n", "crc"]
-    joined = cut.mapInArrow(join, "part int, origin long, doc long, n long, crc long")
+    joined = cut.mapInArrow(lean(join), "part int, origin long, doc long, n long, crc long")
     every = pieces.filter("whole").select(*columns).unionByName(joined)
     return every.join(offsets, F.col("part") == F.col("at"), "left").select(
         "doc",

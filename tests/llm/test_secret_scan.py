@@ -1,0 +1,92 @@
+import re
+import string
+
+import numpy as np
+import pytest
+
+from biasloom.llm import secret_scan
+from biasloom.llm.secret_scan import KINDS, listed, scan
+
+ASSIGN = re.compile(
+    r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+    re.ASCII,
+)
+
+
+def plain(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+HEX = "0123456789abcdef" * 2
+TEXTS = [
+    None, "", "nothing here", f"token = \"{HEX}\" end", f"é𝄞 TOKEN:{HEX[:5]} password = 'abcdef'",
+    "password: token:abcdefgh secret=x secret==yyyyyy", f"AKIA{'A1' * 10}, AKIASHORT xAKIA{'Z' * 16}",
+    f"{HEX}g{HEX} {HEX[:23]} {HEX[:24]}", "api_key=longvalue1 APIKEY: 'v2v2v2' apikey =  \"q\"",
+    "paſſword=abcdefgh toKen=abcdefgh",
+]
+
+
+def spans(rows):
+    return {r[0]: [(s["start"], s["kind"], s["stop"]) for s in r["spans"]] for r in rows}
+
+
+def test_patterns_equal_a_plain_scan(spark):
+    rng = np.random.default_rng(0)
+    parts = ["token", "=", ":", " ", "'", "abcdef", "AKIA", "B" * 17, "0f" * 12, "é", "x", "api_key", "\n"]
+    texts = TEXTS + ["".join(rng.choice(parts, 30)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    none = [-1.0] * len(secret_scan.ALPHABET) ** 2
+    got = spans(scan(df, ratios=none).collect())
+    assert got == {i: plain(t or "") for i, t in enumerate(texts)}
+
+
+def words(rng, n):
+    parts = ["ther", "ing", "al", "conf", "get", "user", "list", "name", "state", "ion"]
+    return " ".join(
+        "_".join("".join(rng.choice(parts, 2)) for _ in range(rng.integers(1, 4)))
+        + (str(rng.integers(0, 99)) if rng.random() < 0.1 else "")
+        for _ in range(n)
+    )
+
+
+def test_models_find_random_strings(spark):
+    rng = np.random.default_rng(1)
+    letters = list(string.ascii_letters + string.digits)
+    rows, want = [], {}
+    for i in range(300):
+        text = words(rng, 60)
+        if i % 10 == 0:
+            key = "".join(rng.choice(letters, 32)) + "7x"
+            want[i] = (len(text) + 1, KINDS.index("model"), len(text) + 1 + len(key))
+            text += f" {key} " + words(rng, 5)
+        if i % 4 == 1:
+            text += " token=" + "".join(rng.choice(letters, 30))
+        rows.append((i, text, "kept"))
+    rows += [(300, "2353820953013749 4550997810720808 2024-01-01T00:00:00", "kept")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    found = scan(df).collect()
+    got = {
+        i: [s for s in of if s[1] == KINDS.index("model")] for i, of in spans(found).items()
+    }
+    right = sum(got[i] == [span] for i, span in want.items())
+    assert right >= 0.9 * len(want)
+    assert sum(bool(of) for i, of in got.items() if i not in want) <= 2
+
+
+def test_listed_and_empty(spark):
+    df = spark.createDataFrame([(1, TEXTS[3])], "doc_id long, text string")
+    found = scan(df)
+    row = found.select(listed(found["spans"])).first()
+    assert row[0] == "assign:0:41,hex:9:41"
+    assert scan(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [3000])
+def test_many_matches_in_a_long_text(spark, n):
+    text = " filler ".join(["secret = abcdef"] * n) + " z" * 500_000
+    df = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    for row in scan(df).collect():
+        assert [(s["start"], s["kind"], s["stop"]) for s in row["spans"]] == plain(text)

@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Bound what one Python task holds, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 class Scratch:
@@ -50,6 +50,15 @@ class Scratch:
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle(self) -> None:
+        """Have Spark delete the shuffle files of finished stages now.
+
+        It deletes them when the driver's garbage collector finds that nobody
+        can ask for them any more, which an idle driver may put off for long.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         for name in names:
             files, path = self._locate(f"{self.root}/{name}")

@@ -44,52 +44,69 @@ PORTION = 2 << 20
 SAMPLES, NAMED = 4, 2000
 #: Suffix rows whose windows are compared at a time.
 COMPARED = 20_000
+#: The buckets are sorted in so many turns, each over a part of their ranges. A
+#: turn reads the documents anew and leaves no shuffle files behind, so the
+#: turns set how much disk the sort takes at once.
+TURNS = 2
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: The first bucket of a turn and the one behind its last; None stands for all.
+Turn = tuple[int, int] | None
 
 
 def grams(data: np.ndarray) -> np.ndarray:
     """The 8 bytes from each place on as one big-endian number; zeros behind the end."""
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
-    views = np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(data)]
-    return np.ascontiguousarray(views).view(">u8").reshape(-1).astype(np.uint64)
-
-
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: (first window, last window, anchor).
-
-    data is documents on end, ends where each stops. Windows lie within one
-    document. The anchor is the leftmost place of the least gram hash.
+    n = -(-len(data) // 8)
+    padded = np.zeros(8 * n + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    out = np.empty((n, 8), dtype=np.uint64)
+    for k in range(8):
+        out[:, k] = np.frombuffer(padded, dtype=">u8", count=n, offset=k)
+    return out.reshape(-1)[: len(data)]
+
+
+def anchors(
+    data: np.ndarray, sizes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: (document, first window, last window, anchor).
+
+    data is documents on end, of these sizes. Windows lie within one document.
+    The anchor is the leftmost place of the least gram hash.
     """
-    n = len(data) - WINDOW + 1
-    if n <= 0:
-        return (np.zeros(0, dtype=np.int64),) * 3
+    starts = [
+        np.arange(end - size, end - WINDOW + 1)
+        for size, end in zip(sizes.tolist(), np.cumsum(sizes).tolist(), strict=True)
+        if size >= WINDOW
+    ]
+    if not starts:
+        return (np.zeros(0, dtype=np.int64),) * 4
+    starts = np.concatenate(starts)
     with np.errstate(over="ignore"):
-        word = grams(data)
-        second = np.concatenate([word[8:], np.zeros(8, dtype=np.uint64)])
-        mixed = (word * MIX) ^ (word >> np.uint64(29))
-        mixed = (mixed ^ (second * np.uint64(0xC2B2AE3D27D4EB4F))) * MIX
-        mixed ^= mixed >> np.uint64(31)
-    half = np.uint64(32)
-    low = (mixed >> half << half) | np.arange(len(data), dtype=np.uint64)
+        mixed = grams(data)
+        second = np.zeros_like(mixed)
+        second[:-8] = mixed[8:]
+        second *= np.uint64(0xC2B2AE3D27D4EB4F)
+        low = mixed >> np.uint64(29)
+        mixed *= MIX
+        mixed ^= low
+        mixed ^= second
+        mixed *= MIX
+    # The hash above, the place below: equal hashes leave the leftmost place.
+    np.bitwise_and(mixed, np.uint64(0xFFFFFFFF00000000), out=low)
+    low |= np.arange(len(data), dtype=np.uint64)
     width, reach = WINDOW - GRAM + 1, 1
     while reach * 2 <= width:
         low = np.minimum(low[:-reach], low[reach:])
         reach *= 2
-    rest = width - reach
-    if rest:
-        low = np.minimum(low[:-rest], low[rest:])
-    at = (low[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    doc = np.searchsorted(ends, np.arange(n), side="right")
-    inside = np.arange(n) + WINDOW <= ends[doc]
-    starts = np.nonzero(inside)[0]
-    if not len(starts):
-        return (np.zeros(0, dtype=np.int64),) * 3
-    at = at[starts]
+    if width > reach:
+        low = np.minimum(low[: reach - width], low[width - reach :])
+    at = (low[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
-    first = starts[new]
-    last = starts[np.append(np.nonzero(new)[0][1:] - 1, len(starts) - 1)]
-    return first, last, at[new]
+    begin = np.nonzero(new)[0]
+    last = starts[np.append(begin[1:] - 1, len(starts) - 1)]
+    first = starts[begin]
+    doc = np.searchsorted(np.cumsum(sizes), first, side="right")
+    return doc, first, last, at[begin]
 
 
 def suffix_rows(
@@ -156,21 +173,35 @@ def _spans(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[new], stops[np.append(np.nonzero(new)[0][1:] - 1, len(stops) - 1)]
 
 
+def leading_bytes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 8 bytes from these places on as big-endian numbers; grams reach further."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for k in range(8):
+        out = (out << np.uint64(8)) | data[at + k]
+    return out
+
+
 class Portion:
     """Some documents' anchored suffixes, reduced to the distinct ones."""
 
-    def __init__(self, pieces: list[tuple[int, int, int, bytes]]):
-        """pieces: (document, mark, place of the piece in the document, bytes)."""
+    def __init__(self, pieces: list[tuple[int, int, int, bytes]], cuts: np.ndarray, turn: Turn):
+        """pieces: (document, mark, place of the piece in the document, bytes).
+
+        Only suffixes in the buckets of this turn are looked at.
+        """
         pieces = sorted(pieces, key=lambda p: p[0])
         self.docs = np.array([p[0] for p in pieces], dtype=np.int64)
         self.marks = np.array([p[1] for p in pieces], dtype=np.int64)
         data = np.frombuffer(b"".join(p[3] for p in pieces), dtype=np.uint8)
         sizes = np.array([len(p[3]) for p in pieces], dtype=np.int64)
-        ends = np.cumsum(sizes)
-        first, last, at = anchors(data, ends)
+        piece, first, last, at = anchors(data, sizes)
+        if turn:
+            bucket = np.searchsorted(cuts, leading_bytes(data, at), side="right")
+            now = (bucket >= turn[0]) & (bucket < turn[1])
+            piece, first, last, at = piece[now], first[now], last[now], at[now]
         rows = suffix_rows(data, first, last, at)
-        piece = np.searchsorted(ends, at, side="right")
-        home = (ends - sizes - np.array([p[2] for p in pieces], dtype=np.int64))[piece]
+        begin = np.cumsum(sizes) - sizes - np.array([p[2] for p in pieces], dtype=np.int64)
+        home = begin[piece]
         order, new = multikey_sort(rows)
         group = np.cumsum(new) - 1
         # The sort is stable, so a group's first row is of its least document.
@@ -188,7 +219,9 @@ class Portion:
         return np.ascontiguousarray(self.rows[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[Portion]:
+def _portions(
+    batches: Iterator[pa.RecordBatch], cuts: np.ndarray | None = None, turn: Turn = None
+) -> Iterator[Portion]:
     held, size = [], 0
     for batch in batches:
         for doc, mark, text in zip(
@@ -200,10 +233,10 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[Portion]:
                 held.append((doc, mark, at, piece))
                 size += len(piece)
                 if size >= PORTION:
-                    yield Portion(held)
+                    yield Portion(held, cuts, turn)
                     held, size = [], 0
     if held:
-        yield Portion(held)
+        yield Portion(held, cuts, turn)
 
 
 def splitters(source: DataFrame, total: int, buckets: int) -> np.ndarray:
@@ -228,15 +261,15 @@ def splitters(source: DataFrame, total: int, buckets: int) -> np.ndarray:
     return np.unique(lead[np.arange(1, buckets) * len(lead) // buckets])
 
 
-def _sent(source: DataFrame, cuts: np.ndarray) -> DataFrame:
-    """Rows for the buckets, and settled spans in bucket -1."""
+def _sent(source: DataFrame, cuts: np.ndarray, turn: Turn) -> DataFrame:
+    """Rows for the buckets of this turn, and settled spans in bucket -1."""
     shared = source.sparkSession.sparkContext.broadcast(cuts)
     names = ["bucket", "rows", "n", "places", "docs", "marks"]
     kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for portion in _portions(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for portion in _portions(batches, shared.value, turn):
             doc, start, stop = portion.settled
             found = np.stack([portion.docs[doc], portion.marks[doc], start, stop], axis=1)
             out = [(-1, b"", len(found), pack(found.astype("<i8").tobytes()), b"", b"")]
@@ -253,10 +286,10 @@ def _sent(source: DataFrame, cuts: np.ndarray) -> DataFrame:
                 out.append(
                     (
                         k,
-                        pack(portion.rows[a:b].T.tobytes()),
+                        pack(portion.rows[a:b].tobytes()),
                         int(b - a),
                         pack(places.astype("<i4").T.tobytes()),
-                        portion.docs[used].astype("<i8").tobytes(),
+                        pack(np.diff(portion.docs[used], prepend=0).astype("<i8").tobytes()),
                         portion.marks[used].astype("<i8").tobytes(),
                     )
                 )
@@ -306,10 +339,10 @@ def bucket_spans(portions: list[tuple]) -> np.ndarray:
     rows, of, docs, marks, starts = [], [], [], [], []
     base = 0
     for data, n, places, doc, mark in portions:
-        rows.append(np.frombuffer(unpack(data), dtype=np.uint8).reshape(ROW + 2, n).T)
+        rows.append(np.frombuffer(unpack(data), dtype=np.uint8).reshape(n, ROW + 2))
         place = np.frombuffer(unpack(places), dtype="<i4").reshape(3, -1).astype(np.int64)
         of.append(place[0] + base)
-        docs.append(np.frombuffer(doc, dtype="<i8")[place[1]])
+        docs.append(np.cumsum(np.frombuffer(unpack(doc), dtype="<i8"))[place[1]])
         marks.append(np.frombuffer(mark, dtype="<i8")[place[1]])
         starts.append(place[2])
         base += n
@@ -377,14 +410,13 @@ def bucket_spans(portions: list[tuple]) -> np.ndarray:
     return np.concatenate(found)
 
 
-def repeated_spans(source: DataFrame, total: int, buckets: int) -> DataFrame:
-    """Rows (doc, mark, spans): places of each document's repeated passages.
+def repeated_spans(source: DataFrame, cuts: np.ndarray, turn: tuple[int, int]) -> DataFrame:
+    """Rows (doc, mark, spans): places of the repeated passages, found in one turn.
 
     source has ``doc`` (no nulls), ``mark`` and ``data``. ``spans`` are pairs
     of numbers, little-endian, one such array for each bucket or portion.
     """
-    cuts = splitters(source, total, buckets)
-    sent = _sent(source, cuts)
+    sent, buckets = _sent(source, cuts, turn), turn[1] - turn[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -451,8 +483,15 @@ def deduplicate(
     )
     source = rows.filter(F.col("doc").isNotNull()).withColumn("doc", F.col("doc").cast("long"))
     long = source.filter(F.octet_length("data") >= WINDOW)
-    spans = repeated_spans(long, docs.count(), buckets)
-    spans = scratch.keep(spans, "spans")
+    cuts = splitters(long, docs.count(), buckets)
+    spans = None
+    for k in range(TURNS):
+        turn = ((len(cuts) + 1) * k // TURNS, (len(cuts) + 1) * (k + 1) // TURNS)
+        if turn[0] == turn[1]:
+            continue
+        found = scratch.keep(repeated_spans(long, cuts, turn), f"spans-{k}")
+        spans = found if spans is None else spans.unionByName(found)
+        scratch.settle()
     gathered = spans.groupBy(F.col("doc").alias("of"), F.col("mark").alias("by")).agg(
         F.collect_list("spans").alias("parts")
     )

@@ -60,7 +60,8 @@ def test_anchors_cover_each_window_once():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 100, 4000, dtype=np.uint8)
     ends = np.array([10, 1500, 1500, 1555, 4000])
-    first, last, at = anchors(data, ends)
+    doc, first, last, at = anchors(data, np.diff(ends, prepend=0))
+    assert (doc == np.searchsorted(ends, first, side="right")).all()
     windows = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last, strict=True)])
     want = [i for a, b in zip([0, *ends], ends, strict=False) for i in range(a, b - 49)]
     assert windows.tolist() == want
@@ -84,7 +85,7 @@ def test_a_long_text_is_read_in_pieces(monkeypatch):
     pieces = [(1, 0, at, text[at : at + 349]) for at in range(0, len(text), 300)]
     starts = []
     for piece in pieces:
-        portion = Portion([piece])
+        portion = Portion([piece], None, None)
         size = portion.rows[:, -2].astype(int) + portion.rows[:, -1] - 49
         for group, _, start in portion.places.tolist():
             starts += range(start, start + size[group])

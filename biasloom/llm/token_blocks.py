@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, lean, small_batches
+from biasloom.llm.common import BATCH_BYTES, Scratch, lean, small_batches
 
 #: Ids of one block, lanes of a block, steps between two checkpoints.
 BLOCK_IDS = 1 << 20
@@ -41,8 +42,10 @@ BLOCKS = (
     "part int, block int, first long, origin long, ids long, open boolean, "
     "docs array<long>, pieces array<long>, {}"
 )
-#: Cached encodings of words in a worker.
-CACHE_WORDS = 150_000
+#: Words that a worker remembers at once, twice over.
+CACHE_WORDS = 100_000
+#: What may stand behind a word's letters and is encoded apart from them.
+PUNCTUATION = ".,;:!?"
 DTYPE = "<u4"
 PIECES = (
     "part int, first long, origin long, doc long, n long, crc long, whole boolean"
@@ -50,12 +53,23 @@ PIECES = (
 COLUMNS = ("part", "block", "first", "origin", "ids", "open", "docs", "pieces")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte.
+
+    Printable bytes stand for themselves, the others for the letters from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
     """A byte-level BPE tokenizer that encodes each distinct word once.
 
     Its pre-tokenizer always cuts before a space that a visible character
-    follows, so a text of single spaces is the sequence of its words' ids.
-    Texts with other uses of the space are encoded whole.
+    follows, and behind a run of letters, so a text of single spaces is the
+    sequence of its words' ids, and a word that of its letters' and its
+    punctuation's. Texts with other uses of the space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -68,49 +82,94 @@ class WordTokenizer:
             path = public_tokenizers.path(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.space = self.letters[32]
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.rests: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=DTYPE).tobytes() for e in found]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        new = [w for w in words if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = words
-        self.cache.update(zip(new, self._bytes(new), strict=True))
-        return [self.cache[w] for w in words]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _keep(self, word: str, found: bytes) -> bytes:
+        if len(self.new) >= CACHE_WORDS:
+            # What was of use lately moves on, the rest is forgotten.
+            self.old, self.new = self.new, {}
+        self.new[word] = found
+        return found
+
+    def _words(self, words: list[str]) -> list[bytes | None]:
+        """The ids of words behind a space; None if no visible character starts one."""
+        out = list(map(self.new.get, words))
+        others = []
+        for i in [i for i, found in enumerate(out) if found is None]:
+            word = words[i]
+            found = self.old.get(word)
+            if found is None:
+                core = word.rstrip(PUNCTUATION)
+                if not core.isalpha():
+                    if word and not word[0].isspace():
+                        others.append(i)
+                    continue
+                found = self.new.get(core) or self.old.get(core)
+                if found is None:
+                    if core.isascii():
+                        written = self.space + core
+                    else:
+                        written = (" " + core).encode().decode("latin-1").translate(self.letters)
+                    found = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+                    self._keep(core, found)
+                if len(core) != len(word):
+                    found = self._keep(word, found + self._rest(word[len(core) :]))
+            else:
+                self._keep(word, found)
+            out[i] = found
+        whole = self._bytes([" " + words[i] for i in others]) if others else ()
+        for i, found in zip(others, whole, strict=True):
+            out[i] = self._keep(words[i], found)
+        return out
+
+    def _rest(self, text: str) -> bytes:
+        if text not in self.rests:
+            if len(self.rests) >= 1000:
+                self.rests.clear()
+            self.rests[text] = self._bytes([text])[0]
+        return self.rests[text]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts on end, and the number of ids of each text."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         split = pc.split_pattern(texts, " ")
         at = split.offsets.to_numpy()
+        at = at - at[0]
         coded = split.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = coded.dictionary.to_pylist()
-        first = np.zeros(len(index), dtype=bool)
-        first[at[:-1] - at[0]] = True
-        odd = np.array([not w or w[0].isspace() for w in words], dtype=bool)
-        bad_piece = odd[index] & ~first
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = self._words(words)
+        odd = np.fromiter((part is None for part in found), dtype=bool, count=len(found))
+        parts = [part or b"" for part in found]
+        # A text's first word has no space before it and is encoded as it is.
+        first = at[:-1]
         row_of = np.repeat(np.arange(len(texts)), np.diff(at))
+        bad = odd[index]
+        bad[first] = False
         bad_row = np.zeros(len(texts), dtype=bool)
-        bad_row[row_of[bad_piece]] = True
-        code = index * 2 + ~first
-        use = ~bad_row[row_of]
-        code, row_of = code[use], row_of[use]
-        used = np.unique(code)
-        keys = [" " + words[c >> 1] if c & 1 else words[c >> 1] for c in used.tolist()]
-        parts = self._words(keys)
-        sizes = np.array([len(p) // 4 for p in parts], dtype=np.int64)
+        bad_row[row_of[bad]] = True
+        parts += self._bytes([words[i] for i in index[first].tolist()])
+        index[first] = len(words) + np.arange(len(texts))
+        if bad_row.any():
+            use = ~bad_row[row_of]
+            index, row_of = index[use], row_of[use]
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         starts = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(parts), dtype=DTYPE)
-        place = np.searchsorted(used, code)
-        size = sizes[place]
+        size = sizes[index]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts[place] - (ends - size), size) + np.arange(total)]
+        shift = (starts[index] - (ends - size)).astype(np.int32)
+        ids = flat[np.repeat(shift, size) + np.arange(total, dtype=np.int32)]
         lengths = np.bincount(row_of, weights=size, minlength=len(texts)).astype(np.int64)
         if not bad_row.any():
             return ids, lengths
@@ -120,13 +179,10 @@ class WordTokenizer:
             own[row] = np.frombuffer(data, dtype=DTYPE)
         return np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64)
 
-    def size(self) -> int:
-        return self.tokenizer.get_vocab_size(with_added_tokens=True)
-
 
 def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
     """The ids of the ordered documents, a row for each BLOCK_IDS of a partition."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES // 2)
     ordered = (
         docs.select(
             F.col(id).cast("long").alias("doc"),
@@ -309,6 +365,7 @@ def write(
     empty. A row is a block; (part, block) is its place in the whole.
     """
     chunks = scratch.keep(_chunks(docs, id, text, tokenizer), f"{name}-ids")
+    scratch.settle()
     freq = scaled(count_ids(chunks))
     shared = docs.sparkSession.sparkContext.broadcast(freq)
 

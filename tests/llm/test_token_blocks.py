@@ -33,6 +33,13 @@ def test_words_are_encoded_as_in_the_whole_text(plain):
     assert got == [plain(t) for t in [*TEXTS, None]]
 
 
+def test_a_forgetful_tokenizer_is_right(monkeypatch, plain):
+    monkeypatch.setattr(token_blocks, "CACHE_WORDS", 3)
+    coder = WordTokenizer(NAME)
+    for text in TEXTS + TEXTS[::-1]:
+        assert coder.encode(pa.array([text]))[0].tolist() == plain(text)
+
+
 @pytest.mark.parametrize("n", [1, LANES - 1, LANES, LANES * STEPS + 17, 3 * LANES * STEPS])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)

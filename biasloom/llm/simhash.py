@@ -25,7 +25,7 @@ from biasloom.llm.components import components
 
 BITS = 64
 #: Fingerprints that one trie node may hold before the trie is cut deeper.
-NODE_ROWS = 20_000
+NODE_ROWS = 4_000
 #: Deepest cut; below it a node's task walks the rest of the trie by itself.
 DEEPEST = 20
 #: A pair of nodes is compared directly when it has this many pairs or fewer.

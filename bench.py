@@ -42,16 +42,16 @@ def steps(p: Pipeline) -> dict:
         "fit_plain_and_shrunk": lambda: p.effects,
         "fit_final": lambda: p.final_effects,
         "dataset_summary": lambda: run(
-            profile.summary(p.edx.unionByName(p.validation))
+            profile.summary(p.development.unionByName(p.validation))
         ),
-        "null_counts": lambda: run(profile.missing_counts(p.edx)),
+        "null_counts": lambda: run(profile.missing_counts(p.development)),
         "genre_match_counts": lambda: run(
-            profile.match_counts(p.edx, "genres", {"n": "ring", "m": "LARGE"})
+            profile.match_counts(p.development, "genres", {"n": "ring", "m": "LARGE"})
         ),
         "top_items_by_count": lambda: run(
-            profile.most_frequent(p.edx, ["item_id", "title"], 10)
+            profile.most_frequent(p.development, ["item_id", "title"], 10)
         ),
-        "rating_histogram": lambda: run(histogram.fixed_width(p.edx, "rating", 0.5)),
+        "rating_histogram": lambda: run(histogram.fixed_width(p.development, "rating", 0.5)),
         "user_effect_histogram": lambda: run(
             histogram.fixed_count(
                 effect_table(p.effects, "user_id", "plain", "b"), "b", 20

@@ -1,10 +1,13 @@
-"""Histogram counts: the data behind a bar chart, without the chart."""
+"""Histogram counts: the data behind a bar chart, without the chart.
+
+NaN counts as missing and falls into no bin; infinite values raise an error.
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biasloom.operators.joins import attach
@@ -13,43 +16,63 @@ from biasloom.operators.joins import attach
 FLAT_WIDTH = 0.1
 
 
-def _counts(
-    df: DataFrame, column: str, origin: float, width: float, bins: int
-) -> DataFrame:
-    """Right-closed bins, the first one closed on both sides, empty ones too."""
-    position = (F.col(column) - F.lit(origin)) / F.lit(width)
-    index = F.greatest(F.ceil(position) - 1, F.lit(0))
-    counted = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(index.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _present(df: DataFrame, column: str) -> tuple[DataFrame, Column]:
+    """The rows with a value, and the value as a double."""
+    value = F.col(column).cast("double")
+    return df.filter(value.isNotNull() & ~F.isnan(value)), value
+
+
+def _check(column: str, *ends: float) -> None:
+    if any(math.isinf(end) for end in ends):
+        raise ValueError(f"{column} has infinite values")
+
+
+def _counts(df: DataFrame, bin_: Column, bins: int, center: Column) -> DataFrame:
+    """Rows per bin, empty bins too; ``center`` is in terms of the column bin."""
+    counted = df.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return attach(every, counted, "bin").select(
-        "bin",
-        (F.lit(origin) + (F.col("bin") + 0.5) * F.lit(width)).alias("center"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "bin", center.alias("center"), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
 def fixed_width(df: DataFrame, column: str, width: float) -> DataFrame:
-    """Bins centred on multiples of width, from the first to the last value."""
-    low, high = df.agg(F.min(column), F.max(column)).first()
-    if low is None:
-        return _counts(df, column, 0.0, width, 0)
-    first = math.ceil(low / width - 0.5)
-    last = math.ceil(high / width - 0.5)
-    return _counts(df, column, (first - 0.5) * width, width, last - first + 1)
+    """Right-closed bins centred on multiples of width, from first to last value.
+
+    The extent and every row's bin come from one expression, so that rounding
+    puts no row outside.
+    """
+    rows, value = _present(df, column)
+    finite = F.when(F.abs(value) < F.lit(math.inf), value)
+    slot = F.ceil(finite / F.lit(float(width)) - 0.5)
+    low, high, *ends = rows.agg(
+        F.min(slot), F.max(slot), F.min(value), F.max(value)
+    ).first()
+    if ends[0] is None:
+        return _counts(rows, F.lit(0).cast("long"), 0, F.lit(0.0))
+    _check(column, *ends)
+    center = (F.col("bin") + F.lit(low)) * F.lit(float(width))
+    return _counts(rows, slot - F.lit(low), high - low + 1, center)
 
 
 def fixed_count(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """``bins`` bins, the first centred on the minimum, the last on the maximum."""
-    low, high = df.agg(F.min(column), F.max(column)).first()
+    """``bins`` bins, the first centred on the minimum, the last on the maximum.
+
+    Right-closed, the first one closed on both sides. Equal values give one bin.
+    """
+    rows, value = _present(df, column)
+    low, high = rows.agg(F.min(value), F.max(value)).first()
     if low is None:
-        return _counts(df, column, 0.0, FLAT_WIDTH, 0)
+        return _counts(rows, F.lit(0).cast("long"), 0, F.lit(0.0))
+    _check(column, low, high)
     if low == high:
-        return _counts(df, column, low - FLAT_WIDTH / 2, FLAT_WIDTH, 1)
-    if bins < 2:
-        return _counts(df, column, low, high - low, bins)
-    width = (high - low) / (bins - 1)
-    return _counts(df, column, low - width / 2, width, bins)
+        bins, width, origin = 1, FLAT_WIDTH, low - FLAT_WIDTH / 2
+    elif bins < 2:
+        width, origin = high - low, low
+    else:
+        width = (high - low) / (bins - 1)
+        origin = low - width / 2
+    place = F.ceil((value - F.lit(origin)) / F.lit(width)) - 1
+    bin_ = F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("long")
+    center = F.lit(origin) + (F.col("bin") + 0.5) * F.lit(width)
+    return _counts(rows, bin_, bins, center)

@@ -29,7 +29,7 @@ def rows_not_in(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     shared = [c for c in left.columns if c in right.columns]
     match = {c: f"{c}__right" for c in shared}
-    right = right.select(*shared).distinct().withColumnsRenamed(match)
+    right = right.select(*shared).withColumnsRenamed(match)
     same = [F.col(c).eqNullSafe(F.col(r)) for c, r in match.items()]
     return left.join(right, same, "left_anti")
 

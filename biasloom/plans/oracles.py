@@ -102,7 +102,7 @@ def _holdout(rater: str = "customer") -> list[str]:
             SELECT * EXCLUDE (in_sample), in_sample AS sampled,
                    CASE WHEN {_kept('marked')} THEN 'test' ELSE 'train' END AS part
             FROM marked)""",
-        "edx AS (SELECT * EXCLUDE (part, sampled) FROM holdout WHERE part = 'train')",
+        "development AS (SELECT * EXCLUDE (part, sampled) FROM holdout WHERE part = 'train')",
         "validation AS (SELECT * EXCLUDE (part, sampled) FROM holdout"
         " WHERE part = 'test')",
     ]
@@ -120,13 +120,13 @@ def _train_test(source: str, seed: int, train="train", test="test") -> list[str]
 def _dev() -> list[str]:
     return [
         *_holdout(),
-        *_sample("dev_marked", "edx", 0.1, 10),
+        *_sample("dev_marked", "development", 0.1, 10),
         "dev AS (SELECT * EXCLUDE (in_sample) FROM dev_marked WHERE in_sample)",
     ]
 
 
 def _split(rater: str = "customer") -> list[str]:
-    return [*_holdout(rater), *_train_test("edx", 20)]
+    return [*_holdout(rater), *_train_test("development", 20)]
 
 
 def _effects(tag: str, source: str, lams: tuple) -> list[str]:
@@ -195,7 +195,7 @@ def _with(ctes: list[str], select: str) -> str:
 
 
 def _ladder(rater: str, digits: int) -> tuple[list[str], str]:
-    ctes = [*_both(rater), *_effects("_f", "edx", SHRUNK)]
+    ctes = [*_both(rater), *_effects("_f", "development", SHRUNK)]
     rows = [_model(*m, digits) for m in MODELS]
     rows.append(_model("final on holdout", 3, "_f", digits, "validation"))
     return ctes, " UNION ALL ".join(rows)
@@ -314,7 +314,7 @@ def _count_if(condition: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    ratings, edx, split = _ratings("customer"), _holdout(), _split()
+    ratings, development, split = _ratings("customer"), _holdout(), _split()
     dev_split = [*_dev(), *_train_test("dev", 20)]
     seen = """validation
         WHERE item_id IN (SELECT item_id FROM train)
@@ -328,76 +328,85 @@ def oracle_sql() -> dict[str, str]:
         """wu AS (SELECT *, avg(rating - mu - bi) OVER (PARTITION BY user_id) AS bu
                FROM wi)""",
     ]
-    final = [*edx, *_effects("_f", "edx", SHRUNK)]
+    final = [*development, *_effects("_f", "development", SHRUNK)]
     out = {
         "scan_ratings_text": _with(
             ratings, "SELECT user_id, item_id, rating, ts FROM ratings"
         ),
         "scan_items_text": """SELECT p_partkey AS item_id, p_name AS title,
             concat(p_type, '::', p_brand) AS genres FROM part""",
-        "left_join_items": _with(ratings, f"SELECT {columns} FROM ratings"),
+        "left_join_items": _with(
+            ratings,
+            f"""SELECT {columns.replace(", title, genres", "")},
+                       CASE WHEN item_id % 17 <> 0 THEN title END AS title,
+                       CASE WHEN item_id % 17 <> 0 THEN genres END AS genres
+                FROM ratings""",
+        ),
         "bound_ratings": _with(ratings, f"SELECT {columns} FROM ratings"),
         "preview_rows": _with(
-            edx,
-            f"""SELECT {columns} FROM edx
+            development,
+            f"""SELECT {columns} FROM development
                 ORDER BY user_id, item_id, order_id, line_no, supplier_id LIMIT 6""",
         ),
         "table_dims": _with(
-            edx,
-            """SELECT count(*) AS n_rows, CAST(9 AS BIGINT) AS n_columns FROM edx""",
+            development,
+            """SELECT count(*) AS n_rows,
+                      CAST(max(len(json_keys(to_json(development)))) AS BIGINT)
+                          AS n_columns
+               FROM development""",
         ),
         "rating_equals_counts": _with(
-            edx,
+            development,
             f"""SELECT {_count_if('rating = 0')} AS n_zero,
-                       {_count_if('rating = 3')} AS n_three FROM edx""",
+                       {_count_if('rating = 3')} AS n_three FROM development""",
         ),
         "genre_match_counts": _with(
-            edx,
+            development,
             f"""SELECT {_count_if("regexp_matches(genres, 'ring')")} AS n_ring,
                        {_count_if("regexp_matches(genres, 'bolt')")} AS n_bolt,
                        {_count_if("regexp_matches(genres, 'ECONOMY')")} AS n_economy,
                        {_count_if("regexp_matches(genres, 'LARGE')")} AS n_large
-                FROM edx""",
+                FROM development""",
         ),
         "whole_rating_share": _with(
-            edx,
+            development,
             """SELECT round(avg(CAST(round_even(rating, 0) = rating AS DOUBLE)), 6)
-                   AS whole_share FROM edx""",
+                   AS whole_share FROM development""",
         ),
         "distinct_counts": _with(
-            edx,
+            development,
             """SELECT count(DISTINCT item_id) AS n_items,
-                      count(DISTINCT user_id) AS n_users FROM edx""",
+                      count(DISTINCT user_id) AS n_users FROM development""",
         ),
-        "null_counts": _with(edx, f"{_missing('edx')} UNION ALL {_missing('validation')}"),
+        "null_counts": _with(development, f"{_missing('development')} UNION ALL {_missing('validation')}"),
         "dataset_summary": _with(
-            edx,
+            development,
             """SELECT count(DISTINCT user_id) AS n_users,
                       count(DISTINCT item_id) AS n_items,
                       min(rating) AS min_rating, max(rating) AS max_rating
-               FROM (SELECT * FROM edx UNION ALL SELECT * FROM validation)""",
+               FROM (SELECT * FROM development UNION ALL SELECT * FROM validation)""",
         ),
         "top_items_by_count": _with(
-            edx,
-            """SELECT item_id, title, count(*) AS n FROM edx GROUP BY item_id, title
+            development,
+            """SELECT item_id, title, count(*) AS n FROM development GROUP BY item_id, title
                ORDER BY n DESC, item_id, title LIMIT 10""",
         ),
         "top_rating_values": _with(
-            edx,
-            """SELECT rating, count(*) AS n FROM edx GROUP BY rating
+            development,
+            """SELECT rating, count(*) AS n FROM development GROUP BY rating
                ORDER BY n DESC, rating LIMIT 5""",
         ),
         "rating_frequency": _with(
-            edx, "SELECT rating, count(*) AS n FROM edx GROUP BY rating"
+            development, "SELECT rating, count(*) AS n FROM development GROUP BY rating"
         ),
-        "distinct_genres": _with(edx, "SELECT DISTINCT genres FROM edx"),
+        "distinct_genres": _with(development, "SELECT DISTINCT genres FROM development"),
         "rating_histogram": _with(
             [
-                *edx,
+                *development,
                 """binned AS (
                     SELECT CAST(ceil(rating / 0.5e0 - 0.5e0) AS BIGINT) AS slot,
                            count(*) AS n
-                    FROM edx GROUP BY 1)""",
+                    FROM development GROUP BY 1)""",
                 "span AS (SELECT min(slot) AS lo, max(slot) AS hi FROM binned)",
             ],
             """SELECT slot - lo AS bin, round(slot * 0.5e0, 6) AS center,
@@ -405,6 +414,19 @@ def oracle_sql() -> dict[str, str]:
                FROM (SELECT unnest(range(lo, hi + 1)) AS slot, lo FROM span)
                     LEFT JOIN binned USING (slot)""",
         ),
+        "event_value_histogram": _with(
+            [
+                """binned AS (
+                    SELECT CAST(ceil(value / 0.1e0 - 0.5e0) AS BIGINT) AS slot,
+                           count(*) AS n
+                    FROM events GROUP BY 1)""",
+                "span AS (SELECT min(slot) AS lo, max(slot) AS hi FROM binned)",
+            ],
+            """SELECT slot - lo AS bin, round(slot * 0.1e0, 6) AS center,
+                      coalesce(n, 0) AS n
+               FROM (SELECT unnest(range(lo, hi + 1)) AS slot, lo FROM span)
+                    LEFT JOIN binned USING (slot)""",
+        ),
         "item_effect_histogram": _histogram("bi", "bi"),
         "user_effect_histogram": _histogram("bu", "bu"),
         "genre_effect_histogram": _histogram("bg", "bg"),
@@ -417,7 +439,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_id, user_id, value, in_sample FROM marked",
         ),
         "dev_subset": _with(_dev(), f"SELECT {KEY}, user_id, rating FROM dev"),
-        "holdout_split": _with(edx, f"SELECT {KEY}, part FROM holdout"),
+        "holdout_split": _with(development, f"SELECT {KEY}, part FROM holdout"),
         "holdout_split_basket": _with(
             _holdout("basket"), f"SELECT {KEY}, part FROM holdout"
         ),
@@ -469,12 +491,12 @@ def oracle_sql() -> dict[str, str]:
             [
                 *dev_split,
                 f"known AS (SELECT * FROM {seen})",
-                *_effects("_f", "edx", SHRUNK),
+                *_effects("_f", "development", SHRUNK),
             ],
             _model("final on holdout", 3, "_f", 6, "known"),
         ),
         "final_test_rmse": _with(
-            [*edx, *_train_test("edx", 50), *_effects("_s", "train", SHRUNK)],
+            [*development, *_train_test("development", 50), *_effects("_s", "train", SHRUNK)],
             _model("final on test", 3, "_s", 6),
         ),
     }

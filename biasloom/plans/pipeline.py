@@ -1,7 +1,8 @@
 """From bound tables to holdout, train/test split, fitted models and scores.
 
 Each step that later steps read again is a prepared table (see
-``biasloom.sources.store``), written once per application and input folder.
+``biasloom.sources.store``), written once for an input folder and found again by
+later applications until the pipeline is closed.
 """
 
 from __future__ import annotations
@@ -15,7 +16,12 @@ from pyspark.sql import functions as F
 
 from biasloom.operators.effects import Effects, fit
 from biasloom.operators.joins import seen_only
-from biasloom.operators.sampling import Sample, holdout_split, stratified_sample
+from biasloom.operators.sampling import (
+    Sample,
+    cold_table,
+    holdout_split,
+    stratified_sample,
+)
 from biasloom.operators.scoring import Model, predict, score
 from biasloom.operators.tuning import Axis, tune, tuning_curve
 from biasloom.schemas import LEVELS, ROW_KEY
@@ -65,18 +71,19 @@ class Pipeline:
         bound = bind_ratings(self.spark, self.sf_dir, self.rater)
         return self.keep("ratings", lambda: bound)
 
-    @staticmethod
-    def sample(df: DataFrame, p: float, seed: int) -> Sample:
-        return stratified_sample(df, "rating", p, seed, ROW_KEY)
+    def sample(self, df: DataFrame, p: float, seed: int) -> Sample:
+        return stratified_sample(df, "rating", p, seed, ROW_KEY, self.keep)
 
     def _split(
         self, name: str, df: DataFrame, p: float, seed: int, give_back: bool
     ) -> DataFrame:
-        def build() -> DataFrame:
-            sample = self.sample(df, p, seed)
-            return holdout_split(df, sample, COLD_KEYS, self.keep, name, give_back)
-
-        return self.keep(name, build, partition_by=["part"])
+        of = [df, "rating", p, seed, ROW_KEY]
+        split = holdout_split(
+            df, lambda: self.sample(df, p, seed), COLD_KEYS, self.keep, name, give_back, of
+        )
+        self.store.drop(*(cold_table(name, key) for key in COLD_KEYS))
+        self.store.drop("sample_counts", "sample_edge")
+        return split
 
     @cached_property
     def holdout(self) -> DataFrame:
@@ -84,7 +91,7 @@ class Pipeline:
         return self._split("holdout", self.ratings, **HOLDOUT, give_back=True)
 
     @cached_property
-    def edx(self) -> DataFrame:
+    def development(self) -> DataFrame:
         return self.holdout.filter("part = 'train'").drop("part", "cold")
 
     @cached_property
@@ -93,25 +100,15 @@ class Pipeline:
 
     @cached_property
     def dev(self) -> DataFrame:
-        return self.keep("dev", lambda: self.sample(self.edx, **DEV).rows(self.edx))
+        return self.keep("dev", lambda: self.sample(self.development, **DEV).rows(self.development))
 
     def _fit_columns(self) -> DataFrame:
-        return self.edx.drop("ts", "title")
+        return self.development.drop("ts", "title")
 
     @cached_property
     def split(self) -> DataFrame:
         return self._split("split", self._fit_columns(), **SPLIT, give_back=False)
 
-    @cached_property
-    def final_split(self) -> DataFrame:
-        return self._split(
-            "final_split", self._fit_columns(), **FINAL_SPLIT, give_back=False
-        )
-
-    @cached_property
-    def dev_split(self) -> DataFrame:
-        return self._split("dev_split", self.dev, **SPLIT, give_back=False)
-
     @staticmethod
     def part(split: DataFrame, part: str) -> DataFrame:
         return split.filter(F.col("part") == part).drop("part", "cold")
@@ -134,7 +131,7 @@ class Pipeline:
     @cached_property
     def final_effects(self) -> Effects:
         """Shrunk effects of everything outside the holdout."""
-        return fit(self.edx, {"shrunk": PENALTIES}, self.keep, "final")
+        return fit(self.development, {"shrunk": PENALTIES}, self.keep, "final")
 
     def scores(self, *models: Model) -> DataFrame:
         return score(self.test, self.effects, models)
@@ -142,10 +139,22 @@ class Pipeline:
     def predictions(self) -> DataFrame:
         return predict(self.validation, self.final_effects, FINAL)
 
+    @cached_property
+    def _seen_in_dev(self) -> DataFrame:
+        def build() -> DataFrame:
+            split = self._split("dev_split", self.dev, **SPLIT, give_back=False)
+            train = self.part(split, "train")
+            return seen_only(self.validation, train, COLD_KEYS, self.keep, "dev_seen")
+
+        of = [self.dev, self.validation, SPLIT]
+        seen = self.keep("seen_in_dev", build, of=of)
+        self.store.drop("dev_split_flagged", "dev_split_sampled")
+        self.store.drop(*(f"dev_seen_{key}" for key in COLD_KEYS))
+        return seen
+
     def seen_in_dev(self) -> DataFrame:
         """The holdout without keys the dev train part has not seen."""
-        train = self.part(self.dev_split, "train")
-        return seen_only(self.validation, train, COLD_KEYS, self.keep, "dev_seen")
+        return self._seen_in_dev
 
     def final_score(self, seen_in: str = "fitting table") -> DataFrame:
         """The final model on the holdout.
@@ -163,11 +172,25 @@ class Pipeline:
         return score(rows, self.final_effects, [FINAL])
 
     def final_test_score(self) -> DataFrame:
-        """The final penalties refitted on 80 % of edx, scored on the rest."""
-        train = self.part(self.final_split, "train")
-        test = self.part(self.final_split, "test")
-        effects = fit(train, {"shrunk": PENALTIES}, self.keep, "final_test")
-        return score(test, effects, [Model("final on test", 3, "shrunk")])
+        """The final penalties refitted on 80 % of development, scored on the rest."""
+
+        def build() -> DataFrame:
+            split = self._split(
+                "final_split", self._fit_columns(), **FINAL_SPLIT, give_back=False
+            )
+            train, test = self.part(split, "train"), self.part(split, "test")
+            effects = fit(train, {"shrunk": PENALTIES}, self.keep, "final_test")
+            return score(test, effects, [Model("final on test", 3, "shrunk")])
+
+        of = [self._fit_columns(), FINAL_SPLIT, PENALTIES]
+        scored = self.keep("final_test_score", build, of=of)
+        self.store.drop("final_split_flagged", "final_split_sampled")
+        self.store.drop(*(f"final_test_{level}" for level in LEVELS))
+        return scored
+
+    def close(self) -> None:
+        """Delete all prepared tables; the pipeline can't be used after that."""
+        self.store.close()
 
     def ladder(self) -> DataFrame:
         return self.scores(*LADDER).unionByName(self.final_score())
@@ -189,9 +212,9 @@ def pipeline(spark: SparkSession, sf_dir: str, rater: str = "customer") -> Pipel
     """The application's pipeline over a folder, a new one when its files change."""
     sf_dir = sf_dir.rstrip("/")
     marks = [version(spark, f"{sf_dir}/{name}.parquet") for name in INPUTS]
-    marks += [spark.sparkContext.applicationId, rater]
-    key = hashlib.md5("|".join(marks).encode()).hexdigest()
+    folder = hashlib.md5("|".join(marks).encode()).hexdigest()[:12]
+    key = f"{spark.sparkContext.applicationId}/{folder}/{rater}"
     with _lock:
         if key not in _pipelines:
-            _pipelines[key] = Pipeline(spark, sf_dir, rater, key[:12])
+            _pipelines[key] = Pipeline(spark, sf_dir, rater, folder)
         return _pipelines[key]

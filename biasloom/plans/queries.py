@@ -66,7 +66,7 @@ def scan_ratings_text(p: Pipeline) -> DataFrame:
     fields = ["user_id", "item_id", "rating", "ts"]
     lines = p.ratings.select(F.concat_ws("::", *fields).alias("value"))
     p.keep("ratings_text", lambda: lines, fmt="text")
-    return read_ratings(p.spark, p.store.path("ratings_text"))
+    return read_ratings(p.spark, p.store.path("ratings_text", lines))
 
 
 @query
@@ -76,13 +76,14 @@ def scan_items_text(p: Pipeline) -> DataFrame:
     fields = ["p_partkey", "p_name", "p_type", "p_brand"]
     lines = part.select(F.concat_ws("::", *fields).alias("value"))
     p.keep("items_text", lambda: lines, fmt="text")
-    return read_items(p.spark, p.store.path("items_text"))
+    return read_items(p.spark, p.store.path("items_text", lines))
 
 
 @query
 def left_join_items(p: Pipeline) -> DataFrame:
-    ratings = p.ratings.drop("title", "genres")
-    return attach(ratings, bind_items(p.spark, p.sf_dir), "item_id")
+    # Without some items, so that ratings of unknown items stay with NULLs.
+    items = bind_items(p.spark, p.sf_dir).filter("item_id % 17 <> 0")
+    return attach(p.ratings.drop("title", "genres"), items, "item_id")
 
 
 @query
@@ -92,71 +93,78 @@ def bound_ratings(p: Pipeline) -> DataFrame:
 
 @query
 def preview_rows(p: Pipeline) -> DataFrame:
-    return profile.preview(p.edx, ["user_id", "item_id", *ROW_KEY])
+    return profile.preview(p.development, ["user_id", "item_id", *ROW_KEY])
 
 
 @query
 def table_dims(p: Pipeline) -> DataFrame:
-    return profile.dimensions(p.edx)
+    return profile.dimensions(p.development)
 
 
 @query
 def rating_equals_counts(p: Pipeline) -> DataFrame:
-    return profile.equal_counts(p.edx, "rating", {"n_zero": 0.0, "n_three": 3.0})
+    return profile.equal_counts(p.development, "rating", {"n_zero": 0.0, "n_three": 3.0})
 
 
 @query
 def genre_match_counts(p: Pipeline) -> DataFrame:
-    return profile.match_counts(p.edx, "genres", GENRE_PATTERNS)
+    return profile.match_counts(p.development, "genres", GENRE_PATTERNS)
 
 
 @query
 def whole_rating_share(p: Pipeline) -> DataFrame:
-    return rounded(profile.whole_share(p.edx, "rating"), "whole_share")
+    return rounded(profile.whole_share(p.development, "rating"), "whole_share")
 
 
 @query
 def distinct_counts(p: Pipeline) -> DataFrame:
-    return profile.distinct_counts(p.edx, {"n_items": "item_id", "n_users": "user_id"})
+    return profile.distinct_counts(p.development, {"n_items": "item_id", "n_users": "user_id"})
 
 
 @query
 def null_counts(p: Pipeline) -> DataFrame:
     parts = [
         profile.missing_counts(df).withColumn("table_name", F.lit(name))
-        for name, df in (("edx", p.edx), ("validation", p.validation))
+        for name, df in (("development", p.development), ("validation", p.validation))
     ]
     return parts[0].unionByName(parts[1])
 
 
 @query
 def dataset_summary(p: Pipeline) -> DataFrame:
-    return profile.summary(p.edx.unionByName(p.validation))
+    return profile.summary(p.development.unionByName(p.validation))
 
 
 @query
 def top_items_by_count(p: Pipeline) -> DataFrame:
-    return profile.most_frequent(p.edx, ["item_id", "title"], 10)
+    return profile.most_frequent(p.development, ["item_id", "title"], 10)
 
 
 @query
 def top_rating_values(p: Pipeline) -> DataFrame:
-    return profile.most_frequent(p.edx, ["rating"], 5)
+    return profile.most_frequent(p.development, ["rating"], 5)
 
 
 @query
 def rating_frequency(p: Pipeline) -> DataFrame:
-    return profile.frequency(p.edx, "rating")
+    return profile.frequency(p.development, "rating")
 
 
 @query
 def distinct_genres(p: Pipeline) -> DataFrame:
-    return p.edx.select("genres").distinct()
+    return p.development.select("genres").distinct()
 
 
 @query
 def rating_histogram(p: Pipeline) -> DataFrame:
-    return rounded(histogram.fixed_width(p.edx, "rating", 0.5), "center")
+    return rounded(histogram.fixed_width(p.development, "rating", 0.5), "center")
+
+
+@query
+def event_value_histogram(p: Pipeline) -> DataFrame:
+    # A width that no double holds exactly.
+    events = table(p.spark, p.sf_dir, "events")
+    return rounded(histogram.fixed_width(events, "value", 0.1), "center")
 
 
 def _effect_histogram(p: Pipeline, level: str) -> DataFrame:

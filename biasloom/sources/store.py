@@ -4,16 +4,29 @@ A prepared table cuts the lineage (a lost executor costs a re-read, never a
 re-fit) and gives Catalyst real file sizes, so that a join against it is
 broadcast only below ``spark.sql.autoBroadcastJoinThreshold`` and is a
 sort-merge join, split by AQE where skewed, above it.
+
+A table's folder is named by what it is made of: the plan that describes it,
+with its parameters, and the paths, lengths and times of the files it reads. A
+name may so be used again for another table, a changed input gives a new table,
+and a later application over the same input finds the tables of an earlier one.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import threading
+import uuid
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+SCHEMA = "_schema"
+#: Leaves of a plan whose printed form says all about them.
+TOLD = ("Range", "OneRowRelation", "LogicalRelation")
 
 _scratch: dict[str, str] = {}
 _scratch_lock = threading.Lock()
@@ -22,7 +35,8 @@ _scratch_lock = threading.Lock()
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without one; it gets a scratch folder.
+    Only a local session may go without one; it gets a scratch folder, which
+    goes with the session.
     """
     context = spark.sparkContext
     named = (
@@ -36,7 +50,10 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     with _scratch_lock:
         if context.applicationId not in _scratch:
-            _scratch[context.applicationId] = tempfile.mkdtemp(prefix="biasloom-")
+            folder = tempfile.mkdtemp(prefix="biasloom-")
+            files, path = _locate(spark, folder)
+            files.deleteOnExit(path)
+            _scratch[context.applicationId] = folder
         return _scratch[context.applicationId]
 
 
@@ -45,16 +62,93 @@ def _locate(spark: SparkSession, *parts: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    files, marker = _locate(spark, path, "_SUCCESS")
-    return files.exists(marker)
+def _digest(marks: Iterable[str]) -> str:
+    return hashlib.md5("\n".join(marks).encode()).hexdigest()
+
+
+def _mark(status) -> str:
+    return f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}"
 
 
 def version(spark: SparkSession, path: str) -> str:
-    """A mark that changes when the file or folder at path is replaced."""
+    """A mark that changes when the file at path, or any file below it, does."""
     files, location = _locate(spark, path)
-    status = files.getFileStatus(location)
-    return f"{path}:{status.getModificationTime()}:{status.getLen()}"
+    if files.getFileStatus(location).isFile():
+        return _mark(files.getFileStatus(location))
+    found, marks = files.listFiles(location, True), []
+    while found.hasNext():
+        marks.append(_mark(found.next()))
+    return f"{path}:{_digest(sorted(marks))}"
+
+
+def _file_marks(spark: SparkSession, paths: Iterable[str]) -> Iterator[str]:
+    """Marks of single files, one listing for each of their folders."""
+    folders = defaultdict(set)
+    for path in paths:
+        folders[path.rsplit("/", 1)[0]].add(path.rsplit("/", 1)[1])
+    for folder, names in sorted(folders.items()):
+        uri = spark._jvm.java.net.URI(folder)
+        location = spark._jvm.org.apache.hadoop.fs.Path(uri)
+        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        encoded = {spark._jvm.java.net.URI(f"{folder}/{n}").getPath() for n in names}
+        marks = [
+            _mark(s)
+            for s in files.listStatus(location)
+            if s.getPath().toUri().getPath() in encoded
+        ]
+        yield from sorted(marks)
+
+
+def identity(df: DataFrame) -> str:
+    """What a DataFrame is made of: its plan with all values, and its files.
+
+    Data that comes from no file is known within its application only.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().analyzed()
+    limit = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(1 << 20))
+    try:
+        marks = [plan.canonicalized().toString()]
+    finally:
+        spark.conf.set(limit, before)
+    leaves = plan.collectLeaves()
+    kinds = [leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())]
+    marks += _file_marks(spark, df.inputFiles())
+    if any(kind not in TOLD for kind in kinds):
+        marks += [spark.sparkContext.applicationId, str(df.semanticHash())]
+    return _digest(marks)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    files, marker = _locate(spark, path, "_SUCCESS")
+    return files.exists(marker)
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
+    """Write beside path, then move: a table is there as a whole or not at all."""
+    spark, attempt = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    df.write.format(fmt).partitionBy(*partition_by).save(attempt)
+    files, source = _locate(spark, attempt)
+    note = files.create(_locate(spark, attempt, SCHEMA)[1])
+    note.write(bytearray(df.schema.json().encode()))
+    note.close()
+    _, target = _locate(spark, path)
+    if files.exists(target) and not is_complete(spark, path):
+        files.delete(target, True)
+    if files.exists(target) or not files.rename(source, target):
+        files.delete(source, True)
+
+
+def _schema(spark: SparkSession, path: str) -> StructType:
+    files, note = _locate(spark, path, SCHEMA)
+    stream = files.open(note)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
 
 
 def load_or_build(
@@ -65,26 +159,23 @@ def load_or_build(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Read the table at path; build and write it first if it is not complete."""
-    reader = spark.read.format(fmt)
-    if not _is_complete(spark, path):
-        built = build()
-        writer = built.write.mode("overwrite").format(fmt)
-        writer.partitionBy(*partition_by).save(path)
-        reader = reader.schema(built.schema)
-    return reader.load(path)
+    if not is_complete(spark, path):
+        _write(build(), path, partition_by, fmt)
+    return spark.read.format(fmt).schema(_schema(spark, path)).load(path)
 
 
 class TableStore:
-    """The prepared tables of one application over one input folder."""
+    """Prepared tables under one folder."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        app = spark.sparkContext.applicationId
-        self.root = f"{shared_root(spark)}/biasloom/{app}/{name}"
+        self.root = f"{shared_root(spark)}/biasloom/{name}"
         self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def path(self, name: str, *of: object) -> str:
+        """Where the table of this name lies that is made of these things."""
+        marks = [identity(x) if isinstance(x, DataFrame) else repr(x) for x in of]
+        return f"{self.root}/{name}-{_digest(marks)[:16]}"
 
     def keep(
         self,
@@ -92,6 +183,29 @@ class TableStore:
         build: Callable[[], DataFrame],
         partition_by: Sequence[str] = (),
         fmt: str = "parquet",
+        of: Sequence[object] | None = None,
     ) -> DataFrame:
-        with self._locks[name]:
-            return load_or_build(self.spark, self.path(name), build, partition_by, fmt)
+        """The table that build describes, written if it is not there yet.
+
+        ``of`` are the DataFrames and values the table is made of; with them,
+        build is called only if the table has to be written. Without them, the
+        plan that build returns tells.
+        """
+        if of is None:
+            built = build()
+            of, build = (built,), lambda: built
+        path = self.path(name, *of)
+        with self._locks[path]:
+            return load_or_build(self.spark, path, build, partition_by, fmt)
+
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names; none may be read after that."""
+        for name in names:
+            files, pattern = _locate(self.spark, f"{self.root}/{name}-*")
+            for found in files.globStatus(pattern) or ():
+                files.delete(found.getPath(), True)
+
+    def close(self) -> None:
+        """Delete all tables of this store."""
+        files, root = _locate(self.spark, self.root)
+        files.delete(root, True)

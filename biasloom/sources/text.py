@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biasloom import schemas
 
 DELIMITER = "::"
+MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
+
 
+def read_ratings(
+    spark: SparkSession, path: str, mode: str = "FAILFAST"
+) -> DataFrame:
+    """Ratings, one ``user::item::rating::ts`` per line; empty lines are skipped.
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Ratings, one ``user::item::rating::ts`` per line."""
-    return spark.read.csv(path, sep=DELIMITER, schema=schemas.RATINGS, quote="")
+    A line with missing, surplus or unreadable fields raises an error when it is
+    read. "DROPMALFORMED" leaves such lines out and "PERMISSIVE" makes what
+    can't be read NULL. A field that is empty is NULL and no error. Lines are
+    split here, so that every line is looked at, whichever columns are used.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    parts = F.split(F.col("value"), DELIMITER)
+    fields = {
+        f.name: (F.get(parts, F.lit(i)), f.dataType) for i, f in enumerate(schemas.RATINGS)
+    }
+    unread = [(text != "") & text.try_cast(kind).isNull() for text, kind in fields.values()]
+    bad = reduce(lambda a, b: a | b, unread, F.size(parts) != len(fields))
+    lines = spark.read.text(path).filter("value <> ''")
+    if mode == "DROPMALFORMED":
+        lines = lines.filter(~bad)
+    elif mode == "FAILFAST":
+        error = F.raise_error(F.concat(F.lit("malformed line: "), "value"))
+        lines = lines.filter(F.when(bad, error.cast("boolean")).otherwise(True))
+    return lines.select(
+        *(text.try_cast(kind).alias(name) for name, (text, kind) in fields.items())
+    )
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:

@@ -40,3 +40,20 @@ def keep(spark):
     from biasloom.sources import TableStore
 
     return TableStore(spark, f"test-{uuid.uuid4().hex}").keep
+
+
+@pytest.fixture
+def scans(spark):
+    """Returns a table that counts its rows as they are read, and the count."""
+
+    def counting(df):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(count, df.schema), lambda: seen.value
+
+    return counting

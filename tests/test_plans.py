@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from biasloom.operators.effects import fit
+from biasloom.operators.joins import rows_not_in
 from biasloom.operators.sampling import holdout_split, stratified_sample
 from biasloom.operators.scoring import Model, score
 from biasloom.plans.pipeline import COLD_KEYS, LADDER, SETTINGS, pipeline
+from biasloom.plans.queries import REGISTRY
 from biasloom.schemas import ROW_KEY
 from biasloom.sources import bind_ratings
 
@@ -47,9 +48,9 @@ def no_broadcast(spark):
         spark.conf.unset(name)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", REGISTRY)
 def test_queries_stay_in_the_jvm_without_products_or_windows(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(REGISTRY[name](spark, SF_DIR))
     assert not [word for word in [*NEVER, "Window"] if word in text]
 
 
@@ -61,7 +62,8 @@ def test_fitting_reduces_before_every_shuffle(spark, recording):
         assert "partial_sum" in text and "partial_count" in text
         assert text.count("Exchange hashpartitioning") == 1
         assert text.count("BroadcastHashJoin") == depth
-        assert "Window" not in text and "PartitionFilters: [isnotnull(part" in text
+        assert "Window" not in text and "PartitionFilters: [isnotnull(in_sample" in text
+        assert "Union" not in text
 
 
 def test_fitting_reads_needed_columns_only(spark, recording):
@@ -76,8 +78,11 @@ def test_splitting_neither_ranks_nor_shuffles_rows(spark, recording):
     text = plan(split)
     assert "Window" not in text and "Sort" not in text
     assert "Exchange hashpartitioning" not in text
-    for cold in recording.plans.values():
-        assert "Window" not in cold and "partial_min" in cold
+    assert sorted(recording.plans) == ["s_cold_item_id", "s_cold_user_id", "s_flagged", "s_sampled"]
+    for name, made in recording.plans.items():
+        assert "Window" not in made
+        assert ("partial_min" in made) == ("_cold_" in name)
+        assert ("Exchange hashpartitioning" in made) == ("_cold_" in name)
 
 
 def test_seven_models_are_scored_in_one_scan(spark):
@@ -104,3 +109,10 @@ def test_beyond_the_broadcast_threshold_joins_are_sorted_and_equal(
     model = [Model("m", 3, "shrunk")]
     rmse = [score(p.test, e, model).first()["rmse"] for e in (sorted_, p.effects)]
     assert rmse[0] == pytest.approx(rmse[1], abs=1e-12)
+
+
+def test_an_anti_join_shuffles_each_side_once(spark, no_broadcast):
+    left = spark.range(100).selectExpr("id AS a", "id % 7 AS b")
+    right = spark.range(50).selectExpr("id AS a", "id % 5 AS b")
+    text = plan(rows_not_in(left, right))
+    assert text.count("Exchange hashpartitioning") == 2

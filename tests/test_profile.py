@@ -79,3 +79,21 @@ def test_histograms_of_flat_and_empty_columns(spark):
     empty = flat.limit(0)
     assert histogram.fixed_count(empty, "x", 20).count() == 0
     assert histogram.fixed_width(empty, "x", 0.5).count() == 0
+
+
+@pytest.mark.parametrize("width", [0.1, 0.2, 0.3, 0.7, 1.1])
+def test_no_value_falls_outside_the_bins(spark, width):
+    edges = [(k + d) * width for k in range(-40, 60) for d in (-0.5, 0.0, 0.5)]
+    values = [*edges, 0.0, 0.2, 0.55, 0.55, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for found in (histogram.fixed_width(df, "x", width), histogram.fixed_count(df, "x", 20)):
+        rows = found.collect()
+        assert sum(r["n"] for r in rows) == len(values) - 2
+        assert [r["bin"] for r in sorted(rows)] == list(range(len(rows)))
+
+
+def test_infinite_values_have_no_bin(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),)], "x double")
+    for make in (lambda: histogram.fixed_width(df, "x", 0.1), lambda: histogram.fixed_count(df, "x", 5)):
+        with pytest.raises(ValueError, match="infinite"):
+            make()

@@ -1,9 +1,15 @@
 from __future__ import annotations
 
+import pathlib
+import uuid
+
 import pytest
 
+from biasloom.operators.effects import effect_table, fit
 from biasloom.operators.joins import attach, rows_not_in
+from biasloom.operators.tuning import Axis, lam_column, tune
 from biasloom.sources import (
+    TableStore,
     bind_ratings,
     load_or_build,
     read_items,
@@ -92,6 +98,98 @@ def test_load_or_build_builds_once_and_again_when_incomplete(spark, tmp_path):
     assert len(built) == 2
 
 
+def test_bad_lines_are_reported_or_left_out(spark, tmp_path):
+    path = tmp_path / "bad.dat"
+    path.write_text(RATINGS + "2::11::bad::1001\n3::12\n4::13::3::1002::extra\n")
+    with pytest.raises(Exception, match="malformed line"):
+        read_ratings(spark, str(path)).collect()
+    with pytest.raises(Exception, match="malformed line"):
+        read_ratings(spark, str(path)).count()
+    assert read_ratings(spark, str(path), mode="DROPMALFORMED").count() == 5
+    assert len(read_ratings(spark, str(path), mode="PERMISSIVE").collect()) == 8
+
+
+@pytest.fixture
+def store(spark):
+    return TableStore(spark, f"test-{uuid.uuid4().hex}")
+
+
+TRAIN = [(1, 10, 5.0, "D"), (1, 11, 3.0, "C"), (2, 10, 4.0, "D"), (2, 11, 2.0, "C"), (3, 10, 1.0, "D")]
+RATED = "user_id long, item_id long, rating double, genres string"
+
+
+def effects_of(train, lams, keep):
+    made = fit(train, {"a": lams}, keep, "fit", levels=("item_id", "user_id"))
+    return sorted(tuple(r) for r in effect_table(made, "user_id", "a", "b").collect())
+
+
+def test_a_name_used_again_gives_the_right_table(spark, store):
+    train = spark.createDataFrame(TRAIN, RATED)
+    fresh = TableStore(spark, f"test-{uuid.uuid4().hex}")
+    effects_of(train, (0, 0), store.keep)
+    assert effects_of(train, (50, 0), store.keep) == effects_of(train, (50, 0), fresh.keep)
+    short = spark.createDataFrame(TRAIN[:3], RATED)
+    assert [n for _, n, _ in effects_of(short, (0, 0), store.keep)] == [2, 1]
+
+
+def test_tuning_twice_under_one_name(spark, store):
+    train = spark.createDataFrame(TRAIN, RATED)
+    model = fit(train, {"a": (0, 0, 0)}, store.keep, "fit")
+    rows = [
+        tune(model, train, train, axes, store.keep, "tuned").first()[lam_column("item_id")]
+        for axes in ([Axis(1.0, 1.0, 0.5)] * 3, [Axis(9.0, 9.0, 0.5)] * 3)
+    ]
+    assert rows == [1.0, 9.0]
+
+
+def test_a_replaced_part_file_gives_a_new_table(spark, store, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.range(5).coalesce(1).write.parquet(folder)
+
+    def total():
+        rows = spark.read.parquet(folder)
+        return store.keep("sum", lambda: rows.selectExpr("sum(id) AS s")).first()["s"]
+
+    before = version(spark, folder)
+    assert total() == 10
+    part = next((tmp_path / "in").glob("part-*.parquet"))
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "other"))
+    new = next((tmp_path / "other").glob("part-*.parquet"))
+    part.write_bytes(new.read_bytes())
+    for crc in (tmp_path / "in").glob(".part-*.crc"):
+        crc.write_bytes(next((tmp_path / "other").glob(".part-*.crc")).read_bytes())
+    assert version(spark, folder) != before
+    assert total() == 21
+
+
+def test_a_prepared_table_is_found_again_and_reads_no_input(spark, store, tmp_path, scans):
+    folder = str(tmp_path / "in")
+    spark.range(50).write.parquet(folder)
+    for expected in (50, 50):
+        rows, read = scans(spark.read.parquet(folder))
+        other = TableStore(spark, store.root.rsplit("/", 1)[1])
+        made = other.keep("all", lambda rows=rows: rows, of=[spark.read.parquet(folder)])
+        assert made.count() == expected
+    assert read() == 0
+
+
+def test_nothing_is_left_after_close(spark, store):
+    root = pathlib.Path(store.root.removeprefix("file:"))
+    for name in ("one", "one_more", "two"):
+        store.keep(name, lambda: spark.range(3))
+    store.drop("one")
+    assert sorted(p.name.rsplit("-", 1)[0] for p in root.iterdir()) == ["one_more", "two"]
+    store.close()
+    assert not root.exists()
+
+
+def test_an_empty_partitioned_table_keeps_its_columns(spark, store):
+    empty = spark.createDataFrame([], "a long, part string")
+    for _ in range(2):
+        made = store.keep("empty", lambda: empty, partition_by=["part"])
+        assert made.columns == ["a", "part"] and made.count() == 0
+
+
 def test_store_lies_under_the_named_checkpoint_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_root(spark) == named

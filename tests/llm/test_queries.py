@@ -1,0 +1,194 @@
+"""The registered queries over a whole small table, against plain versions."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from biasloom.llm.queries import REGISTRY, TOKENIZER
+from tests.llm import test_secret_scan, test_simhash, test_suffix_dedup, test_url_filter
+from tests.llm.test_cube_mix import plain_targets
+from tests.llm.test_quality import plain_repeats
+
+SF_DIR = "/root/testdata/sf0.001"
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def rows(name):
+    return duckdb.sql(f"SELECT * FROM '{SF_DIR}/{name}.parquet'").fetchall()
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return rows("documents")
+
+
+@pytest.fixture(scope="module")
+def pages():
+    return rows("pages")
+
+
+def result(spark, name):
+    return REGISTRY[name](spark, SF_DIR).collect()
+
+
+def sha(text):
+    return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
+
+
+def test_every_operator_has_a_query():
+    numbers = sorted(int(m[1]) for n in REGISTRY if (m := re.match(r"op(\d+)_", n)))
+    assert numbers == list(range(1, 11))
+
+
+def test_op1(spark, documents):
+    def words(text):
+        lower = "".join(c.lower() if c < "\x80" else c for c in text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+    windows = {}
+    for item, text in rows("benchmark"):
+        w = words(text)
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    sizes = {len(w) for w in windows}
+    want = {}
+    for doc, text, *_ in documents:
+        w, hit, items = words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if found := windows.get(tuple(w[i : i + n])):
+                    hit |= set(range(i, i + n))
+                    items |= found
+        want[doc] = (len(w), len(hit), len(items), sha(",".join(sorted(items))), bool(hit))
+    got = {r[0]: tuple(r[1:]) for r in result(spark, "op1_decontaminate")}
+    assert got == want and any(w[4] for w in want.values())
+
+
+def test_op2(spark, pages):
+    got = {r.page_id: r for r in result(spark, "op2_url_filter")}
+    assert set(got) == {p[0] for p in pages}
+    for page, url, _ in pages:
+        host, path = test_url_filter.plain_address(url)
+        rule = test_url_filter.plain_rule(host, path)
+        r = got[page]
+        assert (r.host, r.path, r.rule) == (host, path, rule and rule[1])
+        assert r.verdict == rule[0] if rule else r.verdict in ("allow", "block")
+
+
+def test_op3(spark, pages, documents):
+    """The pages are made from documents: title, then the document's lines."""
+    known = {" ".join(t.split()) for _, t, *_ in rows_of("0.01")}
+    known |= {" ".join(t.split()) for _, t, *_ in documents}
+    got = {r.page_id: r for r in result(spark, "op3_html_extract")}
+    assert set(got) == {p[0] for p in pages}
+    for page, url, _ in pages:
+        r = got[page]
+        assert r.url == url and r.n_chars == len(r.text)
+        body = r.text.split("\n\n")[1:]
+        assert " ".join(" ".join(body).split()) in known
+
+
+def rows_of(sf):
+    return duckdb.sql(f"SELECT * FROM '/root/testdata/sf{sf}/documents.parquet'").fetchall()
+
+
+def test_op4(spark, documents):
+    got = {r.doc_id: r for r in result(spark, "op4_language_id")}
+    assert set(got) == {d[0] for d in documents}
+    right = sum(got[d[0]].language == d[2] for d in documents)
+    assert right >= 0.97 * len(documents)
+
+
+def test_op5(spark, documents):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    start, want = 0, []
+    for doc, text, *_ in sorted(documents):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        want.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, result(spark, "op5_token_blocks"))) == want
+
+
+def test_op6(spark, documents):
+    want = {}
+    for doc, text, *_ in documents:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [x for x in text.split("\n") if x.strip(SPACE)]
+        repeats = plain_repeats(words)
+        want[doc] = (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            sum(n - 1 for n in Counter(lines).values()), repeats,
+            len(words) < 20 or 100 * repeats > 30 * len(words),
+        )
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed".split()
+    out = result(spark, "op6_quality")
+    assert {r.doc_id: tuple(r[n] for n in names) for r in out} == want
+    assert not any(r.kept and r.base_failed for r in out)
+    quality = {doc: good for doc, good, _ in rows("labels")}
+    good = [r.kept for r in out if quality.get(r.doc_id) == 1 and not r.base_failed]
+    assert sum(good) >= 0.97 * len(good)
+
+
+def test_op7(spark, documents):
+    names = ("assign", "access", "hex")
+    out = {r.doc_id: r for r in result(spark, "op7_secret_scan")}
+    for doc, text, *_ in documents:
+        found = test_secret_scan.plain(text or "")
+        listed = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in found)
+        r, kinds = out[doc], Counter(k for _, k, _ in found)
+        assert (r.n_assign, r.n_access, r.n_hex) == (kinds[0], kinds[1], kinds[2])
+        assert r.base_sha256 == sha(listed)
+        left = [s for s in r.spans.split(",") if not s.startswith("model")]
+        assert ",".join(filter(None, left)) == listed
+
+
+def test_op8(spark, documents):
+    size = {d[0]: len(re.findall(r"[^\x20\x09-\x0D]+", d[1] or "")) for d in documents}
+    sources = {}
+    for d in documents:
+        sources[d[3]] = sources.get(d[3], 0) + size[d[0]]
+    targets, source = plain_targets(sources), {d[0]: d[3] for d in documents}
+    taken, most = Counter(), Counter()
+    for r in result(spark, "op8_cube_mix"):
+        of = source[r.doc_id]
+        assert (r["size"], r.source_size) == (size[r.doc_id], sources[of])
+        assert r.target == pytest.approx(targets[of])
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[of] += r.taken
+        most[of] = max(most[of], r["size"])
+    assert all(abs(taken[s] - targets[s]) <= most[s] for s in sources)
+
+
+def test_op9(spark, documents):
+    docs = sorted(d[:2] for d in documents)
+    fps = [test_simhash.plain_fingerprint(t or "") for _, t in docs]
+    groups = test_simhash.plain_components(fps)
+    want = [
+        (doc, f"{fp:016x}", docs[g][0])
+        for (doc, _), fp, g in zip(docs, fps, groups, strict=True)
+    ]
+    assert sorted(map(tuple, result(spark, "op9_simhash_near_duplicates"))) == want
+
+
+def test_op10(spark, documents):
+    want = sorted(
+        (doc, n, removed, runs, sha(kept))
+        for doc, kept, n, removed, runs in test_suffix_dedup.plain([d[:2] for d in documents])
+    )
+    assert sorted(map(tuple, result(spark, "op10_suffix_dedup"))) == want
+    assert any(w[2] for w in want)
+
+
+def test_page_languages(spark, pages):
+    out = {r.page_id: r for r in result(spark, "page_languages")}
+    said = {p[0]: re.search(r'lang="(\w+)"', p[2])[1] for p in pages}
+    assert sum(out[i].language == lang for i, lang in said.items()) >= 0.97 * len(said)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -55,9 +56,12 @@ class Scratch:
 
         It deletes them when the driver's garbage collector finds that nobody
         can ask for them any more, which an idle driver may put off for long.
+        The JVM lets go of what Python has dropped a moment later, hence twice.
         """
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            time.sleep(0.5)
+            self.spark._jvm.System.gc()
 
     def drop(self, *names: str) -> None:
         for name in names:

@@ -75,8 +75,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    files = token_blocks.write(docs, Scratch(spark, "tokens"), TOKENIZER)
-    return token_blocks.by_document(*files).withColumnRenamed("doc", "doc_id")
+    scratch = Scratch(spark, "tokens")
+    files = token_blocks.write(docs, scratch, TOKENIZER)
+    return token_blocks.by_document(*files, scratch).withColumnRenamed("doc", "doc_id")
 
 
 @query

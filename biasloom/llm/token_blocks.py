@@ -25,12 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import BATCH_BYTES, Scratch, lean, small_batches
+from biasloom.llm.common import Scratch, lean, small_batches
 
 #: Ids of one block, lanes of a block, steps between two checkpoints.
 BLOCK_IDS = 1 << 20
-LANES = 512
-STEPS = 512
+LANES = 2048
+STEPS = 256
 #: Frequencies sum to 2 ** SCALE; a lane's state stays in [LOW, LOW << 32).
 SCALE = 20
 LOW = 1 << 31
@@ -42,10 +42,10 @@ BLOCKS = (
     "part int, block int, first long, origin long, ids long, open boolean, "
     "docs array<long>, pieces array<long>, {}"
 )
-#: Words that a worker remembers at once, twice over.
-CACHE_WORDS = 100_000
+#: Words that a worker remembers at most, besides those of one batch.
+CACHE_WORDS = 500_000
 #: What may stand behind a word's letters and is encoded apart from them.
-PUNCTUATION = ".,;:!?"
+PUNCTUATION = ".,;:!?#*$%&|<>()[]{}\"'/+=_~^@-"
 DTYPE = "<u4"
 PIECES = (
     "part int, first long, origin long, doc long, n long, crc long, whole boolean"
@@ -67,9 +67,10 @@ class WordTokenizer:
     """A byte-level BPE tokenizer that encodes each distinct word once.
 
     Its pre-tokenizer always cuts before a space that a visible character
-    follows, and behind a run of letters, so a text of single spaces is the
-    sequence of its words' ids, and a word that of its letters' and its
-    punctuation's. Texts with other uses of the space are encoded whole.
+    follows, around a line break between visible characters, and behind a run of
+    letters. So a text of single spaces and line breaks is the sequence of its
+    words' ids, and a word that of its letters' and its punctuation's. Texts
+    with other white space between words are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -85,92 +86,120 @@ class WordTokenizer:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.rests: dict[str, bytes] = {}
+        self.line_break = self._bytes(["\n"])[0]
+        self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _keep(self, word: str, found: bytes) -> bytes:
-        if len(self.new) >= CACHE_WORDS:
-            # What was of use lately moves on, the rest is forgotten.
-            self.old, self.new = self.new, {}
-        self.new[word] = found
-        return found
-
-    def _words(self, words: list[str]) -> list[bytes | None]:
-        """The ids of words behind a space; None if no visible character starts one."""
-        out = list(map(self.new.get, words))
-        others = []
-        for i in [i for i, found in enumerate(out) if found is None]:
-            word = words[i]
-            found = self.old.get(word)
-            if found is None:
-                core = word.rstrip(PUNCTUATION)
-                if not core.isalpha():
-                    if word and not word[0].isspace():
-                        others.append(i)
-                    continue
-                found = self.new.get(core) or self.old.get(core)
-                if found is None:
-                    if core.isascii():
-                        written = self.space + core
-                    else:
-                        written = (" " + core).encode().decode("latin-1").translate(self.letters)
-                    found = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-                    self._keep(core, found)
-                if len(core) != len(word):
-                    found = self._keep(word, found + self._rest(word[len(core) :]))
+    def _words(self, words: list[str], letters: list[bool]) -> list[bytes | None]:
+        """The ids of words behind a space; None for what has to be seen in its text.
+
+        A word that begins with a line break has that instead of the space.
+        ``letters`` says which words are runs of letters (behind a line break or
+        not); those the model takes as they are.
+        """
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        out = list(map(self.known.get, words))
+        missing = [i for i, found in enumerate(out) if found is None]
+        runs = [i for i in missing if letters[i]]
+        others = [i for i in missing if not letters[i]]
+        others = [i for i in others if words[i] and not words[i][0].isspace()]
+        tokenize = self.model.tokenize
+        found = []
+        for i in runs:
+            word, head = words[i], b""
+            if word[0] == "\n":
+                word, head = word[1:], self.line_break
             else:
-                self._keep(word, found)
-            out[i] = found
-        whole = self._bytes([" " + words[i] for i in others]) if others else ()
-        for i, found in zip(others, whole, strict=True):
-            out[i] = self._keep(words[i], found)
+                word = " " + word
+            if word.isascii():
+                written = word.replace(" ", self.space)
+            else:
+                written = word.encode().decode("latin-1").translate(self.letters)
+            found.append(head + array("I", [t.id for t in tokenize(written)]).tobytes())
+        if others:
+            found += self._bytes([" " + words[i] for i in others])
+        for i, ids in zip(runs + others, found, strict=True):
+            self.known[words[i]] = out[i] = ids
         return out
 
-    def _rest(self, text: str) -> bytes:
-        if text not in self.rests:
-            if len(self.rests) >= 1000:
-                self.rests.clear()
-            self.rests[text] = self._bytes([text])[0]
-        return self.rests[text]
+    def _tails(self, tails: list[str]) -> list[bytes]:
+        """The ids of punctuation that follows a run of letters."""
+        new = [t for t in tails if t not in self.tails]
+        if len(self.tails) + len(new) > 1000:
+            self.tails.clear()
+            new = tails
+        self.tails.update(zip(new, self._bytes(new), strict=True))
+        return [self.tails[t] for t in tails]
+
+    @staticmethod
+    def _letters(words: pa.Array) -> np.ndarray:
+        bare = pc.utf8_ltrim(words, characters="\n")
+        return pc.utf8_is_alpha(bare).to_numpy(zero_copy_only=False).astype(bool)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts on end, and the number of ids of each text."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        split = pc.split_pattern(texts, " ")
+        # A line break between visible characters starts a word, as a space does.
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         at = split.offsets.to_numpy()
         at = at - at[0]
         coded = split.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = self._words(words)
+        words = coded.dictionary
+        # Punctuation is a piece of its own where letters stand before it. Only
+        # there; what begins otherwise is a word with its punctuation.
+        cores = pc.utf8_rtrim(words, characters=PUNCTUATION)
+        apart = self._letters(cores)
+        cores = pc.if_else(pa.array(apart), cores, words)
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()
+        names = cores.dictionary_encode()
+        found = self._words(
+            names.dictionary.to_numpy(zero_copy_only=False).tolist(),
+            self._letters(names.dictionary).tolist(),
+        )
+        core_of = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         odd = np.fromiter((part is None for part in found), dtype=bool, count=len(found))
         parts = [part or b"" for part in found]
+        with_tail = np.nonzero(cut)[0]
+        ends = words.take(pa.array(with_tail)).to_numpy(zero_copy_only=False).tolist()
+        tails = [w[-n:] for w, n in zip(ends, cut[with_tail].tolist(), strict=True)]
+        kinds = sorted(set(tails))
+        place = {t: len(parts) + i for i, t in enumerate(kinds)}
+        parts += self._tails(kinds)
+        nothing = len(parts)
+        parts.append(b"")
+        tail_of = np.full(len(words), nothing, dtype=np.int64)
+        tail_of[with_tail] = [place[t] for t in tails]
         # A text's first word has no space before it and is encoded as it is.
         first = at[:-1]
         row_of = np.repeat(np.arange(len(texts)), np.diff(at))
-        bad = odd[index]
+        bad = odd[core_of[index]]
         bad[first] = False
         bad_row = np.zeros(len(texts), dtype=bool)
         bad_row[row_of[bad]] = True
-        parts += self._bytes([words[i] for i in index[first].tolist()])
-        index[first] = len(words) + np.arange(len(texts))
+        pairs = np.stack([core_of[index], tail_of[index]], axis=1)
+        pairs[first, 0] = len(parts) + np.arange(len(texts))
+        pairs[first, 1] = nothing
+        starters = words.take(pa.array(index[first])).to_pylist()
+        parts += self._bytes(starters)
         if bad_row.any():
             use = ~bad_row[row_of]
-            index, row_of = index[use], row_of[use]
+            pairs, row_of = pairs[use], row_of[use]
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         starts = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(parts), dtype=DTYPE)
-        size = sizes[index]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = (starts[index] - (ends - size)).astype(np.int32)
+        size = sizes[pairs]
+        lengths = np.bincount(row_of, weights=size.sum(1), minlength=len(texts)).astype(np.int64)
+        pairs, size = pairs.reshape(-1), size.reshape(-1)
+        stops = np.cumsum(size)
+        total = int(stops[-1]) if len(stops) else 0
+        shift = (starts[pairs] - (stops - size)).astype(np.int32)
         ids = flat[np.repeat(shift, size) + np.arange(total, dtype=np.int32)]
-        lengths = np.bincount(row_of, weights=size, minlength=len(texts)).astype(np.int64)
         if not bad_row.any():
             return ids, lengths
         own = np.split(ids, np.cumsum(lengths)[:-1])
@@ -182,7 +211,7 @@ class WordTokenizer:
 
 def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
     """The ids of the ordered documents, a row for each BLOCK_IDS of a partition."""
-    small_batches(docs.sparkSession, BATCH_BYTES // 2)
+    small_batches(docs.sparkSession)
     ordered = (
         docs.select(
             F.col(id).cast("long").alias("doc"),
@@ -439,14 +468,14 @@ def read(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
     return blocks.mapInArrow(lean(run), PIECES)
 
 
-def by_document(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
+def by_document(blocks: DataFrame, freq: np.ndarray, scratch: Scratch) -> DataFrame:
     """Rows (doc, start, n_tokens, ids_crc32) from the files alone, one a document.
 
     ``start`` counts the ids of all documents before; ids include the end id,
     and the checksum is over them as little-endian unsigned 32-bit integers.
     """
     spark = blocks.sparkSession
-    pieces = read(blocks, freq)
+    pieces = scratch.keep(read(blocks, freq), "pieces")
     sizes = blocks.groupBy("part").agg(F.sum("ids").alias("ids")).orderBy("part").collect()
     ends = list(accumulate(r.ids for r in sizes))
     offsets = spark.createDataFrame(

@@ -91,8 +91,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-ID output: writes the files, returns a row for each document in them."""
-    files = token_blocks.write(docs, Scratch(spark, "tokens"), TOKENIZER)
-    return token_blocks.by_document(*files).withColumnRenamed("doc", "doc_id")
+    scratch = Scratch(spark, "tokens")
+    files = token_blocks.write(docs, scratch, TOKENIZER)
+    return token_blocks.by_document(*files, scratch).withColumnRenamed("doc", "doc_id")
 
 
 STAGES = [

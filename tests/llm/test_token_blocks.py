@@ -15,6 +15,8 @@ from biasloom.llm.token_blocks import (
 NAME = "byte_bpe_50k.json"
 TEXTS = [
     "", "a", " a b", "a  b", "a   b\n\n c", "x \n y", "x\n y ", "tab\tz  ", "don't it's", "é漢字 日",
+    "a.\nB c\nÉd\n\nx", "\nq", "q\n\n\nr", "s\n t", "u.\n12\nv's\nw' ## a-b", "\n'll x\n's",
+    "Wörter, überall... naïve's (x) don't, can't. 'll 12, a1b2! ÆØ: e\u0301te", ", . !? x,;y",
     "a b   c", "<|endoftext|> x", "\x1c a \x1cb", "word " * 300, " ", "\n", " \n ", "a\n ",
 ]
 
@@ -83,7 +85,8 @@ def test_files_round_trip(spark, monkeypatch, plain, block):
     rows = [(i * 3 % 41, t, "x") for i, t in enumerate(TEXTS)]
     rows += [(None, "no id", "x"), (100, None, "x"), (101, "same", "x"), (101, "same", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
-    got = by_document(*write(df, Scratch(spark, "test"), NAME)).collect()
+    scratch = Scratch(spark, "test")
+    got = by_document(*write(df, scratch, NAME), scratch).collect()
     want, start = [], 0
     for doc, text, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*plain(text), 2]
@@ -95,11 +98,12 @@ def test_files_round_trip(spark, monkeypatch, plain, block):
 
 def test_empty_and_damaged(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
-    assert by_document(*write(df, Scratch(spark, "test"), NAME)).count() == 0
+    scratch = Scratch(spark, "test")
+    assert by_document(*write(df, scratch, NAME), scratch).count() == 0
     full = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     blocks, freq = write(full, Scratch(spark, "test"), NAME)
     broken = blocks.selectExpr(
         *[c for c in blocks.columns if c != "crc32"], "crc32 + 1 AS crc32"
     )
     with pytest.raises(Exception, match="damaged"):
-        by_document(broken, freq).collect()
+        by_document(broken, freq, Scratch(spark, "test")).collect()

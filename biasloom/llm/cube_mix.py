@@ -27,8 +27,8 @@ MOST = 3.0
 #: Documents of one cell, and how many cells' remainders go into the next.
 CELL_ROWS = 4096
 CELLS_IN_ONE = 512
-#: Balancing constraints: words and documents.
-CONSTRAINTS = 2
+#: Exchanges that may follow the landing of a source.
+EXCHANGES = 3
 SEED = 20
 TINY = 1e-9
 WORD = r"[^\x20\x09-\x0D]+"
@@ -145,18 +145,47 @@ def landing(chances: np.ndarray, balance: np.ndarray) -> np.ndarray:
     return chances
 
 
+def exchanged(taken: np.ndarray, size: np.ndarray, aim: float) -> np.ndarray:
+    """taken with up to EXCHANGES pairs exchanged, one in for one out, to meet aim.
+
+    What landing leaves open can be one long document; an exchange of two whose
+    sizes differ by about what is missing makes up for it and keeps their number.
+    """
+    taken = taken.copy()
+    for _ in range(EXCHANGES):
+        miss = float(size @ taken) - aim
+        into, out = np.nonzero(taken == 1)[0], np.nonzero(taken == 0)[0]
+        if abs(miss) < 1 or not len(into) or not len(out):
+            break
+        out = out[np.argsort(size[out], kind="stable")]
+        near = np.searchsorted(size[out], size[into] - miss)
+        best = (abs(miss), -1, -1)
+        for shift in (-1, 0):
+            at = np.clip(near + shift, 0, len(out) - 1)
+            left = np.abs(miss - size[into] + size[out[at]])
+            k = int(np.argmin(left))
+            if left[k] < best[0] - TINY:
+                best = (left[k], int(into[k]), int(out[at[k]]))
+        if best[1] < 0:
+            break
+        taken[best[1]], taken[best[2]] = 0.0, 1.0
+    return taken
+
+
 def _settler(turn: int, last: bool):
     """What moves the chances of one cell; in the last turn it also lands them."""
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["order", "size"], kind="stable")
-        first = abs(int(rows["order"].iloc[0]))
+        # Large documents first, so that what stays open to the end is small.
+        rows = rows.sort_values(["size", "order"], ascending=[False, True], kind="stable")
+        first = abs(int(rows["order"].min()))
         rng = np.random.default_rng([SEED, turn, first, len(rows)])
         size = rows["size"].to_numpy(dtype=float)
         balance = np.vstack([size / max(1.0, size.mean()), np.ones(len(rows))])
-        chance = flight(rows["chance"].to_numpy(dtype=float), balance, rng)
+        wanted = rows["chance"].to_numpy(dtype=float)
+        chance = flight(wanted, balance, rng)
         if last:
-            chance = landing(chance, balance)
+            chance = exchanged(landing(chance, balance), size, float(size @ wanted))
         return rows.assign(chance=chance)
 
     return settle

@@ -26,19 +26,21 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 #: The characters that part words.
 SPACES = " \t\n\x0b\x0c\r"
+#: What may stand around the letters of a plain word.
+MARKS = ".,;:!?\"'()"
 #: Rounds of expectation maximisation, and the change at which it ends.
 ROUNDS = 200
 SETTLED = 1e-9
-#: What the estimates start from and are drawn to: a rule's votes are right so
-#: often, counted as so many documents; and the share of good documents.
-START_RIGHT = 0.8
-STRENGTH = 20.0
-START_GOOD = 0.8
+#: What the estimates start from (see estimate), what the start counts for beside
+#: the documents themselves, and documents added to each vote's count.
+START_GOOD = 0.95
+ANCHOR = 0.02
+SMOOTH = 0.5
 #: Least posterior probability of quality of a kept document.
 KEEP = 0.5
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_lines", "n_ends", "n_upper", "n_letters", "n_distinct",
+    "n_lines", "n_ends", "n_upper", "n_letters", "n_distinct", "n_plain",
 )
 
 
@@ -77,6 +79,7 @@ def measures(text: str) -> tuple[int, ...]:
         upper,
         max(0, letters),
         len(set(words)),
+        sum(w.strip(MARKS).isalpha() for w in text.split()),
     )
 
 
@@ -110,6 +113,7 @@ def rules() -> dict[str, tuple[Column, Column]]:
     ends = F.col("n_ends") / lines
     shouted = F.col("n_upper") / words
     letters = F.col("n_letters") / F.greatest(F.col("word_chars"), F.lit(1))
+    plain = F.col("n_plain") / words
     distinct = F.col("n_distinct") / F.sqrt(words.cast("double"))
     return {
         "length": (F.col("n_words") < 20, F.col("n_words") >= 60),
@@ -120,6 +124,7 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "sentence_ends": (ends < 0.2, ends > 0.8),
         "shouting": (shouted > 0.3, shouted < 0.05),
         "letters": (letters < 0.6, letters > 0.85),
+        "plain_words": (plain < 0.7, plain > 0.9),
         "vocabulary": (distinct < 2.0, distinct > 4.0),
     }
 
@@ -134,35 +139,42 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, floa
 
     patterns has a row of votes for each distinct pattern, counts how many
     documents have it. Entry [rule, vote + 1] is log P(vote | good) / P(vote | bad).
+
+    The first expectation is the all-must-pass filter, with doubt: START_GOOD
+    for a document that no rule votes against, its complement for any other.
+    What the rules show under it also stays in each later estimate, with the
+    weight of a share of all documents, so that the classes keep their meaning.
     """
-    n = patterns.shape[1]
+    total = counts.sum()
     onehot = (patterns[:, :, None] == np.array([-1, 0, 1])).astype(float)
-    seen = (counts[:, None, None] * onehot).sum(0) / max(1.0, counts.sum())
-    voted = 1 - seen[:, 1]
-    start = {
-        1: np.stack([voted * (1 - START_RIGHT), seen[:, 1], voted * START_RIGHT], 1),
-        0: np.stack([voted * START_RIGHT, seen[:, 1], voted * (1 - START_RIGHT)], 1),
-    }
-    start = {k: np.maximum(v, 1e-6) / np.maximum(v, 1e-6).sum(1, keepdims=True) for k, v in start.items()}
-    table, share = dict(start), START_GOOD
-    before = np.full(len(counts), -1.0)
+    refused = (patterns == -1).any(axis=1)
+    good = np.where(refused, 1 - START_GOOD, START_GOOD)
+
+    def votes_of(chance: np.ndarray) -> np.ndarray:
+        return ((counts * chance)[:, None, None] * onehot).sum(0) + SMOOTH
+
+    def share_of(votes: np.ndarray) -> np.ndarray:
+        return votes / votes.sum(1, keepdims=True)
+
+    anchors = [share_of(votes_of(chance)) for chance in (1 - good, good)]
+    tables, share = anchors, (counts @ good + 1) / (total + 2)
     for _ in range(ROUNDS):
-        weight = np.log(table[1]) - np.log(table[0])
+        weight = np.log(tables[1]) - np.log(tables[0])
         odds = np.log(share / (1 - share)) + (onehot * weight).sum((1, 2))
-        good = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        before, good = good, 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
         if np.abs(good - before).max(initial=0) < SETTLED:
             break
-        before = good
-        share = (counts @ good + STRENGTH * START_GOOD) / (counts.sum() + STRENGTH)
-        for k, chance in ((1, good), (0, 1 - good)):
-            votes = ((counts * chance)[:, None, None] * onehot).sum(0) + STRENGTH * start[k]
-            table[k] = votes / votes.sum(1, keepdims=True)
-    weight = np.log(table[1]) - np.log(table[0])
+        share = (counts @ good + 1) / (total + 2)
+        tables = [
+            share_of(votes_of(chance) + ANCHOR * (counts @ chance) * anchor)
+            for chance, anchor in zip((1 - good, good), anchors, strict=True)
+        ]
+    weight = np.log(tables[1]) - np.log(tables[0])
     # A vote for good is never evidence against, nor the other way round.
     weight[:, 2] = np.maximum(weight[:, 2], 0)
     weight[:, 0] = np.minimum(weight[:, 0], 0)
     weight[:, 1] = 0.0
-    return weight.reshape(n, 3), float(np.log(share / (1 - share)))
+    return weight, float(np.log(share / (1 - share)))
 
 
 def judge(

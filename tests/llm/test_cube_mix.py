@@ -85,7 +85,7 @@ def test_mix(spark):
         taken[of] = taken.get(of, 0) + r.copies * r.size
         top[of] = max(top.get(of, 0), r.size)
     for of in taken:
-        assert abs(taken[of] - of[1]) <= 2 * top[of]
+        assert abs(taken[of] - of[1]) <= 0.5 * top[of]
     assert sum(taken.values()) == pytest.approx(sum(o[0] for o in taken), rel=0.01)
 
 

@@ -16,6 +16,7 @@ from biasloom.llm import (
     decontaminate,
     html_extract,
     language_id,
+    oracles,
     quality,
     secret_scan,
     simhash,
@@ -30,7 +31,10 @@ TOKENIZER = "byte_bpe_50k.json"
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL twins, where SQL can express a query.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": oracles.OP1,
+    "op10_suffix_dedup": oracles.OP10,
+}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):

@@ -11,10 +11,11 @@ import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from biasloom.llm.queries import REGISTRY, TOKENIZER
+from biasloom.llm.queries import ORACLES, REGISTRY, TOKENIZER
 from tests.llm import test_secret_scan, test_simhash, test_suffix_dedup, test_url_filter
 from tests.llm.test_cube_mix import plain_targets
 from tests.llm.test_quality import plain_repeats
+from tests.oracle_check import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
 SPACE = " \t\n\x0b\x0c\r"
@@ -47,6 +48,11 @@ def test_every_operator_has_a_query():
     assert numbers == list(range(1, 11))
 
 
+@pytest.mark.parametrize("name", ORACLES)
+def test_sql_twins(spark, name):
+    assert differences(REGISTRY[name](spark, SF_DIR), connect(SF_DIR), ORACLES[name]) == []
+
+
 def test_op1(spark, documents):
     def words(text):
         lower = "".join(c.lower() if c < "\x80" else c for c in text or "")

@@ -62,7 +62,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, con = session(), connect(sf_dir)
     oracles = entry.oracle_sql()
-    chosen = sys.argv[2:] or list(entry.queries())
+    chosen = sys.argv[2:] or list(oracles)
     failed = 0
     for name in chosen:
         began = time.time()

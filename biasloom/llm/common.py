@@ -39,6 +39,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_root(spark)}/biasloom-llm/{name}-{uuid.uuid4().hex}"
         files, path = self._locate(self.root)
+        files.mkdirs(path)
         files.deleteOnExit(path)
 
     def _locate(self, name: str):

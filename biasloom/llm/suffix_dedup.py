@@ -9,13 +9,15 @@ buckets; a bucket sorts its suffixes by multikey quicksort, eight bytes a key.
 Where neighbours agree in the whole gram, windows are compared across them, and
 each is known by the least document that holds it. Suffixes with one leading
 gram all meet in one bucket, so no match is lost between two buckets; a batch of
-documents sends each distinct one once, with the least document, which is what
-keeps a passage that a third of all documents share from filling a bucket.
+documents sends each distinct one once, with the least document. Leading bytes
+that the sample shows to be very frequent are split: their suffixes are taken
+apart into windows, which are dealt by their whole content.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ BEFORE, BEHIND = WINDOW - GRAM, WINDOW
 KEY_WORDS = 12
 RIGHT, LEFT = 56, 40
 ROW = RIGHT + LEFT
+#: Words of eight bytes that hold a window and the place of its anchor.
+WINDOW_WORDS = WINDOW // 8 + 1
 #: Documents are read in portions of about so many bytes; a longer one is read
 #: in pieces, whose windows overlap in no place and leave none out.
 PORTION = 2 << 20
@@ -44,6 +48,11 @@ PORTION = 2 << 20
 SAMPLES, NAMED = 4, 2000
 #: Suffix rows whose windows are compared at a time.
 COMPARED = 20_000
+#: Leading bytes are split if the sample has them so many times, and so many times
+#: as often as a bucket holds on average. That only sets how rows are dealt.
+HOT_TIMES, HOT_SAMPLES = 4, 64
+#: Buckets of windows are numbered from here on.
+WINDOWS_FROM = 1 << 24
 #: The buckets are sorted in so many turns, each over a part of their ranges. A
 #: turn reads the documents anew and leaves no shuffle files behind, so the
 #: turns set how much disk the sort takes at once.
@@ -181,10 +190,20 @@ def leading_bytes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Deal:
+    """How suffixes are dealt: the splitters, and leading bytes to be split."""
+
+    cuts: np.ndarray
+    hot: np.ndarray
+
+
 class Portion:
     """Some documents' anchored suffixes, reduced to the distinct ones."""
 
-    def __init__(self, pieces: list[tuple[int, int, int, bytes]], cuts: np.ndarray, turn: Turn):
+    def __init__(
+        self, pieces: list[tuple[int, int, int, bytes]], deal: Deal | None, turn: Turn
+    ):
         """pieces: (document, mark, place of the piece in the document, bytes).
 
         Only suffixes in the buckets of this turn are looked at.
@@ -196,7 +215,7 @@ class Portion:
         sizes = np.array([len(p[3]) for p in pieces], dtype=np.int64)
         piece, first, last, at = anchors(data, sizes)
         if turn:
-            bucket = np.searchsorted(cuts, leading_bytes(data, at), side="right")
+            bucket = np.searchsorted(deal.cuts, leading_bytes(data, at), side="right")
             now = (bucket >= turn[0]) & (bucket < turn[1])
             piece, first, last, at = piece[now], first[now], last[now], at[now]
         rows = suffix_rows(data, first, last, at)
@@ -218,9 +237,19 @@ class Portion:
         """The first eight bytes of each distinct suffix."""
         return np.ascontiguousarray(self.rows[:, :8]).view(">u8").reshape(-1).astype(np.uint64)
 
+    def split_off(self, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Take the rows with these leading bytes out; returns them and their places."""
+        out = np.isin(self.leading(), hot)
+        taken, stay = out[self.places[:, 0]], ~out
+        rows, places = self.rows[out], self.places[taken].copy()
+        places[:, 0] = (np.cumsum(out) - 1)[places[:, 0]]
+        self.rows, self.places = self.rows[stay], self.places[~taken]
+        self.places[:, 0] = (np.cumsum(stay) - 1)[self.places[:, 0]]
+        return rows, places
+
 
 def _portions(
-    batches: Iterator[pa.RecordBatch], cuts: np.ndarray | None = None, turn: Turn = None
+    batches: Iterator[pa.RecordBatch], deal: Deal | None = None, turn: Turn = None
 ) -> Iterator[Portion]:
     held, size = [], 0
     for batch in batches:
@@ -233,13 +262,13 @@ def _portions(
                 held.append((doc, mark, at, piece))
                 size += len(piece)
                 if size >= PORTION:
-                    yield Portion(held, cuts, turn)
+                    yield Portion(held, deal, turn)
                     held, size = [], 0
     if held:
-        yield Portion(held, cuts, turn)
+        yield Portion(held, deal, turn)
 
 
-def splitters(source: DataFrame, total: int, buckets: int) -> np.ndarray:
+def splitters(source: DataFrame, total: int, buckets: int) -> Deal:
     """Leading bytes that part the suffixes into buckets of about equal size.
 
     They come from the suffixes of a sample of the total documents, by hash; the
@@ -256,43 +285,63 @@ def splitters(source: DataFrame, total: int, buckets: int) -> np.ndarray:
 
     rows = source.filter(draw).mapInArrow(lean(run), "lead long").collect()
     lead = np.sort(np.array([r.lead for r in rows], dtype=np.int64).view(np.uint64))
+    values, counts = np.unique(lead, return_counts=True)
+    hot = values[counts >= max(HOT_SAMPLES, HOT_TIMES * len(lead) / buckets)]
     if not len(lead):
-        return np.zeros(0, dtype=np.uint64)
-    return np.unique(lead[np.arange(1, buckets) * len(lead) // buckets])
+        return Deal(lead, hot)
+    return Deal(np.unique(lead[np.arange(1, buckets) * len(lead) // buckets]), hot)
 
 
-def _sent(source: DataFrame, cuts: np.ndarray, turn: Turn) -> DataFrame:
+def _sent(source: DataFrame, deal: Deal, turn: Turn) -> DataFrame:
     """Rows for the buckets of this turn, and settled spans in bucket -1."""
-    shared = source.sparkSession.sparkContext.broadcast(cuts)
+    shared = source.sparkSession.sparkContext.broadcast(deal)
     names = ["bucket", "rows", "n", "places", "docs", "marks"]
     kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
-        for portion in _portions(batches, shared.value, turn):
-            doc, start, stop = portion.settled
+        cuts, hot = shared.value.cuts, shared.value.hot
+
+        def settled(portion: Portion, doc, start, stop) -> tuple:
             found = np.stack([portion.docs[doc], portion.marks[doc], start, stop], axis=1)
-            out = [(-1, b"", len(found), pack(found.astype("<i8").tobytes()), b"", b"")]
-            bucket = np.searchsorted(shared.value, portion.leading(), side="right")
-            # Rows are in order of their suffix, so buckets are ranges of them.
-            edges = np.searchsorted(bucket, np.arange(len(shared.value) + 2))
-            of = portion.places[:, 0]
+            return (-1, b"", len(found), pack(found.astype("<i8").tobytes()), b"", b"")
+
+        def dealt(portion: Portion, bucket: np.ndarray, rows: np.ndarray, places: np.ndarray):
+            """Rows are in order of their buckets, places in order of their rows."""
+            of = places[:, 0]
             for k in np.unique(bucket).tolist():
-                a, b = edges[k], edges[k + 1]
+                a, b = np.searchsorted(bucket, [k, k + 1])
                 i, j = np.searchsorted(of, [a, b])
-                places = portion.places[i:j].copy()
-                places[:, 0] -= a
-                used, places[:, 1] = np.unique(places[:, 1], return_inverse=True)
-                out.append(
-                    (
-                        k,
-                        pack(portion.rows[a:b].tobytes()),
-                        int(b - a),
-                        pack(places.astype("<i4").T.tobytes()),
-                        pack(np.diff(portion.docs[used], prepend=0).astype("<i8").tobytes()),
-                        portion.marks[used].astype("<i8").tobytes(),
-                    )
+                own = places[i:j].copy()
+                own[:, 0] -= a
+                used, own[:, 1] = np.unique(own[:, 1], return_inverse=True)
+                yield (
+                    k,
+                    pack(rows[a:b].tobytes()),
+                    int(b - a),
+                    pack(own.astype("<i4").T.tobytes()),
+                    pack(np.diff(portion.docs[used], prepend=0).astype("<i8").tobytes()),
+                    portion.marks[used].astype("<i8").tobytes(),
                 )
+
+        for portion in _portions(batches, shared.value, turn):
+            out = [settled(portion, *portion.settled)]
+            hot_rows, hot_places = portion.split_off(hot)
+            bucket = np.searchsorted(cuts, portion.leading(), side="right")
+            out += dealt(portion, bucket, portion.rows, portion.places)
+            for at in range(0, len(hot_rows), COMPARED):
+                i, j = np.searchsorted(hot_places[:, 0], [at, at + COMPARED])
+                places = hot_places[i:j].copy()
+                places[:, 0] -= at
+                bodies, places, gone = apart(portion.docs, hot_rows[at : at + COMPARED], places)
+                out.append(settled(portion, *gone))
+                bucket = WINDOWS_FROM + spread(bodies, turn[1] - turn[0])
+                by = np.argsort(bucket, kind="stable")
+                place_of = np.empty(len(by), dtype=np.int64)
+                place_of[by] = np.arange(len(by))
+                places[:, 0] = place_of[places[:, 0]]
+                places = places[np.argsort(places[:, 0], kind="stable")]
+                out += dealt(portion, bucket[by], bodies[by], places)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
                 names=names,
@@ -302,10 +351,11 @@ def _sent(source: DataFrame, cuts: np.ndarray, turn: Turn) -> DataFrame:
     return source.mapInArrow(lean(run), schema)
 
 
-def _windows(rows: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of suffix rows: (row, place from the first window on, number).
+def _windows(rows: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All windows of suffix rows: (row, place from the first window on, number, bytes).
 
-    Equal windows of one group of rows (an anchor's gram) get one number.
+    Equal windows of one group of rows (an anchor's gram) get one number. The
+    bytes are the window's, and the place of the anchor in it.
     """
     right, left = rows[:, ROW].astype(np.int64), rows[:, ROW + 1].astype(np.int64)
     count = left + right - WINDOW + 1
@@ -318,37 +368,87 @@ def _windows(rows: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarr
     bodies = np.lib.stride_tricks.sliding_window_view(
         np.concatenate([flat, np.zeros(WINDOW, dtype=np.uint8)]), WINDOW
     )[start]
-    wide = np.zeros((len(row), 64), dtype=np.uint8)
+    wide = np.zeros((len(row), 8 * WINDOW_WORDS), dtype=np.uint8)
     wide[:, :WINDOW] = bodies
+    wide[:, WINDOW] = before
+    number, _ = numbered(wide, groups[row])
+    return row, step, number, wide[:, : WINDOW + 1]
+
+
+def numbered(wide: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each distinct row of a group, and a place of each number."""
     keys = wide.view(">u8")
-    by = np.lexsort((*(keys[:, k].astype(np.uint64) for k in range(7)), before, groups[row]))
-    same = np.ones(len(row), dtype=bool)
-    same[1:] = (
-        (keys[by][1:] != keys[by][:-1]).any(axis=1)
-        | (before[by][1:] != before[by][:-1])
-        | (groups[row][by][1:] != groups[row][by][:-1])
-    )
-    number = np.empty(len(row), dtype=np.int64)
-    number[by] = np.cumsum(same) - 1
-    return row, step, number
+    by = np.lexsort((*(keys[:, k].astype(np.uint64) for k in range(WINDOW_WORDS)), groups))
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (keys[by][1:] != keys[by][:-1]).any(axis=1) | (groups[by][1:] != groups[by][:-1])
+    number = np.empty(len(by), dtype=np.int64)
+    number[by] = np.cumsum(new) - 1
+    return number, by[new]
+
+
+def apart(
+    docs: np.ndarray, rows: np.ndarray, places: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """Suffix rows as windows: distinct ones, their places, and what is settled."""
+    row, step, number, wide = _windows(rows, np.zeros(len(rows), dtype=np.int64))
+    count = np.bincount(row, minlength=len(rows))
+    begin = np.cumsum(count) - count
+    size = count[places[:, 0]]
+    each = np.repeat(np.arange(len(places)), size)
+    at = begin[places[each, 0]] + np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
+    piece, start, window = places[each, 1], places[each, 2] + step[at], number[at]
+    least = np.full(len(wide), np.iinfo(np.int64).max)
+    np.minimum.at(least, window, docs[piece])
+    later = docs[piece] > least[window]
+    settled = (piece[later], start[later], start[later] + WINDOW)
+    _, first = np.unique(number, return_index=True)
+    own = np.stack([window[~later], piece[~later], start[~later]], axis=1)
+    return wide[first], own, settled
+
+
+def spread(bodies: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket for each window, by a hash of its content."""
+    wide = np.zeros((len(bodies), 8 * WINDOW_WORDS), dtype=np.uint8)
+    wide[:, : bodies.shape[1]] = bodies
+    keys, mixed = wide.view(">u8"), np.zeros(len(bodies), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(WINDOW_WORDS):
+            mixed = (mixed ^ keys[:, k].astype(np.uint64)) * MIX
+            mixed ^= mixed >> np.uint64(29)
+    return (mixed % np.uint64(buckets)).astype(np.int64)
 
 
-def bucket_spans(portions: list[tuple]) -> np.ndarray:
-    """Spans (document, mark, start, stop) that a smaller document also holds."""
+def _gathered(portions: list[tuple], width: int) -> tuple[np.ndarray, ...]:
+    """The rows that portions sent to a bucket, and their places: (row, doc, mark, start)."""
     unpack = zstandard.ZstdDecompressor().decompress
     rows, of, docs, marks, starts = [], [], [], [], []
     base = 0
     for data, n, places, doc, mark in portions:
-        rows.append(np.frombuffer(unpack(data), dtype=np.uint8).reshape(n, ROW + 2))
+        rows.append(np.frombuffer(unpack(data), dtype=np.uint8).reshape(n, width))
         place = np.frombuffer(unpack(places), dtype="<i4").reshape(3, -1).astype(np.int64)
         of.append(place[0] + base)
         docs.append(np.cumsum(np.frombuffer(unpack(doc), dtype="<i8"))[place[1]])
         marks.append(np.frombuffer(mark, dtype="<i8")[place[1]])
         starts.append(place[2])
         base += n
-    rows = np.concatenate(rows)
-    of, docs = np.concatenate(of), np.concatenate(docs)
-    marks, starts = np.concatenate(marks), np.concatenate(starts)
+    return tuple(map(np.concatenate, (rows, of, docs, marks, starts)))
+
+
+def window_spans(portions: list[tuple]) -> np.ndarray:
+    """Spans of the windows of a bucket that a smaller document also holds."""
+    rows, of, docs, marks, starts = _gathered(portions, WINDOW + 1)
+    wide = np.zeros((len(rows), 8 * WINDOW_WORDS), dtype=np.uint8)
+    wide[:, : WINDOW + 1] = rows
+    number, _ = numbered(wide, np.zeros(len(rows), dtype=np.int64))
+    least = np.full(len(rows), np.iinfo(np.int64).max)
+    np.minimum.at(least, number[of], docs)
+    later = docs > least[number[of]]
+    return np.stack([docs, marks, starts, starts + WINDOW], axis=1)[later]
+
+
+def bucket_spans(portions: list[tuple]) -> np.ndarray:
+    """Spans (document, mark, start, stop) that a smaller document also holds."""
+    rows, of, docs, marks, starts = _gathered(portions, ROW + 2)
     order, new = multikey_sort(rows)
     number = np.empty(len(rows), dtype=np.int64)
     number[order] = np.cumsum(new) - 1
@@ -380,7 +480,7 @@ def bucket_spans(portions: list[tuple]) -> np.ndarray:
             stop += 1
         part = chosen[cuts[at] : cuts[stop]]
         at = stop
-        row, step, window = _windows(rows[part], groups[part])
+        row, step, window, _ = _windows(rows[part], groups[part])
         first = np.full(window.max() + 1, np.iinfo(np.int64).max)
         np.minimum.at(first, window, least[part][row])
         earlier = first[window] < least[part][row]
@@ -410,19 +510,22 @@ def bucket_spans(portions: list[tuple]) -> np.ndarray:
     return np.concatenate(found)
 
 
-def repeated_spans(source: DataFrame, cuts: np.ndarray, turn: tuple[int, int]) -> DataFrame:
+def repeated_spans(source: DataFrame, deal: Deal, turn: tuple[int, int]) -> DataFrame:
     """Rows (doc, mark, spans): places of the repeated passages, found in one turn.
 
     source has ``doc`` (no nulls), ``mark`` and ``data``. ``spans`` are pairs
     of numbers, little-endian, one such array for each bucket or portion.
     """
-    sent, buckets = _sent(source, cuts, turn), turn[1] - turn[0]
+    sent, buckets = _sent(source, deal, turn), turn[1] - turn[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         held: list[tuple] = []
         now = None
 
+        def spans_of(bucket: int, held: list[tuple]) -> np.ndarray:
+            return window_spans(held) if bucket >= WINDOWS_FROM else bucket_spans(held)
+
         def told(found: np.ndarray) -> pa.RecordBatch:
             by = np.lexsort((found[:, 2], found[:, 1], found[:, 0]))
             found = found[by]
@@ -443,11 +546,11 @@ def repeated_spans(source: DataFrame, cuts: np.ndarray, turn: tuple[int, int]) -
                         yield told(found)
                     continue
                 if row["bucket"] != now:
-                    if held and len(found := bucket_spans(held)):
+                    if held and len(found := spans_of(now, held)):
                         yield told(found)
                     held, now = [], row["bucket"]
                 held.append(tuple(row[c] for c in ("rows", "n", "places", "docs", "marks")))
-        if held and len(found := bucket_spans(held)):
+        if held and len(found := spans_of(now, held)):
             yield told(found)
 
     # Settled spans are dealt by their document, buckets as they are.
@@ -483,13 +586,13 @@ def deduplicate(
     )
     source = rows.filter(F.col("doc").isNotNull()).withColumn("doc", F.col("doc").cast("long"))
     long = source.filter(F.octet_length("data") >= WINDOW)
-    cuts = splitters(long, docs.count(), buckets)
-    spans = None
+    deal = splitters(long, docs.count(), buckets)
+    spans, parts = None, len(deal.cuts) + 1
     for k in range(TURNS):
-        turn = ((len(cuts) + 1) * k // TURNS, (len(cuts) + 1) * (k + 1) // TURNS)
+        turn = (parts * k // TURNS, parts * (k + 1) // TURNS)
         if turn[0] == turn[1]:
             continue
-        found = scratch.keep(repeated_spans(long, cuts, turn), f"spans-{k}")
+        found = scratch.keep(repeated_spans(long, deal, turn), f"spans-{k}")
         spans = found if spans is None else spans.unionByName(found)
         scratch.settle()
     gathered = spans.groupBy(F.col("doc").alias("of"), F.col("mark").alias("by")).agg(

@@ -103,6 +103,23 @@ def test_equals_brute_force(spark, monkeypatch, portion, buckets):
     assert sorted(got, key=str) == plain(docs)
 
 
+def test_split_leading_bytes(spark, monkeypatch):
+    """Every leading value that the sample has three times is dealt as windows."""
+    monkeypatch.setattr(suffix_dedup, "HOT_SAMPLES", 3)
+    monkeypatch.setattr(suffix_dedup, "HOT_TIMES", 0)
+    monkeypatch.setattr(suffix_dedup, "COMPARED", 30)
+    monkeypatch.setattr(suffix_dedup, "PORTION", 3000)
+    monkeypatch.setattr(suffix_dedup, "SAMPLES", 100)
+    docs = corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = df.selectExpr("doc_id AS doc", "xxhash64(text) AS mark", "CAST(text AS binary) AS data")
+    deal = suffix_dedup.splitters(rows.filter("doc IS NOT NULL AND length(data) > 49"), len(docs), 5)
+    assert len(deal.hot) > 10
+    out = deduplicate(df, Scratch(spark, "test"), buckets=5).collect()
+    got = [(r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, len(r.spans)) for r in out]
+    assert sorted(got, key=str) == plain(docs)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert deduplicate(df, Scratch(spark, "test")).count() == 0

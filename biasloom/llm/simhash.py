@@ -25,7 +25,7 @@ from biasloom.llm.components import components
 
 BITS = 64
 #: Fingerprints that one trie node may hold before the trie is cut deeper.
-NODE_ROWS = 4_000
+NODE_ROWS = 20_000
 #: Deepest cut; below it a node's task walks the rest of the trie by itself.
 DEEPEST = 20
 #: A pair of nodes is compared directly when it has this many pairs or fewer.
@@ -196,10 +196,10 @@ def links(distinct: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS) -> D
         for bits in combinations(range(depth), n)
     ]
     beside = F.array(*(F.col("part").bitwiseXOR(F.lit(m).cast("long")) for m in masks))
-    rows = (
-        distinct.select("fp", _node(depth).alias("part"))
-        .select("fp", "part", F.explode(beside).alias("own"))
-        .filter("own <= part")
+    # Each pair of nodes meets once, at the lesser of the two.
+    below = F.filter(beside, lambda own: own <= F.col("part"))
+    rows = distinct.select("fp", _node(depth).alias("part")).select(
+        "fp", "part", F.explode(below).alias("own")
     )
 
     def walk(key, group: pd.DataFrame) -> pd.DataFrame:

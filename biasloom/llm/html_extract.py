@@ -1,17 +1,28 @@
 """Main text of web pages, by equivalence-class template deduction.
 
-The pages of a host are made from a template. Every element, and every text at
-its place, is a token; tokens that occur equally often on each of the host's
-pages share an occurrence vector and form an equivalence class. A class that
-holds for nearly all pages of the host is valid, and valid classes nested in
-one another (a token's enclosing element must be in a valid class too) are the
-template: its fixed texts are not the page's own, and its slots that mostly
-hold links are menus. What is left of the page's slots, less the elements that
-HTML itself or their names mark as no part of the article, is the main text.
-
-Occurrence vectors are compared by a hash that is reduced on the map side, so
-a host of any number of pages is no hot group. The template of a host, at most
-as large as a page, is joined to its pages.
+The pages of a host are made from one or more templates. Every element, and
+every text at its place, is a token. A token's occurrence vector says how often
+it is on each page of the host; tokens of the same vector form an equivalence
+class (a token that is always there equally often counts as so many tokens that
+are there once). A class is valid if it has LEAST_PAGES pages and two or more
+tokens: an element among them, or texts at two or more places. So each layout of
+a host has classes of its own, whatever its share of the pages. A class of one
+token is valid only if it holds for nearly all pages.
+
+Elements are named by their path, so the spans of classes nest as the elements
+do. A valid class counts if it is nested in another: the enclosing element of one
+of its tokens is in a valid class or is a slot of one, that is an element whose
+own enclosing element is in a valid class.
+The template is its fixed texts, which are not the page's own, and its slots
+that mostly hold links, which are menus. A page gets the classes it contains,
+the widest first, but not one that would leave nothing of it, nor one of texts
+alone that would take more than half of it: such a class is content that
+several pages share. What is left, less the elements that HTML itself or their
+names mark as no part of the article, is the main text.
+
+Occurrence vectors are compared by sums of hashes (repeated pages add up) that
+are reduced on the map side, so a host of any number of pages is no hot group.
+The fixed texts and menus of a host are joined to its pages.
 """
 
 from __future__ import annotations
@@ -29,9 +40,14 @@ from pyspark.sql import functions as F
 
 from biasloom.llm.common import Scratch, lean, small_batches
 
-#: A class is valid from so many pages of a host, and this share of them.
+#: A class is valid from so many pages of a host; one token alone is a class if
+#: it is on this share of them.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.9
+#: Kinds of classes: on nearly all pages, with an element, of texts alone.
+WHOLE, BUILT, TEXTS = range(3)
+#: What a class of texts alone has to leave of a page.
+LEAST_LEFT = 0.5
 #: A slot is a menu if this share of its characters is in links.
 LINK_SHARE = 0.7
 
@@ -205,8 +221,15 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
     return blocks, elements
 
 
-def extract(page: str, fixed: frozenset[int] = frozenset(), menus: frozenset[int] = frozenset()) -> str:
-    """The main text of a page, given its host's template."""
+def extract(
+    page: str,
+    fixed: dict[int, tuple[int, int, int]] | None = None,
+    menus: frozenset[int] = frozenset(),
+) -> str:
+    """The main text of a page, given its host's template.
+
+    ``fixed`` has the class of each fixed text as (kind, -pages, class).
+    """
     blocks, _ = parse(page)
     own = []
     for block in blocks:
@@ -216,100 +239,163 @@ def extract(page: str, fixed: frozenset[int] = frozenset(), menus: frozenset[int
                 own.append((block, text))
     if any(block.main for block, _ in own):
         own = [(block, text) for block, text in own if block.main]
+    fixed = fixed or {}
     left = [
-        text
+        (fixed.get(_hash(block.slot, text)) if fixed else None, text)
         for block, text in own
-        if block.slot not in menus and _hash(block.slot, text) not in fixed
+        if block.slot not in menus
     ]
+    left = [(of, text) for of, text in left if of is None or of[0] != WHOLE]
+    for one in sorted({of for of, _ in left if of is not None}):
+        rest = [(of, text) for of, text in left if of != one]
+        size, before = (sum(len(text) for _, text in part) for part in (rest, left))
+        if size > 0 and (one[0] == BUILT or size >= LEAST_LEFT * before):
+            left = rest
     # A host whose pages are all alike has no slots; its pages speak for themselves.
-    return "\n\n".join(left or [text for _, text in own])
+    return "\n\n".join([text for _, text in left] or [text for _, text in own])
+
+
+def _halves(number: int) -> tuple[int, int]:
+    """Two parts of a hash whose sums over all pages of a host stay in 64 bits."""
+    return number & 0x7FFFFFFF, (number >> 32) & 0x7FFFFFFF
 
 
 def _tokens(batch: pa.RecordBatch) -> dict[tuple, list[int]]:
     """Tokens of a batch of pages, reduced by (host, token).
 
-    Values: token above, occurrence hash, pages, characters, characters in links.
+    Values: token above, whether it is an element, least and most occurrences on
+    a page, two halves of the hash of its pages and two of that of its
+    occurrences, pages, characters, characters in links.
     """
     found: dict[tuple, list[int]] = {}
     for host, mark, page in zip(
         batch["host"].to_pylist(), batch["mark"].to_pylist(), batch["page"].to_pylist(), strict=True
     ):
         blocks, elements = parse(page)
-        own: dict[tuple, list[int]] = {(host, 0): [0, 1, 0, 0]}
+        own: dict[tuple, list[int]] = {(host, 0): [0, 1, 1, 0, 0]}
         for path, above in elements:
-            own.setdefault((host, path), [above, 0, 0, 0])[1] += 1
+            own.setdefault((host, path), [above, 1, 0, 0, 0])[2] += 1
         for block in blocks:
             text = block.text()
             if text:
-                own.setdefault((host, _hash(block.slot, text)), [block.slot, 0, 0, 0])[1] += 1
-                slot = own.setdefault((host, block.slot), [0, 1, 0, 0])
-                slot[2] += len(text)
-                slot[3] += min(block.links, len(text))
-        for key, (above, times, chars, links) in own.items():
-            vector = xxhash.xxh64_intdigest(f"{mark}:{times}") - (1 << 63)
-            total = found.setdefault(key, [above, 0, 0, 0, 0])
-            total[1] ^= vector
-            total[2] += 1
-            total[3] += chars
-            total[4] += links
+                own.setdefault((host, _hash(block.slot, text)), [block.slot, 0, 0, 0, 0])[2] += 1
+                slot = own.setdefault((host, block.slot), [0, 1, 1, 0, 0])
+                slot[3] += len(text)
+                slot[4] += min(block.links, len(text))
+        low, high = _halves(mark)
+        vectors = {1: (low, high)}
+        for key, (above, element, times, chars, links) in own.items():
+            vector = vectors.get(times)
+            if vector is None:
+                vector = vectors[times] = _halves(xxhash.xxh64_intdigest(f"{mark}:{times}"))
+            total = found.get(key)
+            if total is None:
+                found[key] = [above, element, times, times, low, high, *vector, 1, chars, links]
+                continue
+            total[2] = min(total[2], times)
+            total[3] = max(total[3], times)
+            total[4] += low
+            total[5] += high
+            total[6] += vector[0]
+            total[7] += vector[1]
+            total[8] += 1
+            total[9] += chars
+            total[10] += links
     return found
 
 
 def host_tokens(pages: DataFrame) -> DataFrame:
-    """Rows (host, token, above, vector, pages, chars, links), one a token of a host.
+    """Rows (host, token, above, element, vector, pages, chars, links), one a token of a host.
 
     pages has ``host``, ``mark`` (a hash of the row) and ``page``. ``vector`` is
-    the hash of the token's occurrence vector, ``pages`` how many pages have it,
-    and the last two count the characters of a slot and those in links. Token 0
-    is the page itself; tokens of fewer than LEAST_PAGES pages are left out.
+    the hash of the token's occurrence vector (of its pages alone, if it is on
+    all of them equally often), ``pages`` how many pages have it, and the last
+    two count the characters of a slot and those in links. Token 0 is the page
+    itself; tokens of fewer than LEAST_PAGES pages are left out.
     """
     small_batches(pages.sparkSession)
-    names = ["host", "token", "above", "vector", "pages", "chars", "links"]
+    sums = ["low", "high", "own_low", "own_high", "pages", "chars", "links"]
+    names = ["host", "token", "above", "element", "least", "most", *sums]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = _tokens(batch)
             hosts = pa.array([k[0] for k in found], pa.string())
-            values = np.array(list(found.values()), dtype=np.int64).reshape(-1, 5)
+            values = np.array(list(found.values()), dtype=np.int64).reshape(-1, len(names) - 2)
             tokens = pa.array([k[1] for k in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [hosts, tokens, *map(pa.array, values.T.copy())], names=names
             )
 
     schema = "host string, " + ", ".join(f"{n} long" for n in names[1:])
+    steady = F.col("least") == F.col("most")
+    vector = F.when(steady, F.struct(F.lit(0).alias("kind"), "low", "high")).otherwise(
+        F.struct(F.lit(1).alias("kind"), F.col("own_low").alias("low"), F.col("own_high").alias("high"))
+    )
     return (
         pages.select("host", "mark", "page")
         .mapInArrow(lean(run), schema)
         .groupBy("host", "token")
         .agg(
             F.min("above").alias("above"),
-            F.bit_xor("vector").alias("vector"),
-            *(F.sum(c).alias(c) for c in ("pages", "chars", "links")),
+            F.max("element").alias("element"),
+            F.min("least").alias("least"),
+            F.max("most").alias("most"),
+            *(F.sum(c).alias(c) for c in sums),
         )
         .filter(F.col("pages") >= LEAST_PAGES)
+        .select("host", "token", "above", "element", vector.alias("vector"), "pages", "chars", "links")
     )
 
 
-def _valid(tokens: DataFrame) -> DataFrame:
-    """Tokens of valid classes whose enclosing element is in one too."""
+def _template(tokens: DataFrame) -> DataFrame:
+    """The tokens of nested valid classes, and their slots, with their class's kind.
+
+    A slot that is in no valid class itself has no kind.
+    """
     whole = tokens.filter("token = 0").select(
         F.col("host").alias("whole_host"), F.col("pages").alias("host_pages")
     )
+    inner = tokens.filter("token <> 0")
+    several = F.col("size") >= 2
+    kind = (
+        F.when(F.col("class_pages") >= LEAST_SHARE * F.col("host_pages"), WHOLE)
+        .when(several & (F.col("elements") > 0), BUILT)
+        .when(several & (F.col("first_above") < F.col("last_above")), TEXTS)
+    )
     classes = (
-        tokens.select("host", "vector", "pages")
-        .distinct()
-        .join(whole, F.col("host") == F.col("whole_host"))
-        .filter(F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
-        .select(*(F.col(c).alias(f"class_{c}") for c in ("host", "vector", "pages")))
+        inner.groupBy(
+            F.col("host").alias("class_host"),
+            F.col("vector").alias("class_vector"),
+            F.col("pages").alias("class_pages"),
+        )
+        .agg(
+            F.count("*").alias("size"),
+            F.max("element").alias("elements"),
+            F.min("above").alias("first_above"),
+            F.max("above").alias("last_above"),
+        )
+        .join(whole, F.col("class_host") == F.col("whole_host"))
+        .select("class_host", "class_vector", "class_pages", kind.alias("kind"))
+        .filter("kind IS NOT NULL")
     )
     same = [F.col(c) == F.col(f"class_{c}") for c in ("host", "vector", "pages")]
-    valid = tokens.join(classes, same).select(*tokens.columns)
-    above = valid.select(F.col("host").alias("above_host"), F.col("token").alias("above_token"))
-    return valid.join(
-        above,
-        (F.col("host") == F.col("above_host")) & (F.col("above") == F.col("above_token")),
-        "left_semi",
+    placed = inner.join(classes, same, "left").select(*tokens.columns, "kind")
+    root = tokens.filter("token = 0").select("host", "token")
+
+    def within(rows: DataFrame, above: DataFrame) -> DataFrame:
+        named = above.select(F.col("host").alias("above_host"), F.col("token").alias("above_token"))
+        same = (F.col("host") == F.col("above_host")) & (F.col("above") == F.col("above_token"))
+        return rows.join(named, same, "left_semi")
+
+    valid = placed.filter("kind IS NOT NULL AND element = 1").select("host", "token")
+    slots = within(placed.filter("element = 1"), valid.union(root))
+    known = valid.union(root).union(slots.select("host", "token"))
+    counted = placed.filter("kind IS NOT NULL")
+    nested = within(counted, known).select(
+        *(F.col(c).alias(f"class_{c}") for c in ("host", "vector", "pages"))
     )
+    return counted.join(nested, same, "left_semi").union(slots.filter("kind IS NULL"))
 
 
 def main_text(
@@ -338,11 +424,12 @@ def main_text(
             F.col("he__page").alias("page"),
         ).filter(F.col("he__host").isNotNull())
     )
-    valid = _valid(scratch.keep(tokens, "tokens"))
+    template = _template(scratch.keep(tokens, "tokens"))
     menu = (F.col("chars") > 0) & (F.col("links") >= LINK_SHARE * F.col("chars"))
+    fixed = F.struct("token", "kind", (-F.col("pages")).alias("width"), "vector.low")
     found = scratch.keep(
-        valid.groupBy(F.col("host").alias("he__at")).agg(
-            F.collect_set(F.when(F.col("chars") == 0, F.col("token"))).alias("he__fixed"),
+        template.groupBy(F.col("host").alias("he__at")).agg(
+            F.collect_set(F.when(F.col("element") == 0, fixed)).alias("he__fixed"),
             F.collect_set(F.when(menu, F.col("token"))).alias("he__menus"),
         ),
         "templates",
@@ -352,12 +439,15 @@ def main_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            known: dict[str | None, tuple[frozenset, frozenset]] = {None: (frozenset(),) * 2}
+            known: dict[str | None, tuple[dict, frozenset]] = {None: ({}, frozenset())}
             hosts = batch["he__at"].to_pylist()
             for i, (at, value) in enumerate(zip(hosts, batch["he__page"].to_pylist(), strict=True)):
                 if at not in known:
                     known[at] = (
-                        frozenset(batch["he__fixed"][i].as_py() or ()),
+                        {
+                            f["token"]: (f["kind"], f["width"], f["low"])
+                            for f in batch["he__fixed"][i].as_py() or ()
+                        },
                         frozenset(batch["he__menus"][i].as_py() or ()),
                     )
                 texts.append(extract(value, *known[at]))

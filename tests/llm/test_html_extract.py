@@ -63,3 +63,35 @@ def test_template_of_a_host(spark, pages):
 
 def test_empty(spark, pages):
     assert main_text(pages.limit(0), Scratch(spark, "test")).count() == 0
+
+
+def layout(i):
+    """One of two layouts of a host, each with a fixed text and a link slot of its own."""
+    links = "".join(f"<li><a href=/{j}>topic {j * i}</a></li>" for j in range(i % 4 + 2))
+    story = f"<h1>Story {i}</h1><p>Words of story {i}, told here.</p>"
+    if i % 2:
+        return (
+            f"<body><div><ul>{links}</ul></div><div><span>Welcome to the one</span></div>"
+            f"<div>{story}<p>All rights stay with the one.</p></div></body>"
+        )
+    return (
+        f"<body><table><tr><td>Room of the other</td></tr></table><section>{story}</section>"
+        f"<section><dl><dt>Read on in the other</dt></dl><ol>{links}</ol></section></body>"
+    )
+
+
+def test_two_layouts_of_a_host(spark):
+    rows = [(i, "h", layout(i)) for i in range(40)]
+    rows += [(100 + i, "h", rows[i][2]) for i in range(2)]
+    # Pages that share their content are no layout.
+    shared = "".join(f"<p>Shared line {k} of a common story.</p>" for k in range(9))
+    rows += [
+        (200 + i, "h", f"<body><div><h1>Common</h1>{shared}<p>Line {i}.</p></div></body>")
+        for i in range(6)
+    ]
+    df = spark.createDataFrame(rows, "page_id long, host string, html string")
+    got = {r.page_id: r.text for r in main_text(df.repartition(3), Scratch(spark, "test")).collect()}
+    for i in [*range(40), 100, 101]:
+        assert got[i] == f"Story {i % 100}\n\nWords of story {i % 100}, told here."
+    for i in range(6):
+        assert got[200 + i].startswith("Common\n\nShared line 0") and f"Line {i}." in got[200 + i]

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biasloom.sources.store import shared_root
+from biasloom.sources.store import named_root, shared_root
 
 #: Bytes and rows of one Arrow batch that goes to a Python task.
 BATCH_BYTES = 4 << 20
@@ -29,6 +29,17 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def output_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that stay after the session.
+
+    It is below ``spark.biasloom.output.dir``, else the folder all executors
+    share, else (a local session) the warehouse.
+    """
+    root = spark.conf.get("spark.biasloom.output.dir", None) or named_root(spark)
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/biasloom-output/{name}-{uuid.uuid4().hex}"
+
+
 class Scratch:
     """Stages written as Parquet to the shared folder, removed with the session.
 

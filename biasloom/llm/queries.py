@@ -24,7 +24,7 @@ from biasloom.llm import (
     token_blocks,
     url_filter,
 )
-from biasloom.llm.common import Scratch, table
+from biasloom.llm.common import Scratch, output_folder, table
 
 #: The tokenizer file, by its name in the collection of public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
@@ -80,8 +80,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "tokens")
-    files = token_blocks.write(docs, scratch, TOKENIZER)
-    return token_blocks.by_document(*files, scratch).withColumnRenamed("doc", "doc_id")
+    folder = output_folder(spark, "op5_token_blocks")
+    token_blocks.write(docs, scratch, TOKENIZER, folder=folder)
+    return token_blocks.by_document(folder, scratch=scratch).withColumnRenamed("doc", "doc_id")
 
 
 @query

@@ -7,7 +7,9 @@ rANS lanes: symbol i belongs to lane i modulo the number of lanes, and all
 lanes take a step at once. A block row holds its documents, a checksum of the
 decoded ids and checkpoints (lane states and stream places), from which parts
 of a block can be decoded side by side. Files are written and read by Spark, so
-any file system it knows will do.
+any file system it knows will do. A folder holds all that decoding takes: the
+blocks, the frequency table, and the format (tokenizer, end id, scale, lanes and
+steps).
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, lean, small_batches
+from biasloom.llm.common import Scratch, lean, output_folder, small_batches
 
 #: Ids of one block, lanes of a block, steps between two checkpoints.
 BLOCK_IDS = 1 << 20
@@ -42,6 +44,10 @@ BLOCKS = (
     "part int, block int, first long, origin long, ids long, open boolean, "
     "docs array<long>, pieces array<long>, {}"
 )
+WRITTEN = BLOCKS.format("code binary, marks binary, crc32 long")
+#: The other tables of a folder of files.
+FREQUENCIES = "id long, freq long"
+FORMAT = "tokenizer string, end_id long, ids long, scale int, lanes int, steps int"
 #: Words that a worker remembers at most, besides those of one batch.
 CACHE_WORDS = 500_000
 #: What may stand behind a word's letters and is encoded apart from them.
@@ -317,22 +323,30 @@ def scaled(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
 class RansCodec:
     """Interleaved rANS over one shared frequency table."""
 
-    def __init__(self, freq: np.ndarray):
+    def __init__(
+        self,
+        freq: np.ndarray,
+        scale: int | None = None,
+        lanes: int | None = None,
+        steps: int | None = None,
+    ):
+        self.scale, self.lanes, self.steps = scale or SCALE, lanes or LANES, steps or STEPS
         self.freq = freq.astype(np.uint64)
         self.before = (np.cumsum(self.freq) - self.freq).astype(np.uint64)
-        self.limit = self.freq << np.uint64(32 + 31 - SCALE)
+        self.limit = self.freq << np.uint64(32 + 31 - self.scale)
         self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, bytes]:
         """The code words of a block, and its checkpoints."""
-        steps = -(-len(ids) // LANES)
-        grid = np.full(steps * LANES, int(np.argmax(self.freq)), dtype=np.int64)
+        lanes = self.lanes
+        steps = -(-len(ids) // lanes)
+        grid = np.full(steps * lanes, int(np.argmax(self.freq)), dtype=np.int64)
         grid[: len(ids)] = ids
-        grid = grid.reshape(steps, LANES)
-        state = np.full(LANES, LOW, dtype=np.uint64)
+        grid = grid.reshape(steps, lanes)
+        state = np.full(lanes, LOW, dtype=np.uint64)
         words: list[np.ndarray] = []
         states: list[np.ndarray] = []
-        shift, scale = np.uint64(32), np.uint64(SCALE)
+        shift, scale = np.uint64(32), np.uint64(self.scale)
         for step in range(steps - 1, -1, -1):
             row = grid[step]
             freq = self.freq[row]
@@ -341,29 +355,30 @@ class RansCodec:
             state = np.where(full, state >> shift, state)
             times, rest = np.divmod(state, freq)
             state = (times << scale) + rest + self.before[row]
-            if step % STEPS == 0:
+            if step % self.steps == 0:
                 states.append(state)
         words.reverse()
         states.reverse()
         ends = [0, *accumulate(len(w) for w in words)]
-        at = np.array([ends[s] for s in range(0, steps, STEPS)], dtype="<u8")
+        at = np.array([ends[s] for s in range(0, steps, self.steps)], dtype="<u8")
         marks = at.tobytes() + b"".join(s.astype("<u8").tobytes() for s in states)
         return np.concatenate(words).astype("<u4").tobytes(), marks
 
     def decode(self, code: bytes, marks: bytes, n: int, only: int | None = None) -> np.ndarray:
         """The ids of a block, or of what follows one of its checkpoints."""
-        steps = -(-n // LANES)
-        count = -(-steps // STEPS)
+        lanes, every = self.lanes, self.steps
+        steps = -(-n // lanes)
+        count = -(-steps // every)
         at = np.frombuffer(marks, dtype="<u8", count=count).astype(np.int64)
-        states = np.frombuffer(marks, dtype="<u8", offset=8 * count).reshape(count, LANES)
+        states = np.frombuffer(marks, dtype="<u8", offset=8 * count).reshape(count, lanes)
         words = np.frombuffer(code, dtype="<u4").astype(np.uint64)
         chosen = range(count) if only is None else [only]
-        out = np.empty((steps, LANES), dtype=np.uint32)
-        low, scale, shift = np.uint64(LOW), np.uint64(SCALE), np.uint64(32)
-        mask = np.uint64((1 << SCALE) - 1)
+        out = np.empty((steps, lanes), dtype=np.uint32)
+        low, scale, shift = np.uint64(LOW), np.uint64(self.scale), np.uint64(32)
+        mask = np.uint64((1 << self.scale) - 1)
         for mark in chosen:
             state, place = states[mark].astype(np.uint64), int(at[mark])
-            for step in range(mark * STEPS, min(steps, (mark + 1) * STEPS)):
+            for step in range(mark * every, min(steps, (mark + 1) * every)):
                 slot = state & mask
                 row = self.symbol[slot]
                 out[step] = row
@@ -376,7 +391,7 @@ class RansCodec:
         ids = out.reshape(-1)[:n]
         if only is None:
             return ids
-        return ids[only * STEPS * LANES : (only + 1) * STEPS * LANES]
+        return ids[only * every * lanes : (only + 1) * every * lanes]
 
 
 def write(
@@ -386,9 +401,13 @@ def write(
     id: str = "doc_id",
     text: str = "text",
     name: str = "blocks",
+    folder: str | None = None,
 ) -> tuple[DataFrame, np.ndarray]:
     """Write all documents' ids; returns the files as a table, and the frequencies.
 
+    The files are in folder, a new one (an output_folder() by default) that
+    stays after the session; read() and by_document() take just that folder.
+
     Documents are in ascending order of id (those without one first, ties in
     order of a hash of the text), each followed by the end id; a null text is
     empty. A row is a block; (part, block) is its place in the whole.
@@ -411,10 +430,27 @@ def write(
                     [*one.columns, *added], names=[*one.schema.names, "code", "marks", "crc32"]
                 )
 
-    schema = BLOCKS.format("code binary, marks binary, crc32 long")
-    blocks = scratch.keep(chunks.mapInArrow(lean(run), schema), name, codec="uncompressed")
+    spark = docs.sparkSession
+    folder = folder or output_folder(spark, name)
+    coded = chunks.mapInArrow(lean(run), WRITTEN)
+    coded.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
+    used = np.nonzero(freq)[0]
+    table = pa.table({"id": used.astype(np.int64), "freq": freq[used].astype(np.int64)})
+    spark.createDataFrame(table).coalesce(1).write.parquet(f"{folder}/frequencies")
+    form = (tokenizer, END_ID, len(freq), SCALE, LANES, STEPS)
+    spark.createDataFrame([form], FORMAT).coalesce(1).write.parquet(f"{folder}/format")
     scratch.drop(f"{name}-ids")
-    return blocks, freq
+    return spark.read.schema(WRITTEN).parquet(f"{folder}/blocks"), freq
+
+
+def load(spark: SparkSession, folder: str) -> tuple[DataFrame, RansCodec]:
+    """The blocks that write() put into folder, and the codec they were made with."""
+    form = spark.read.schema(FORMAT).parquet(f"{folder}/format").first()
+    freq = np.zeros(form.ids, dtype=np.uint64)
+    for r in spark.read.schema(FREQUENCIES).parquet(f"{folder}/frequencies").collect():
+        freq[r.id] = r.freq
+    blocks = spark.read.schema(WRITTEN).parquet(f"{folder}/blocks")
+    return blocks, RansCodec(freq, form.scale, form.lanes, form.steps)
 
 
 def joined_crc(first: int, second: int, size: int) -> int:
@@ -423,17 +459,24 @@ def joined_crc(first: int, second: int, size: int) -> int:
     return zlib.crc32(zeros, first) ^ zlib.crc32(zeros) ^ second
 
 
-def read(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
+def read(files: DataFrame | str, freq: np.ndarray | None = None) -> DataFrame:
     """Decode blocks to rows (part, first, origin, doc, n, crc, whole), one for each piece.
 
+    ``files`` is a folder that write() has filled, or its blocks with their
+    frequencies (in the format of this module).
     ``whole`` is false for the pieces of a document that lies in several blocks.
     A block whose ids don't match its checksum raises an error.
     """
+    if isinstance(files, str):
+        blocks, one = load(SparkSession.active(), files)
+    else:
+        blocks, one = files, RansCodec(freq)
     small_batches(blocks.sparkSession)
-    shared = blocks.sparkSession.sparkContext.broadcast(freq)
+    form = (one.freq, one.scale, one.lanes, one.steps)
+    shared = blocks.sparkSession.sparkContext.broadcast(form)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = RansCodec(shared.value)
+        codec = RansCodec(*shared.value)
         for batch in batches:
             for row in batch.to_pylist():
                 ids = codec.decode(row["code"], row["marks"], row["ids"])
@@ -468,14 +511,21 @@ def read(blocks: DataFrame, freq: np.ndarray) -> DataFrame:
     return blocks.mapInArrow(lean(run), PIECES)
 
 
-def by_document(blocks: DataFrame, freq: np.ndarray, scratch: Scratch) -> DataFrame:
+def by_document(
+    files: DataFrame | str,
+    freq: np.ndarray | None = None,
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """Rows (doc, start, n_tokens, ids_crc32) from the files alone, one a document.
 
+    ``files`` and ``freq`` are as in read().
     ``start`` counts the ids of all documents before; ids include the end id,
     and the checksum is over them as little-endian unsigned 32-bit integers.
     """
-    spark = blocks.sparkSession
-    pieces = scratch.keep(read(blocks, freq), "pieces")
+    spark = SparkSession.active()
+    scratch = scratch or Scratch(spark, "tokens")
+    pieces = scratch.keep(read(files, freq), "pieces")
+    blocks = spark.read.schema(WRITTEN).parquet(f"{files}/blocks") if isinstance(files, str) else files
     sizes = blocks.groupBy("part").agg(F.sum("ids").alias("ids")).orderBy("part").collect()
     ends = list(accumulate(r.ids for r in sizes))
     offsets = spark.createDataFrame(

@@ -32,6 +32,17 @@ _scratch: dict[str, str] = {}
 _scratch_lock = threading.Lock()
 
 
+def named_root(spark: SparkSession) -> str | None:
+    """The folder that ``spark.checkpoint.dir`` names, if it is set."""
+    context = spark.sparkContext
+    named = (
+        context.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+    )
+    return named.rstrip("/") if named else None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -39,13 +50,9 @@ def shared_root(spark: SparkSession) -> str:
     goes with the session.
     """
     context = spark.sparkContext
-    named = (
-        context.getConf().get("spark.checkpoint.dir")
-        or spark.conf.get("spark.checkpoint.dir", None)
-        or context.getCheckpointDir()
-    )
+    named = named_root(spark)
     if named:
-        return named.rstrip("/")
+        return named
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     with _scratch_lock:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from biasloom.llm import cube_mix, decontaminate, language_id, simhash, token_blocks
-from biasloom.llm.common import Scratch, table
+from biasloom.llm.common import Scratch, output_folder, table
 from biasloom.llm.queries import TOKENIZER
 
 #: No SQL expresses the stages; tests/llm holds them against plain versions.
@@ -90,10 +90,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-ID output: writes the files, returns a row for each document in them."""
+    """Token-ID output: writes files that stay, returns a row for each document in them."""
     scratch = Scratch(spark, "tokens")
-    files = token_blocks.write(docs, scratch, TOKENIZER)
-    return token_blocks.by_document(*files, scratch).withColumnRenamed("doc", "doc_id")
+    folder = output_folder(spark, "pipeline")
+    token_blocks.write(docs, scratch, TOKENIZER, folder=folder)
+    return token_blocks.by_document(folder, scratch=scratch).withColumnRenamed("doc", "doc_id")
 
 
 STAGES = [

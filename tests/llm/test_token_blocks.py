@@ -1,3 +1,6 @@
+import pathlib
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -107,3 +110,46 @@ def test_empty_and_damaged(spark):
     )
     with pytest.raises(Exception, match="damaged"):
         by_document(broken, freq, Scratch(spark, "test")).collect()
+
+
+WRITER = """
+import sys
+from tests.conftest import session
+from biasloom.llm.common import Scratch
+from biasloom.llm.token_blocks import write
+spark = session("2")
+df = spark.createDataFrame([(2, "some words"), (1, "a b"), (3, None)], "doc_id long, text string")
+write(df, Scratch(spark, "test"), sys.argv[2], folder=sys.argv[1])
+spark.stop()
+"""
+
+
+def test_a_folder_holds_all_and_stays(spark, monkeypatch, plain, tmp_path):
+    folder = str(tmp_path / "files")
+    root = pathlib.Path(__file__).resolve().parents[2]
+    subprocess.run([sys.executable, "-c", WRITER, folder, NAME], cwd=root, check=True, timeout=300)
+    form = spark.read.parquet(f"{folder}/format").first()
+    assert (form.tokenizer, form.end_id, form.lanes) == (NAME, token_blocks.END_ID, LANES)
+    # The folder says how its blocks were made, not this module.
+    monkeypatch.setattr(token_blocks, "LANES", 64)
+    monkeypatch.setattr(token_blocks, "STEPS", 16)
+    got = by_document(folder).orderBy("start").collect()
+    texts = {1: "a b", 2: "some words", 3: ""}
+    start = 0
+    for row, (doc, text) in zip(got, texts.items(), strict=True):
+        ids = [*plain(text), 2]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert tuple(row) == (doc, start, len(ids), crc)
+        start += len(ids)
+
+
+def test_the_query_leaves_its_files(spark, tmp_path):
+    from biasloom.llm.queries import REGISTRY
+
+    spark.conf.set("spark.biasloom.output.dir", str(tmp_path))
+    try:
+        got = REGISTRY["op5_token_blocks"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.unset("spark.biasloom.output.dir")
+    (folder,) = (tmp_path / "biasloom-output").iterdir()
+    assert sorted(map(tuple, by_document(str(folder)).collect())) == sorted(map(tuple, got))

@@ -5,7 +5,9 @@ text's letter trigrams, the declared markup language, the language that the
 address suffix names, and a prior of the host. Host priors come from one
 grouped aggregation over all documents and are smoothed hierarchically: a host
 leans on its domain, a domain on the whole corpus. Trigram models are trained
-here, on a bounded sample of rows with a declared language.
+here, for every declared language, on a bounded sample of its rows. A text whose
+trigrams are less likely under each of them than under a background of even
+trigrams is of no modelled language.
 """
 
 from __future__ import annotations
@@ -20,10 +22,9 @@ from pyspark.sql import functions as F
 
 from biasloom.llm.common import Scratch, lean, small_batches, text_bytes
 
-#: Declared rows the trigram models are trained on, as an expected number, and
-#: the most frequent declared languages that get a model.
+#: Rows the trigram model of a declared language is trained on, as an expected
+#: number; all, if the language has fewer.
 TRAIN_ROWS = 6000
-MOST_LANGUAGES = 32
 #: Trigrams fall into 2 ** BUCKET_BITS buckets; a model is a row of them.
 BUCKET_BITS = 14
 #: Trigrams overlap, so a trigram counts as this share of independent evidence.
@@ -63,15 +64,21 @@ class TrigramModels:
 
     languages: list[str]
     logs: np.ndarray
+    #: What the background has of each bucket, on the scale of logs.
+    other: np.ndarray
 
     def scores(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihoods, a row for each text, and the numbers of trigrams."""
+        """Log-likelihoods, a row for each text, and the numbers of trigrams.
+
+        The last column is the background's, if there is any language.
+        """
         code, sizes = buckets(texts)
-        out = np.zeros((len(texts), len(self.languages)))
+        models = [*self.logs, self.other] if self.languages else []
+        out = np.zeros((len(texts), len(models)))
         some = np.nonzero(sizes)[0]
         if len(some):
             starts = (np.cumsum(sizes) - sizes)[some]
-            for k, row in enumerate(self.logs):
+            for k, row in enumerate(models):
                 out[some, k] = np.add.reduceat(row[code], starts, dtype=np.float64)
         return out, sizes
 
@@ -99,26 +106,25 @@ def domain_of(host: Column) -> Column:
 
 
 def train(rows: DataFrame, text: str, declared: str) -> TrigramModels:
-    """Models of the most frequent declared languages, from a bounded sample.
+    """Models of all declared languages, from a bounded sample of each.
 
     Rows are sampled by a hash of their text, at a rate that gives TRAIN_ROWS
-    rows in expectation; the same rows at any partitioning.
+    rows of each language in expectation; the same rows at any partitioning.
     """
     small_batches(rows.sparkSession)
     counted = (
         rows.filter(F.col(declared).isNotNull())
         .groupBy(declared)
         .count()
-        .orderBy(F.desc("count"), declared)
-        .limit(MOST_LANGUAGES)
         .collect()
     )
     languages = sorted(r[0] for r in counted)
     if not languages:
-        return TrigramModels([], np.zeros((0, 1 << BUCKET_BITS)))
-    rate = min(1.0, TRAIN_ROWS / sum(r[1] for r in counted))
-    draw = F.pmod(F.xxhash64(F.lit("train"), text), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1
-    sample = rows.filter(draw & F.col(declared).isin(languages))
+        return TrigramModels([], np.zeros((0, 1 << BUCKET_BITS)), np.zeros(1 << BUCKET_BITS))
+    most = {r[0]: int(min(1.0, TRAIN_ROWS / r[1]) * (1 << 20)) + 1 for r in counted}
+    limits = F.create_map(*(F.lit(x) for lang in languages for x in (lang, most[lang])))
+    draw = F.pmod(F.xxhash64(F.lit("train"), text), F.lit(1 << 20))
+    sample = rows.filter(draw < F.element_at(limits, F.col(declared)))
     sample = sample.select(F.col(declared).alias("lang"), text_bytes(text).alias("data"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,11 +148,16 @@ def train(rows: DataFrame, text: str, declared: str) -> TrigramModels:
     smooth = counts + 0.5
     logs = np.log(smooth / smooth.sum(axis=1, keepdims=True))
     # Against the mean language, so that common trigrams weigh nothing.
-    return TrigramModels(languages, (logs - logs.mean(axis=0)).astype(np.float32))
+    mean = logs.mean(axis=0)
+    other = -BUCKET_BITS * np.log(2) - mean
+    return TrigramModels(languages, (logs - mean).astype(np.float32), other.astype(np.float32))
 
 
 def text_evidence(rows: DataFrame, text: str, models: TrigramModels) -> DataFrame:
-    """rows without the text, with ``letters`` (trigrams) and ``logs`` by language."""
+    """rows without the text, with ``letters`` (trigrams) and ``logs`` by language.
+
+    ``other`` is the background's.
+    """
     small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(models)
     others = [c for c in rows.columns if c != text]
@@ -156,7 +167,10 @@ def text_evidence(rows: DataFrame, text: str, models: TrigramModels) -> DataFram
             scores, sizes = shared.value.scores(
                 [t or b"" for t in batch["li__text"].to_pylist()]
             )
-            width = scores.shape[1]
+            # The background's column goes apart.
+            width = max(0, scores.shape[1] - 1)
+            other = scores[:, width] if scores.shape[1] else np.zeros(len(sizes))
+            scores = scores[:, :width]
             logs = pa.ListArray.from_arrays(
                 np.arange(0, (len(sizes) + 1) * width, width, dtype=np.int32)
                 if width
@@ -164,14 +178,15 @@ def text_evidence(rows: DataFrame, text: str, models: TrigramModels) -> DataFram
                 pa.array(scores.reshape(-1)),
             )
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in others), pa.array(sizes), logs],
-                names=[*others, "letters", "logs"],
+                [*(batch[c] for c in others), pa.array(sizes), pa.array(other), logs],
+                names=[*others, "letters", "other", "logs"],
             )
 
     source = rows.select(*others, text_bytes(text).alias("li__text"))
     schema = rows.select(
         *others,
         F.lit(0).cast("long").alias("letters"),
+        F.lit(0.0).alias("other"),
         F.array().cast("array<double>").alias("logs"),
     ).schema
     return source.mapInArrow(lean(run), schema)
@@ -205,7 +220,8 @@ def identify(
     ``declared``, ``host`` and ``address`` name columns or are None. An address
     gives the host (unless host names one) and the suffix language. Evidence
     that is missing, or names a language without a model, weighs nothing. A
-    document is kept if its text has letters and its best language a posterior
+    document is kept if its text has letters, no less likely under the best model
+    of its text than under the background, and its best language has a posterior
     of LEAST_POSTERIOR or more; null, empty and letterless texts are rejected.
     Without any declared language there is no model: language is null and all
     rows are rejected. Other columns are ignored; repeated rows come back as
@@ -284,5 +300,9 @@ def identify(
         F.element_at(names, F.array_position("fused", F.col("most")).cast("int")).alias("language"),
         F.round(1 / spread, 6).alias("posterior"),
         F.element_at(names, (F.col("best") + 1).cast("int")).alias("text_language"),
-        ((F.col("letters") > 0) & (1 / spread >= LEAST_POSTERIOR)).alias("kept"),
+        (
+            (F.col("letters") > 0)
+            & (F.array_max("logs") >= F.col("other"))
+            & (1 / spread >= LEAST_POSTERIOR)
+        ).alias("kept"),
     )

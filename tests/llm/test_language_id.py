@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
 
+from biasloom.llm import language_id
 from biasloom.llm.common import Scratch
-from biasloom.llm.language_id import buckets, identify
+from biasloom.llm.language_id import buckets, identify, train
 
 WORDS = {
     "en": "the of and that with from this hand thing were which",
@@ -81,3 +82,44 @@ def test_very_long_text(spark, size):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = identify(df, Scratch(spark, "test")).filter("doc_id = 99").first()
     assert (got.language, got.posterior) == ("fr", 1.0)
+
+
+def test_every_declared_language_has_a_model(spark):
+    rng = np.random.default_rng(5)
+    tags = [f"{a}{b}" for a in "qxyz" for b in "abcdefghij"]
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = {t: ["".join(rng.choice(letters, 6)) for _ in range(8)] for t in tags}
+    rows = []
+    for k, tag in enumerate(tags):
+        for _ in range(30 if k < 32 else 10):
+            rows.append((len(rows), " ".join(rng.choice(words[tag], 15)), tag, None))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in identify(df, Scratch(spark, "test")).collect()}
+    assert all(got[i].language == tag and got[i].kept for i, _, tag, _ in rows)
+
+
+def test_a_rare_language_is_trained_on_all_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAIN_ROWS", 40)
+    rng = np.random.default_rng(6)
+    rows = [(sentence(rng, "en", 20), "en") for _ in range(4000)]
+    rare = [sentence(rng, "de", 20) for _ in range(20)]
+    df = spark.createDataFrame(rows + [(t, "de") for t in rare], "text string, declared string")
+    models = train(df, "text", "declared")
+    code, _ = buckets([t.encode() for t in rare])
+    counts = np.bincount(code, minlength=1 << language_id.BUCKET_BITS) + 0.5
+    background = -language_id.BUCKET_BITS * np.log(2)
+    want = np.log(counts / counts.sum()) - background
+    assert models.languages == ["de", "en"]
+    assert np.allclose(models.logs[0] - models.other, want, atol=1e-4)
+
+
+def test_text_of_no_language_is_rejected(spark):
+    rng = np.random.default_rng(7)
+    han = [chr(c) for c in range(0x4E00, 0x5E00)]
+    other = ["".join(rng.choice(han, 60)) for _ in range(20)]
+    rows = [*corpus(rng, 1200, 0.0)[0]]
+    rows += [(5000 + i, t, None, None) for i, t in enumerate(other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in identify(df, Scratch(spark, "test")).collect()}
+    assert not any(got[5000 + i] for i in range(20))
+    assert all(got[i] for i in range(1200))

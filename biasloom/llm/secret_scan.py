@@ -2,7 +2,7 @@
 
 All of it is built-in expressions over the text column: no shuffle, no Python.
 Pattern matches are located by splitting the text at them. Every other long
-token of letters and digits is scored by two first-order character models, one
+token is scored by two first-order character models, one
 of random strings (the values that patterns find) and one of ordinary words and
 identifiers, both counted from a bounded sample of labelled tokens; a token
 whose log-likelihood ratio is high enough is a secret as well.
@@ -28,15 +28,14 @@ KINDS = ("assign", "access", "hex", "model")
 #: Tokens that the models score, and the alphabet of both models.
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 ORDINARY = r"[A-Za-z][A-Za-z0-9_-]{4,}"
-#: Tokens that the models judge are no examples of ordinary ones.
+#: Long tokens of letters and digits are no examples of ordinary ones.
 UNDECIDED = (
     r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])"
     r"[A-Za-z0-9+/_=-]{16,}"
 )
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Texts the models are trained on, as an expected number, and their tokens.
+#: Texts the models are trained on, as an expected number.
 TRAIN_TEXTS = 20_000
-TRAIN_TOKENS = 200
 #: Added to each character's count, and what the characters' shares count for
 #: beside the transitions of one character.
 SMOOTH = 0.5
@@ -106,8 +105,8 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     """The log-likelihood ratio of each transition, random over ordinary.
 
     Random strings are the values that the fixed patterns find, ordinary ones
-    the words and identifiers around them, TRAIN_TOKENS of each at most from a
-    text, in texts sampled by hash at a rate that gives TRAIN_TEXTS of them.
+    the words and identifiers around them: all of them, in texts sampled by hash
+    at a rate that gives TRAIN_TEXTS of them.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     total = docs.count()
@@ -122,8 +121,8 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     )
     ordinary = F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))
     labelled = F.array(
-        F.struct(F.lit(1).alias("random"), F.slice(random, 1, TRAIN_TOKENS).alias("tokens")),
-        F.struct(F.lit(0).alias("random"), F.slice(ordinary, 1, TRAIN_TOKENS).alias("tokens")),
+        F.struct(F.lit(1).alias("random"), random.alias("tokens")),
+        F.struct(F.lit(0).alias("random"), ordinary.alias("tokens")),
     )
     tokens = sample.select(F.explode(labelled).alias("of")).select(
         "of.random", F.explode("of.tokens").alias("token")
@@ -158,9 +157,7 @@ def _log_chances(counts: list[float], width: int) -> list[float]:
 def _modelled(text: Column, ratios: list[float]) -> Column:
     """The long tokens that the models take for random strings."""
     listed = F.split(F.lit(",".join(f"{r:.6f}" for r in ratios)), ",").cast("array<double>")
-    found = F.filter(
-        located(text, TOKEN), lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]")
-    )
+    found = located(text, TOKEN)
 
     def random(m: Column) -> Column:
         steps = _transitions(m["value"])

@@ -90,3 +90,22 @@ def test_many_matches_in_a_long_text(spark, n):
     df = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
     for row in scan(df).collect():
         assert [(s["start"], s["kind"], s["stop"]) for s in row["spans"]] == plain(text)
+
+
+def test_letters_alone_and_late_tokens_count(spark):
+    rng = np.random.default_rng(2)
+    letters = list(string.ascii_letters)
+    rows, want = [], {}
+    for i in range(300):
+        # The examples of random strings come after more than 200 ordinary tokens.
+        text = words(rng, 230) + " token=" + "".join(rng.choice(letters, 30))
+        if i % 10 == 0:
+            key = "".join(rng.choice(letters, 32))
+            want[i] = (len(text) + 1, KINDS.index("model"), len(text) + 1 + len(key))
+            text += f" {key} " + words(rng, 5)
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = spans(scan(df).collect())
+    model = {i: [s for s in of if s[1] == KINDS.index("model")] for i, of in got.items()}
+    assert sum(model[i] == [span] for i, span in want.items()) >= len(want) / 2
+    assert sum(bool(of) for i, of in model.items() if i not in want) <= 2

@@ -1,7 +1,8 @@
 """SQL twins of the registered queries that SQL can express.
 
 Op 1 joins the windows of documents and items as strings; op 10 takes every
-50-byte string of every document with the least document that holds it.
+50-byte string of every document with the least document that holds it; op 13
+scores every row with every anchor.
 """
 
 from __future__ import annotations
@@ -75,3 +76,27 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes,
        sha256(unhex(coalesce(kept, h))) AS kept_sha256
 FROM docs LEFT JOIN removed USING (doc_id)
 """
+
+OP13 = """
+WITH valid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM valid a JOIN valid r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id
+                               ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n
+  ON p.anchor_id = n.anchor_id AND NOT n.same
+ AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from biasloom.llm import (
     cube_mix,
     decontaminate,
+    hard_negatives,
     html_extract,
     language_id,
     oracles,
@@ -34,6 +35,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.OP1,
     "op10_suffix_dedup": oracles.OP10,
+    "op13_hard_negatives": oracles.OP13,
 }
 
 
@@ -142,6 +144,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        rows.withColumn("label", noisy), Scratch(spark, "negatives"), F.col("vec_id") % 100 == 0
+    )
+
+
 @query
 def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page, from its text, markup, address and host."""

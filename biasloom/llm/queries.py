@@ -21,6 +21,7 @@ from biasloom.llm import (
     quality,
     secret_scan,
     simhash,
+    spelling,
     suffix_dedup,
     token_blocks,
     url_filter,
@@ -144,6 +145,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spelling.group(docs, Scratch(spark, "spelling"), deleting=31)
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")

@@ -18,6 +18,7 @@ from biasloom.llm import (
     html_extract,
     language_id,
     oracles,
+    pii,
     quality,
     secret_scan,
     simhash,
@@ -145,6 +146,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.scan(docs, tagger=pii.train(docs))
+
+    def counted(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(counted(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -1,0 +1,233 @@
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from biasloom.llm import pii
+from biasloom.llm.pii import KINDS, Tagger, matches, reconcile, scan, spans_of, tagged, tags
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_matches(text):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [
+        (m.start(), 1, m.end())
+        for m in IP.finditer(text)
+        if all(int(p) <= 255 for p in m[0].split("."))
+    ]
+    for m in CARD.finditer(text):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        twice = sum(sum(divmod(2 * x, 10)) for x in d[-2::-2])
+        if 14 <= len(d) <= 19 and (sum(d[-1::-2]) + twice) % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    for m in PHONE.finditer(text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="a@.-+%_ (0189é\n", max_size=60))
+def test_matches(text):
+    assert matches(text) == plain_matches(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            ["x.y@z.org", "@", "a@b", ".c-d", "4111 1111 1111 1111", "4111111111111112", " ",
+             "10.0.0.255", "256", ".1", "+1 (555) 555-0100", "+49-30 1234567", "(", "007.1", "é", "\n"]
+        ),
+        max_size=12,
+    )
+)
+def test_matches_in_parts(parts):
+    text = "".join(parts)
+    assert matches(text) == plain_matches(text)
+
+
+def test_matches_in_linear_time():
+    for text in ("a" * 400_000, "1" * 400_000, "@" * 200_000, "300." * 100_000, "+1 (" * 100_000):
+        assert matches(text) == []
+    assert len(matches("a@b.cd " * 50_000)) == 50_000
+
+
+def test_tags_and_spans():
+    spans = [(0, 2, 4), (4, 2, 5), (9, 0, 12), (12, 3, pii.WINDOW)]
+    assert spans_of(tags(spans)) == spans
+
+
+def test_gradient():
+    """Each weight's gradient is the slope of the loss."""
+    rng = np.random.default_rng(1)
+    tagger = Tagger.fresh(2)
+    tagger.weights = {k: v.astype(np.float64) for k, v in tagger.weights.items()}
+    x = rng.integers(0, pii._CLASSES, (3, 9))
+    y = np.stack([tags([(1, 0, 4), (4, 3, 6)], 9), tags([], 9), tags([(0, 1, 9)], 9)])
+    _, grads = tagger.loss(x, y)
+    for name, weight in tagger.weights.items():
+        for place in rng.integers(0, weight.size, 4):
+            if name.startswith("in_"):
+                place = int(x.flat[place % x.size]) * weight.shape[1] + int(place) % weight.shape[1]
+            old, step = weight.flat[place], 1e-2
+            sides = []
+            for d in (step, -step):
+                weight.flat[place] = old + d
+                sides.append(tagger.loss(x, y)[0])
+            weight.flat[place] = old
+            slope = (sides[0] - sides[1]) / (2 * step)
+            assert grads[name].flat[place] == pytest.approx(slope, rel=0.03, abs=2e-3), name
+
+
+def test_decoding_is_the_best_path():
+    """Against all paths of a short window."""
+    from itertools import product
+
+    tagger = Tagger.fresh(4)
+    x = np.random.default_rng(5).integers(0, pii._CLASSES, (2, 4))
+    scores = tagger._scores(x)[0]
+    after = tagger.weights["next"] + pii._allowed()
+    path, sure = tagger.run(x)
+    for row in range(2):
+        value = {
+            p: pii._allowed()[0][p[0]] + sum(scores[t, row, p[t]] for t in range(4))
+            + sum(after[a, b] for a, b in zip(p, p[1:]))
+            for p in product(range(pii.TAGS), repeat=4)
+        }
+        assert max(value, key=value.get) == tuple(path[row])
+        weights = np.exp(np.array(list(value.values())))
+        on_path = [p[2] == path[row][2] for p in value]
+        assert sure[row][2] == pytest.approx(weights[on_path].sum() / weights.sum(), rel=1e-3)
+
+
+def test_reconcile():
+    # Windows that agree outweigh one that does not; cut pieces are joined or dropped.
+    assert reconcile(
+        [((5, 0, 20), 0.7, False, False), ((5, 0, 20), 0.6, False, False), ((8, 2, 30), 0.9, False, False)]
+    ) == [(5, 0, 20)]
+    joined = [((100, 0, 128), 0.8, False, True), ((64, 3, 70), 0.9, True, False),
+              ((64 + 40, 0, 192), 0.9, True, True), ((170, 0, 210), 0.9, True, False)]
+    assert reconcile(joined) == [(100, 0, 210)]
+    assert reconcile([((100, 0, 128), 0.8, False, True)]) == []
+    assert reconcile([]) == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(1, 8), st.integers(1, 9)), max_size=8))
+def test_reconcile_keeps_the_heaviest_set(spans):
+    found = [((a, 0, a + n), w / 8, False, False) for a, n, w in spans]
+    kept = reconcile(found)
+    weight = {}
+    for s, w, *_ in found:
+        weight[s] = weight.get(s, 0) + w
+
+    def value(chosen):
+        chosen = sorted(chosen)
+        free = all(x[2] <= y[0] for x, y in zip(chosen, chosen[1:]))
+        return sum(weight[s] for s in chosen) if free else -1
+
+    names = list(weight)
+    best = max(
+        value([s for k, s in enumerate(names) if pick >> k & 1]) for pick in range(1 << len(names))
+    )
+    assert value(kept) == pytest.approx(best)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    found = duckdb.sql("SELECT text FROM '/root/testdata/sf0.1/documents.parquet' ORDER BY doc_id")
+    return [r[0] for r in found.fetchall()]
+
+
+@pytest.fixture(scope="module")
+def tagger(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts[:6000]], "text string")
+    return pii.train(df)
+
+
+def held_out(texts, change, seed):
+    rng = np.random.default_rng(seed)
+    for text in texts:
+        spans = [s for s in matches(text, strict=False) if s[1] != 2 or s[2] - s[0] < 20]
+        if spans and len(text) < 20_000 and not any(a[2] > b[0] for a, b in zip(spans, spans[1:])):
+            yield pii.example(text, spans, int(rng.integers(0, len(spans))), rng, change)
+
+
+def test_held_out_accuracy(tagger, texts):
+    """On texts that training never saw: as they are, and respelled."""
+    for change in (False, True):
+        cases = list(held_out(texts[6000:], change, 1))
+        path, _ = tagger.run(pii.classes([w for w, _ in cases]))
+        hit = told = true = 0
+        for p, (_, inside) in zip(path, cases, strict=True):
+            got, want = set(spans_of(p)), set(inside)
+            hit, told, true = hit + len(got & want), told + len(got), true + len(want)
+        assert true > 100
+        assert hit / told > 0.9 and hit / true > 0.9, (change, hit, told, true)
+
+
+def test_clean_texts_stay_clean(tagger, texts):
+    """Texts without a digit or @ have no span, with or without skipping their windows."""
+    clean = [t for t in texts[6000:] if t and not re.search(pii.EVIDENCE, t)][:40]
+    assert tagged(clean, tagger) == [[] for _ in clean]
+    assert [pii.windows(t) for t in clean] == [[] for _ in clean]
+
+
+def test_skipped_windows_change_nothing(tagger, texts, monkeypatch):
+    some = [t[:4000] for t in texts[6000:] if t and re.search(pii.EVIDENCE, t[:4000])][:40]
+    fast = tagged(some, tagger)
+    monkeypatch.setattr(
+        pii, "windows", lambda t: list(range(0, max(1, len(t) - pii.WINDOW + pii.STRIDE), pii.STRIDE))
+    )
+    assert tagged(some, tagger) == fast and any(fast)
+
+
+def test_adds_what_patterns_miss(spark, tagger):
+    prose = "the onthing of tion and here it was "
+    cards = "4845168114407329 7536784127813050"
+    lost = [c for c in cards.split() if pii.luhn(c)]
+    text = f"{prose}{cards} {prose}(974) 555-3436 {prose}und.34@mail7.example.com {prose}"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = scan(df, tagger=tagger).collect()
+    base = [(s["start"], s["kind"], s["end"]) for s in row["base"]]
+    spans = [(s["start"], s["kind"], s["end"]) for s in row["spans"]]
+    assert base == plain_matches(text) and set(base) < set(spans)
+    found = {text[a:b] for a, _, b in spans}
+    assert {*lost, "(974) 555-3436"} <= found
+
+
+def test_long_spans_cross_windows(spark, tagger):
+    name = "onthetion." * 30
+    text = f"the tion of {name}42@mail7.example.com and was"
+    (found,) = tagged([text], tagger)
+    assert all(text[a:b].count("@") == 1 for a, k, b in found if k == 0)
+    assert matches(text) == plain_matches(text)
+
+
+def test_edge_cases(spark, tagger):
+    far = "so it was. " * 40_000 + "x.y@z.org"
+    texts = [None, "", "@", "0", "a@b.cd", "a@b.cd", far, "\U0001f600 a@b.cd ퟿ 1.2.3.4"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = ["pii_text", "p0", "start", "kind", "tags"]
+    wide = df.withColumns({n: F.col("doc_id") for n in names})
+    for model in (None, tagger):
+        rows = scan(wide, tagger=model).orderBy("doc_id").collect()
+        assert [r["p0"] for r in rows] == list(range(len(texts)))
+        for r, text in zip(rows, texts, strict=True):
+            base = [(s["start"], s["kind"], s["end"]) for s in r["base"]]
+            assert base == plain_matches(text or "")
+            assert set(r["base"]) <= set(r["spans"])
+            assert model or r["base"] == r["spans"]
+    empty = df.filter("doc_id < 0")
+    assert scan(empty, tagger=tagger).collect() == [] and pii.train(empty) is None
+    assert pii.train(df) is None  # too few labelled spans
+    assert [pii.KINDS[k] for _, k, _ in matches("+1 (555) 555-0100")] == [KINDS[3]]

@@ -12,7 +12,14 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from biasloom.llm.queries import ORACLES, REGISTRY, TOKENIZER
-from tests.llm import test_secret_scan, test_simhash, test_suffix_dedup, test_url_filter
+from tests.llm import (
+    test_pii,
+    test_secret_scan,
+    test_simhash,
+    test_spelling,
+    test_suffix_dedup,
+    test_url_filter,
+)
 from tests.llm.test_cube_mix import plain_targets
 from tests.llm.test_quality import plain_repeats
 from tests.oracle_check import connect, differences
@@ -198,3 +205,26 @@ def test_page_languages(spark, pages):
     out = {r.page_id: r for r in result(spark, "page_languages")}
     said = {p[0]: re.search(r'lang="(\w+)"', p[2])[1] for p in pages}
     assert sum(out[i].language == lang for i, lang in said.items()) >= 0.97 * len(said)
+
+
+def test_op11(spark, documents):
+    got = {r["doc_id"]: r for r in result(spark, "op11_pii_tagger")}
+    assert len(got) == len(documents)
+    kinds = ("email", "ip", "card", "phone")
+    for doc_id, text, *_ in documents:
+        base = test_pii.plain_matches(text or "")
+        names = [f"{kinds[k]}:{a}:{b}" for a, k, b in base]
+        row = got[doc_id]
+        assert row["base_sha256"] == sha(",".join(names))
+        counts = Counter(kinds[k] for _, k, _ in base)
+        assert [row[f"n_{kind}"] for kind in kinds] == [counts[kind] for kind in kinds]
+        spans = row["spans"].split(",") if row["spans"] else []
+        assert set(names) <= set(spans)
+        places = [(int(s.split(":")[1]), kinds.index(s.split(":")[0])) for s in spans]
+        assert places == sorted(places)
+
+
+def test_op12(spark, documents):
+    got = [tuple(r) for r in result(spark, "op12_spelling_variants")]
+    want = test_spelling.plain_group([(d[0], d[1]) for d in documents], 31)
+    assert len(got) == len(want) and set(got) == want

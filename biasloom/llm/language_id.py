@@ -8,11 +8,15 @@ leans on its domain, a domain on the whole corpus. Trigram models are trained
 here, for every declared language, on a bounded sample of its rows. A text whose
 trigrams are less likely under each of them than under a background of even
 trigrams is of no modelled language.
+
+Models are sparse, and evidence lists only the languages that can still matter
+for a document, so neither plans nor rows grow with the number of languages that
+a corpus declares.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,13 +24,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, lean, small_batches, text_bytes
+from biasloom.llm.common import Scratch, byte_texts, lean, small_batches, text_bytes
 
 #: Rows the trigram model of a declared language is trained on, as an expected
 #: number; all, if the language has fewer.
 TRAIN_ROWS = 6000
 #: Trigrams fall into 2 ** BUCKET_BITS buckets; a model is a row of them.
 BUCKET_BITS = 14
+#: What every bucket counts beside its trigrams.
+SMOOTH = 0.5
+#: Counts of one block of models, which is what a task holds at a time.
+BLOCK_ENTRIES = 8 << 20
+#: Languages whose models are laid out in full at once.
+TILE = 64
+#: Priors laid out in full at once.
+PRIORS = 1 << 21
 #: Trigrams overlap, so a trigram counts as this share of independent evidence.
 TEMPER = 0.25
 #: How often a declaration or an address suffix is right.
@@ -60,27 +72,67 @@ def buckets(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class TrigramModels:
-    """Languages, and the log-probability of each bucket under each of them."""
-
-    languages: list[str]
-    logs: np.ndarray
-    #: What the background has of each bucket, on the scale of logs.
-    other: np.ndarray
+    """Some languages with the trigram counts of each, as far as they are not zero.
 
-    def scores(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihoods, a row for each text, and the numbers of trigrams.
+    Entries are sorted by language; those of language k are begins[k] to
+    begins[k + 1]. A bucket's log-probability is its ``more`` above the
+    language's ``floor``, which is that of a bucket without a count.
+    """
 
-        The last column is the background's, if there is any language.
+    languages: list[str]
+    begins: np.ndarray
+    bucket: np.ndarray
+    more: np.ndarray
+    floor: np.ndarray
+
+    @staticmethod
+    def of(languages: list[str], which: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        """Models from counts n of a bucket under the language of a place in languages."""
+        order = np.argsort(which, kind="stable")
+        which, bucket, n = which[order], bucket[order], n[order]
+        total = np.bincount(which, weights=n, minlength=len(languages))
+        floor = np.log(SMOOTH) - np.log(total + SMOOTH * (1 << BUCKET_BITS))
+        begins = np.searchsorted(which, np.arange(len(languages) + 1))
+        more = (np.log(n + SMOOTH) - np.log(SMOOTH)).astype(np.float32)
+        return TrigramModels(languages, begins, bucket.astype(np.uint16), more, floor)
+
+    def _tile(self, first: int, last: int) -> np.ndarray:
+        rows = np.zeros((last - first, 1 << BUCKET_BITS), dtype=np.float32)
+        for k in range(first, last):
+            own = slice(self.begins[k], self.begins[k + 1])
+            rows[k - first, self.bucket[own]] = self.more[own]
+        return rows
+
+    def scores(self, code: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Log-likelihoods of texts (from buckets()): a place in languages, and an
+        array with a row for each text and a column for each language from there.
         """
-        code, sizes = buckets(texts)
-        models = [*self.logs, self.other] if self.languages else []
-        out = np.zeros((len(texts), len(models)))
-        some = np.nonzero(sizes)[0]
-        if len(some):
-            starts = (np.cumsum(sizes) - sizes)[some]
-            for k, row in enumerate(models):
-                out[some, k] = np.add.reduceat(row[code], starts, dtype=np.float64)
-        return out, sizes
+        n, some = len(self.languages), np.nonzero(sizes)[0]
+        weight = None
+        if n > TILE and len(code):
+            # With many languages it pays to look at each bucket of a text once.
+            key = np.repeat(np.arange(len(sizes)), sizes) << BUCKET_BITS | code
+            key, weight = np.unique(key, return_counts=True)
+            code, held = key & ((1 << BUCKET_BITS) - 1), np.bincount(
+                key >> BUCKET_BITS, minlength=len(sizes)
+            )
+        else:
+            held = sizes
+        starts = (np.cumsum(held) - held)[some]
+        for first in range(0, n, TILE):
+            last = min(n, first + TILE)
+            if n > TILE:
+                tile = self._tile(first, last)
+            else:
+                tile = self.__dict__.setdefault("_whole", None)
+                if tile is None:
+                    tile = self.__dict__["_whole"] = self._tile(0, n)
+            out = np.zeros((len(sizes), last - first))
+            for k, row in enumerate(tile):
+                if len(some):
+                    one = row[code] if weight is None else row[code] * weight
+                    out[some, k] = np.add.reduceat(one, starts, dtype=np.float64)
+            yield first, out + sizes[:, None] * self.floor[first:last]
 
 
 def _known(column: str | None) -> Column:
@@ -105,105 +157,267 @@ def domain_of(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
-def train(rows: DataFrame, text: str, declared: str) -> TrigramModels:
-    """Models of all declared languages, from a bounded sample of each.
+def train(rows: DataFrame, text: str, declared: str, scratch: Scratch) -> DataFrame:
+    """Rows (lang, bucket, n): trigram counts of every declared language.
 
     Rows are sampled by a hash of their text, at a rate that gives TRAIN_ROWS
     rows of each language in expectation; the same rows at any partitioning.
+    A language without a trigram has one row, with neither bucket nor count.
     """
     small_batches(rows.sparkSession)
-    counted = (
-        rows.filter(F.col(declared).isNotNull())
-        .groupBy(declared)
-        .count()
-        .collect()
+    named = rows.filter(F.col(declared).isNotNull())
+    # Tags have two or three letters, so there are 18,252 at most.
+    rates = named.groupBy(F.col(declared).alias("tag")).agg(
+        (F.least(F.lit(1.0), TRAIN_ROWS / F.count("*")) * (1 << 20) + 1).cast("long").alias("most")
     )
-    languages = sorted(r[0] for r in counted)
-    if not languages:
-        return TrigramModels([], np.zeros((0, 1 << BUCKET_BITS)), np.zeros(1 << BUCKET_BITS))
-    most = {r[0]: int(min(1.0, TRAIN_ROWS / r[1]) * (1 << 20)) + 1 for r in counted}
-    limits = F.create_map(*(F.lit(x) for lang in languages for x in (lang, most[lang])))
+    rates = scratch.keep(rates, "languages")
     draw = F.pmod(F.xxhash64(F.lit("train"), text), F.lit(1 << 20))
-    sample = rows.filter(draw < F.element_at(limits, F.col(declared)))
-    sample = sample.select(F.col(declared).alias("lang"), text_bytes(text).alias("data"))
+    sample = named.join(F.broadcast(rates), F.col(declared) == F.col("tag"))
+    sample = sample.filter(draw < F.col("most")).select(
+        F.col(declared).alias("lang"), text_bytes(text).alias("data")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), 1 << BUCKET_BITS), dtype=np.int64)
         for batch in batches:
-            langs = np.array(batch["lang"].to_pylist(), dtype=object)
-            texts = [t or b"" for t in batch["data"].to_pylist()]
-            for k, lang in enumerate(languages):
-                code, _ = buckets([texts[i] for i in np.nonzero(langs == lang)[0]])
-                total[k] += np.bincount(code, minlength=1 << BUCKET_BITS)
-        at, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(bucket, pa.int64()), pa.array(total[at, bucket])],
-            names=["at", "bucket", "n"],
-        )
+            tags, which = np.unique(np.array(batch["lang"].to_pylist()), return_inverse=True)
+            code, sizes = buckets([t or b"" for t in batch["data"].to_pylist()])
+            key = np.repeat(which.astype(np.int64), sizes) << BUCKET_BITS | code
+            key, n = np.unique(key, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(tags[key >> BUCKET_BITS].tolist(), pa.string()),
+                    pa.array((key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)),
+                    pa.array(n.astype(np.int64)),
+                ],
+                names=["lang", "bucket", "n"],
+            )
 
-    counts = np.zeros((len(languages), 1 << BUCKET_BITS))
-    found = sample.mapInArrow(lean(run), "at long, bucket long, n long")
-    for r in found.groupBy("at", "bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["at"], r["bucket"]] = r["n"]
-    smooth = counts + 0.5
-    logs = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-    # Against the mean language, so that common trigrams weigh nothing.
-    mean = logs.mean(axis=0)
-    other = -BUCKET_BITS * np.log(2) - mean
-    return TrigramModels(languages, (logs - mean).astype(np.float32), other.astype(np.float32))
+    counts = sample.mapInArrow(lean(run), "lang string, bucket int, n long")
+    counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    bare = rates.select(F.col("tag").alias("lang")).join(counts, "lang", "left_anti")
+    none = F.lit(None)
+    return scratch.keep(
+        counts.unionByName(
+            bare.select("lang", none.cast("int").alias("bucket"), none.cast("long").alias("n"))
+        ),
+        "trigrams",
+    )
+
+
+def blocks(counts: DataFrame) -> Iterator[TrigramModels]:
+    """Models from the table of train(), languages in order, in blocks of bounded size.
+
+    A block has BLOCK_ENTRIES counts at most (or one language); models are mostly
+    one block. Only one is on the driver at a time.
+    """
+    sizes = counts.groupBy("lang").agg(F.count("n")).orderBy("lang").collect()
+    begin = 0
+    while begin < len(sizes):
+        end, held = begin, 0
+        while end < len(sizes) and (end == begin or held + sizes[end][1] <= BLOCK_ENTRIES):
+            held += sizes[end][1]
+            end += 1
+        names = [r[0] for r in sizes[begin:end]]
+        inside = counts.filter(F.col("lang").between(names[0], names[-1]) & F.col("n").isNotNull())
+        found = inside.toArrow()
+        place = {name: k for k, name in enumerate(names)}
+        which = np.array([place[x] for x in found["lang"].to_pylist()], dtype=np.int64)
+        bucket, n = (found[c].to_numpy() for c in ("bucket", "n"))
+        order = np.argsort(bucket, kind="stable")
+        yield TrigramModels.of(names, which[order], bucket[order], n[order])
+        begin = end
+
+
+def margin(n_languages: int, n_rows: int) -> float:
+    """How far a language's (tempered) text evidence may be behind the best one's.
+
+    A host's prior of the best language is (strength / (rows + strength)) **2 / rows
+    or more, a declaration and an address suffix favour another by a factor of
+    trust * languages / (1 - trust) at most, and all that is left out has e ** -40
+    of the posterior.
+    """
+    rows = n_rows + n_languages + HOST_STRENGTH + DOMAIN_STRENGTH
+    return 40 + 3 * np.log(rows) + 2 * (2 + np.log(1 + n_languages))
 
 
-def text_evidence(rows: DataFrame, text: str, models: TrigramModels) -> DataFrame:
-    """rows without the text, with ``letters`` (trigrams) and ``logs`` by language.
+def text_evidence(rows: DataFrame, text: str, models: Iterator[TrigramModels], far: float):
+    """rows with ``letters`` (trigrams), ``other``, ``best``, ``near`` and ``logs``.
 
-    ``other`` is the background's.
+    ``other`` is the log-likelihood under the background, ``near`` has the places
+    of the languages whose tempered log-likelihood is at most ``far`` behind the best
+    one's, ``logs`` what they have, ``best`` is that one, of several the first. Without
+    letters ``near`` is empty and ``best`` null.
     """
     small_batches(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(models)
-    others = [c for c in rows.columns if c != text]
+    found = rows.select(
+        "*",
+        text_bytes(text).alias("li__text"),
+        F.lit(0).cast("long").alias("letters"),
+        F.lit(0.0).alias("other"),
+        F.lit(None).cast("int").alias("best"),
+        F.array().cast("array<int>").alias("near"),
+        F.array().cast("array<double>").alias("logs"),
+    )
+    begin = 0
+    for block in models:
+        found = _scored(found, block, begin, far)
+        begin += len(block.languages)
+    return found.drop("li__text")
+
+
+def _scored(rows: DataFrame, block: TrigramModels, begin: int, far: float) -> DataFrame:
+    """rows of text_evidence() with the languages of one more block looked at."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+    own = ("letters", "other", "best", "near", "logs")
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, sizes = shared.value.scores(
-                [t or b"" for t in batch["li__text"].to_pylist()]
-            )
-            # The background's column goes apart.
-            width = max(0, scores.shape[1] - 1)
-            other = scores[:, width] if scores.shape[1] else np.zeros(len(sizes))
-            scores = scores[:, :width]
-            logs = pa.ListArray.from_arrays(
-                np.arange(0, (len(sizes) + 1) * width, width, dtype=np.int32)
-                if width
-                else np.zeros(len(sizes) + 1, dtype=np.int32),
-                pa.array(scores.reshape(-1)),
-            )
+            code, sizes = buckets(list(byte_texts(batch["li__text"])))
+            # What earlier blocks have found comes first.
+            held = batch["near"].value_lengths().to_numpy()
+            rowwise = [np.repeat(np.arange(len(sizes)), held)]
+            places = [batch["near"].flatten().to_numpy()]
+            logs = [batch["logs"].flatten().to_numpy()]
+            most = np.full(len(sizes), -np.inf)
+            np.maximum.at(most, rowwise[0], logs[0])
+            for first, scores in shared.value.scores(code, sizes):
+                scores[sizes == 0] = -np.inf
+                most = np.maximum(most, scores.max(axis=1, initial=-np.inf))
+                r, k = np.nonzero((scores >= most[:, None] - far / TEMPER) & (sizes > 0)[:, None])
+                rowwise.append(r)
+                places.append((begin + first + k).astype(np.int32))
+                logs.append(scores[r, k])
+            r, place, log = map(np.concatenate, (rowwise, places, logs))
+            fits = log >= most[r] - far / TEMPER
+            r, place, log = r[fits], place[fits], log[fits]
+            order = np.argsort(r, kind="stable")
+            r, place, log = r[order], place[order], log[order]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(r, minlength=len(sizes)))])
+            ends = pa.array(ends.astype(np.int32))
+            best = np.zeros(len(sizes), dtype=np.int32)
+            top = np.flatnonzero(log == most[r])[::-1]
+            best[r[top]] = place[top]
+            made = {
+                "letters": pa.array(sizes),
+                "other": pa.array(-BUCKET_BITS * np.log(2) * sizes),
+                "best": pa.array(best, mask=sizes == 0),
+                "near": pa.ListArray.from_arrays(ends, pa.array(place)),
+                "logs": pa.ListArray.from_arrays(ends, pa.array(log)),
+            }
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in others), pa.array(sizes), pa.array(other), logs],
-                names=[*others, "letters", "other", "logs"],
+                [made[c] if c in own else batch[c] for c in names], names=names
             )
 
-    source = rows.select(*others, text_bytes(text).alias("li__text"))
+    return rows.mapInArrow(lean(run), rows.schema)
+
+
+def host_counts(evidence: DataFrame) -> DataFrame:
+    """Rows (at_host, host_n, domain_n): languages of each host's texts, and its domain's.
+
+    Counts are lists of (best, n), one entry a language.
+    """
+    by_host = evidence.filter(F.col("host").isNotNull()).groupBy("host", "best").agg(
+        F.count("*").alias("n")
+    )
+    # A hot host or domain comes as one row for each language here.
+    entry = F.when(F.col("best").isNotNull(), F.struct("best", "n"))
+    hosts = by_host.groupBy("host").agg(F.collect_list(entry).alias("host_n"))
+    by_domain = by_host.withColumn("domain", domain_of(F.col("host")))
+    by_domain = by_domain.groupBy("domain", "best").agg(F.sum("n").alias("n"))
+    domains = by_domain.groupBy("domain").agg(F.collect_list(entry).alias("domain_n"))
+    hosts = hosts.withColumn("of", domain_of(F.col("host")))
+    joined = hosts.join(domains, F.col("of") == F.col("domain"))
+    return joined.select(F.col("host").alias("at_host"), "host_n", "domain_n")
+
+
+class Fusion:
+    """Posteriors from text evidence, names, and counts of hosts and domains."""
+
+    def __init__(self, languages: list[str], counts: dict[int, int]):
+        self.languages = languages
+        n = np.array([counts.get(k, 0) for k in range(len(languages))], dtype=np.float64)
+        self.corpus = (n + 1) / (n.sum() + len(languages))
+
+    def places(self, tags: pa.Array) -> np.ndarray:
+        """Places of tags in languages; -1 for null and for a language without a model."""
+        place = {name: k for k, name in enumerate(self.languages)}
+        return np.array([place.get(t, -1) for t in tags.to_pylist()], dtype=np.int64)
+
+    def priors(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Priors of all languages, a row for each row: a host's leans on its domain's."""
+        prior = np.repeat(self.corpus[None, :], batch.num_rows, axis=0)
+        for name, strength in (("domain_n", DOMAIN_STRENGTH), ("host_n", HOST_STRENGTH)):
+            lists = batch[name]
+            there = lists.is_valid().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            entries = lists.flatten()
+            own = np.zeros_like(prior)
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            own[row, entries.field("best").to_numpy()] = entries.field("n").to_numpy()
+            leaning = (own + strength * prior) / (own.sum(axis=1, keepdims=True) + strength)
+            prior = np.where(there[:, None], leaning, prior)
+        return prior
+
+    def judge(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each row's best language, of several the first, and its posterior."""
+        n, rows = len(self.languages), batch.num_rows
+        sizes = batch["near"].value_lengths().to_numpy()
+        lettered = batch["letters"].to_numpy() > 0
+        # All languages are alike to a text without letters.
+        bare = np.flatnonzero(~lettered)
+        row = np.concatenate([np.repeat(np.arange(rows), sizes), np.repeat(bare, n)])
+        place = np.concatenate([batch["near"].flatten().to_numpy(), np.tile(np.arange(n), len(bare))])
+        fused = np.concatenate([batch["logs"].flatten().to_numpy() * TEMPER, np.zeros(n * len(bare))])
+        order = np.argsort(row, kind="stable")
+        row, place, fused = row[order], place[order], fused[order]
+        fused += np.log(self.priors(batch)[row, place])
+        for name, trust in (("declared", DECLARED_TRUST), ("suffix", SUFFIX_TRUST)):
+            named = self.places(batch[name])[row]
+            other = np.log((1 - trust) / (n - 1)) if n > 1 else 0.0
+            fused += np.where(named < 0, 0.0, np.where(named == place, np.log(trust), other))
+        starts = np.searchsorted(row, np.arange(rows))
+        most = np.maximum.reduceat(fused, starts)
+        total = np.add.reduceat(np.exp(fused - most[row]), starts)
+        best = np.zeros(rows, dtype=np.int64)
+        top = np.flatnonzero(fused == most[row])[::-1]
+        best[row[top]] = place[top]
+        return best, 1 / total
+
+
+def _fused(rows: DataFrame, fusion: Fusion) -> DataFrame:
+    """rows with ``language``, ``posterior`` and ``text_language`` beside the evidence."""
+    shared = rows.sparkSession.sparkContext.broadcast(fusion)
+    gone = ("near", "logs", "host_n", "domain_n", "best")
+    others = [c for c in rows.columns if c not in gone]
+    # Rows whose priors are laid out in full at once.
+    step = max(1, PRIORS // len(fusion.languages))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(shared.value.languages, pa.string())
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                best, posterior = shared.value.judge(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch[c] for c in others),
+                        names.take(pa.array(best)),
+                        pa.array(posterior),
+                        names.take(batch["best"]),
+                    ],
+                    names=[*others, "language", "posterior", "text_language"],
+                )
+
     schema = rows.select(
         *others,
-        F.lit(0).cast("long").alias("letters"),
-        F.lit(0.0).alias("other"),
-        F.array().cast("array<double>").alias("logs"),
+        F.lit("").alias("language"),
+        F.lit(0.0).alias("posterior"),
+        F.lit("").alias("text_language"),
     ).schema
-    return source.mapInArrow(lean(run), schema)
-
-
-def _fractions(evidence: DataFrame, by: str, parent: Column, strength: float, n: int):
-    """A smoothed prior for each value of one column: its counts and its parent's."""
-    counts = [F.count_if(F.col("best") == k).alias(f"n{k}") for k in range(n)]
-    grouped = evidence.groupBy(by).agg(*counts, F.first("up", ignorenulls=True).alias("up"))
-    total = sum((F.col(f"n{k}") for k in range(n)), F.lit(0.0))
-    prior = F.array(
-        *(
-            (F.col(f"n{k}") + strength * F.element_at(parent, k + 1)) / (total + strength)
-            for k in range(n)
-        )
-    )
-    return grouped, prior
+    for name in ("language", "text_language"):
+        schema[name].nullable = True
+    return rows.mapInArrow(lean(run), schema)
 
 
 def identify(
@@ -214,6 +428,7 @@ def identify(
     declared: str | None = "lang",
     host: str | None = "source",
     address: str | None = None,
+    carry: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows (id, declared, language, posterior, text_language, kept), one a row of docs.
 
@@ -223,86 +438,52 @@ def identify(
     document is kept if its text has letters, no less likely under the best model
     of its text than under the background, and its best language has a posterior
     of LEAST_POSTERIOR or more; null, empty and letterless texts are rejected.
-    Without any declared language there is no model: language is null and all
-    rows are rejected. Other columns are ignored; repeated rows come back as
-    often as they came.
+    Of languages equally likely the first in code-point order is taken. Without any
+    declared language there is no model: language is null and all rows are
+    rejected. Repeated rows come back as often as they came, an empty table gives no
+    rows. Other columns are ignored, but for those that ``carry`` names (name in
+    the result: name in docs), which come along.
     """
     url = F.col(address).cast("string") if address else F.lit(None).cast("string")
     url_host, suffix = address_parts(url)
+    carried = dict(carry or {})
     rows = docs.select(
         F.col(id).alias("doc"),
         F.col(text).cast("string").alias("text"),
         _known(declared).alias("declared"),
         (F.lower(F.col(host).cast("string")) if host else url_host).alias("host"),
         suffix.alias("suffix"),
+        *(F.col(c).alias(f"li__{k}") for k, c in enumerate(carried.values())),
     )
-    models = train(rows, "text", "declared")
-    n = len(models.languages)
-    evidence = scratch.keep(text_evidence(rows, "text", models), "evidence")
-    if not n:
-        none = F.lit(None).cast("string")
-        return evidence.select(
-            F.col("doc").alias(id),
-            "declared",
-            none.alias("language"),
-            F.lit(0.0).alias("posterior"),
-            none.alias("text_language"),
-            F.lit(False).alias("kept"),
-        )
-    names = F.array(*map(F.lit, models.languages))
-    best = F.when(F.col("letters") > 0, F.array_position("logs", F.array_max("logs")) - 1)
-    evidence = evidence.withColumn("best", best).withColumn("domain", domain_of(F.col("host")))
-    counts = evidence.agg(*(F.count_if(F.col("best") == k) for k in range(n))).first()
-    total = sum(counts)
-    corpus = F.array(*(F.lit((c + 1.0) / (total + n)) for c in counts))
-
-    grouped, prior = _fractions(
-        evidence.withColumn("up", F.lit(None).cast("string")),
-        "domain", corpus, DOMAIN_STRENGTH, n,
-    )
-    domains = grouped.select(F.col("domain").alias("in_domain"), prior.alias("domain_prior"))
-    grouped, prior = _fractions(
-        evidence.withColumn("up", F.col("domain")),
-        "host", F.coalesce("domain_prior", corpus), HOST_STRENGTH, n,
-    )
-    hosts = scratch.keep(
-        grouped.filter(F.col("host").isNotNull())
-        .join(domains, F.col("up") == F.col("in_domain"), "left")
-        .select(F.col("host").alias("at_host"), prior.alias("prior")),
-        "hosts",
+    counts = train(rows, "text", "declared", scratch)
+    languages = [r[0] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    far = margin(len(languages), rows.count())
+    evidence = scratch.keep(
+        text_evidence(rows, "text", blocks(counts), far).drop("text"), "evidence"
     )
-
-    def named(column: str, trust: float) -> list[Column]:
-        """Log-evidence of a named language for each language."""
-        other = (1 - trust) / max(1, n - 1)
-        return [
-            F.when(~F.col(column).isin(models.languages) | F.col(column).isNull(), 0.0)
-            .when(F.col(column) == lang, float(np.log(trust)))
-            .otherwise(float(np.log(other)) if other > 0 else 0.0)
-            for lang in models.languages
-        ]
-
-    joined = evidence.join(hosts, F.col("host") == F.col("at_host"), "left")
-    parts = zip(named("declared", DECLARED_TRUST), named("suffix", SUFFIX_TRUST), strict=True)
-    prior = F.coalesce("prior", corpus)
-    logs = F.array(
-        *(
-            F.element_at("logs", k + 1) * TEMPER
-            + F.log(F.element_at(prior, k + 1)) + declared_log + suffix_log
-            for k, (declared_log, suffix_log) in enumerate(parts)
+    none = F.lit(None).cast("string")
+    if languages:
+        corpus = evidence.filter("best IS NOT NULL").groupBy("best").count().collect()
+        fusion = Fusion(languages, {r[0]: r[1] for r in corpus})
+        hosts = scratch.keep(host_counts(evidence), "hosts")
+        joined = evidence.join(hosts, F.col("host") == F.col("at_host"), "left")
+        judged = joined.withColumn("most", F.array_max("logs")).drop("host", "at_host")
+        judged = _fused(judged, fusion)
+    else:
+        judged = evidence.withColumns(
+            {"language": none, "text_language": none, "posterior": F.lit(0.0), "most": none}
         )
-    )
-    joined = joined.withColumn("fused", logs).withColumn("most", F.array_max("fused"))
-    spread = F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("most")))
-    return joined.select(
+    return judged.select(
         F.col("doc").alias(id),
         "declared",
-        F.element_at(names, F.array_position("fused", F.col("most")).cast("int")).alias("language"),
-        F.round(1 / spread, 6).alias("posterior"),
-        F.element_at(names, (F.col("best") + 1).cast("int")).alias("text_language"),
-        (
+        "language",
+        F.round("posterior", 6).alias("posterior"),
+        "text_language",
+        F.coalesce(
             (F.col("letters") > 0)
-            & (F.array_max("logs") >= F.col("other"))
-            & (1 / spread >= LEAST_POSTERIOR)
+            & (F.col("most") >= F.col("other"))
+            & (F.col("posterior") >= LEAST_POSTERIOR),
+            F.lit(False),
         ).alias("kept"),
+        *(F.col(f"li__{k}").alias(name) for k, name in enumerate(carried)),
     )

@@ -104,13 +104,119 @@ def test_a_rare_language_is_trained_on_all_its_rows(spark, monkeypatch):
     rows = [(sentence(rng, "en", 20), "en") for _ in range(4000)]
     rare = [sentence(rng, "de", 20) for _ in range(20)]
     df = spark.createDataFrame(rows + [(t, "de") for t in rare], "text string, declared string")
-    models = train(df, "text", "declared")
+    counts = train(df, "text", "declared", Scratch(spark, "test"))
     code, _ = buckets([t.encode() for t in rare])
-    counts = np.bincount(code, minlength=1 << language_id.BUCKET_BITS) + 0.5
-    background = -language_id.BUCKET_BITS * np.log(2)
-    want = np.log(counts / counts.sum()) - background
-    assert models.languages == ["de", "en"]
-    assert np.allclose(models.logs[0] - models.other, want, atol=1e-4)
+    want = dict(zip(*map(np.ndarray.tolist, np.unique(code, return_counts=True)), strict=True))
+    got = {r.bucket: r.n for r in counts.filter("lang = 'de'").collect()}
+    assert got == want
+    sampled = counts.filter("lang = 'en'").agg({"n": "sum"}).first()[0]
+    assert 15 * len(buckets([rows[0][0].encode()])[0]) < sampled < 4000 * 20
+
+
+def plain_identify(rows):
+    """The four parts fused for every row and language, nothing left out.
+
+    rows are (id, text, declared, host); all rows are the training sample.
+    """
+    from collections import Counter, defaultdict
+    from math import exp, log
+
+    def grams(text):
+        return Counter(buckets([(text or "").encode()])[0].tolist())
+
+    models = defaultdict(Counter)
+    for _, text, tag, _ in rows:
+        if tag:
+            models[tag] += grams(text)
+    tags, size = sorted(models), 1 << language_id.BUCKET_BITS
+    logs = []
+    for _, text, _, _ in rows:
+        own = grams(text)
+        logs.append(
+            [
+                sum(n * log((models[t][g] + 0.5) / (models[t].total() + 0.5 * size)) for g, n in own.items())
+                for t in tags
+            ]
+        )
+    lettered = [bool(grams(r[1])) for r in rows]
+    best = [tags[x.index(max(x))] if some else None for x, some in zip(logs, lettered)]
+    corpus, hosts, domains = Counter(), defaultdict(Counter), defaultdict(Counter)
+    for row, tag in zip(rows, best, strict=True):
+        if tag:
+            corpus[tag] += 1
+        if row[3]:
+            hosts[row[3]][tag] += tag is not None
+            domains[".".join(row[3].split(".")[-2:])][tag] += tag is not None
+    out = []
+    for (id, text, declared, host), own, some, text_tag in zip(rows, logs, lettered, best, strict=True):
+        fused = []
+        for tag, value in zip(tags, own, strict=True):
+            prior = (corpus[tag] + 1) / (corpus.total() + len(tags))
+            if host:
+                at = domains[".".join(host.split(".")[-2:])]
+                prior = (at[tag] + 50 * prior) / (at.total() + 50)
+                prior = (hosts[host][tag] + 20 * prior) / (hosts[host].total() + 20)
+            said = 0.0
+            if declared:
+                said = log(0.85 if tag == declared else 0.15 / (len(tags) - 1))
+            fused.append(0.25 * value + log(prior) + said)
+        top = max(fused)
+        posterior = 1 / sum(exp(f - top) for f in fused)
+        flat = -log(size) * grams(text).total()
+        kept = some and max(own) >= flat and posterior >= 0.5
+        out.append((id, declared, tags[fused.index(top)], round(posterior, 6), text_tag, kept))
+    return out
+
+
+@pytest.mark.parametrize("n_tags, block, tile", [(3, 8 << 20, 64), (9, 8 << 20, 4), (9, 150, 2)])
+def test_brute_force(spark, monkeypatch, n_tags, block, tile):
+    """Posteriors of short texts, where all four parts weigh; models in blocks too."""
+    monkeypatch.setattr(language_id, "BLOCK_ENTRIES", block)
+    monkeypatch.setattr(language_id, "TILE", tile)
+    rng = np.random.default_rng(8)
+    tags = [f"{a}{b}" for a in "xyz" for b in "abc"][:n_tags]
+    words = {t: ["".join(rng.choice(list("abcde"), 4)) for _ in range(4)] for t in tags}
+    rows = []
+    for k in range(300):
+        own = str(rng.choice(tags))
+        text = " ".join(rng.choice(words[own], int(rng.integers(0, 4))))
+        text = None if k % 50 == 7 else "漢字" * 9 if k % 50 == 8 else text
+        said = None if k % 7 == 0 else str(rng.choice(tags)) if k % 3 == 0 else own
+        host = None if k % 11 == 0 else f"{own}{k % 2}.site{k % 4}.org"
+        rows.append((k, text, said, host))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = sorted(tuple(r) for r in identify(df.repartition(5), Scratch(spark, "test")).collect())
+    want = plain_identify(rows)
+    for g, w in zip(got, want, strict=True):
+        assert g[:3] + g[4:] == w[:3] + w[4:]
+        assert g[3] == pytest.approx(w[3], abs=2e-6)
+
+
+def test_thousands_of_declared_languages(spark):
+    """Time and plans do not grow with the square of their number."""
+    import time
+    from itertools import product
+
+    rng = np.random.default_rng(9)
+    tags = ["".join(t) for t in product("abcdefghijklmn", repeat=3)][:2000]
+    words = {t: ["".join(rng.choice(list("abcdefghijklmnopqrst"), 7)) for _ in range(6)] for t in tags}
+    rows = [(k, " ".join(rng.choice(words[t], 9)), t, f"h{k % 40}.org") for k, t in enumerate(tags * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    began = time.perf_counter()
+    found = identify(df, Scratch(spark, "test"))
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    got = {r.doc_id: r for r in found.collect()}
+    assert time.perf_counter() - began < 60
+    assert sum(got[k].language == t and got[k].kept for k, _, t, _ in rows) > 0.99 * len(rows)
+
+
+def test_carried_columns_come_along(spark):
+    rows = [(1, "the of and", "en", "a.b", None), (1, "the of and", None, "a.b", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, near int")
+    out = identify(df, Scratch(spark, "test"), carry={"kept_text": "text", "near": "near"}).collect()
+    assert sorted((r.kept_text, r.near or 0, r.declared or "") for r in out) == [
+        ("the of and", 0, "en"), ("the of and", 7, "")
+    ]
 
 
 def test_text_of_no_language_is_rejected(spark):

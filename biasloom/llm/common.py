@@ -9,8 +9,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from biasloom.sources.store import named_root, shared_root
 
@@ -105,6 +106,27 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
         yield value or b""
 
 
+def row_key(df: DataFrame, *columns: str) -> Column:
+    """128 bits that rows alike in these columns (all, if none are named) share.
+
+    A null is a value of its own: it says at which place it stands, within arrays,
+    maps and structs too.
+    """
+    names = columns or df.columns
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    values = [
+        F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"})
+        if isinstance(df.schema[c].dataType, nested)
+        else F.col(c)
+        for c in names
+    ]
+    nulls = F.concat(*(F.col(c).isNull().cast("int").cast("string") for c in names))
+    return F.struct(
+        F.xxhash64(F.lit(1), nulls, *values).alias("a"),
+        F.xxhash64(F.lit(2), nulls, *values).alias("b"),
+    )
+
+
 def text_bytes(name: str = "text"):
     """A text column as its UTF-8 bytes; null stays null."""
     return F.col(name).cast("string").cast("binary")

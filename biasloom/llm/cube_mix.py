@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch
+from biasloom.llm.common import Scratch, row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source's target is at most so many times its size.
@@ -40,7 +40,7 @@ def word_count(text: str) -> Column:
 
 
 def source_targets(sizes: DataFrame, scratch: Scratch, most: float = MOST) -> DataFrame:
-    """Rows (source, rows, source_size, target) from rows (source, size).
+    """Rows (source, rows, source_size, target) from rows (source, size), or n times that.
 
     Sources weigh 5, 2, 1, repeating, by code point with null last. Targets sum
     to the total size; one over ``most`` times its source's size stops there
@@ -49,8 +49,9 @@ def source_targets(sizes: DataFrame, scratch: Scratch, most: float = MOST) -> Da
     """
     from pyspark.sql import Window
 
+    times = F.col("n") if "n" in sizes.columns else F.lit(1)
     totals = sizes.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count("*").alias("rows")
+        F.sum(F.col("size") * times).alias("source_size"), F.count("*").alias("rows")
     )
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(
@@ -191,49 +192,42 @@ def _settler(turn: int, last: bool):
     return settle
 
 
-def mix(
-    docs: DataFrame,
-    scratch: Scratch,
-    id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    most: float = MOST,
-    cell_rows: int = CELL_ROWS,
+def _settled(
+    docs: DataFrame, scratch: Scratch, id: str, text: str, source: str, most: float, cell_rows: int
 ) -> DataFrame:
-    """Rows (id, key, size, source_size, target, copies), one for each row of docs.
+    """Rows (doc, key, n, size, source_size, target, copies), one for n rows that are alike.
 
-    A document's size is its number of words; null texts have none. ``copies``
-    is how often the mix takes the document: 0 to ``most``. ``key`` is a hash
-    of id, source and text: rows that agree in it are alike, and it decides the
-    order of the draw, so the result depends neither on partitions nor on
-    reruns. Documents without words and those of a source without words are
-    never taken. A null source is a source of its own; a null id is an
-    ordinary id; an empty table gives an empty result.
+    ``copies`` is how often the mix takes them, all n together.
     """
+    # Rows that are alike are one from here on, so no cell holds many of them.
     base = scratch.keep(
         docs.select(
             F.col(id).cast("string").alias("doc"),
-            F.xxhash64(id, source, text).alias("key"),
+            row_key(docs, id, source, text).alias("key"),
             F.col(source).alias("source"),
             word_count(text).alias("size"),
-        ),
+        )
+        .groupBy("doc", "key", "source", "size")
+        .agg(F.count("*").alias("n")),
         "sizes",
     )
     targets = scratch.keep(source_targets(base, scratch, most), "targets").select(
         F.col("source").alias("of"), "rows", "source_size", "target"
     )
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
-    ratio = F.round(F.coalesce(ratio, F.lit(0.0)), 12)
+    wanted = F.round(F.coalesce(ratio, F.lit(0.0)), 12) * F.col("n")
+    wanted = F.when(F.col("size") > 0, wanted).otherwise(0.0)
     cells = F.ceil(F.col("rows") / cell_rows).cast("long")
     open_ = base.join(targets, F.col("source").eqNullSafe(F.col("of")), "left").select(
         "doc",
         "key",
         "source",
         "size",
+        "n",
         "source_size",
         "target",
-        F.when(F.col("size") > 0, F.floor(ratio)).otherwise(0).alias("whole"),
-        F.when(F.col("size") > 0, ratio - F.floor(ratio)).otherwise(0.0).alias("chance"),
+        F.floor(wanted).alias("whole"),
+        (wanted - F.floor(wanted)).alias("chance"),
         F.xxhash64(F.lit(SEED), "key").alias("order"),
         F.pmod(F.xxhash64(F.lit(SEED + 1), "key"), cells).alias("cell"),
         cells.alias("cells"),
@@ -259,8 +253,9 @@ def mix(
     for part in parts[1:]:
         result = result.unionByName(part)
     return result.select(
-        F.col("doc").cast(docs.schema[id].dataType).alias(id),
+        "doc",
         "key",
+        "n",
         "size",
         "source_size",
         "target",
@@ -268,23 +263,62 @@ def mix(
     )
 
 
-def mixed(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    scratch: Scratch,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    most: float = MOST,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """Rows (id, key, size, source_size, target, copies), one for each row of docs.
+
+    A document's size is its number of words; null texts have none. ``copies``
+    is how often the mix takes the document: 0 to ``most``. ``key`` names rows
+    alike in id, source and text, nulls included; such rows share their copies
+    evenly. It decides the order of the draw, so the result depends neither on
+    partitions nor on reruns. Documents without words and those of a source without
+    words are never taken. A null source is a source of its own; a null id is an
+    ordinary id; an empty table gives an empty result; other columns are ignored.
+    """
+    settled = _settled(docs, scratch, id, text, source, most, cell_rows)
+    each = settled.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    share = F.floor(F.col("copies") / F.col("n")) + (
+        F.col("k") <= F.col("copies") % F.col("n")
+    ).cast("long")
+    return each.select(
+        F.col("doc").cast(docs.schema[id].dataType).alias(id),
+        "key",
+        "size",
+        "source_size",
+        "target",
+        share.alias("copies"),
+    )
+
+
+def mixed(
+    docs: DataFrame,
+    scratch: Scratch,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    most: float = MOST,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
     """docs with every row as often as the mix takes it; columns as they are.
 
     Rows alike in id, source and text share their copies evenly, in no order.
     """
     from pyspark.sql import Window
 
-    id, source, text = (
-        options.get(k, v)
-        for k, v in (("id", "doc_id"), ("source", "source"), ("text", "text"))
-    )
-    taken = mix(docs, scratch, **options)
-    taken = taken.groupBy(F.col("key").alias("mix__of")).agg(
-        F.sum("copies").alias("mix__copies"), F.count("*").alias("mix__rows")
+    settled = _settled(docs, scratch, id, text, source, most, cell_rows)
+    taken = settled.filter("copies > 0").select(
+        F.col("key").alias("mix__of"),
+        F.col("copies").alias("mix__copies"),
+        F.col("n").alias("mix__rows"),
     )
-    taken = taken.filter("mix__copies > 0")
-    keyed = docs.withColumn("mix__key", F.xxhash64(id, source, text))
+    keyed = docs.withColumn("mix__key", row_key(docs, id, source, text))
     joined = keyed.join(taken, F.col("mix__key") == F.col("mix__of"))
     alike = Window.partitionBy("mix__key").orderBy("mix__key")
     share = F.floor(F.col("mix__copies") / F.col("mix__rows")) + (

@@ -250,15 +250,15 @@ def without(text: bytes, spans: list) -> bytes:
 def remove(
     found: DataFrame,
     text: str = "text",
-    least_words: int = WINDOW,
+    least_words: int = 1,
     most_coverage: float = 0.5,
 ) -> DataFrame:
     """Cut the hit spans out of the texts of find()'s result.
 
     A document more than ``most_coverage`` of whose words are hit goes; in the
-    others every span of at least ``least_words`` words is cut out. A document
-    left without a word goes too; one that had none before stays. The columns
-    are those of found.
+    others every span of at least ``least_words`` words is cut out; any span holds
+    a whole window, or an item that is shorter than one. A document left without a
+    word goes too; one that had none before stays. The columns are those of found.
     """
     small_batches(found.sparkSession)
     columns = found.columns

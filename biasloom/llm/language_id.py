@@ -194,13 +194,11 @@ def train(rows: DataFrame, text: str, declared: str, scratch: Scratch) -> DataFr
 
     counts = sample.mapInArrow(lean(run), "lang string, bucket int, n long")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = scratch.keep(counts, "trigrams")
     bare = rates.select(F.col("tag").alias("lang")).join(counts, "lang", "left_anti")
     none = F.lit(None)
-    return scratch.keep(
-        counts.unionByName(
-            bare.select("lang", none.cast("int").alias("bucket"), none.cast("long").alias("n"))
-        ),
-        "trigrams",
+    return counts.unionByName(
+        bare.select("lang", none.cast("int").alias("bucket"), none.cast("long").alias("n"))
     )
 
 

@@ -1,16 +1,18 @@
 """Secret scan: fixed patterns, and Markov models of random and ordinary strings.
 
 All of it is built-in expressions over the text column: no shuffle, no Python.
-Pattern matches are located by splitting the text at them. Every other long
+Pattern matches are located by splitting the text at them; places are running
+sums over blocks, so a text may hold any number of matches. Every other
 token is scored by two first-order character models, one
-of random strings (the values that patterns find) and one of ordinary words and
-identifiers, both counted from a bounded sample of labelled tokens; a token
-whose log-likelihood ratio is high enough is a secret as well.
+of random strings (the values that patterns find) and one of ordinary words,
+identifiers and numbers, both counted from a bounded sample of labelled tokens; a
+token whose log-likelihood ratio is high enough is a secret as well.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,8 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "model")
 #: Tokens that the models score, and the alphabet of both models.
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
-ORDINARY = r"[A-Za-z][A-Za-z0-9_-]{4,}"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
+ORDINARY = r"[A-Za-z][A-Za-z0-9_-]{4,}|(?<![A-Za-z0-9+/_=-])[0-9]{2,}(?![A-Za-z0-9+/_=-])"
 #: Long tokens of letters and digits are no examples of ordinary ones.
 UNDECIDED = (
     r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])"
@@ -36,6 +38,10 @@ UNDECIDED = (
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Texts the models are trained on, as an expected number.
 TRAIN_TEXTS = 20_000
+#: With fewer labelled random strings in the sample there are no models.
+LEAST_SECRETS = 20
+#: Numbers that running() puts together at a time.
+BLOCK = 64
 #: Added to each character's count, and what the characters' shares count for
 #: beside the transitions of one character.
 SMOOTH = 0.5
@@ -45,6 +51,46 @@ LEAST_RATIO = 12.0
 LEAST_MEAN = 0.35
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), where value is worked out once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """For each of some whole numbers, the join (a sum, or greatest) of all before it.
+
+    Numbers are joined within blocks, and blocks of blocks, so the work grows with
+    their number, not with its square. Nothing is before the first: 0.
+    """
+    nothing = F.lit(0).cast("long")
+
+    def joined(some: Column) -> Column:
+        return F.aggregate(some, nothing, lambda a, x: join(a, x.cast("long")))
+
+    def alone(some: Column) -> Column:
+        return F.transform(some, lambda x, i: joined(F.slice(some, F.lit(1), i)))
+
+    def in_blocks(blocks: Column) -> Column:
+        starts = running(F.transform(blocks, joined), join, levels - 1)
+        within = F.zip_with(
+            starts, blocks, lambda s, block: F.transform(alone(block), lambda x: join(s, x))
+        )
+        return F.flatten(within)
+
+    if not levels:
+        return bound(values, alone)
+    return bound(
+        values,
+        lambda all_: bound(
+            F.transform(
+                F.sequence(F.lit(0), F.greatest(F.ceil(F.size(all_) / BLOCK) - 1, F.lit(0))),
+                lambda b: F.slice(all_, b.cast("int") * BLOCK + 1, F.lit(BLOCK)),
+            ),
+            in_blocks,
+        ),
+    )
+
+
 def located(text: Column, pattern: str, group: int = 0) -> Column:
     """All matches as (start, stop, value), by code points; stop is exclusive.
 
@@ -53,27 +99,31 @@ def located(text: Column, pattern: str, group: int = 0) -> Column:
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
     between = F.split(text, pattern, -1)
-    steps = F.arrays_zip(
-        F.slice(F.transform(between, F.length), 1, F.size(matches)).alias("gap"),
-        F.transform(matches, F.length).alias("size"),
-        values.alias("value"),
+    steps = bound(
+        matches,
+        lambda m: F.arrays_zip(
+            F.slice(F.transform(between, F.length), F.lit(1), F.size(m)).alias("gap"),
+            F.transform(m, F.length).alias("size"),
+            (values if group else m).alias("value"),
+        ),
     )
     kind = "array<struct<start: int, stop: int, value: string>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
 
-    def place(done: Column, step: Column) -> Column:
-        start = done["at"] + step["gap"]
-        one = F.struct(
-            start.alias("start"), (start + step["size"]).alias("stop"), step["value"].alias("value")
-        )
-        return F.struct(
-            (start + step["size"]).alias("at"),
-            F.concat(done["found"], F.array(one)).alias("found"),
-        )
+    def placed(all_: Column) -> Column:
+        before = running(F.transform(all_, lambda s: s["0"] + s["1"]), lambda a, x: a + x)
+
+        def place(begin: Column, step: Column) -> Column:
+            start = begin + step["0"]
+            return F.struct(
+                start.cast("int").alias("start"),
+                (start + step["1"]).cast("int").alias("stop"),
+                step["2"].alias("value"),
+            )
 
-    return F.when(
-        text.rlike(pattern), F.aggregate(steps, first, place, lambda done: done["found"])
-    ).otherwise(F.array().cast(kind))
+        return F.zip_with(before, all_, place)
+
+    named = steps.cast("array<struct<`0`: int, `1`: int, `2`: string>>")
+    return F.when(text.rlike(pattern), bound(named, placed)).otherwise(F.array().cast(kind))
 
 
 def _long_enough(found: Column, least: int) -> Column:
@@ -101,12 +151,13 @@ def _transitions(token: Column) -> Column:
     )
 
 
-def train(docs: DataFrame, text: str = "text") -> list[float]:
+def train(docs: DataFrame, text: str = "text") -> list[float] | None:
     """The log-likelihood ratio of each transition, random over ordinary.
 
     Random strings are the values that the fixed patterns find, ordinary ones
-    the words and identifiers around them: all of them, in texts sampled by hash
-    at a rate that gives TRAIN_TEXTS of them.
+    the words, identifiers and numbers around them: all of them, in texts sampled by
+    hash at a rate that gives TRAIN_TEXTS of them. With fewer than LEAST_SECRETS
+    random strings there is nothing to learn from, and no model.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     total = docs.count()
@@ -116,8 +167,13 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     rest = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX, UNDECIDED):
         rest = F.regexp_replace(rest, pattern, " ")
-    random = F.flatten(
-        F.array(*(F.transform(m, lambda x: x["value"]) for m in patterns(F.col("text")).values()))
+
+    def values(pattern: str, group: int, least: int) -> Column:
+        found = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(group))
+        return F.filter(found, lambda v: F.length(v) >= least)
+
+    random = F.concat(
+        values(ASSIGN, 2, LEAST_ASSIGN), values(ACCESS, 0, LEAST_ACCESS), values(HEX, 0, 0)
     )
     ordinary = F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))
     labelled = F.array(
@@ -127,6 +183,9 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     tokens = sample.select(F.explode(labelled).alias("of")).select(
         "of.random", F.explode("of.tokens").alias("token")
     )
+    tokens = tokens.filter(F.col("token").isNotNull())
+    if tokens.filter("random = 1").limit(LEAST_SECRETS).count() < LEAST_SECRETS:
+        return None
     counted = (
         tokens.select("random", F.explode(_transitions(F.col("token"))).alias("step"))
         .groupBy("random", "step")
@@ -155,18 +214,39 @@ def _log_chances(counts: list[float], width: int) -> list[float]:
 
 
 def _modelled(text: Column, ratios: list[float]) -> Column:
-    """The long tokens that the models take for random strings."""
-    listed = F.split(F.lit(",".join(f"{r:.6f}" for r in ratios)), ",").cast("array<double>")
-    found = located(text, TOKEN)
-
-    def random(m: Column) -> Column:
-        steps = _transitions(m["value"])
-        ratio = F.aggregate(
-            steps, F.lit(0.0), lambda done, step: done + F.element_at(listed, step + 1)
-        )
-        return (ratio >= LEAST_RATIO) & (ratio >= LEAST_MEAN * F.size(steps))
-
-    return F.filter(found, random)
+    """The tokens that the models take for random strings."""
+    # By two ASCII codes, so that a step of a token is one look-up.
+    table = [0.0] * (128 * 128)
+    for k, ratio in enumerate(ratios):
+        a, b = (ord(ALPHABET[i]) for i in divmod(k, len(ALPHABET)))
+        table[a * 128 + b] = ratio
+    listed = F.split(F.lit(",".join(f"{r:.6f}" for r in table)), ",").cast("array<double>")
+    most = max(ratios)
+    if most <= 0:
+        return F.array().cast("array<struct<start: int, stop: int, value: string>>")
+    # A shorter token cannot reach the least ratio.
+    pattern = TOKEN % (1 + math.ceil(LEAST_RATIO / most))
+
+    def random(token: Column) -> Column:
+        codes = F.transform(F.split(token, ""), F.ascii)
+
+        def judged(codes: Column) -> Column:
+            steps = F.zip_with(
+                codes,
+                F.slice(codes, F.lit(2), F.length(token) - 1),
+                lambda a, b: F.when(
+                    b.isNotNull() & (b > 0), F.element_at(listed, a * 128 + b + 1)
+                ).otherwise(0.0),
+            )
+            return F.aggregate(steps, F.lit(0.0), lambda done, x: done + x)
+
+        least = F.greatest(F.lit(LEAST_RATIO), LEAST_MEAN * (F.length(token) - 1))
+        return bound(codes, judged) >= least
+
+    tokens = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    found = F.filter(located(text, pattern), lambda m: random(m["value"]))
+    none = F.array().cast("array<struct<start: int, stop: int, value: string>>")
+    return F.when(F.exists(tokens, random), found).otherwise(none)
 
 
 def _of_kind(kind: int):
@@ -180,14 +260,46 @@ def _of_kind(kind: int):
     return span
 
 
+def _apart(spans: Column) -> Column:
+    """Ordered spans without those of the models that overlap one of the others."""
+    model = KINDS.index("model")
+
+    def judged(all_: Column) -> Column:
+        stops = F.transform(all_, lambda s: F.when(s["kind"] != model, s["stop"]).otherwise(0))
+        nexts = F.transform(
+            F.slice(all_, F.lit(2), F.greatest(F.size(all_) - 1, F.lit(0))),
+            lambda s: F.when(s["kind"] != model, s["start"]),
+        )
+        # Model spans do not overlap each other, so what begins within one comes next.
+        beside = F.zip_with(
+            running(stops, lambda a, x: F.greatest(a, x)),
+            nexts,
+            lambda before, after: F.struct(before.alias("before"), after.alias("after")),
+        )
+        kept = F.zip_with(
+            all_,
+            beside,
+            lambda s, b: F.when(
+                (s["kind"] != model)
+                | ((b["before"] <= s["start"]) & (b["after"].isNull() | (b["after"] >= s["stop"]))),
+                s,
+            ),
+        )
+        return F.filter(kept, lambda s: s.isNotNull())
+
+    return F.when(F.size(spans) > 0, bound(spans, judged)).otherwise(spans)
+
+
 def scan(docs: DataFrame, text: str = "text", ratios: list[float] | None = None) -> DataFrame:
     """docs without the text, with ``spans`` (start, kind, stop) in order.
 
     ``kind`` is a place in KINDS; spans are by code points, stop exclusive. All
     matches of the fixed patterns that are long enough are there, also where
-    kinds overlap; the models add tokens that overlap none of them. A null text
-    is empty and has no spans. ``ratios`` are train()'s, or trained on docs. A
-    column of docs that is named spans is replaced.
+    kinds overlap; the models add tokens that overlap none of them. ``ratios`` are
+    train()'s, or trained on docs; where there are too few labelled secrets to
+    train on, the models add nothing. A null or empty text has no spans, repeated
+    rows come back as often as they came, an empty table gives no rows. A column of
+    docs that is named spans is replaced, others come back as they are.
     """
     ratios = train(docs, text) if ratios is None else ratios
     others = [c for c in docs.columns if c not in (text, "spans")]
@@ -197,18 +309,11 @@ def scan(docs: DataFrame, text: str = "text", ratios: list[float] | None = None)
     fixed = F.flatten(
         F.array(*(F.transform(matches, _of_kind(k)) for k, matches in enumerate(found)))
     )
-    marked = named.select(
-        *others, fixed.alias("ss__fixed"), _modelled(F.col("ss__text"), ratios).alias("ss__more")
-    )
-    model = KINDS.index("model")
-    apart = F.filter(
-        "ss__more",
-        lambda m: ~F.exists(
-            "ss__fixed", lambda f: (f["start"] < m["stop"]) & (m["start"] < f["stop"])
-        ),
-    )
-    more = F.transform(apart, _of_kind(model))
-    return marked.select(*others, F.array_sort(F.concat("ss__fixed", more)).alias("spans"))
+    if ratios is None:
+        return named.select(*others, F.array_sort(fixed).alias("spans"))
+    more = F.transform(_modelled(F.col("ss__text"), ratios), _of_kind(KINDS.index("model")))
+    marked = named.select(*others, F.array_sort(F.concat(fixed, more)).alias("ss__spans"))
+    return marked.select(*others, _apart(F.col("ss__spans")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

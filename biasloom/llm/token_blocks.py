@@ -76,7 +76,8 @@ class WordTokenizer:
     follows, around a line break between visible characters, and behind a run of
     letters. So a text of single spaces and line breaks is the sequence of its
     words' ids, and a word that of its letters' and its punctuation's. Texts
-    with other white space between words are encoded whole.
+    with other white space between words, or with the string of a special token,
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -88,7 +89,8 @@ class WordTokenizer:
 
             path = public_tokenizers.path(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # What the library takes out of a text before it cuts it.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.space = self.letters[32]
@@ -188,6 +190,9 @@ class WordTokenizer:
         bad[first] = False
         bad_row = np.zeros(len(texts), dtype=bool)
         bad_row[row_of[bad]] = True
+        for name in self.special:
+            held = pc.match_substring(texts, name)
+            bad_row |= held.to_numpy(zero_copy_only=False).astype(bool)
         pairs = np.stack([core_of[index], tail_of[index]], axis=1)
         pairs[first, 0] = len(parts) + np.arange(len(texts))
         pairs[first, 1] = nothing

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from biasloom.llm.common import Scratch
+from biasloom.llm.common import Scratch, row_key
 from biasloom.llm.cube_mix import flight, landing, mix, mixed, source_targets
 
 
@@ -99,7 +99,7 @@ def test_mixed_repeats_rows(spark):
     }
     out = mixed(df, Scratch(spark, "test"))
     assert out.columns == df.columns
-    got = out.selectExpr("xxhash64(doc_id, source, text) AS k").groupBy("k").count()
+    got = out.select(row_key(out, "doc_id", "source", "text").alias("k")).groupBy("k").count()
     assert {r.k: r["count"] for r in got.collect()} == counts
 
 
@@ -107,3 +107,27 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix(df, Scratch(spark, "test")).count() == 0
     assert mixed(df, Scratch(spark, "test")).count() == 0
+
+
+def test_rows_that_differ_by_a_null_are_not_alike(spark):
+    rows = [(1, "a b c", None), (1, None, "a b c"), (None, "a b c", "1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mix(df, Scratch(spark, "test"))
+    assert len({r.key for r in found.collect()}) == 3
+    assert {tuple(r) for r in mixed(df, Scratch(spark, "test")).collect()} <= set(rows)
+
+
+def test_many_rows_alike(spark):
+    """A row that comes very often is one row of a cell; its copies share what is taken."""
+    rows = [(7, "a b", "s")] * 5000 + [(k, "c d e", "s") for k in range(50)]
+    rows += [(100 + k, "w " * 40, "t") for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mix(df, Scratch(spark, "test"), cell_rows=20)
+    assert found.count() == len(rows)
+    got = found.groupBy("doc_id").agg({"copies": "min", "*": "count"}).collect()
+    assert {r.doc_id: r["count(1)"] for r in got}[7] == 5000
+    spread = found.filter("doc_id = 7").agg({"copies": "max"}).first()[0]
+    assert spread - min(r["min(copies)"] for r in got if r.doc_id == 7) <= 1
+    taken = found.selectExpr("source_size", "target", "size * copies AS n", "target t")
+    per = taken.groupBy("target").sum("n").collect()
+    assert all(abs(r["sum(n)"] - r.target) <= 0.02 * r.target + 40 for r in per)

@@ -3,6 +3,7 @@ import string
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from biasloom.llm import secret_scan
 from biasloom.llm.secret_scan import KINDS, listed, scan
@@ -109,3 +110,70 @@ def test_letters_alone_and_late_tokens_count(spark):
     model = {i: [s for s in of if s[1] == KINDS.index("model")] for i, of in got.items()}
     assert sum(model[i] == [span] for i, span in want.items()) >= len(want) / 2
     assert sum(bool(of) for i, of in model.items() if i not in want) <= 2
+
+
+def plain_spans(text, ratios):
+    """Every token scored one by one; those that overlap a pattern's match left out."""
+    fixed, more = plain(text), []
+    width = len(secret_scan.ALPHABET)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        at = [secret_scan.ALPHABET.index(c) for c in m[0]]
+        ratio = sum(ratios[a * width + b] for a, b in zip(at, at[1:]))
+        if ratio >= max(secret_scan.LEAST_RATIO, secret_scan.LEAST_MEAN * (len(at) - 1)):
+            if not any(a < m.end() and m.start() < b for a, _, b in fixed):
+                more.append((m.start(), KINDS.index("model"), m.end()))
+    return sorted(fixed + more)
+
+
+def test_model_spans_equal_a_plain_scoring(spark):
+    rng = np.random.default_rng(4)
+    letters = list(string.ascii_letters + string.digits)
+    rows = []
+    for i in range(200):
+        parts = [words(rng, 5)]
+        for _ in range(rng.integers(0, 6)):
+            key = "".join(rng.choice(letters, rng.integers(5, 30)))
+            kind = rng.integers(0, 5)
+            parts.append((key, f"token={key}", f"x{key}AKIA{'Q' * 16}", HEX, "é12345678")[kind])
+            parts.append(words(rng, 3))
+        rows.append((i, " ".join(parts)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ratios = secret_scan.train(df)
+    got = spans(scan(df, ratios=ratios).collect())
+    assert got == {i: plain_spans(t, ratios) for i, t in rows}
+    short = [b - a for of in got.values() for a, k, b in of if k == KINDS.index("model")]
+    assert min(short) < 16
+
+
+def test_without_labelled_secrets(spark):
+    rows = [(1, "1234567890123456 aaaaaaaaaaaaaaaaaaaaaa Zx9QpL0vTr77Wm31kBny"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert secret_scan.train(df) is None
+    assert spans(scan(df).collect()) == {1: [], 2: [], 3: []}
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark):
+    import time
+
+    rng = np.random.default_rng(5)
+    digits = np.array(list("0123456789abcdef"))
+    hashes = ["".join(row) for row in digits[rng.integers(0, 16, (100_000, 32))]]
+    text = "\n".join(hashes) + "\n" + " ".join(f"k{h[:14].upper()}" for h in hashes[:2000])
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    ratios = secret_scan.train(df)
+    began = time.perf_counter()
+    got = spans(scan(df, ratios=ratios).collect())[1]
+    assert time.perf_counter() - began < 60
+    fixed = plain(text)
+    assert [s for s in got if s[1] != KINDS.index("model")] == fixed and len(fixed) == 100_000
+    tail = fixed[-1][2] + 1
+    late = [(a + tail, k, b + tail) for a, k, b in plain_spans(text[tail:], ratios)]
+    assert got[len(fixed) :] == late
+
+
+def test_running(spark):
+    values = [list(range(n)) for n in (0, 1, 2, 64, 65, 300, 5000)]
+    df = spark.createDataFrame([(v,) for v in values], "v array<int>")
+    for join, plainly in ((lambda a, x: a + x, sum), (F.greatest, lambda v: max(v, default=0))):
+        got = df.select(secret_scan.running(F.col("v"), join)).collect()
+        assert [r[0] for r in got] == [[plainly(v[:k]) for k in range(len(v))] for v in values]

@@ -27,7 +27,6 @@ TEXTS = [
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(public_tokenizers.path(NAME))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -38,6 +37,19 @@ def test_words_are_encoded_as_in_the_whole_text(plain):
     assert got == [plain(t) for t in [*TEXTS, None]]
 
 
+def test_texts_with_special_tokens(plain):
+    """As the library does it: their strings are tokens, whatever is beside them."""
+    rng = np.random.default_rng(3)
+    parts = ["<|endoftext|>", "hello", " world", ".", "\n", " ", "<|", "endoftext|>", "é", "12", "\t"]
+    texts = ["hello <|endoftext|> world"]
+    texts += ["".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(3000)]
+    assert len(plain(texts[0])) == 4 and 50256 in plain(texts[0])
+    ids, lengths = WordTokenizer(NAME).encode(pa.array(texts))
+    ends = np.cumsum(lengths)
+    for text, end, n in zip(texts, ends, lengths, strict=True):
+        assert ids[end - n : end].tolist() == plain(text), text
+
+
 def test_a_forgetful_tokenizer_is_right(monkeypatch, plain):
     monkeypatch.setattr(token_blocks, "CACHE_WORDS", 3)
     coder = WordTokenizer(NAME)

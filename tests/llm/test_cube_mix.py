@@ -119,7 +119,7 @@ def test_rows_that_differ_by_a_null_are_not_alike(spark):
 
 def test_many_rows_alike(spark):
     """A row that comes very often is one row of a cell; its copies share what is taken."""
-    rows = [(7, "a b", "s")] * 5000 + [(k, "c d e", "s") for k in range(50)]
+    rows = [(7, "a b", "s")] * 5000 + [(1000 + k, "c d e", "s") for k in range(50)]
     rows += [(100 + k, "w " * 40, "t") for k in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = mix(df, Scratch(spark, "test"), cell_rows=20)

@@ -99,3 +99,32 @@ def test_stages_take_an_empty_table(spark, world):
     docs = documents(spark, folder).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_rows_that_swap_a_null_are_two_rows(spark, world):
+    """A good row is not lost to one with the same values in other columns."""
+    folder, rows, _ = world
+    text = rows[0][1]
+    good = (900, text, None, "s1", 5, None)
+    pair = [good, (900, None, text, "s1", 5, None), (901, "12 34", "en", None, None, "s1"),
+            (901, "12 34", "en", "s1", None, None)]
+    docs = spark.createDataFrame(rows + pair, SCHEMA)
+    kept = [tuple(r) for r in corpus_pipeline.language(spark, docs, folder).collect()]
+    assert good in kept and not any(r[0] == 901 or (r[0] == 900 and r != good) for r in kept)
+    alike = spark.createDataFrame(pair[2:] + [pair[0]], SCHEMA)
+    out = corpus_pipeline.near_duplicates(spark, alike, folder).collect()
+    assert len(out) == 2 and all(tuple(r) in pair for r in out)
+    two = [(1, text, "en", None, 3, "x"), (1, text, "en", "x", 3, None)]
+    mixed = corpus_pipeline.mix(spark, spark.createDataFrame(two, SCHEMA), folder).collect()
+    assert {tuple(r) for r in mixed} <= set(two)
+
+
+def test_short_items_are_cut(spark, world, tmp_path):
+    _, rows, _ = world
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, "zig zag zug")], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    docs = spark.createDataFrame([(1, f"{rows[0][1]} Zig, zag zug {rows[1][1]}", "en", "s", 1, "")], SCHEMA)
+    (out,) = corpus_pipeline.benchmark(spark, docs, folder).collect()
+    assert out.text == f"{rows[0][1]}  {rows[1][1]}" and out.n_chars == len(out.text)

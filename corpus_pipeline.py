@@ -9,11 +9,11 @@ their names; a null id or source is a value like any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from biasloom.llm import cube_mix, decontaminate, language_id, simhash, token_blocks
-from biasloom.llm.common import Scratch, output_folder, table
+from biasloom.llm.common import Scratch, output_folder, row_key, table
 from biasloom.llm.queries import TOKENIZER
 
 #: No SQL expresses the stages; tests/llm holds them against plain versions.
@@ -21,31 +21,26 @@ ORACLE_SQL = None
 LAST_ID = (1 << 63) - 1
 
 
-def _key(docs: DataFrame) -> Column:
-    """One number for rows alike in all columns."""
-    return F.xxhash64(*(F.col(c) for c in docs.columns))
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a language of which it is sure go."""
-    keyed = docs.withColumn("cp__key", _key(docs))
-    judged = language_id.identify(keyed, Scratch(spark, "language"), id="cp__key")
-    # Rows that share a key are alike in all evidence.
-    gone = judged.filter("NOT kept").select(F.col("cp__key").alias("cp__gone")).distinct()
-    return keyed.join(gone, F.col("cp__key") == F.col("cp__gone"), "left_anti").select(
-        *docs.columns
-    )
+    """Language ID: documents without a language of which it is sure go.
+
+    The verdict comes with the row itself.
+    """
+    carried = {f"cp__{k}": c for k, c in enumerate(docs.columns)}
+    judged = language_id.identify(docs, Scratch(spark, "language"), carry=carried)
+    return judged.filter("kept").select(*(F.col(k).alias(c) for k, c in carried.items()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each group the document with the least id stays.
 
     Rows without an id come last in that order; among rows of one id the least
-    hash of all columns decides, and of rows alike in everything one stays.
+    hash of all columns and their nulls decides, and of rows alike in everything one
+    stays.
     """
     name = F.struct(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        _key(docs).alias("key"),
+        row_key(docs).alias("key"),
     )
     named = docs.withColumn("cp__name", name)
     found = simhash.near_duplicates(named, Scratch(spark, "simhash"), id="cp__name")

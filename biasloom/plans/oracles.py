@@ -301,6 +301,47 @@ def _best(rater: str) -> str:
     )
 
 
+JOINT_CURVE = """SELECT grid_id, lam_item, lam_user, lam_genre, round(rmse, 6) AS rmse
+    FROM joint"""
+
+
+def _joint(select: str, rater: str = "customer") -> str:
+    """Naive refits of every combination of a 3 x 4 x 3 grid, scored row by row."""
+
+    def axis(first: float, step: float, points: int, name: str, stride: int) -> str:
+        return (
+            f"(SELECT range * {stride} AS {name}_at, round({first}e0 + range * {step}e0, 10)"
+            f" AS lam_{name} FROM range({points}))"
+        )
+
+    ctes = [
+        "mu AS MATERIALIZED (SELECT avg(rating) AS mu FROM train)",
+        f"""bi AS MATERIALIZED (
+            SELECT item_at, lam_item, item_id, sum(rating - mu) / (count(*) + lam_item) AS bi
+            FROM train CROSS JOIN mu CROSS JOIN {axis(2.0, 0.5, 3, "item", 1)}
+            GROUP BY item_at, lam_item, item_id)""",
+        f"""bu AS MATERIALIZED (
+            SELECT item_at, user_at, lam_user, user_id,
+                   sum(rating - mu - bi) / (count(*) + lam_user) AS bu
+            FROM train JOIN bi USING (item_id) CROSS JOIN mu
+                 CROSS JOIN {axis(4.5, 0.5, 4, "user", 3)}
+            GROUP BY item_at, user_at, lam_user, user_id)""",
+        f"""bg AS MATERIALIZED (
+            SELECT item_at, user_at, genre_at, lam_genre, genres,
+                   sum(rating - mu - bi - bu) / (count(*) + lam_genre) AS bg
+            FROM train JOIN bi USING (item_id) JOIN bu USING (item_at, user_id)
+                 CROSS JOIN mu CROSS JOIN {axis(1.6, 0.1, 3, "genre", 12)}
+            GROUP BY item_at, user_at, genre_at, lam_genre, genres)""",
+        f"""joint AS MATERIALIZED (
+            SELECT item_at + user_at + genre_at AS grid_id, lam_item, lam_user, lam_genre,
+                   {_rmse('mu + bi + bu + bg')} AS rmse
+            FROM test JOIN bi USING (item_id) JOIN bu USING (item_at, user_id)
+                 JOIN bg USING (item_at, user_at, genres) CROSS JOIN mu
+            GROUP BY item_at, user_at, genre_at, lam_item, lam_user, lam_genre)""",
+    ]
+    return _with([*_split(rater), *ctes], select)
+
+
 def _missing(name: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing,"
@@ -338,8 +379,9 @@ def oracle_sql() -> dict[str, str]:
         "left_join_items": _with(
             ratings,
             f"""SELECT {columns.replace(", title, genres", "")},
-                       CASE WHEN item_id % 17 <> 0 THEN title END AS title,
-                       CASE WHEN item_id % 17 <> 0 THEN genres END AS genres
+                       (SELECT p_name FROM part WHERE p_partkey = item_id) AS title,
+                       (SELECT p_type || '|' || replace(p_name, ' ', '|')
+                        FROM part WHERE p_partkey = item_id) AS genres
                 FROM ratings""",
         ),
         "bound_ratings": _with(ratings, f"SELECT {columns} FROM ratings"),
@@ -484,6 +526,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "best_lambdas": _best("customer"),
         "best_lambdas_basket": _best("basket"),
+        "tune_lambdas_jointly": _joint(JOINT_CURVE),
+        "tune_lambdas_jointly_basket": _joint(JOINT_CURVE, "basket"),
+        "best_lambdas_jointly": _joint(
+            """SELECT round(rmse, 6) AS rmse, grid_id, lam_item, lam_user, lam_genre
+               FROM joint ORDER BY joint.rmse, grid_id LIMIT 1"""
+        ),
         "final_holdout_rmse": _with(
             final, _model("final on holdout", 3, "_f", 6, "validation")
         ),

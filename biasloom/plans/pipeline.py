@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from biasloom.operators.effects import Effects, fit
 from biasloom.operators.joins import seen_only
+from biasloom.operators.joint import joint_curve
 from biasloom.operators.sampling import (
     Sample,
     cold_table,
@@ -30,6 +31,7 @@ from biasloom.sources import INPUTS, TableStore, bind_ratings, version
 # Published penalties, tuning grids, fractions and seeds.
 PENALTIES = (2.2, 5.3, 1.7)
 GRIDS = (Axis(2.0, 3.0, 0.1), Axis(4.5, 6.0, 0.1), Axis(1.6, 1.9, 0.1))
+JOINT = (Axis(2.0, 3.0, 0.5), Axis(4.5, 6.0, 0.5), Axis(1.6, 1.8, 0.1))
 HOLDOUT = {"p": 0.1, "seed": 1}
 DEV = {"p": 0.1, "seed": 10}
 SPLIT = {"p": 0.2, "seed": 20}
@@ -203,6 +205,10 @@ class Pipeline:
     def best_penalties(self) -> DataFrame:
         return tune(self.effects, self.train, self.test, GRIDS, self.keep, "tuned")
 
+    def joint_curve(self) -> DataFrame:
+        """The error of every combination of the joint grid's penalties."""
+        return joint_curve(self.effects, self.train, self.test, JOINT, self.keep, "joint")
+
 
 _pipelines: dict[str, Pipeline] = {}
 _lock = threading.Lock()

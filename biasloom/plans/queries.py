@@ -81,8 +81,7 @@ def scan_items_text(p: Pipeline) -> DataFrame:
 
 @query
 def left_join_items(p: Pipeline) -> DataFrame:
-    # Without some items, so that ratings of unknown items stay with NULLs.
-    items = bind_items(p.spark, p.sf_dir).filter("item_id % 17 <> 0")
+    items = bind_items(p.spark, p.sf_dir)
     return attach(p.ratings.drop("title", "genres"), items, "item_id")
 
 
@@ -369,6 +368,21 @@ def best_lambdas_basket(p: Pipeline) -> DataFrame:
     return rounded(p.best_penalties(), "rmse")
 
 
+@query
+def tune_lambdas_jointly(p: Pipeline) -> DataFrame:
+    return rounded(p.joint_curve(), "rmse")
+
+
+@basket_query
+def tune_lambdas_jointly_basket(p: Pipeline) -> DataFrame:
+    return rounded(p.joint_curve(), "rmse")
+
+
+@query
+def best_lambdas_jointly(p: Pipeline) -> DataFrame:
+    return rounded(best_point(p.joint_curve()), "rmse")
+
+
 @query
 def final_holdout_rmse(p: Pipeline) -> DataFrame:
     return rounded(p.final_score(), "rmse")

@@ -5,7 +5,9 @@ from dataclasses import replace
 
 import pytest
 
+from biasloom.operators import joint
 from biasloom.operators.effects import fit
+from biasloom.operators.joint import joint_curve, tune_jointly
 from biasloom.operators.scoring import Model, score
 from biasloom.operators.tuning import (
     Axis,
@@ -111,3 +113,56 @@ def test_effects_for_another_last_penalty_need_no_refit(keep, train, test_rows):
     model = [Model("m", 3, "s")]
     a, b = (score(test_rows, e, model).first()["rmse"] for e in (moved, refit))
     assert a == pytest.approx(b, abs=1e-12)
+
+
+JOINT = (Axis(1.0, 2.0, 0.5), Axis(0.0, 3.0, 1.0), Axis(0.5, 1.5, 0.5))
+
+
+@pytest.mark.parametrize("prefixes, points", [(32, 96), (5, 4)])
+def test_joint_curve_equals_refitting_every_combination(
+    keep, train, test_rows, monkeypatch, prefixes, points
+):
+    monkeypatch.setattr(joint, "PREFIXES", prefixes)
+    monkeypatch.setattr(joint, "POINTS", points)
+    base = fit(train, {"s": (9.0, 9.0, 9.0)}, keep, "base")
+    grid = joint_curve(base, train, test_rows, JOINT, keep, "joint").orderBy("grid_id").collect()
+    assert [r["grid_id"] for r in grid] == list(range(36))
+    assert [r["lam_item"] for r in grid[:4]] == [1.0, 1.5, 2.0, 1.0]
+    points_of = {f"p{r['grid_id']}": (r["lam_item"], r["lam_user"], r["lam_genre"]) for r in grid}
+    assert len(set(points_of.values())) == 36
+    refit = fit(train, points_of, keep, "refit")
+    models = [Model(name, 3, name) for name in points_of]
+    naive = {r["model"]: r["rmse"] for r in score(test_rows, refit, models).collect()}
+    for r in grid:
+        assert r["rmse"] == pytest.approx(naive[f"p{r['grid_id']}"], abs=1e-12)
+    best = tune_jointly(base, train, test_rows, JOINT, keep, "joint").first()
+    assert best["rmse"] == min(r["rmse"] for r in grid)
+
+
+@pytest.mark.parametrize("depth", [1, 2])
+def test_joint_curve_of_fewer_axes(keep, train, test_rows, depth):
+    base = fit(train, {"s": (9.0, 9.0, 9.0)}, keep, "base")
+    grid = joint_curve(base, train, test_rows, JOINT[:depth], keep, "joint").collect()
+    for r in grid:
+        lams = [r[c] for c in ("lam_item", "lam_user")[:depth]]
+        refit = fit(train, {"s": (*lams, 0.0)}, keep, f"refit{r['grid_id']}")
+        naive = score(test_rows, refit, [Model("m", depth, "s")]).first()
+        assert r["rmse"] == pytest.approx(naive["rmse"], abs=1e-12)
+    assert len(grid) == (3, 12)[depth - 1]
+
+
+def test_joint_curve_with_an_unseen_group_is_missing(spark, keep, train, test_rows):
+    base = fit(train, {"s": (9.0, 9.0, 9.0)}, keep, "base")
+    for unseen in ((99, 1, 3.0, "g1"), (1, 99, 3.0, "g1"), (1, 1, 3.0, "new")):
+        rows = test_rows.unionByName(spark.createDataFrame([unseen], SCHEMA))
+        grid = joint_curve(base, train, rows, JOINT, keep, "joint").collect()
+        assert {r["rmse"] for r in grid} == {None}
+
+
+def test_joint_curve_scans_rows_once_a_level(spark, keep, train, test_rows, scans):
+    """However many points: two scans of train (the first level is reused), one of test."""
+    base = fit(train, {"s": (9.0, 9.0, 9.0)}, keep, "base")
+    counted, seen = scans(train)
+    tested, seen_test = scans(test_rows)
+    joint_curve(base, counted, tested, JOINT, keep, "joint").collect()
+    assert (seen(), seen_test()) == (2 * train.count(), test_rows.count())

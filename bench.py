@@ -51,7 +51,7 @@ def steps(p: Pipeline) -> dict:
         "top_items_by_count": lambda: run(
             profile.most_frequent(p.development, ["item_id", "title"], 10)
         ),
-        "rating_histogram": lambda: run(histogram.fixed_width(p.development, "rating", 0.5)),
+        "rating_histogram": lambda: run(histogram.fixed_width(p.development, "rating", 0.5, True)),
         "user_effect_histogram": lambda: run(
             histogram.fixed_count(
                 effect_table(p.effects, "user_id", "plain", "b"), "b", 20

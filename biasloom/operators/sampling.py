@@ -14,7 +14,7 @@ import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from biasloom.functions import row_hash
@@ -25,6 +25,8 @@ from biasloom.sources.store import TableStore
 BUCKETS = 4096
 RANGE_BITS = 12
 COPY_CHUNK = 1_000_000
+#: Rows around the thresholds that are looked at on the driver; more, on the executors.
+EDGE_ROWS = 50_000
 COPY = "_copy"
 QUARTILES = (0.25, 0.5, 0.75)
 # A wanted rank is looked for within so many shares of the rows around it, as
@@ -128,6 +130,21 @@ def order_statistics(
     return found
 
 
+def _ordered(
+    rows: Sequence[Row], spans: Mapping[tuple[int, int], tuple[int, int, int]]
+) -> dict[tuple[int, int], OrderStatistic]:
+    """order_statistics() of few rows (stratum, hash, count)."""
+    found = {}
+    for (s, rank), (lo, hi, below) in spans.items():
+        for value, n in sorted((r["hash"], r["count"]) for r in rows if r["stratum"] == s):
+            if lo <= value <= hi:
+                if rank < below + n:
+                    found[s, rank] = OrderStatistic(value, below, n)
+                    break
+                below += n
+    return found
+
+
 def outcome_value(column: str) -> Column:
     """The outcome as a double; NaN counts as missing."""
     value = F.col(column).cast("double")
@@ -399,6 +416,7 @@ def _range(hashed: Column) -> Column:
 class Stratum:
     quota: int
     span: tuple[int, int, int] | None  # the hash range of the quota's last row
+    rows: int = 0  # rows in that range
 
 
 def _strata(counts: DataFrame, quota: Column) -> dict[int, Stratum]:
@@ -414,7 +432,7 @@ def _strata(counts: DataFrame, quota: Column) -> dict[int, Stratum]:
         )
         .withColumn("quota", quota)
         .groupBy("stratum", "quota")
-        .agg(F.max(F.when(holds, F.struct("range", "before"))).alias("at"))
+        .agg(F.max(F.when(holds, F.struct("range", "before", "n"))).alias("at"))
         .collect()
     )
     width = HASH_BITS - RANGE_BITS
@@ -427,6 +445,7 @@ def _strata(counts: DataFrame, quota: Column) -> dict[int, Stratum]:
                 min(HASH_MAX, ((r["at"]["range"] + 1) << width) - 1),
                 r["at"]["before"],
             ),
+            r["at"]["n"] if r["at"] else 0,
         )
         for r in rows
     }
@@ -465,8 +484,12 @@ def _select(
     stats = {}
     if spans:
         # Filtered after the projection, so that hashes are computed once.
-        edge = keep("sample_edge", lambda: rows.filter(near))
-        stats = order_statistics(edge, F.col("hash"), spans, F.col("stratum"))
+        edge = rows.filter(near)
+        if sum(found.rows for found in strata.values()) <= EDGE_ROWS:
+            stats = _ordered(edge.groupBy("stratum", "hash").count().collect(), spans)
+        else:
+            edge = keep("sample_edge", lambda: edge)
+            stats = order_statistics(edge, F.col("hash"), spans, F.col("stratum"))
     groups: dict[tuple[int, int], int] = {}
     thresholds = {}
     for (s, _), at in stats.items():
@@ -571,7 +594,7 @@ def holdout_split(
     Sampled rows with a key that occurs in sampled rows only are ``cold``: the
     test part may not hold them. They go back to train (``give_back``) or are
     left out; the verdict depends on the row's own keys, so no anti-join over
-    whole rows is needed. The flagged rows are written once, apart by the flag,
+    whole rows is needed, and one aggregate finds the cold values of all keys. The flagged rows are written once, apart by the flag,
     and the sampled ones once more with their verdict. ``sample`` may be a
     function that fits it; ``of`` says what it is made of, and it is called
     only if the flagged rows are not prepared yet.
@@ -589,16 +612,11 @@ def holdout_split(
     flagged = keep(f"{name}_flagged", flag, partition_by=["in_sample"], of=of)
     train = flagged.filter(~F.col("in_sample")).withColumn("cold", F.lit(False))
     test = flagged.filter("in_sample").withColumn("cold", F.lit(False))
-    for key in keys:
-        cold_keys = keep(
-            cold_table(name, key),
-            lambda key=key: flagged.groupBy(key)
-            .agg(F.bool_and("in_sample").alias("all_sampled"))
-            .filter("all_sampled"),
-        )
-        found = F.col("all_sampled").isNotNull()
-        test = attach(test, cold_keys, key)
-        test = test.withColumn("cold", F.col("cold") | found).drop("all_sampled")
+    cold = keep(cold_table(name), lambda: cold_keys(flagged, keys))
+    for place, key in enumerate(keys):
+        of_key = cold.filter(F.col("of") == place).select(key, F.lit(True).alias("found"))
+        test = attach(test, of_key, key)
+        test = test.withColumn("cold", F.col("cold") | F.col("found").isNotNull()).drop("found")
     test = keep(f"{name}_sampled", lambda: test, of=[*of, tuple(keys)])
     train = train.withColumn("part", F.lit("train"))
     if give_back:
@@ -611,6 +629,25 @@ def holdout_split(
     return train.select(*columns).unionByName(test.select(*columns))
 
 
-def cold_table(name: str, key: str) -> str:
-    """What a split calls its table of one key's cold values; only it reads it."""
-    return f"{name}_cold_{key}"
+def cold_keys(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows (of, keys): the values of each key that occur in sampled rows only.
+
+    ``of`` is the place of the key the row is about; the others are NULL there. All
+    keys are grouped by in one read of the rows.
+    """
+    if len(keys) == 1:
+        grouped = flagged.groupBy(*keys).agg(F.bool_and("in_sample").alias("all_sampled"))
+        return grouped.filter("all_sampled").select(F.lit(0).alias("of"), *keys)
+    grouped = flagged.groupingSets([[key] for key in keys], *keys).agg(
+        F.bool_and("in_sample").alias("all_sampled"), F.grouping_id().alias("id")
+    )
+    # A bit is set for each key that a row is not grouped by, the first key's highest.
+    every = (1 << len(keys)) - 1
+    ids = [every & ~(1 << (len(keys) - 1 - place)) for place in range(len(keys))]
+    of = F.expr(case((f"id = {i}", place) for place, i in enumerate(ids)))
+    return grouped.filter("all_sampled").select(of.cast("int").alias("of"), *keys)
+
+
+def cold_table(name: str) -> str:
+    """What a split calls its table of cold keys; only it reads it."""
+    return f"{name}_cold"

@@ -374,6 +374,28 @@ def oracle_sql() -> dict[str, str]:
         "scan_ratings_text": _with(
             ratings, "SELECT user_id, item_id, rating, ts FROM ratings"
         ),
+        "accepted_lines": _with(
+            ratings, "SELECT user_id, item_id, rating, ts FROM ratings"
+        ),
+        "rejected_lines": """
+            SELECT concat_ws('::', p_partkey, p_name, p_type) AS line, '3 fields' AS reason
+            FROM part
+            UNION ALL
+            SELECT concat_ws('::', p_partkey, p_size, p_name, p_brand),
+                   'unreadable: rating, ts' FROM part""",
+        "order_total_runs": """
+            WITH binned AS (
+                SELECT CAST(ceil(o_totalprice / 0.01e0 - 0.5e0) AS BIGINT) AS slot,
+                       count(*) AS n
+                FROM orders GROUP BY 1),
+            ranked AS (
+                SELECT *, lag(slot) OVER (ORDER BY slot) AS before, min(slot) OVER () AS lo
+                FROM binned)
+            SELECT slot - lo AS bin, round(slot * 0.01e0, 6) AS center, n,
+                   CAST(1 AS BIGINT) AS bins FROM ranked
+            UNION ALL
+            SELECT before + 1 - lo, round((before + 1) * 0.01e0, 6), CAST(0 AS BIGINT),
+                   slot - before - 1 FROM ranked WHERE slot - before > 1""",
         "scan_items_text": """SELECT p_partkey AS item_id, p_name AS title,
             concat(p_type, '::', p_brand) AS genres FROM part""",
         "left_join_items": _with(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +62,13 @@ class Pipeline:
         sf_dir: str,
         rater: str = "customer",
         store: str = "tables",
+        known: Mapping[str, str] | None = None,
     ):
+        """``known`` has marks of the inputs' files by path; else they are taken here."""
         self.spark, self.sf_dir, self.rater = spark, sf_dir, rater
-        self.store = TableStore(spark, f"{store}/{rater}")
+        if known is None:
+            known = input_marks(spark, sf_dir)
+        self.store = TableStore(spark, f"{store}/{rater}", known)
         self.keep = self.store.keep
 
     # -- tables ------------------------------------------------------------
@@ -83,8 +88,7 @@ class Pipeline:
         split = holdout_split(
             df, lambda: self.sample(df, p, seed), COLD_KEYS, self.keep, name, give_back, of
         )
-        self.store.drop(*(cold_table(name, key) for key in COLD_KEYS))
-        self.store.drop("sample_counts", "sample_edge")
+        self.store.drop(cold_table(name), "sample_counts", "sample_edge")
         return split
 
     @cached_property
@@ -210,6 +214,12 @@ class Pipeline:
         return joint_curve(self.effects, self.train, self.test, JOINT, self.keep, "joint")
 
 
+def input_marks(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """A mark of each input's files; the only listing of them that a pipeline needs."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in INPUTS]
+    return {path: version(spark, path) for path in paths}
+
+
 _pipelines: dict[str, Pipeline] = {}
 _lock = threading.Lock()
 
@@ -217,10 +227,10 @@ _lock = threading.Lock()
 def pipeline(spark: SparkSession, sf_dir: str, rater: str = "customer") -> Pipeline:
     """The application's pipeline over a folder, a new one when its files change."""
     sf_dir = sf_dir.rstrip("/")
-    marks = [version(spark, f"{sf_dir}/{name}.parquet") for name in INPUTS]
-    folder = hashlib.md5("|".join(marks).encode()).hexdigest()[:12]
+    marks = input_marks(spark, sf_dir)
+    folder = hashlib.md5("|".join(marks.values()).encode()).hexdigest()[:12]
     key = f"{spark.sparkContext.applicationId}/{folder}/{rater}"
     with _lock:
         if key not in _pipelines:
-            _pipelines[key] = Pipeline(spark, sf_dir, rater, folder)
+            _pipelines[key] = Pipeline(spark, sf_dir, rater, folder, marks)
         return _pipelines[key]

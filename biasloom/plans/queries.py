@@ -25,6 +25,7 @@ from biasloom.sources import (
     bind_ratings,
     read_items,
     read_ratings,
+    split_ratings,
     table,
 )
 
@@ -66,7 +67,32 @@ def scan_ratings_text(p: Pipeline) -> DataFrame:
     fields = ["user_id", "item_id", "rating", "ts"]
     lines = p.ratings.select(F.concat_ws("::", *fields).alias("value"))
     p.keep("ratings_text", lambda: lines, fmt="text")
-    return read_ratings(p.spark, p.store.path("ratings_text", lines))
+    return read_ratings(p.spark, p.store.files("ratings_text", lines))
+
+
+def _mixed_lines(p: Pipeline):
+    """Lines of ratings and of items in one folder; items are no ratings."""
+    part = table(p.spark, p.sf_dir, "part")
+    ratings = p.ratings.select(
+        F.concat_ws("::", "user_id", "item_id", "rating", "ts").alias("value")
+    )
+    items = part.select(F.concat_ws("::", "p_partkey", "p_name", "p_type").alias("value"))
+    wider = part.select(
+        F.concat_ws("::", "p_partkey", "p_size", "p_name", "p_brand").alias("value")
+    )
+    lines = ratings.unionByName(items).unionByName(wider)
+    p.keep("mixed_text", lambda: lines, fmt="text")
+    return split_ratings(p.spark, p.store.files("mixed_text", lines), p.keep, "mixed")
+
+
+@query
+def accepted_lines(p: Pipeline) -> DataFrame:
+    return _mixed_lines(p).rows
+
+
+@query
+def rejected_lines(p: Pipeline) -> DataFrame:
+    return _mixed_lines(p).rejected.select("line", "reason")
 
 
 @query
@@ -76,7 +102,7 @@ def scan_items_text(p: Pipeline) -> DataFrame:
     fields = ["p_partkey", "p_name", "p_type", "p_brand"]
     lines = part.select(F.concat_ws("::", *fields).alias("value"))
     p.keep("items_text", lambda: lines, fmt="text")
-    return read_items(p.spark, p.store.path("items_text", lines))
+    return read_items(p.spark, p.store.files("items_text", lines))
 
 
 @query
@@ -156,14 +182,21 @@ def distinct_genres(p: Pipeline) -> DataFrame:
 
 @query
 def rating_histogram(p: Pipeline) -> DataFrame:
-    return rounded(histogram.fixed_width(p.development, "rating", 0.5), "center")
+    return rounded(histogram.fixed_width(p.development, "rating", 0.5, True), "center")
 
 
 @query
 def event_value_histogram(p: Pipeline) -> DataFrame:
     # A width that no double holds exactly.
     events = table(p.spark, p.sf_dir, "events")
-    return rounded(histogram.fixed_width(events, "value", 0.1), "center")
+    return rounded(histogram.fixed_width(events, "value", 0.1, True), "center")
+
+
+@query
+def order_total_runs(p: Pipeline) -> DataFrame:
+    # Values far apart: nearly all of the bins are empty.
+    orders = table(p.spark, p.sf_dir, "orders")
+    return rounded(histogram.fixed_width(orders, "o_totalprice", 0.01), "center")
 
 
 def _effect_histogram(p: Pipeline, level: str) -> DataFrame:

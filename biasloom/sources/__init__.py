@@ -1,6 +1,6 @@
 from biasloom.sources.store import TableStore, load_or_build, shared_root, version
 from biasloom.sources.tables import INPUTS, bind_items, bind_ratings, table
-from biasloom.sources.text import read_items, read_ratings
+from biasloom.sources.text import read_items, read_ratings, split_ratings
 
 __all__ = [
     "INPUTS",
@@ -11,6 +11,7 @@ __all__ = [
     "read_items",
     "read_ratings",
     "shared_root",
+    "split_ratings",
     "table",
     "version",
 ]

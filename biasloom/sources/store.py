@@ -9,25 +9,41 @@ A table's folder is named by what it is made of: the plan that describes it,
 with its parameters, and the paths, lengths and times of the files it reads. A
 name may so be used again for another table, a changed input gives a new table,
 and a later application over the same input finds the tables of an earlier one.
+A prepared table is known by its folder, and an input folder that its reader has
+taken a mark of by that mark, so files are listed once, not for every table.
+
+Each attempt at a table is written to a folder of its own and stays there. A
+small pointer file, created by one writer only, says which attempt is the table:
+nothing is moved, which an object store would do by copying.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import tempfile
 import threading
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SCHEMA = "_schema"
-#: Leaves of a plan whose printed form says all about them.
-TOLD = ("Range", "OneRowRelation", "LogicalRelation")
-
+#: Names the attempt that is the table.
+POINTER = "_table"
+ATTEMPT = re.compile(r"attempt-[0-9a-f]{32}")
+#: Files of a folder that are listed on the driver; more, by Spark.
+LISTED = 1000
+#: Leaves of a plan without files whose printed form says all about them.
+TOLD = ("Range", "OneRowRelation")
+
+#: Attempts this process has read or written, and the tables they are.
+_prepared: dict[str, str] = {}
 _scratch: dict[str, str] = {}
 _scratch_lock = threading.Lock()
 
@@ -69,6 +85,11 @@ def _locate(spark: SparkSession, *parts: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def _plain(spark: SparkSession, path: str) -> str:
+    """A path without its scheme."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+
+
 def _digest(marks: Iterable[str]) -> str:
     return hashlib.md5("\n".join(marks).encode()).hexdigest()
 
@@ -78,38 +99,43 @@ def _mark(status) -> str:
 
 
 def version(spark: SparkSession, path: str) -> str:
-    """A mark that changes when the file at path, or any file below it, does."""
+    """A mark that changes when the file at path, or any file below it, does.
+
+    A folder of many files is listed and digested by Spark.
+    """
     files, location = _locate(spark, path)
     if files.getFileStatus(location).isFile():
         return _mark(files.getFileStatus(location))
     found, marks = files.listFiles(location, True), []
-    while found.hasNext():
+    while found.hasNext() and len(marks) <= LISTED:
         marks.append(_mark(found.next()))
-    return f"{path}:{_digest(sorted(marks))}"
-
-
-def _file_marks(spark: SparkSession, paths: Iterable[str]) -> Iterator[str]:
-    """Marks of single files, one listing for each of their folders."""
-    folders = defaultdict(set)
-    for path in paths:
-        folders[path.rsplit("/", 1)[0]].add(path.rsplit("/", 1)[1])
-    for folder, names in sorted(folders.items()):
-        uri = spark._jvm.java.net.URI(folder)
-        location = spark._jvm.org.apache.hadoop.fs.Path(uri)
-        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        encoded = {spark._jvm.java.net.URI(f"{folder}/{n}").getPath() for n in names}
-        marks = [
-            _mark(s)
-            for s in files.listStatus(location)
-            if s.getPath().toUri().getPath() in encoded
-        ]
-        yield from sorted(marks)
-
-
-def identity(df: DataFrame) -> str:
+    if len(marks) <= LISTED:
+        return f"{path}:{_digest(sorted(marks))}"
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    hashed = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    total = listed.agg(
+        F.count(F.lit(1)), F.sum("length"), F.sum(hashed.cast("decimal(38,0)"))
+    ).first()
+    return f"{path}:{_digest(map(str, total))}"
+
+
+def _roots(leaf) -> list[str] | None:
+    """The paths a leaf of a plan was asked to read; None if it reads no files."""
+    if leaf.getClass().getSimpleName() != "LogicalRelation":
+        return None
+    try:
+        found = leaf.relation().location().rootPaths()
+    except (Py4JError, Py4JJavaError):
+        return None
+    return [found.apply(i).toString() for i in range(found.size())]
+
+
+def identity(df: DataFrame, known: Mapping[str, str] | None = None) -> str:
     """What a DataFrame is made of: its plan with all values, and its files.
 
-    Data that comes from no file is known within its application only.
+    ``known`` has marks of inputs by their path; prepared tables are known too, and
+    only other paths are looked at. Data that comes from no file is known within
+    its application only.
     """
     spark = df.sparkSession
     plan = df._jdf.queryExecution().analyzed()
@@ -120,42 +146,77 @@ def identity(df: DataFrame) -> str:
         marks = [plan.canonicalized().toString()]
     finally:
         spark.conf.set(limit, before)
+    inputs = {_plain(spark, path): mark for path, mark in (known or {}).items()}
+    told, seen = True, {}
     leaves = plan.collectLeaves()
-    kinds = [leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())]
-    marks += _file_marks(spark, df.inputFiles())
-    if any(kind not in TOLD for kind in kinds):
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        roots = _roots(leaf)
+        if roots is None:
+            told = told and leaf.getClass().getSimpleName() in TOLD
+            continue
+        for root in roots:
+            plain = _plain(spark, root)
+            if plain not in seen:
+                seen[plain] = _prepared.get(plain) or inputs.get(plain) or version(spark, root)
+            marks.append(seen[plain])
+    if not told:
         marks += [spark.sparkContext.applicationId, str(df.semanticHash())]
     return _digest(marks)
 
 
+def _text(files, path) -> str:
+    stream = files.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _put(files, path, text: str, replace: bool) -> None:
+    stream = files.create(path, replace)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The folder with the rows of the table at path; None if there is no table.
+
+    A pointer that was cut short names no attempt and counts as none.
+    """
+    files, pointer = _locate(spark, path, POINTER)
+    if not files.exists(pointer):
+        return None
+    name = _text(files, pointer)
+    return f"{path}/{name}" if ATTEMPT.fullmatch(name) else None
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
-    files, marker = _locate(spark, path, "_SUCCESS")
-    return files.exists(marker)
+    return published(spark, path) is not None
+
 
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> str:
+    """Write an attempt and publish it; the attempt that is the table in the end.
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
-    """Write beside path, then move: a table is there as a whole or not at all."""
-    spark, attempt = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    Of several writers the first to create the pointer wins, and the others take
+    its attempt for theirs.
+    """
+    spark, name = df.sparkSession, f"attempt-{uuid.uuid4().hex}"
+    attempt = f"{path}/{name}"
     df.write.format(fmt).partitionBy(*partition_by).save(attempt)
-    files, source = _locate(spark, attempt)
-    note = files.create(_locate(spark, attempt, SCHEMA)[1])
-    note.write(bytearray(df.schema.json().encode()))
-    note.close()
-    _, target = _locate(spark, path)
-    if files.exists(target) and not is_complete(spark, path):
-        files.delete(target, True)
-    if files.exists(target) or not files.rename(source, target):
-        files.delete(source, True)
-
-
-def _schema(spark: SparkSession, path: str) -> StructType:
-    files, note = _locate(spark, path, SCHEMA)
-    stream = files.open(note)
+    files, note = _locate(spark, attempt, SCHEMA)
+    _put(files, note, df.schema.json(), True)
+    _, pointer = _locate(spark, path, POINTER)
+    torn = files.exists(pointer) and published(spark, path) is None
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return StructType.fromJson(json.loads(text))
+        _put(files, pointer, name, torn)
+    except Py4JJavaError:
+        if published(spark, path) is None:
+            raise
+    chosen = published(spark, path)
+    if chosen != attempt:
+        files.delete(_locate(spark, attempt)[1], True)
+    return chosen
 
 
 def load_or_build(
@@ -165,25 +226,38 @@ def load_or_build(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Read the table at path; build and write it first if it is not complete."""
-    if not is_complete(spark, path):
-        _write(build(), path, partition_by, fmt)
-    return spark.read.format(fmt).schema(_schema(spark, path)).load(path)
+    """Read the table at path; build and write it first if it is not there."""
+    found = published(spark, path) or _write(build(), path, partition_by, fmt)
+    _prepared[_plain(spark, found)] = f"{path}@{found.rsplit('/', 1)[1]}"
+    files, note = _locate(spark, found, SCHEMA)
+    schema = StructType.fromJson(json.loads(_text(files, note)))
+    return spark.read.format(fmt).schema(schema).load(found)
 
 
 class TableStore:
-    """Prepared tables under one folder."""
+    """Prepared tables under one folder.
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    ``known`` has marks of input folders by their path, taken by version(): those
+    folders are not listed again for each table that is made of them.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, known: Mapping[str, str] | None = None):
+        self.spark, self.known = spark, dict(known or {})
         self.root = f"{shared_root(spark)}/biasloom/{name}"
         self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def path(self, name: str, *of: object) -> str:
         """Where the table of this name lies that is made of these things."""
-        marks = [identity(x) if isinstance(x, DataFrame) else repr(x) for x in of]
+        marks = [identity(x, self.known) if isinstance(x, DataFrame) else repr(x) for x in of]
         return f"{self.root}/{name}-{_digest(marks)[:16]}"
 
+    def files(self, name: str, *of: object) -> str:
+        """The folder that holds the rows of that table, which is there already."""
+        found = published(self.spark, self.path(name, *of))
+        if found is None:
+            raise FileNotFoundError(f"no table {name}")
+        return found
+
     def keep(
         self,
         name: str,

@@ -53,7 +53,7 @@ def test_top_breaks_ties_by_key(df):
 
 
 def test_fixed_width_bins_are_centred_on_multiples(df):
-    rows = [tuple(r) for r in histogram.fixed_width(df, "rating", 0.5).collect()]
+    rows = [tuple(r) for r in histogram.fixed_width(df, "rating", 0.5, True).collect()]
     filled = {center: n for _, center, n in rows if n}
     assert filled == {0.5: 1, 3.0: 2, 5.0: 1}
     assert len(rows) == 10
@@ -86,7 +86,7 @@ def test_no_value_falls_outside_the_bins(spark, width):
     edges = [(k + d) * width for k in range(-40, 60) for d in (-0.5, 0.0, 0.5)]
     values = [*edges, 0.0, 0.2, 0.55, 0.55, None, float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    for found in (histogram.fixed_width(df, "x", width), histogram.fixed_count(df, "x", 20)):
+    for found in (histogram.fixed_width(df, "x", width, True), histogram.fixed_count(df, "x", 20)):
         rows = found.collect()
         assert sum(r["n"] for r in rows) == len(values) - 2
         assert [r["bin"] for r in sorted(rows)] == list(range(len(rows)))
@@ -97,3 +97,57 @@ def test_infinite_values_have_no_bin(spark):
     for make in (lambda: histogram.fixed_width(df, "x", 0.1), lambda: histogram.fixed_count(df, "x", 5)):
         with pytest.raises(ValueError, match="infinite"):
             make()
+
+
+@pytest.mark.parametrize("page", [4096, 3])
+@pytest.mark.parametrize(
+    "values", [[0.0], [0.0, 0.1, 0.1], [-3.0, 7.25, 7.3, 7.3, 900.0], [float(k * k) for k in range(60)]]
+)
+def test_runs_of_empty_bins_are_one_row(spark, monkeypatch, page, values):
+    monkeypatch.setattr(histogram, "PAGE", page)
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
+    runs = [tuple(r) for r in histogram.fixed_width(df, "x", 0.1).orderBy("bin").collect()]
+    whole = [tuple(r) for r in histogram.fixed_width(df, "x", 0.1, True).orderBy("bin").collect()]
+    assert len(runs) <= 2 * len(set(values))
+    assert all((n == 0) or bins == 1 for _, _, n, bins in runs)
+    assert not any(a[2] == b[2] == 0 for a, b in zip(runs, runs[1:]))
+    spread = [
+        (bin_ + k, n) for bin_, _, n, bins in runs for k in range(bins)
+    ]
+    assert spread == [(bin_, n) for bin_, _, n in whole]
+    centers = {bin_: center for bin_, center, _ in whole}
+    assert all(center == pytest.approx(centers[bin_]) for bin_, center, *_ in runs)
+
+
+def test_values_far_apart_make_few_bins(spark):
+    df = spark.createDataFrame([(0.0,), (1e9,), (1e12,)], "x double")
+    found = histogram.fixed_width(df, "x", 0.1)
+    assert [(r.n, r.bins) for r in found.orderBy("bin").collect()] == [
+        (1, 1), (0, 10**10 - 1), (1, 1), (0, 10**13 - 10**10 - 1), (1, 1)
+    ]
+    assert histogram.fixed_width(df.limit(0), "x", 0.1).columns == ["bin", "center", "n", "bins"]
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "double", "string"])
+def test_distinct_counts_of_any_kind(spark, kind):
+    rows = [(k % 50 - 20, k % 7 if k % 3 else None) for k in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b int").selectExpr(
+        f"CAST(a AS {kind}) a", f"CAST(b AS {kind}) b"
+    )
+    named = {"n_a": "a", "n_b": "b", "again": "a"}
+    for rows_a_bitmap in (1, 10**9):
+        old, profile.ROWS_A_BITMAP = profile.ROWS_A_BITMAP, rows_a_bitmap
+        try:
+            counts = profile.distinct_counts(df, named)
+            assert tuple(counts.first()) == (50, 8, 50)
+            assert tuple(profile.distinct_counts(df.limit(0), named).first()) == (0, 0, 0)
+        finally:
+            profile.ROWS_A_BITMAP = old
+        assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sparse_numbers_are_not_put_into_bitmaps(spark):
+    wide = spark.range(3000).selectExpr("xxhash64(id) AS x", "id AS y")
+    assert profile._dense(wide, ["x", "y"]) == {"y"}
+    ends = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,), (None,)], "x long")
+    assert profile.distinct_counts(ends, {"n": "x"}).first()["n"] == 4

@@ -12,6 +12,7 @@ from biasloom.operators import sampling
 from biasloom.operators.joins import seen_only
 from biasloom.operators.sampling import (
     Copies,
+    cold_keys,
     holdout_split,
     order_statistics,
     quantiles,
@@ -314,3 +315,27 @@ def test_seen_only_matches_missing_with_missing(spark, keep):
     )
     kept = seen_only(test, train, ["item_id", "user_id"], keep, "seen")
     assert sorted(r["row"] for r in kept.collect()) == [0, 1]
+
+
+def test_cold_keys_of_all_keys_in_one_read(spark, keep, sparse, scans):
+    flagged = stratified_sample(sparse, "rating", 0.2, 1, ["row"]).flagged(sparse)
+    rows, read = scans(flagged)
+    found = cold_keys(rows, ["item_id", "user_id"]).collect()
+    assert read() == sparse.count()
+    drawn = flagged.collect()
+    for place, key in enumerate(["item_id", "user_id"]):
+        want = {r[key] for r in drawn} - {r[key] for r in drawn if not r["in_sample"]}
+        assert want and {r[key] for r in found if r["of"] == place} == want
+    one = cold_keys(flagged, ["user_id"]).collect()
+    assert {r["user_id"] for r in one} == {r["user_id"] for r in found if r["of"] == 1}
+
+
+@pytest.mark.parametrize("p", [0.1, 0.5])
+def test_thresholds_are_the_same_on_the_driver_and_off_it(spark, monkeypatch, p):
+    df = ratings(spark, 4000)
+    for key in (["row"], None):
+        here = stratified_sample(df, "rating", p, 3, key)
+        monkeypatch.setattr(sampling, "EDGE_ROWS", 0)
+        there = stratified_sample(df, "rating", p, 3, key)
+        monkeypatch.undo()
+        assert (here.thresholds, here.groups) == (there.thresholds, there.groups)

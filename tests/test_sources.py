@@ -8,6 +8,8 @@ import pytest
 from biasloom.operators.effects import effect_table, fit
 from biasloom.operators.joins import attach, rows_not_in
 from biasloom.operators.tuning import Axis, lam_column, tune
+from biasloom.plans import pipeline as pipeline_module
+from biasloom.sources import store as store_module
 from biasloom.sources import (
     TableStore,
     bind_ratings,
@@ -15,9 +17,12 @@ from biasloom.sources import (
     read_items,
     read_ratings,
     shared_root,
+    split_ratings,
     version,
 )
 
+published = store_module.published
+
 RATINGS = """1::10::5::1000
 1::11::3.5::1001
 2::10::4::1002
@@ -93,7 +98,7 @@ def test_load_or_build_builds_once_and_again_when_incomplete(spark, tmp_path):
     for _ in range(2):
         assert load_or_build(spark, path, build).count() == 3
     assert len(built) == 1
-    (tmp_path / "prepared" / "_SUCCESS").unlink()
+    (tmp_path / "prepared" / "_table").unlink()
     assert load_or_build(spark, path, build).count() == 3
     assert len(built) == 2
 
@@ -207,3 +212,111 @@ def test_version_changes_with_the_file(spark, tmp_path):
 def test_unknown_rater_is_refused(spark):
     with pytest.raises(ValueError):
         bind_ratings(spark, "/nowhere", "visitor")
+
+
+def test_publishing_moves_nothing_and_writers_agree(spark, tmp_path, monkeypatch):
+    """A second writer that began earlier takes the first one's table for its own."""
+    path = str(tmp_path / "t")
+
+    def slow():
+        assert load_or_build(spark, path, lambda: spark.range(3)).count() == 3
+        return spark.range(3).repartition(2)
+
+    written = {p.name for p in (tmp_path).glob("t/*")}
+    assert not written and load_or_build(spark, path, slow).count() == 3
+    names = sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith("."))
+    assert len(names) == 2 and names[0] == "_table"
+    assert (tmp_path / "t" / "_table").read_text() == names[1]
+
+
+def test_a_killed_write_leaves_no_table_and_no_harm(spark, tmp_path):
+    path = tmp_path / "t"
+
+    def killed():
+        # Rows are written, then the writer dies before it publishes them.
+        spark.range(5).write.parquet(str(path / f"attempt-{'0' * 32}"))
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError):
+        load_or_build(spark, str(path), killed)
+    assert published(spark, str(path)) is None
+    (path / "_table").write_text("attempt-00")  # a pointer cut short
+    for crc in path.glob("._table.crc"):
+        crc.unlink()
+    assert load_or_build(spark, str(path), lambda: spark.range(3)).count() == 3
+    assert load_or_build(spark, str(path), killed).count() == 3
+
+
+def test_an_old_table_is_readable_while_a_new_one_is_made(spark, store, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.range(5).write.parquet(folder)
+    old = store.keep("t", lambda: spark.read.parquet(folder))
+    spark.range(5, 8).write.mode("append").parquet(folder)
+
+    def building():
+        assert old.count() == 5
+        return spark.read.parquet(folder)
+
+    new = store.keep("t", building, of=[spark.read.parquet(folder)])
+    assert (old.count(), new.count()) == (5, 8)
+
+
+def test_inputs_are_listed_once(spark, tmp_path, monkeypatch):
+    """A pipeline's tables name their inputs by the marks taken when it began."""
+    listed = []
+    plain = store_module.version
+    monkeypatch.setattr(
+        store_module, "version", lambda s, path: listed.append(path) or plain(s, path)
+    )
+    monkeypatch.setattr(pipeline_module, "version", store_module.version)
+    p = pipeline_module.Pipeline(spark, "/root/testdata/sf0.001", store=f"test-{uuid.uuid4().hex}")
+    p.ladder().collect()
+    p.best_penalties().collect()
+    p.close()
+    assert sorted(listed) == [
+        f"/root/testdata/sf0.001/{name}.parquet" for name in ("lineitem", "orders", "part")
+    ]
+
+
+def test_a_folder_of_many_files_is_digested_by_spark(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    spark.range(40).repartition(12).write.parquet(str(folder))
+    (folder / "deep").mkdir()
+    small = version(spark, str(folder))
+    monkeypatch.setattr(store_module, "LISTED", 3)
+    before = version(spark, str(folder))
+    assert before == version(spark, str(folder)) != small
+    part = next(folder.glob("part-*.parquet"))
+    (folder / "deep" / "part-x.parquet").write_bytes(part.read_bytes())
+    assert version(spark, str(folder)) != before
+
+
+def test_bad_lines_are_kept_apart_by_one_read(spark, keep, tmp_path):
+    good = RATINGS + "5::::4.0::\n\n"
+    bad = {"2::11::bad::1001": "unreadable: rating", "3::12": "2 fields", "x": "1 fields",
+           "4::13::3::1002::extra": "5 fields", "a::b::3::1": "unreadable: user_id, item_id"}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.dat").write_text(good)
+    (tmp_path / "in" / "two.dat").write_text("\n".join(bad) + "\n")
+    read = []
+
+    def counting(name, build, **options):
+        read.append(build().count())
+        return keep(name, build, **options)
+
+    found = split_ratings(spark, str(tmp_path / "in"), counting, "lines")
+    assert len(read) == 1
+    assert found.rows.count() + found.rejected.count() == read[0] == 11
+    assert {r["line"]: r["reason"] for r in found.rejected.collect()} == bad
+    assert {r["file"].rsplit("/", 1)[1] for r in found.rejected.collect()} == {"two.dat"}
+    assert {r["block"] for r in found.rejected.collect()} == {0}
+    plain = read_ratings(spark, str(tmp_path / "in" / "one.dat"))
+    assert found.rows.schema == plain.schema
+    assert sorted(map(str, found.rows.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_ratings_of_unknown_items_stay(spark):
+    ratings = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "user_id long, item_id long")
+    items = spark.createDataFrame([(10, "a")], "item_id long, title string")
+    got = attach(ratings, items, "item_id").collect()
+    assert {r["user_id"]: r["title"] for r in got} == {1: "a", 2: None, 3: None}

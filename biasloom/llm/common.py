@@ -107,7 +107,7 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
 
 
 def row_key(df: DataFrame, *columns: str) -> Column:
-    """128 bits that rows alike in these columns (all, if none are named) share.
+    """128 bits, as hex digits, that rows alike in these columns (all, if none are named) share.
 
     A null is a value of its own: it says at which place it stands, within arrays,
     maps and structs too.
@@ -121,10 +121,8 @@ def row_key(df: DataFrame, *columns: str) -> Column:
         for c in names
     ]
     nulls = F.concat(*(F.col(c).isNull().cast("int").cast("string") for c in names))
-    return F.struct(
-        F.xxhash64(F.lit(1), nulls, *values).alias("a"),
-        F.xxhash64(F.lit(2), nulls, *values).alias("b"),
-    )
+    halves = (F.xxhash64(F.lit(seed), nulls, *values) for seed in (1, 2))
+    return F.concat(*(F.lpad(F.hex(half), 16, "0") for half in halves))
 
 
 def text_bytes(name: str = "text"):

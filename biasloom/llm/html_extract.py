@@ -13,26 +13,30 @@ Elements are named by their path, so the spans of classes nest as the elements
 do. A valid class counts if it is nested in another: the enclosing element of one
 of its tokens is in a valid class or is a slot of one, that is an element whose
 own enclosing element is in a valid class.
-The template is its fixed texts, which are not the page's own, and its slots
-that mostly hold links, which are menus. A page gets the classes it contains,
-the widest first, but not one that would leave nothing of it, nor one of texts
-alone that would take more than half of it: such a class is content that
-several pages share. What is left, less the elements that HTML itself or their
-names mark as no part of the article, is the main text.
+The template is its fixed texts, which are not the page's own, its slots that
+mostly hold links, which are menus, and its main slot: the innermost container
+(by its path with the places of elements among their like) that holds nearly all
+of what is left of its pages. All blocks of a page are looked at. A page gets the
+classes it contains, the widest first, but not one that would leave nothing of it,
+nor one of texts alone that would take more than half of it: such a class is
+content that several pages share. What is left within the main slot is the text.
+
+Names are evidence beside that: elements that HTML itself marks as no part of an
+article go, and those whose names say so, unless they hold most of the page.
 
 Occurrence vectors are compared by sums of hashes (repeated pages add up) that
 are reduced on the map side, so a host of any number of pages is no hot group.
-The fixed texts and menus of a host are joined to its pages.
+A page's tokens are joined to those of its host's template, one by one.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -50,6 +54,10 @@ WHOLE, BUILT, TEXTS = range(3)
 LEAST_LEFT = 0.5
 #: A slot is a menu if this share of its characters is in links.
 LINK_SHARE = 0.7
+#: A container is a main slot if it holds this share of its pages' own text.
+MAIN_SHARE = 0.8
+#: What names leave out holds less than this share of a page.
+BESIDE_SHARE = 0.5
 
 # Names of the HTML standard, and words that sites use in class,
 # id and role for parts beside the article.
@@ -58,14 +66,19 @@ BLOCKS = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li "
     "main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+CONTAINERS = frozenset(
+    "article aside body center details div footer form header main nav section table td".split()
+)
+HEADINGS = frozenset("h1 h2 h3".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = frozenset("script style noscript template textarea title iframe noframes xmp svg math".split())
+RAW = frozenset("script style template textarea title iframe noframes".split())
 OUTSIDE = frozenset(
-    "head nav footer aside form menu button select option dialog object canvas audio video "
-    "label fieldset input".split()
+    "head nav footer menu button select option object canvas audio video input".split()
 )
+#: Outside too, unless they hold most of the page.
+ASIDE = frozenset("aside form dialog fieldset".split())
 BESIDE = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs "
     "comment comments commentlist consent cookie cookies copyright disqus footer gdpr "
@@ -74,6 +87,12 @@ BESIDE = frozenset(
     "replies reply respond search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toolbar widget widgets".split()
 )
+#: Words that may stand beside those in a name that still means what they say.
+PLAIN = frozenset(
+    "area bar block body bottom box column container content desktop fixed form global group "
+    "inner item items left link links list main mobile outer page panel post primary right "
+    "row secondary section site slot sticky text top user wrap wrapper".split()
+)
 BESIDE_ROLES = frozenset(
     "alert banner complementary contentinfo dialog form menu menubar navigation search "
     "toolbar".split()
@@ -102,249 +121,385 @@ class Block:
     """One block of text: where it stands and what it says."""
 
     slot: int
-    outside: bool
+    gone: bool
     main: bool
+    heading: bool
+    #: Places in Page.containers and Page.besides; -1 for none.
+    container: int
+    beside: int
     pieces: list[str] = field(default_factory=list)
     links: int = 0
-
-    def text(self) -> str:
-        return " ".join(html.unescape("".join(self.pieces)).split())
+    text: str = ""
 
 
 @dataclass
 class Element:
     name: str
     path: int
-    outside: bool
+    role: int
+    gone: bool
     main: bool
     link: bool
-
-
-def _opened(name: str, attributes: str, up: Element) -> Element:
-    """An element below up; ``outside`` says it is no part of the article."""
-    words: set[str] = set()
-    label, role = "", ""
-    for kind, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        value = next((v for v in values if v), "")
-        if kind.lower() == "role":
-            role = value.lower().strip()
-        else:
-            label = label or value
-            words |= {w.lower() for w in NAME_PARTS.findall(value)}
-    inside = name in ("article", "main") or role in ("main", "article")
-    if up.main:
-        words -= {"header"}
-    beside = bool(words & BESIDE) and name not in ("html", "body")
-    outside = (
-        up.outside
-        or name in OUTSIDE
-        or role in BESIDE_ROLES
-        or beside
-        or (name == "header" and not up.main)
-        or bool(attributes and HIDDEN.search(attributes))
-    )
-    path = up.path
-    if name in BLOCKS or name in OUTSIDE:
-        path = _hash(up.path, name, label)
-    return Element(name, path, outside, up.main or inside, up.link or name == "a")
-
-
-def parse(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
-    """The blocks of a page in order, and its elements as (path, path above)."""
-    top = Element("", 0, False, False, False)
-    stack, blocks, elements = [top], [], []
-    block: Block | None = None
-    at, end = 0, len(page)
-
-    def text(value: str) -> None:
-        nonlocal block
-        now = stack[-1]
-        if block is None:
-            block = Block(now.path, now.outside, now.main)
-            blocks.append(block)
-        elif block.slot != now.path or block.outside != now.outside:
-            block = Block(now.path, now.outside, now.main)
-            blocks.append(block)
-        block.pieces.append(value)
-        if now.link:
-            block.links += len(value)
-
-    while at < end:
-        start = page.find("<", at)
-        if start < 0:
-            text(page[at:])
-            break
-        found = MARKUP.match(page, start)
-        if found is None:
-            text(page[at : start + 1])
-            at = start + 1
-            continue
-        if start > at:
-            text(page[at:start])
-        at = found.end()
-        name = (found[2] or "").lower()
-        if not name:
-            continue
-        if found[1]:
+    heading: bool
+    container: int
+    beside: int
+    children: Counter = field(default_factory=Counter)
+
+
+def _named_beside(name: str, labels: list[str], in_main: bool) -> bool:
+    """Whether a name in class or id says that this is a part beside the article."""
+    for label in labels:
+        words = [w.lower() for w in NAME_PARTS.findall(label)]
+        telling = [w for w in words if w in BESIDE and not (w == "header" and in_main)]
+        if telling and all(w in BESIDE or w in PLAIN for w in words):
+            return True
+    return False
+
+
+class Page:
+    """The parsed page: blocks with text in order, elements, containers."""
+
+    def __init__(self, page: str):
+        self.blocks: list[Block] = []
+        #: (path, path above) of each element.
+        self.elements: list[tuple[int, int]] = []
+        #: (role, container around it), and the container around each ``beside``.
+        self.containers: list[tuple[int, int]] = []
+        self.besides: list[int] = []
+        self._parse(page)
+        for block in self.blocks:
+            block.text = " ".join(html.unescape("".join(block.pieces)).split())
+            block.links = min(block.links, len(block.text))
+        self.blocks = [b for b in self.blocks if b.text]
+        self._leave_out()
+
+    def _leave_out(self) -> None:
+        """Names count for what holds less than BESIDE_SHARE of the page."""
+        size = [0] * len(self.besides)
+        total = 0
+        for block in self.blocks:
+            if block.gone:
+                continue
+            total += len(block.text)
+            at = block.beside
+            while at >= 0:
+                size[at] += len(block.text)
+                at = self.besides[at]
+        out = [s < BESIDE_SHARE * total for s in size]
+        for at, up in enumerate(self.besides):
+            out[at] = out[at] or (up >= 0 and out[up])
+        for block in self.blocks:
+            block.gone = block.gone or (block.beside >= 0 and out[block.beside])
+
+    def _open(self, name: str, attributes: str, up: Element) -> Element:
+        labels: list[str] = []
+        first, role = "", ""
+        for kind, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+            value = next((v for v in values if v), "")
+            if kind.lower() == "role":
+                role = value.lower().strip()
+            else:
+                first = first or value
+                labels += value.split()
+        inside = name in ("article", "main") or role in ("main", "article")
+        aside = (
+            name in ASIDE
+            or role in BESIDE_ROLES
+            or (name == "header" and not up.main)
+            or (name not in ("html", "body") and _named_beside(name, labels, up.main))
+        )
+        beside = up.beside
+        if aside:
+            self.besides.append(beside)
+            beside = len(self.besides) - 1
+        path, place, container = up.path, up.role, up.container
+        if name in BLOCKS or name in OUTSIDE:
+            path = _hash(up.path, name, first)
+            up.children[name] += 1
+            place = _hash(up.role, name, up.children[name])
+        if name in CONTAINERS:
+            self.containers.append((place, container))
+            container = len(self.containers) - 1
+        gone = up.gone or name in OUTSIDE or bool(attributes and HIDDEN.search(attributes))
+        return Element(
+            name, path, place, gone, up.main or inside, up.link or name == "a",
+            up.heading or name in HEADINGS, container, beside,
+        )
+
+    def _parse(self, page: str) -> None:
+        top = Element("", 0, 0, False, False, False, False, -1, -1)
+        stack, open_names = [top], Counter()
+        block: Block | None = None
+        at, end = 0, len(page)
+
+        def text(value: str) -> None:
+            nonlocal block
+            now = stack[-1]
+            if block is None or (block.slot, block.gone, block.beside) != (
+                now.path, now.gone, now.beside,
+            ):
+                block = Block(now.path, now.gone, now.main, now.heading, now.container, now.beside)
+                self.blocks.append(block)
+            block.pieces.append(value)
+            if now.link:
+                block.links += len(value)
+
+        def close(count: int) -> None:
+            for _ in range(count):
+                open_names[stack.pop().name] -= 1
+
+        while at < end:
+            start = page.find("<", at)
+            if start < 0:
+                text(page[at:])
+                break
+            found = MARKUP.match(page, start)
+            if found is None:
+                text(page[at : start + 1])
+                at = start + 1
+                continue
+            if start > at:
+                text(page[at:start])
+            at = found.end()
+            name = (found[2] or "").lower()
+            if not name:
+                continue
+            if found[1]:
+                if name in BLOCKS:
+                    block = None
+                if open_names[name]:
+                    while stack[-1].name != name:
+                        close(1)
+                    close(1)
+                continue
+            if name in RAW:
+                stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                if not found[3].rstrip().endswith("/"):
+                    at = stop.end() if stop else end
+                continue
+            if name == "br":
+                text(" ")
+                continue
+            if stack[-1].name == "head" and (name == "body" or name in BLOCKS):
+                close(1)
             if name in BLOCKS:
                 block = None
-            if any(e.name == name for e in stack):
-                while stack[-1].name != name:
-                    stack.pop()
-                stack.pop()
-            continue
-        if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if not found[3].rstrip().endswith("/"):
-                at = close.end() if close else end
-            continue
-        if name == "br":
-            text(" ")
-            continue
-        if stack[-1].name == "head" and (name == "body" or name in BLOCKS):
-            stack.pop()
-        if name in BLOCKS:
-            block = None
-            ends = CLOSES.get(name, set()) | {"p"}
-            for back in range(len(stack) - 1, 0, -1):
-                if stack[back].name in ends:
-                    del stack[back:]
-                    break
-                if stack[back].name in BLOCKS:
-                    break
-        if name in VOID or found[3].rstrip().endswith("/"):
-            continue
-        opened = _opened(name, found[3], stack[-1])
-        if opened.path != stack[-1].path:
-            elements.append((opened.path, stack[-1].path))
-        stack.append(opened)
-    return blocks, elements
-
-
-def extract(
-    page: str,
-    fixed: dict[int, tuple[int, int, int]] | None = None,
-    menus: frozenset[int] = frozenset(),
-) -> str:
-    """The main text of a page, given its host's template.
+                ends = CLOSES.get(name, set()) | {"p"}
+                if any(open_names[e] for e in ends):
+                    for back in range(len(stack) - 1, 0, -1):
+                        if stack[back].name in ends:
+                            close(len(stack) - back)
+                            break
+                        if stack[back].name in BLOCKS:
+                            break
+            if name in VOID or found[3].rstrip().endswith("/"):
+                continue
+            opened = self._open(name, found[3], stack[-1])
+            if opened.path != stack[-1].path:
+                self.elements.append((opened.path, stack[-1].path))
+            stack.append(opened)
+            open_names[name] += 1
+
+    def held(self) -> list[int]:
+        """The characters that stay, in each container."""
+        size = [0] * len(self.containers)
+        for block in self.blocks:
+            if not block.gone and block.container >= 0:
+                size[block.container] += len(block.text) - block.links
+        for at in range(len(size) - 1, -1, -1):
+            up = self.containers[at][1]
+            if up >= 0:
+                size[up] += size[at]
+        return size
 
-    ``fixed`` has the class of each fixed text as (kind, -pages, class).
-    """
-    blocks, _ = parse(page)
-    own = []
-    for block in blocks:
-        if not block.outside:
-            text = block.text()
-            if text:
-                own.append((block, text))
-    if any(block.main for block, _ in own):
-        own = [(block, text) for block, text in own if block.main]
-    fixed = fixed or {}
-    left = [
-        (fixed.get(_hash(block.slot, text)) if fixed else None, text)
-        for block, text in own
-        if block.slot not in menus
-    ]
-    left = [(of, text) for of, text in left if of is None or of[0] != WHOLE]
-    for one in sorted({of for of, _ in left if of is not None}):
-        rest = [(of, text) for of, text in left if of != one]
-        size, before = (sum(len(text) for _, text in part) for part in (rest, left))
-        if size > 0 and (one[0] == BUILT or size >= LEAST_LEFT * before):
-            left = rest
-    # A host whose pages are all alike has no slots; its pages speak for themselves.
-    return "\n\n".join([text for _, text in left] or [text for _, text in own])
 
+@dataclass
+class Kept:
+    """A block as the choice sees it; ``within`` are the roles of its containers."""
 
-def _halves(number: int) -> tuple[int, int]:
-    """Two parts of a hash whose sums over all pages of a host stay in 64 bits."""
-    return number & 0x7FFFFFFF, (number >> 32) & 0x7FFFFFFF
+    text: str
+    token: int
+    slot: int
+    gone: bool
+    main: bool
+    heading: bool
+    within: frozenset[int]
 
 
-def _tokens(batch: pa.RecordBatch) -> dict[tuple, list[int]]:
-    """Tokens of a batch of pages, reduced by (host, token).
+def choose(
+    blocks: list[Kept],
+    fixed: Mapping[int, tuple[int, int, int]] | None = None,
+    menus: frozenset[int] = frozenset(),
+    mains: Mapping[int, int] | None = None,
+) -> str:
+    """The main text of a page's blocks, given what its host's template says of them.
 
-    Values: token above, whether it is an element, least and most occurrences on
-    a page, two halves of the hash of its pages and two of that of its
-    occurrences, pages, characters, characters in links.
+    ``fixed`` has the class of each fixed text as (kind, -pages, class), ``menus`` the
+    slots that are menus, ``mains`` the roles that are main slots with their depth.
     """
-    found: dict[tuple, list[int]] = {}
-    for host, mark, page in zip(
-        batch["host"].to_pylist(), batch["mark"].to_pylist(), batch["page"].to_pylist(), strict=True
-    ):
-        blocks, elements = parse(page)
-        own: dict[tuple, list[int]] = {(host, 0): [0, 1, 1, 0, 0]}
-        for path, above in elements:
-            own.setdefault((host, path), [above, 1, 0, 0, 0])[2] += 1
-        for block in blocks:
-            text = block.text()
-            if text:
-                own.setdefault((host, _hash(block.slot, text)), [block.slot, 0, 0, 0, 0])[2] += 1
-                slot = own.setdefault((host, block.slot), [0, 1, 1, 0, 0])
-                slot[3] += len(text)
-                slot[4] += min(block.links, len(text))
-        low, high = _halves(mark)
-        vectors = {1: (low, high)}
-        for key, (above, element, times, chars, links) in own.items():
-            vector = vectors.get(times)
-            if vector is None:
-                vector = vectors[times] = _halves(xxhash.xxh64_intdigest(f"{mark}:{times}"))
-            total = found.get(key)
-            if total is None:
-                found[key] = [above, element, times, times, low, high, *vector, 1, chars, links]
-                continue
-            total[2] = min(total[2], times)
-            total[3] = max(total[3], times)
-            total[4] += low
-            total[5] += high
-            total[6] += vector[0]
-            total[7] += vector[1]
-            total[8] += 1
-            total[9] += chars
-            total[10] += links
-    return found
-
-
-def host_tokens(pages: DataFrame) -> DataFrame:
+    fixed = fixed or {}
+    left = [b for b in blocks if b.slot not in menus]
+    left = [b for b in left if fixed.get(b.token, (BUILT,))[0] != WHOLE]
+    for one in sorted({fixed[b.token] for b in left if b.token in fixed}):
+        rest = [b for b in left if fixed.get(b.token) != one]
+        size, before = (
+            sum(len(b.text) for b in part if not b.gone) for part in (rest, left)
+        )
+        if size > 0 and (one[0] == BUILT or size >= LEAST_LEFT * before):
+            left = rest
+    own = [b for b in left if not b.gone]
+    if not own:
+        # A host whose pages are all alike has no slots; its pages speak for themselves.
+        own = [b for b in blocks if not b.gone]
+    found = {role for b in own for role in b.within if role in (mains or {})}
+    if found:
+        main = max(found, key=lambda role: (mains[role], role))
+        own = [b for b in own if main in b.within or b.heading]
+    else:
+        inside = [b for b in own if b.main]
+        if sum(len(b.text) for b in inside) >= LEAST_LEFT * sum(len(b.text) for b in own):
+            own = inside or own
+    return "\n\n".join(b.text for b in own)
+
+
+def _kept(page: Page) -> list[Kept]:
+    around: list[frozenset[int]] = []
+    for role, up in page.containers:
+        around.append((around[up] if up >= 0 else frozenset()) | {role})
+    none = frozenset()
+    return [
+        Kept(b.text, _hash(b.slot, b.text), b.slot, b.gone, b.main, b.heading,
+             around[b.container] if b.container >= 0 else none)
+        for b in page.blocks
+    ]
+
+
+def extract(page: str) -> str:
+    """The main text of a page alone, without a template."""
+    return choose(_kept(Page(page)))
+
+
+#: A parsed page: its blocks, its tokens (once each) and its containers.
+PARSED = (
+    "row long, host string, mark long, texts array<string>, slots array<long>, "
+    "hashes array<long>, flags array<int>, inside array<int>, roles array<long>, ups array<int>, "
+    "tokens array<struct<token:long,above:long,element:int,times:long,chars:long,links:long>>, "
+    "held array<struct<role:long,depth:int,chars:long>>, chars long"
+)
+GONE, MAIN, HEADING = 1, 2, 4
+TOKEN = pa.struct(
+    [("token", pa.int64()), ("above", pa.int64()), ("element", pa.int32()), ("times", pa.int64()),
+     ("chars", pa.int64()), ("links", pa.int64())]
+)
+HELD = pa.struct([("role", pa.int64()), ("depth", pa.int32()), ("chars", pa.int64())])
+
+
+def _tokens(page: Page, hashes: list[int]) -> list[tuple]:
+    """The tokens of a page: how often each is there, and what its slot holds."""
+    own: dict[int, list[int]] = {0: [0, 1, 1, 0, 0]}
+    for path, above in page.elements:
+        own.setdefault(path, [above, 1, 0, 0, 0])[2] += 1
+    for block, token in zip(page.blocks, hashes, strict=True):
+        own.setdefault(token, [block.slot, 0, 0, 0, 0])[2] += 1
+        slot = own.setdefault(block.slot, [0, 1, 1, 0, 0])
+        slot[3] += len(block.text)
+        slot[4] += block.links
+    return [(token, *of) for token, of in own.items()]
+
+
+def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    out: dict[str, list] = {
+        n: [] for n in ("texts", "slots", "hashes", "flags", "inside", "roles", "ups", "tokens", "held", "chars")
+    }
+    for value in batch["page"].to_pylist():
+        page = Page(value)
+        blocks = page.blocks
+        hashes = [_hash(b.slot, b.text) for b in blocks]
+        out["texts"].append([b.text for b in blocks])
+        out["slots"].append([b.slot for b in blocks])
+        out["hashes"].append(hashes)
+        out["flags"].append([GONE * b.gone + MAIN * b.main + HEADING * b.heading for b in blocks])
+        out["inside"].append([b.container for b in blocks])
+        out["roles"].append([role for role, _ in page.containers])
+        out["ups"].append([up for _, up in page.containers])
+        out["tokens"].append(_tokens(page, hashes))
+        depth: list[int] = []
+        for _, up in page.containers:
+            depth.append(depth[up] + 1 if up >= 0 else 0)
+        out["held"].append(
+            [(r, d, n) for (r, _), d, n in zip(page.containers, depth, page.held(), strict=True)]
+        )
+        out["chars"].append(sum(len(b.text) - b.links for b in blocks if not b.gone))
+    kinds = [
+        pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()),
+        pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(TOKEN),
+        pa.list_(HELD), pa.int64(),
+    ]
+    columns = []
+    for (name, values), kind in zip(out.items(), kinds, strict=True):
+        if name in ("tokens", "held"):
+            names = [f.name for f in kind.value_type]
+            values = [[dict(zip(names, one, strict=True)) for one in of] for of in values]
+        columns.append(pa.array(values, kind))
+    first = [batch[c] for c in ("row", "host", "mark")]
+    return pa.RecordBatch.from_arrays([*first, *columns], names=["row", "host", "mark", *out])
+
+
+def host_tokens(parsed: DataFrame) -> DataFrame:
     """Rows (host, token, above, element, vector, pages, chars, links), one a token of a host.
 
-    pages has ``host``, ``mark`` (a hash of the row) and ``page``. ``vector`` is
-    the hash of the token's occurrence vector (of its pages alone, if it is on
-    all of them equally often), ``pages`` how many pages have it, and the last
-    two count the characters of a slot and those in links. Token 0 is the page
+    ``vector`` is the hash of the token's occurrence vector (of its pages alone, if
+    it is on all of them equally often), ``pages`` how many pages have it, and the
+    last two count the characters of a slot and those in links. Token 0 is the page
     itself; tokens of fewer than LEAST_PAGES pages are left out.
     """
-    small_batches(pages.sparkSession)
-    sums = ["low", "high", "own_low", "own_high", "pages", "chars", "links"]
-    names = ["host", "token", "above", "element", "least", "most", *sums]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _tokens(batch)
-            hosts = pa.array([k[0] for k in found], pa.string())
-            values = np.array(list(found.values()), dtype=np.int64).reshape(-1, len(names) - 2)
-            tokens = pa.array([k[1] for k in found], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [hosts, tokens, *map(pa.array, values.T.copy())], names=names
-            )
+    rows = parsed.filter(F.col("host").isNotNull()).select(
+        "host", "mark", F.inline("tokens")
+    )
 
-    schema = "host string, " + ", ".join(f"{n} long" for n in names[1:])
+    def halves(number) -> list:
+        # Sums of 31 bits over all pages of a host stay in 64.
+        low = number.bitwiseAND(F.lit(0x7FFFFFFF).cast("long"))
+        return [low, F.shiftrightunsigned(number, 33)]
+
+    low, high = halves(F.col("mark"))
+    own_low, own_high = halves(F.xxhash64("mark", "times"))
+    grouped = rows.groupBy("host", "token").agg(
+        F.min("above").alias("above"),
+        F.max("element").alias("element"),
+        F.min("times").alias("least"),
+        F.max("times").alias("most"),
+        F.sum(low).alias("low"),
+        F.sum(high).alias("high"),
+        F.sum(own_low).alias("own_low"),
+        F.sum(own_high).alias("own_high"),
+        F.count(F.lit(1)).alias("pages"),
+        F.sum("chars").alias("chars"),
+        F.sum("links").alias("links"),
+    )
     steady = F.col("least") == F.col("most")
     vector = F.when(steady, F.struct(F.lit(0).alias("kind"), "low", "high")).otherwise(
         F.struct(F.lit(1).alias("kind"), F.col("own_low").alias("low"), F.col("own_high").alias("high"))
     )
-    return (
-        pages.select("host", "mark", "page")
-        .mapInArrow(lean(run), schema)
-        .groupBy("host", "token")
-        .agg(
-            F.min("above").alias("above"),
-            F.max("element").alias("element"),
-            F.min("least").alias("least"),
-            F.max("most").alias("most"),
-            *(F.sum(c).alias(c) for c in sums),
-        )
-        .filter(F.col("pages") >= LEAST_PAGES)
-        .select("host", "token", "above", "element", vector.alias("vector"), "pages", "chars", "links")
+    return grouped.filter(F.col("pages") >= LEAST_PAGES).select(
+        "host", "token", "above", "element", vector.alias("vector"), "pages", "chars", "links"
+    )
+
+
+def main_slots(parsed: DataFrame) -> DataFrame:
+    """Rows (host, role, depth) of the containers that hold nearly all of their pages' text."""
+    rows = parsed.filter(F.col("host").isNotNull()).select(
+        "host", F.col("chars").alias("whole"), F.inline("held")
+    )
+    grouped = rows.groupBy("host", "role").agg(
+        F.max("depth").alias("depth"),
+        F.count(F.lit(1)).alias("pages"),
+        F.sum("chars").alias("chars"),
+        F.sum("whole").alias("whole"),
+    )
+    enough = (F.col("pages") >= LEAST_PAGES) & (F.col("chars") > 0)
+    return grouped.filter(enough & (F.col("chars") >= MAIN_SHARE * F.col("whole"))).select(
+        "host", "role", "depth"
     )
 
 
@@ -410,57 +565,100 @@ def main_text(
     template. A null page is empty and has an empty text; a page without a host
     has no template, nor has a host of few pages. Character references are
     decoded, white space within a block is one space, blocks are joined by an
-    empty line. Columns named text or n_chars are replaced; rows that repeat
-    come back as often as they came.
+    empty line. Columns named text or n_chars are replaced, others come back as they
+    are; rows that repeat come back as often as they came; an empty table gives no
+    rows.
     """
     small_batches(pages.sparkSession)
     others = [c for c in pages.columns if c not in (page, "text", "n_chars")]
+    names = [f"he__{k}" for k in range(len(others))]
     body = F.coalesce(F.col(page).cast("string"), F.lit(""))
-    source = pages.select(*others, body.alias("he__page"), F.col(host).alias("he__host"))
-    tokens = host_tokens(
-        source.select(
-            F.col("he__host").alias("host"),
-            F.xxhash64("he__host", "he__page").alias("mark"),
-            F.col("he__page").alias("page"),
-        ).filter(F.col("he__host").isNotNull())
+    source = pages.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(host).cast("string").alias("host"),
+        F.xxhash64(F.col(host).cast("string"), body).alias("mark"),
+        body.alias("page"),
+        *(F.col(c).alias(n) for c, n in zip(others, names, strict=True)),
+    )
+    parsed = scratch.keep(_with_others(source, names), "parsed")
+    template = _template(scratch.keep(host_tokens(parsed), "tokens"))
+    menu = (F.col("element") == 1) & (F.col("chars") > 0)
+    menu = menu & (F.col("links") >= LINK_SHARE * F.col("chars"))
+    text = (F.col("element") == 0) & F.col("kind").isNotNull()
+    told = template.filter(text | menu).select(
+        F.col("host").alias("at"),
+        F.col("token").alias("of"),
+        F.when(text, F.struct("kind", (-F.col("pages")).alias("width"), "vector.low")).alias("class"),
     )
-    template = _template(scratch.keep(tokens, "tokens"))
-    menu = (F.col("chars") > 0) & (F.col("links") >= LINK_SHARE * F.col("chars"))
-    fixed = F.struct("token", "kind", (-F.col("pages")).alias("width"), "vector.low")
-    found = scratch.keep(
-        template.groupBy(F.col("host").alias("he__at")).agg(
-            F.collect_set(F.when(F.col("element") == 0, fixed)).alias("he__fixed"),
-            F.collect_set(F.when(menu, F.col("token"))).alias("he__menus"),
-        ),
-        "templates",
+    mains = main_slots(parsed).select(
+        F.col("host").alias("at"), F.col("role").alias("of"), "depth"
     )
-    joined = source.join(found, F.col("he__host") == F.col("he__at"), "left")
+    told, mains = scratch.keep(told, "told"), scratch.keep(mains, "mains")
+    # A page's own tokens and containers, as far as the template says something of them.
+    same = (F.col("host") == F.col("at")) & (F.col("token") == F.col("of"))
+    fits = parsed.select("row", "host", F.explode("tokens.token").alias("token")).join(told, same)
+    fits = fits.select("row", "token", "class", F.lit(None).cast("int").alias("depth"))
+    slots = parsed.select("row", "host", F.explode("roles").alias("token")).join(mains, same)
+    none = told.schema["class"].dataType
+    slots = slots.select("row", "token", F.lit(None).cast(none).alias("class"), "depth")
+    found = fits.unionByName(slots).groupBy(F.col("row").alias("for")).agg(
+        F.collect_list(F.struct("token", "class", "depth")).alias("told")
+    )
+    columns = ["texts", "slots", "hashes", "flags", "inside", "roles", "ups"]
+    joined = parsed.select("row", *columns, *names).join(found, F.col("row") == F.col("for"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            known: dict[str | None, tuple[dict, frozenset]] = {None: ({}, frozenset())}
-            hosts = batch["he__at"].to_pylist()
-            for i, (at, value) in enumerate(zip(hosts, batch["he__page"].to_pylist(), strict=True)):
-                if at not in known:
-                    known[at] = (
-                        {
-                            f["token"]: (f["kind"], f["width"], f["low"])
-                            for f in batch["he__fixed"][i].as_py() or ()
-                        },
-                        frozenset(batch["he__menus"][i].as_py() or ()),
-                    )
-                texts.append(extract(value, *known[at]))
+            rows = zip(*(batch[c].to_pylist() for c in (*columns, "told")), strict=True)
+            texts = [_chosen(*row) for row in rows]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch[c] for c in others),
+                    *(batch[n] for n in names),
                     pa.array(texts, pa.string()),
                     pa.array([len(t) for t in texts], pa.int64()),
                 ],
-                names=[*others, "text", "n_chars"],
+                names=[*names, "text", "n_chars"],
             )
 
-    schema = pages.select(
-        *others, F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")
+    schema = joined.select(
+        *names, F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")
     ).schema
-    return joined.mapInArrow(lean(run), schema)
+    return joined.mapInArrow(lean(run), schema).select(
+        *(F.col(n).alias(c) for c, n in zip(others, names, strict=True)), "text", "n_chars"
+    )
+
+
+def _with_others(source: DataFrame, names: list[str]) -> DataFrame:
+    """parse() of rows, with some of their columns beside it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = _parsed(batch)
+            yield pa.RecordBatch.from_arrays(
+                [*made.columns, *(batch[n] for n in names)], names=[*made.schema.names, *names]
+            )
+
+    kinds = ", ".join(f"{n} {source.schema[n].dataType.simpleString()}" for n in names)
+    return source.mapInArrow(lean(run), f"{PARSED}, {kinds}" if kinds else PARSED)
+
+
+def _chosen(texts, slots, hashes, flags, inside, roles, ups, told) -> str:
+    """The text of a parsed page, from its columns and what its template says."""
+    around: list[frozenset[int]] = []
+    for role, up in zip(roles, ups, strict=True):
+        around.append((around[up] if up >= 0 else frozenset()) | {role})
+    none: frozenset[int] = frozenset()
+    blocks = [
+        Kept(text, token, slot, bool(flag & GONE), bool(flag & MAIN), bool(flag & HEADING),
+             around[at] if at >= 0 else none)
+        for text, slot, token, flag, at in zip(texts, slots, hashes, flags, inside, strict=True)
+    ]
+    fixed, menus, mains = {}, set(), {}
+    for one in told or ():
+        if one["class"] is not None:
+            fixed[one["token"]] = tuple(one["class"].values())
+        elif one["depth"] is not None:
+            mains[one["token"]] = one["depth"]
+        else:
+            menus.add(one["token"])
+    return choose(blocks, fixed, frozenset(menus), mains)

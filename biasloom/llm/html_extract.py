@@ -22,7 +22,8 @@ nor one of texts alone that would take more than half of it: such a class is
 content that several pages share. What is left within the main slot is the text.
 
 Names are evidence beside that: elements that HTML itself marks as no part of an
-article go, and those whose names say so, unless they hold most of the page.
+article go, and those whose names say so, unless they hold most of a page that
+has no other article.
 
 Occurrence vectors are compared by sums of hashes (repeated pages add up) that
 are reduced on the map side, so a host of any number of pages is no hot group.
@@ -174,7 +175,11 @@ class Page:
         self._leave_out()
 
     def _leave_out(self) -> None:
-        """Names count for what holds less than BESIDE_SHARE of the page."""
+        """Names count, but not for what holds most of a page without another article."""
+        if any(b.main and not b.gone and b.beside < 0 for b in self.blocks):
+            for block in self.blocks:
+                block.gone = block.gone or block.beside >= 0
+            return
         size = [0] * len(self.besides)
         total = 0
         for block in self.blocks:
@@ -315,7 +320,7 @@ class Page:
 
 @dataclass
 class Kept:
-    """A block as the choice sees it; ``within`` are the roles of its containers."""
+    """A block as the choice sees it."""
 
     text: str
     token: int
@@ -323,17 +328,41 @@ class Kept:
     gone: bool
     main: bool
     heading: bool
-    within: frozenset[int]
+    container: int
+
+
+def _main_slot(own: list[Kept], containers: list[tuple[int, int]], mains: Mapping[int, int]):
+    """For each container whether it is in the innermost main slot with text; or None."""
+    full = [False] * (len(containers) + 1)
+    for block in own:
+        full[block.container] = True
+    for at in range(len(containers) - 1, -1, -1):
+        if full[at]:
+            full[containers[at][1]] = True
+    found = [
+        (mains[role], at)
+        for at, (role, _) in enumerate(containers)
+        if role in mains and full[at]
+    ]
+    if not found:
+        return None
+    inside = [False] * (len(containers) + 1)
+    main = max(found)[1]
+    for at, (_, up) in enumerate(containers):
+        inside[at] = at == main or inside[up]
+    return inside
 
 
 def choose(
     blocks: list[Kept],
+    containers: list[tuple[int, int]],
     fixed: Mapping[int, tuple[int, int, int]] | None = None,
     menus: frozenset[int] = frozenset(),
     mains: Mapping[int, int] | None = None,
 ) -> str:
     """The main text of a page's blocks, given what its host's template says of them.
 
+    ``containers`` are (role, container around it), the outer ones first.
     ``fixed`` has the class of each fixed text as (kind, -pages, class), ``menus`` the
     slots that are menus, ``mains`` the roles that are main slots with their depth.
     """
@@ -351,10 +380,9 @@ def choose(
     if not own:
         # A host whose pages are all alike has no slots; its pages speak for themselves.
         own = [b for b in blocks if not b.gone]
-    found = {role for b in own for role in b.within if role in (mains or {})}
-    if found:
-        main = max(found, key=lambda role: (mains[role], role))
-        own = [b for b in own if main in b.within or b.heading]
+    within = _main_slot(own, containers, mains or {})
+    if within:
+        own = [b for b in own if within[b.container] or b.heading]
     else:
         inside = [b for b in own if b.main]
         if sum(len(b.text) for b in inside) >= LEAST_LEFT * sum(len(b.text) for b in own):
@@ -363,20 +391,16 @@ def choose(
 
 
 def _kept(page: Page) -> list[Kept]:
-    around: list[frozenset[int]] = []
-    for role, up in page.containers:
-        around.append((around[up] if up >= 0 else frozenset()) | {role})
-    none = frozenset()
     return [
-        Kept(b.text, _hash(b.slot, b.text), b.slot, b.gone, b.main, b.heading,
-             around[b.container] if b.container >= 0 else none)
+        Kept(b.text, _hash(b.slot, b.text), b.slot, b.gone, b.main, b.heading, b.container)
         for b in page.blocks
-    ]
+    ]
 
 
 def extract(page: str) -> str:
     """The main text of a page alone, without a template."""
-    return choose(_kept(Page(page)))
+    parsed = Page(page)
+    return choose(_kept(parsed), parsed.containers)
 
 
 #: A parsed page: its blocks, its tokens (once each) and its containers.
@@ -644,15 +668,10 @@ def _with_others(source: DataFrame, names: list[str]) -> DataFrame:
 
 def _chosen(texts, slots, hashes, flags, inside, roles, ups, told) -> str:
     """The text of a parsed page, from its columns and what its template says."""
-    around: list[frozenset[int]] = []
-    for role, up in zip(roles, ups, strict=True):
-        around.append((around[up] if up >= 0 else frozenset()) | {role})
-    none: frozenset[int] = frozenset()
     blocks = [
-        Kept(text, token, slot, bool(flag & GONE), bool(flag & MAIN), bool(flag & HEADING),
-             around[at] if at >= 0 else none)
+        Kept(text, token, slot, bool(flag & GONE), bool(flag & MAIN), bool(flag & HEADING), at)
         for text, slot, token, flag, at in zip(texts, slots, hashes, flags, inside, strict=True)
-    ]
+    ]
     fixed, menus, mains = {}, set(), {}
     for one in told or ():
         if one["class"] is not None:
@@ -661,4 +680,5 @@ def _chosen(texts, slots, hashes, flags, inside, roles, ups, told) -> str:
             mains[one["token"]] = one["depth"]
         else:
             menus.add(one["token"])
-    return choose(blocks, fixed, frozenset(menus), mains)
+    containers = list(zip(roles, ups, strict=True))
+    return choose(blocks, containers, fixed, frozenset(menus), mains)

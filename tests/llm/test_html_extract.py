@@ -1,7 +1,11 @@
+import re
+
+import duckdb
 import pytest
 
+from biasloom.llm import html_extract
 from biasloom.llm.common import Scratch
-from biasloom.llm.html_extract import extract, main_text
+from biasloom.llm.html_extract import Page, _hash, extract, main_text
 
 CASES = [
     ("", ""),
@@ -95,3 +99,138 @@ def test_two_layouts_of_a_host(spark):
         assert got[i] == f"Story {i % 100}\n\nWords of story {i % 100}, told here."
     for i in range(6):
         assert got[200 + i].startswith("Common\n\nShared line 0") and f"Line {i}." in got[200 + i]
+
+
+#: Names that say less than they seem to, and parts that are none beside the article.
+MISLEADING = [
+    ('<article class="post category-search"><p>Body of it</p></article>', "Body of it"),
+    ('<div class="content has-sidebar"><p>Body</p></div>', "Body"),
+    ('<div id="page" class="no-header"><p>Body</p></div>', "Body"),
+    ('<div id="page" class="search"><p>Body</p></div><p>x</p>', "Body\n\nx"),
+    ('<article><p>All about it.</p><section class="related-work"><p>Others</p></section>'
+     '<p class="comment-free">Free</p></article>', "All about it.\n\nOthers\n\nFree"),
+    ('<article>Teaser</article><div class="entry"><p>The real text of it</p></div>',
+     "Teaser\n\nThe real text of it"),
+    ("<article><p>a <math><mi>x</mi></math> b</p><svg><text>c</text></svg>"
+     "<noscript>d</noscript> <label>e</label></article>", "a x b\n\ncd e"),
+    ("<form><p>All of a page may be in a form</p></form><p>b</p>",
+     "All of a page may be in a form\n\nb"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), MISLEADING)
+def test_no_container_is_lost_by_a_word(page, want):
+    assert " ".join(extract(page).split()) == " ".join(want.split())
+
+
+def test_unmatched_tags_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    assert extract("<b></i>" * 64_000 + "<p>x" * 20_000).startswith("x\n\nx")
+    assert extract("<div>" * 20_000 + "deep") == "deep"
+    assert time.perf_counter() - began < 20
+
+
+def neutral(page):
+    """A page whose tags and names say nothing."""
+    page = re.sub(r"(</?)(?:nav|article|footer|header|aside|main|section)\b", r"\1div", page)
+    return re.sub(r"""\s(?:class|id|role)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", "", page)
+
+
+@pytest.fixture(scope="module")
+def given():
+    rows = duckdb.sql("SELECT page_id, url, html FROM '/root/testdata/sf0.1/pages.parquet'").fetchall()
+    return [(i, re.sub(r"^[^:]*://([^/?#]*).*$", r"\1", u or ""), h or "") for i, u, h in rows]
+
+
+def test_the_template_finds_the_article_without_telling_tags(spark, given):
+    """Of the given pages with neutral tags and no names, nine of ten give their text."""
+    want = {i: extract(page) for i, _, page in given}
+    rows = [(i, host, neutral(page)) for i, host, page in given]
+    df = spark.createDataFrame(rows, "page_id long, host string, html string").repartition(4)
+    got = {r.page_id: r.text for r in main_text(df, Scratch(spark, "test")).collect()}
+    alone = sum(extract(page) == want[i] for i, _, page in rows)
+    right = sum(got[i] == want[i] for i in want)
+    assert right >= 0.9 * len(want) and alone < 0.1 * len(want), (right, alone, len(want))
+
+
+def test_telling_tags_and_the_template_agree(spark, given):
+    df = spark.createDataFrame(given, "page_id long, host string, html string")
+    got = {r.page_id: r.text for r in main_text(df, Scratch(spark, "test")).collect()}
+    assert sum(got[i] != extract(page) for i, _, page in given) == 0
+
+
+def plain_template(pages):
+    """Fixed texts and menus of one host, from whole occurrence vectors."""
+    vectors, above, chars, links = {}, {}, {}, {}
+    for at, page in enumerate(pages):
+        for path, up in page.elements:
+            vectors.setdefault((path, 1), [0] * len(pages))[at] += 1
+            above[path, 1] = up
+        for b in page.blocks:
+            token = (_hash(b.slot, b.text), 0)
+            vectors.setdefault(token, [0] * len(pages))[at] += 1
+            above[token] = b.slot
+            chars[b.slot] = chars.get(b.slot, 0) + len(b.text)
+            links[b.slot] = links.get(b.slot, 0) + b.links
+
+    def shape(vector):
+        held = [n for n in vector if n]
+        # What is always there equally often counts as there once.
+        return tuple(int(n > 0) for n in vector) if min(held) == max(held) else ("n", *vector)
+
+    classes = {}
+    for token, vector in vectors.items():
+        if sum(n > 0 for n in vector) >= 5:
+            classes.setdefault(shape(vector), set()).add(token)
+    kind = {}
+    for vector, tokens in classes.items():
+        n = sum(x > 0 for x in vectors[next(iter(tokens))])
+        places = {above[t] for t in tokens}
+        if n >= 0.9 * len(pages):
+            kind[vector] = 0
+        elif len(tokens) >= 2 and any(t[1] for t in tokens):
+            kind[vector] = 1
+        elif len(tokens) >= 2 and len(places) > 1:
+            kind[vector] = 2
+    placed = {t: kind[v] for v, ts in classes.items() if v in kind for t in ts}
+    known = {t[0] for t in placed if t[1]} | {0}
+    often = {t for ts in classes.values() for t in ts}
+    slots = {t[0] for t in often if t[1] and above[t] in known}
+    known |= slots
+    nested = {v for v, ts in classes.items() if v in kind and any(above[t] in known for t in ts)}
+    kept = {t for v in nested for t in classes[v]}
+    fixed = {t[0]: placed[t] for t in kept if not t[1]}
+    menus = {
+        s for s in {t[0] for t in kept if t[1]} | slots
+        if chars.get(s) and links.get(s, 0) >= 0.7 * chars[s]
+    }
+    return fixed, menus
+
+
+@pytest.mark.parametrize("kind", [site, layout])
+def test_classes_equal_a_plain_deduction(spark, kind):
+    """The template's fixed texts and menus, from classes of whole vectors."""
+    pages = [kind(i, "h") if kind is site else kind(i) for i in range(24)]
+    rows = [(k, "h", k * 7919 + 1, page) for k, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "row long, host string, mark long, page string")
+    parsed = Scratch(spark, "test").keep(html_extract._with_others(df, []), "parsed")
+    template = html_extract._template(html_extract.host_tokens(parsed)).collect()
+    fixed, menus = plain_template([Page(p) for p in pages])
+    assert {r.token: r.kind for r in template if not r.element and r.kind is not None} == fixed
+    found = {r.token for r in template if r.element and r.chars and r.links >= 0.7 * r.chars}
+    assert found == menus and fixed and menus
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(None, None, None, 1)] + [(1, "h", "<p>a", 2)] * 9 + [(2, None, "<p>b", None)]
+    df = spark.createDataFrame(rows, "token long, host string, html string, row long")
+    df = df.withColumns({"texts": df.row, "mark": df.row, "he__0": df.row})
+    got = main_text(df, Scratch(spark, "test")).collect()
+    assert sorted((r.token or 0, r.row or 0, r.text) for r in got) == [
+        (0, 1, ""), *[(1, 2, "a")] * 9, (2, 0, "b")
+    ]
+    long = "<p>" + "word " * 400_000
+    big = spark.createDataFrame([(1, "h", long)], "page_id long, host string, html string")
+    assert main_text(big, Scratch(spark, "test")).first().n_chars == 5 * 400_000 - 1

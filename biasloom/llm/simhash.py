@@ -1,7 +1,9 @@
 """SimHash near-duplicates: a binary trie joined with itself.
 
-Fingerprints are cut into the nodes of a binary trie at a depth that keeps the
-largest node small. A task holds one node and every node whose path differs
+Fingerprints are cut into the nodes of a binary trie at a depth that keeps nodes
+small on average; a node that is crowded all the same is cut again on its own, by
+bits that its rows do not share. A task holds one node, or part of one, and every
+node whose path differs
 from it in no more bits than the budget, and walks both sub-tries together: the
 differing bits of a pair of nodes are taken from the budget, a pair without
 budget left is pruned, and a pair of few fingerprints is compared at once. The
@@ -17,17 +19,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biasloom.llm.common import Scratch, byte_texts, lean, small_batches, text_bytes
 from biasloom.llm.components import components
 
 BITS = 64
-#: Fingerprints that one trie node may hold before the trie is cut deeper.
+#: Fingerprints that one trie node may hold before it is cut again.
 NODE_ROWS = 20_000
-#: Deepest cut; below it a node's task walks the rest of the trie by itself.
-DEEPEST = 20
 #: A pair of nodes is compared directly when it has this many pairs or fewer.
 DIRECT_PAIRS = 1 << 13
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -136,26 +136,34 @@ class Forest:
         return True
 
 
-def node_links(own: int, rows: pd.DataFrame, depth: int, budget: int) -> pd.DataFrame:
-    """A spanning forest of the links between node own and the nodes beside it."""
+def node_links(own: int, home: int, rows: pd.DataFrame, depth: int, budget: int) -> pd.DataFrame:
+    """A spanning forest of the links between some rows of node own and all beside them.
+
+    Those are the rows of its part ``home``; where a node has several parts, rows of its
+    others are beside them too.
+    """
     fps = rows["fp"].to_numpy(dtype=np.int64).view(np.uint64)
     parts = rows["part"].to_numpy(dtype=np.int64)
-    order = np.lexsort((fps, parts))
-    fps, parts = fps[order], parts[order]
+    places = rows["place"].to_numpy(dtype=np.int64)
+    order = np.lexsort((fps, places, parts))
+    fps, parts, places = fps[order], parts[order], places[order]
     everything = np.sort(fps)
     forest, left, right = Forest(len(everything)), [], []
-    home = fps[parts == own]
-    for part in np.unique(parts):
-        if part < own:
-            continue
-        there = fps[parts == part]
+    inside = (parts == own) & (places == home)
+    here = fps[inside]
+    groups = [(own, here, True)] if len(here) else []
+    if len(here):
+        beside = fps[(parts == own) & ~inside]
+        if len(beside):
+            groups.append((own, np.sort(beside), False))
+        for part in np.unique(parts[parts > own]):
+            groups.append((int(part), fps[parts == part], False))
+    for part, there, same in groups:
         spent = int(part ^ own).bit_count()
-        high_a = home[:1] & ~np.uint64((1 << (BITS - depth)) - 1)
+        high_a = here[:1] & ~np.uint64((1 << (BITS - depth)) - 1)
         high_b = there[:1] & ~np.uint64((1 << (BITS - depth)) - 1)
-        if not len(home):
-            break
         found = trie_links(
-            low_bits(home, depth), low_bits(there, depth), budget - spent, part == own
+            low_bits(here, depth), low_bits(np.sort(there), depth), budget - spent, same
         )
         for a, b in found:
             a, b = a | high_a, b | high_b
@@ -176,36 +184,132 @@ def _node(depth: int):
     return F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("long")
 
 
-def cut_depth(distinct: DataFrame, node_rows: int = NODE_ROWS) -> int:
-    """The least depth at which no trie node holds more than node_rows."""
-    depth = 0
-    while True:
-        most = distinct.groupBy(_node(depth).alias("part")).count()
-        most = most.agg(F.max("count")).first()[0] or 0
-        if most <= node_rows or depth >= DEEPEST:
-            return depth
-        depth = min(DEEPEST, depth + max(1, (most // node_rows).bit_length()))
+def _bit(fp: Column, bit: Column) -> Column:
+    return F.call_function("shiftrightunsigned", fp, bit).bitwiseAND(F.lit(1).cast("long"))
 
 
-def links(distinct: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS) -> DataFrame:
-    """Links (u, v) that connect the fingerprints (``fp``, distinct) within budget bits."""
-    depth = cut_depth(distinct, node_rows)
+def _place(bits: Column) -> Column:
+    """The bits of a fingerprint at some places, as a number."""
+    nothing = F.lit(0).cast("long")
+    return F.aggregate(bits, nothing, lambda done, bit: done * 2 + _bit(F.col("fp"), bit))
+
+
+def crowded_nodes(distinct: DataFrame, depth: int, node_rows: int) -> dict[int, list[int]]:
+    """Nodes with more than node_rows fingerprints, and the bits that part each of them.
+
+    A node is parted by the bits below the cut that differ most among its own rows, as
+    many as it takes; bits that it has in common part nothing and are passed over.
+    There is at most one such node for each node_rows fingerprints.
+    """
+    noded = distinct.select("fp", _node(depth).alias("part"))
+    sizes = noded.groupBy("part").count().filter(F.col("count") > node_rows)
+    ones = [F.sum(_bit(F.col("fp"), F.lit(b))).alias(f"b{b}") for b in range(BITS - depth)]
+    counted = noded.join(sizes, "part").groupBy("part", "count").agg(*ones).collect()
+    ranked, taken = {}, {}
+    for row in counted:
+        even = [min(row[f"b{b}"], row["count"] - row[f"b{b}"]) for b in range(BITS - depth)]
+        order = sorted((b for b in range(BITS - depth) if even[b]), key=lambda b: (-even[b], b))
+        ranked[row["part"]] = order
+        taken[row["part"]] = (row["count"] // node_rows).bit_length()
+    while taken:
+        now = {part: ranked[part][:n] for part, n in taken.items()}
+        parted = _parted(noded, now).groupBy("part", "place").count()
+        most = parted.groupBy("part").agg(F.max("count").alias("most"))
+        again = {
+            r["part"]: taken[r["part"]] + max(1, (r["most"] // node_rows).bit_length())
+            for r in most.filter(F.col("most") > node_rows).collect()
+            if taken[r["part"]] < len(ranked[r["part"]])
+        }
+        if not again:
+            break
+        taken |= again
+    return {part: ranked[part][:n] for part, n in taken.items()}
+
+
+def _cuts(spark: SparkSession, cuts: dict[int, list[int]]) -> DataFrame:
+    return spark.createDataFrame(list(cuts.items()), "cut long, bits array<int>")
+
+
+def _parted(noded: DataFrame, cuts: dict[int, list[int]]) -> DataFrame:
+    """Rows (fp, part, place) of the nodes that are cut."""
+    joined = noded.join(_cuts(noded.sparkSession, cuts), F.col("part") == F.col("cut"))
+    return joined.select("fp", "part", _place(F.col("bits")).alias("place"))
+
+
+def _flips(bits: Column, left: Column) -> Column:
+    """Masks that change up to ``left`` (two at most) of some bits of a place."""
+    n = F.size(bits)
+    none = F.array(F.lit(0).cast("long"))
+    ones = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
+    )
+    twos = F.flatten(
+        F.transform(
+            ones,
+            lambda a: F.transform(F.filter(ones, lambda b: b < a), lambda b: a.bitwiseOR(b)),
+        )
+    )
+    return (
+        F.when((n == 0) | (left == 0), none)
+        .when(left == 1, F.concat(none, ones))
+        .otherwise(F.concat(none, ones, twos))
+    )
+
+
+def copies(distinct: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS):
+    """Rows (fp, part, place, own, home): each fingerprint at every group it may link in.
+
+    Nodes are cut where they hold a quarter of node_rows on average. A node beside a
+    fingerprint's own is one whose path differs in up to ``budget`` bits; a crowded node
+    has a group for each of its parts, of which a fingerprint goes to those that its
+    budget still reaches. Also the depth of the cut.
+    """
+    if budget > 2:
+        raise ValueError("the budget is two bits at most")
+    total = distinct.count()
+    depth = max(0, -(-4 * total // node_rows) - 1).bit_length()
+    cuts = crowded_nodes(distinct, depth, node_rows)
     masks = [
-        sum(1 << b for b in bits)
+        (sum(1 << b for b in bits), n)
         for n in range(min(budget, depth) + 1)
         for bits in combinations(range(depth), n)
     ]
-    beside = F.array(*(F.col("part").bitwiseXOR(F.lit(m).cast("long")) for m in masks))
+    beside = F.array(
+        *(
+            F.struct(
+                F.col("part").bitwiseXOR(F.lit(m).cast("long")).alias("own"),
+                F.lit(budget - n).alias("left"),
+            )
+            for m, n in masks
+        )
+    )
     # Each pair of nodes meets once, at the lesser of the two.
-    below = F.filter(beside, lambda own: own <= F.col("part"))
-    rows = distinct.select("fp", _node(depth).alias("part")).select(
-        "fp", "part", F.explode(below).alias("own")
+    below = F.filter(beside, lambda b: b["own"] <= F.col("part"))
+    rows = distinct.select("fp", _node(depth).alias("part"))
+    rows = rows.select("fp", "part", F.inline(below))
+    if not cuts:
+        zero = F.lit(0).cast("long")
+        return rows.select("fp", "part", zero.alias("place"), "own", zero.alias("home")), depth
+    table = _cuts(distinct.sparkSession, cuts)
+    joined = rows.join(table, F.col("own") == F.col("cut"), "left")
+    bits = F.coalesce("bits", F.array().cast("array<int>"))
+    placed = joined.select("fp", "part", "own", _place(bits).alias("place"), bits.alias("bits"), "left")
+    homes = F.transform(
+        _flips(F.col("bits"), F.col("left")), lambda m: F.col("place").bitwiseXOR(m)
     )
+    # Within a node, too, each pair of parts meets at the lesser one.
+    fits = F.filter(homes, lambda h: (F.col("part") != F.col("own")) | (h <= F.col("place")))
+    return placed.select("fp", "part", "place", "own", F.explode(fits).alias("home")), depth
+
+
+def links(distinct: DataFrame, budget: int = 2, node_rows: int = NODE_ROWS) -> DataFrame:
+    """Links (u, v) that connect the fingerprints (``fp``, distinct) within budget bits."""
+    rows, depth = copies(distinct, budget, node_rows)
 
-    def walk(key, group: pd.DataFrame) -> pd.DataFrame:
-        return node_links(key[0], group, depth, budget)
+    def walk(key: tuple[int, ...], group: pd.DataFrame) -> pd.DataFrame:
+        return node_links(key[0], key[1], group, depth, budget)
 
-    return rows.groupBy("own").applyInPandas(walk, "u long, v long")
+    return rows.groupBy("own", "home").applyInPandas(walk, "u long, v long")
 
 
 def near_duplicates(

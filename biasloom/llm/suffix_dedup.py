@@ -46,6 +46,8 @@ PORTION = 2 << 20
 #: Documents sampled for each bucket of the range partitioning, and the most
 #: suffixes that a portion of them names.
 SAMPLES, NAMED = 4, 2000
+#: Bytes of documents for each bucket, at most.
+BUCKET_BYTES = 32 << 20
 #: Suffix rows whose windows are compared at a time.
 COMPARED = 20_000
 #: Leading bytes are split if the sample has them so many times, and so many times
@@ -574,11 +576,18 @@ def deduplicate(
     are the removed runs (start, stop) of the UTF-8 text. A null text is empty.
     A row without an id is compared with none and keeps all. Rows of the same
     id are not compared with one another; rows alike in id and text come back
-    as often as they came. Other columns are ignored.
+    as often as they came, an empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_docs, n_bytes = docs.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))
+    ).first()
+    if buckets is None:
+        # A bucket is held by one task, so their number follows the bytes.
+        buckets = max(
+            4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // BUCKET_BYTES)
+        )
     rows = docs.select(
         F.col(id).alias("doc"),
         F.xxhash64(F.col(text).cast("string")).alias("mark"),
@@ -586,7 +595,7 @@ def deduplicate(
     )
     source = rows.filter(F.col("doc").isNotNull()).withColumn("doc", F.col("doc").cast("long"))
     long = source.filter(F.octet_length("data") >= WINDOW)
-    deal = splitters(long, docs.count(), buckets)
+    deal = splitters(long, n_docs, buckets)
     spans, parts = None, len(deal.cuts) + 1
     for k in range(TURNS):
         turn = (parts * k // TURNS, parts * (k + 1) // TURNS)

@@ -4,7 +4,7 @@ import xxhash
 
 from biasloom.llm.common import Scratch
 from biasloom.llm.components import components
-from biasloom.llm.simhash import fingerprint, links, near_duplicates, trie_links
+from biasloom.llm.simhash import copies, fingerprint, links, near_duplicates, trie_links
 
 
 def plain_fingerprint(text, width=3):
@@ -115,3 +115,37 @@ def test_near_duplicates_edge_cases(spark):
     empty = near_duplicates(df.limit(0), Scratch(spark, "test"))
     assert empty.columns == ["doc_id", "fingerprint", "component_id"]
     assert empty.count() == 0
+
+
+def test_a_crowded_node_is_parted_on_its_own(spark):
+    """25,000 fingerprints that share 24 bits are sent a few times, not a hundred."""
+    rng = np.random.default_rng(3)
+    low = np.unique(rng.integers(0, 1 << 40, 25_000, dtype=np.uint64))
+    crowd = (low | np.uint64(0xABCDEF << 40)).view(np.int64).tolist()
+    df = spark.createDataFrame([(v,) for v in crowd], "fp long")
+    rows, _ = copies(df)
+    assert rows.count() < 10 * len(crowd)
+    assert rows.filter("part = own AND place = home").groupBy("home").count().agg({"count": "max"}).first()[0] <= 20_000
+
+
+@pytest.mark.parametrize("node_rows", [40, 200])
+def test_links_of_crowded_nodes(spark, node_rows):
+    """Nodes far over the limit, with most bits in common, lose no link."""
+    rng = np.random.default_rng(4)
+    crowd = [0xABCDEF << 40 | v & 0xF0F0F0F0FF for v in clustered(rng, 500)]
+    values = sorted({*crowd, *clustered(rng, 300), *(v ^ 1 << 63 for v in crowd[:40])})
+    signed = np.array(values, dtype=np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    rows, _ = copies(df, 2, node_rows)
+    sizes = rows.filter("part = own AND place = home").groupBy("own", "home").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= node_rows
+    found = components(links(df, 2, node_rows), Scratch(spark, "test")).collect()
+    place = {v: i for i, v in enumerate(signed)}
+    groups, got = {}, {}
+    for i, root in enumerate(plain_components(values)):
+        groups.setdefault(root, set()).add(i)
+    for row in found:
+        got.setdefault(row.root, set()).add(place[row.node])
+    assert sorted(map(sorted, got.values())) == sorted(
+        sorted(g) for g in groups.values() if len(g) > 1
+    )

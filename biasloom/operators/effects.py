@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biasloom.functions import level_effect, residual
-from biasloom.operators.joins import Keep, attach
+from biasloom.operators.joins import Keep, attach, attach_aligned
 from biasloom.schemas import LEVELS
+from biasloom.sources.store import Buckets
 
 Settings = Mapping[str, Sequence[float]]
 
@@ -41,6 +42,8 @@ class Effects:
     settings: Settings
     stats: tuple[DataFrame, ...] = ()
     levels: Sequence[str] = LEVELS
+    #: How the train rows and one level's table lie apart alike, if they do.
+    buckets: Buckets | None = None
 
     def level_table(self, i: int, settings: Sequence[str]) -> DataFrame:
         """Key and one effect column per setting."""
@@ -53,9 +56,14 @@ class Effects:
         return self.stats[i].select(key, *effects)
 
     def join(self, df: DataFrame, depth: int, settings: Sequence[str]) -> DataFrame:
-        """df with the effects of the first ``depth`` levels attached."""
-        for i in range(depth):
-            df = attach(df, self.level_table(i, settings), self.levels[i])
+        """df with the effects of the first ``depth`` levels attached.
+
+        The level that rows lie apart by comes first, while they still do.
+        """
+        aligned = self.buckets.key if self.buckets else None
+        for i in sorted(range(depth), key=lambda i: self.levels[i] != aligned):
+            join = attach_aligned if self.levels[i] == aligned else attach
+            df = join(df, self.level_table(i, settings), self.levels[i])
         return df
 
     def effect_names(self, depth: int, setting: str) -> list[str]:
@@ -93,7 +101,10 @@ def add_level(
         joined = effects.join(rows, depth, list(effects.settings))
         return joined.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *sums)
 
-    return replace(effects, stats=(*effects.stats, keep(f"{name}_{key}", build)))
+    alike = {}
+    if effects.buckets and effects.buckets.key == key:
+        alike = {"buckets": effects.buckets}
+    return replace(effects, stats=(*effects.stats, keep(f"{name}_{key}", build, **alike)))
 
 
 def fit(
@@ -110,6 +121,28 @@ def fit(
     return effects
 
 
+def fit_aligned(
+    train: DataFrame,
+    settings: Settings,
+    keep: Keep,
+    name: str,
+    buckets: Buckets,
+    levels: Sequence[str] = LEVELS,
+) -> Effects:
+    """fit() for effect tables beyond broadcast size.
+
+    The needed columns of train are written once, apart by ``buckets``, and the table
+    of the level with that key alike: fitting it shuffles nothing, and later levels
+    join it without moving a row. Any other level's join moves the rows once.
+    """
+    columns = ["rating", *levels]
+    rows = keep(f"{name}_rows", lambda: train.select(*columns), buckets=buckets)
+    effects = Effects(global_mean(rows).first()["mu"], settings, (), levels, buckets)
+    for _ in levels:
+        effects = add_level(effects, rows, keep, name)
+    return effects
+
+
 def effect_table(effects: Effects, level: str, setting: str, alias: str) -> DataFrame:
     """One level's effects as (key, n, effect)."""
     i = list(effects.levels).index(level)

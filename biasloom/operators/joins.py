@@ -22,6 +22,24 @@ def attach(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> Da
     return left.join(right, F.col(key).eqNullSafe(F.col(match)), how).drop(match)
 
 
+def attach_aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """attach() where both sides lie apart by the key already, so that neither is moved.
+
+    Only a plain equality keeps that layout. So the one row of right without a key,
+    if there is one, is put in by value.
+    """
+    match = f"{key}__right"
+    values = [c for c in right.columns if c != key]
+    none = right.filter(F.col(key).isNull()).first()
+    known = right.filter(F.col(key).isNotNull()).withColumnRenamed(key, match)
+    joined = left.join(known, F.col(key) == F.col(match), "left").drop(match)
+    if none is None:
+        return joined
+    return joined.withColumns(
+        {c: F.when(F.col(key).isNull(), F.lit(none[c])).otherwise(F.col(c)) for c in values}
+    )
+
+
 def rows_not_in(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of left that agree with no row of right on all shared columns.
 

@@ -578,6 +578,11 @@ def oracle_sql() -> dict[str, str]:
         name = {"bi": "item", "bu": "user", "bg": "genre"}[table]
         out[f"{name}_effect_mean"] = _effect_sql(table, "_p", alias, key)
         out[f"{name}_effect_shrunk"] = _effect_sql(table, "_s", alias, key)
+    out["user_effect_aligned"] = out["user_effect_shrunk"]
+    out["genre_effect_aligned"] = out["genre_effect_shrunk"]
+    out["model_ladder_aligned_basket"] = _with(
+        _both("basket"), " UNION ALL ".join(_model(*model, 5) for model in MODELS)
+    )
     for i, model in enumerate(MODELS):
         out[f"rmse_model{i}"] = _with(_both(), _model(*model, 6))
     out["model_ladder"] = _with(*_ladder("customer", 5))

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biasloom.operators.effects import Effects, fit
+from biasloom.operators.effects import Effects, fit, fit_aligned
 from biasloom.operators.joins import seen_only
 from biasloom.operators.joint import joint_curve
 from biasloom.operators.sampling import (
@@ -27,7 +27,7 @@ from biasloom.operators.sampling import (
 from biasloom.operators.scoring import Model, predict, score
 from biasloom.operators.tuning import Axis, tune, tuning_curve
 from biasloom.schemas import LEVELS, ROW_KEY
-from biasloom.sources import INPUTS, TableStore, bind_ratings, version
+from biasloom.sources import INPUTS, Buckets, TableStore, bind_ratings, version
 
 # Published penalties, tuning grids, fractions and seeds.
 PENALTIES = (2.2, 5.3, 1.7)
@@ -134,6 +134,11 @@ class Pipeline:
         """Plain and shrunk effects of the train part."""
         return fit(self.train, SETTINGS, self.keep, "effects")
 
+    def aligned_effects(self, key: str) -> Effects:
+        """The same effects, fitted on rows that lie apart by one of the keys."""
+        buckets = Buckets(key, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return fit_aligned(self.train, SETTINGS, self.keep, f"aligned_{key}", buckets)
+
     @cached_property
     def final_effects(self) -> Effects:
         """Shrunk effects of everything outside the holdout."""

@@ -16,7 +16,7 @@ from biasloom.operators.effects import (
 )
 from biasloom.operators.joins import attach, rows_not_in
 from biasloom.operators.sampling import stratified_sample
-from biasloom.operators.scoring import improvement
+from biasloom.operators.scoring import improvement, score
 from biasloom.operators.tuning import best_point
 from biasloom.plans.pipeline import DEV, HOLDOUT, LADDER, Pipeline, pipeline
 from biasloom.schemas import ROW_KEY
@@ -319,6 +319,22 @@ def genre_effect_shrunk(p: Pipeline) -> DataFrame:
     return _effects_of(p, "genres", "shrunk", "bg")
 
 
+@query
+def user_effect_aligned(p: Pipeline) -> DataFrame:
+    return rounded(effect_table(p.aligned_effects("user_id"), "user_id", "shrunk", "bu"), "bu")
+
+
+@query
+def genre_effect_aligned(p: Pipeline) -> DataFrame:
+    return rounded(effect_table(p.aligned_effects("item_id"), "genres", "shrunk", "bg"), "bg")
+
+
+@basket_query
+def model_ladder_aligned_basket(p: Pipeline) -> DataFrame:
+    scores = score(p.test, p.aligned_effects("user_id"), LADDER)
+    return scores.withColumn("rmse", F.round("rmse", 5))
+
+
 def _rows_with_item_mean(p: Pipeline) -> DataFrame:
     off_mean = residual(p.effects.mu, [])
     return group_mean_on_rows(p.train, "item_id", off_mean, "bi", p.keep, "on_rows")

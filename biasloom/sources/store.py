@@ -27,6 +27,7 @@ import threading
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -195,7 +196,47 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return published(spark, path) is not None
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> str:
+@dataclass(frozen=True)
+class Buckets:
+    """Rows lie apart by a hash of ``key``, so joins and groups on it need no shuffle."""
+
+    key: str
+    count: int
+
+
+def _bucketed(spark: SparkSession, path: str, schema: StructType, buckets: Buckets) -> DataFrame:
+    """The files at path as a table of this session's catalog that knows its buckets."""
+    name = f"biasloom_{_digest([path])}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{buckets.key}`) "
+        f"SORTED BY (`{buckets.key}`) INTO {buckets.count} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
+def _save(
+    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str, buckets: Buckets | None
+) -> None:
+    if buckets is None:
+        df.write.format(fmt).partitionBy(*partition_by).save(path)
+        return
+    # Only a table's writer lays out buckets; the files stay when the table goes.
+    name = f"biasloom_{_digest([path])}"
+    apart = df.repartition(buckets.count, buckets.key)
+    writer = apart.write.format("parquet").option("path", path)
+    writer.bucketBy(buckets.count, buckets.key).sortBy(buckets.key).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def _write(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    fmt: str,
+    buckets: Buckets | None = None,
+) -> str:
     """Write an attempt and publish it; the attempt that is the table in the end.
 
     Of several writers the first to create the pointer wins, and the others take
@@ -203,7 +244,7 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> s
     """
     spark, name = df.sparkSession, f"attempt-{uuid.uuid4().hex}"
     attempt = f"{path}/{name}"
-    df.write.format(fmt).partitionBy(*partition_by).save(attempt)
+    _save(df, attempt, partition_by, fmt, buckets)
     files, note = _locate(spark, attempt, SCHEMA)
     _put(files, note, df.schema.json(), True)
     _, pointer = _locate(spark, path, POINTER)
@@ -225,12 +266,15 @@ def load_or_build(
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    buckets: Buckets | None = None,
 ) -> DataFrame:
     """Read the table at path; build and write it first if it is not there."""
-    found = published(spark, path) or _write(build(), path, partition_by, fmt)
+    found = published(spark, path) or _write(build(), path, partition_by, fmt, buckets)
     _prepared[_plain(spark, found)] = f"{path}@{found.rsplit('/', 1)[1]}"
     files, note = _locate(spark, found, SCHEMA)
     schema = StructType.fromJson(json.loads(_text(files, note)))
+    if buckets is not None:
+        return _bucketed(spark, found, schema, buckets)
     return spark.read.format(fmt).schema(schema).load(found)
 
 
@@ -265,6 +309,7 @@ class TableStore:
         partition_by: Sequence[str] = (),
         fmt: str = "parquet",
         of: Sequence[object] | None = None,
+        buckets: Buckets | None = None,
     ) -> DataFrame:
         """The table that build describes, written if it is not there yet.
 
@@ -275,9 +320,9 @@ class TableStore:
         if of is None:
             built = build()
             of, build = (built,), lambda: built
-        path = self.path(name, *of)
+        path = self.path(name, *of, *([buckets] if buckets else []))
         with self._locks[path]:
-            return load_or_build(self.spark, path, build, partition_by, fmt)
+            return load_or_build(self.spark, path, build, partition_by, fmt, buckets)
 
     def drop(self, *names: str) -> None:
         """Delete the tables of these names; none may be read after that."""

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import pytest
 
-from biasloom.operators.effects import fit
+from biasloom.operators.effects import effect_table, fit, fit_aligned
 from biasloom.operators.joins import rows_not_in
 from biasloom.operators.sampling import holdout_split, stratified_sample
 from biasloom.operators.scoring import Model, score
 from biasloom.plans.pipeline import COLD_KEYS, LADDER, SETTINGS, pipeline
 from biasloom.plans.queries import REGISTRY
 from biasloom.schemas import ROW_KEY
-from biasloom.sources import bind_ratings
+from biasloom.sources import Buckets, bind_ratings
 
 SF_DIR = "/root/testdata/sf0.001"
 NEVER = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"]
@@ -116,3 +116,54 @@ def test_an_anti_join_shuffles_each_side_once(spark, no_broadcast):
     right = spark.range(50).selectExpr("id AS a", "id % 5 AS b")
     text = plan(rows_not_in(left, right))
     assert text.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("key", ["user_id", "item_id"])
+def test_rows_that_lie_apart_by_a_key_are_not_moved_for_it(spark, recording, no_broadcast, key):
+    """Sort-merge joins and groups on the bucketed key leave the rows where they are."""
+    train = pipeline(spark, SF_DIR).train
+    buckets = Buckets(key, 4)
+    aligned = fit_aligned(train, SETTINGS, recording, "a", buckets)
+    other = "item_id" if key == "user_id" else "user_id"
+    if key == "item_id":
+        assert "Exchange" not in recording.plans["a_item_id"]
+    for name in ["a_genres", "a_user_id"][: 1 + (key == "item_id")]:
+        text = recording.plans[name]
+        assert "Broadcast" not in text
+        # Rows and effects are read with their buckets and joined as they lie.
+        assert text.count("Bucketed: true") == 2
+        assert f"Exchange hashpartitioning({key}" not in text
+        assert f"coalesce({key}" not in text
+    assert f"Exchange hashpartitioning(coalesce({other}" in recording.plans["a_genres"]
+    plain = fit(train, SETTINGS, recording, "p")
+    for level in ("item_id", "user_id", "genres"):
+        for setting in SETTINGS:
+            got, want = (
+                {r[level]: (r["n"], r["b"]) for r in effect_table(e, level, setting, "b").collect()}
+                for e in (aligned, plain)
+            )
+            assert got.keys() == want.keys()
+            assert all(got[k][0] == want[k][0] for k in got)
+            assert all(got[k][1] == pytest.approx(want[k][1], abs=1e-12) for k in got)
+
+
+def test_missing_keys_are_a_group_of_aligned_rows_too(spark, keep):
+    rows = [(u, i, float(i or 3), f"g{k % 2}") for k, (u, i) in enumerate(
+        [(1, 1), (None, 1), (None, 2), (2, None), (2, 2), (None, None)] * 3)]
+    train = spark.createDataFrame(rows, "user_id long, item_id long, rating double, genres string")
+    plain = fit(train, SETTINGS, keep, "p")
+    for key in ("user_id", "item_id"):
+        aligned = fit_aligned(train, SETTINGS, keep, f"a_{key}", Buckets(key, 3))
+        for level in ("item_id", "user_id", "genres"):
+            got, want = (
+                sorted(
+                    str((r[level], r["n"], round(r["b"], 9)))
+                    for r in effect_table(e, level, "shrunk", "b").collect()
+                )
+                for e in (aligned, plain)
+            )
+            assert got == want
+        model = [Model("m", 3, "shrunk")]
+        assert score(train, aligned, model).first()["rmse"] == pytest.approx(
+            score(train, plain, model).first()["rmse"]
+        )

@@ -40,10 +40,11 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biasloom.llm.common import Scratch, lean, small_batches
+from biasloom.llm.common import Scratch, lean, row_key, small_batches
 
 #: A class is valid from so many pages of a host; one token alone is a class if
 #: it is on this share of them.
@@ -403,13 +404,16 @@ def extract(page: str) -> str:
     return choose(_kept(parsed), parsed.containers)
 
 
-#: A parsed page: its blocks, its tokens (once each) and its containers.
-PARSED = (
-    "row long, host string, mark long, texts array<string>, slots array<long>, "
-    "hashes array<long>, flags array<int>, inside array<int>, roles array<long>, ups array<int>, "
+#: What the template is made from: a page's tokens (once each) and its containers.
+SHAPE = (
     "tokens array<struct<token:long,above:long,element:int,times:long,chars:long,links:long>>, "
     "held array<struct<role:long,depth:int,chars:long>>, chars long"
 )
+#: What its text is chosen from: its blocks, their texts on end and compressed.
+BLOCK_COLUMNS = (
+    "texts binary, sizes array<int>, slots array<long>, flags array<int>, inside array<int>, "
+    "roles array<long>, ups array<int>"
+)
 GONE, MAIN, HEADING = 1, 2, 4
 TOKEN = pa.struct(
     [("token", pa.int64()), ("above", pa.int64()), ("element", pa.int32()), ("times", pa.int64()),
@@ -431,45 +435,59 @@ def _tokens(page: Page, hashes: list[int]) -> list[tuple]:
     return [(token, *of) for token, of in own.items()]
 
 
-def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    out: dict[str, list] = {
-        n: [] for n in ("texts", "slots", "hashes", "flags", "inside", "roles", "ups", "tokens", "held", "chars")
-    }
-    for value in batch["page"].to_pylist():
-        page = Page(value)
-        blocks = page.blocks
-        hashes = [_hash(b.slot, b.text) for b in blocks]
-        out["texts"].append([b.text for b in blocks])
-        out["slots"].append([b.slot for b in blocks])
-        out["hashes"].append(hashes)
-        out["flags"].append([GONE * b.gone + MAIN * b.main + HEADING * b.heading for b in blocks])
-        out["inside"].append([b.container for b in blocks])
-        out["roles"].append([role for role, _ in page.containers])
-        out["ups"].append([up for _, up in page.containers])
-        out["tokens"].append(_tokens(page, hashes))
-        depth: list[int] = []
-        for _, up in page.containers:
-            depth.append(depth[up] + 1 if up >= 0 else 0)
-        out["held"].append(
-            [(r, d, n) for (r, _), d, n in zip(page.containers, depth, page.held(), strict=True)]
-        )
-        out["chars"].append(sum(len(b.text) - b.links for b in blocks if not b.gone))
-    kinds = [
-        pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()),
-        pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(TOKEN),
-        pa.list_(HELD), pa.int64(),
-    ]
-    columns = []
-    for (name, values), kind in zip(out.items(), kinds, strict=True):
-        if name in ("tokens", "held"):
-            names = [f.name for f in kind.value_type]
-            values = [[dict(zip(names, one, strict=True)) for one in of] for of in values]
-        columns.append(pa.array(values, kind))
-    first = [batch[c] for c in ("row", "host", "mark")]
-    return pa.RecordBatch.from_arrays([*first, *columns], names=["row", "host", "mark", *out])
-
-
-def host_tokens(parsed: DataFrame) -> DataFrame:
+def _shape(value: str) -> tuple:
+    page = Page(value)
+    hashes = [_hash(b.slot, b.text) for b in page.blocks]
+    names = [f.name for f in TOKEN]
+    tokens = [dict(zip(names, one, strict=True)) for one in _tokens(page, hashes)]
+    held, depth = [], []
+    for (role, up), n in zip(page.containers, page.held(), strict=True):
+        depth.append(depth[up] + 1 if up >= 0 else 0)
+        held.append({"role": role, "depth": depth[-1], "chars": n})
+    return tokens, held, sum(len(b.text) - b.links for b in page.blocks if not b.gone)
+
+
+def _blocks(value: str, pack) -> tuple:
+    page = Page(value)
+    blocks = page.blocks
+    return (
+        pack("".join(b.text for b in blocks).encode("utf-8", "surrogatepass")),
+        [len(b.text) for b in blocks],
+        [b.slot for b in blocks],
+        [GONE * b.gone + MAIN * b.main + HEADING * b.heading for b in blocks],
+        [b.container for b in blocks],
+        [role for role, _ in page.containers],
+        [up for _, up in page.containers],
+    )
+
+
+def _parsed(source: DataFrame, blocks: bool) -> DataFrame:
+    """source with the columns of SHAPE, or of BLOCK_COLUMNS, in place of ``page``."""
+    others = [c for c in source.columns if c != "page"]
+    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    kinds = [pa.list_(TOKEN), pa.list_(HELD), pa.int64()]
+    if blocks:
+        kinds = [pa.binary(), ints, longs, ints, ints, longs, ints]
+    made = BLOCK_COLUMNS if blocks else SHAPE
+    names = re.findall(r"(?:^|, )(\w+) ", made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor().compress
+        for batch in batches:
+            pages = batch["page"].to_pylist()
+            rows = [_blocks(page, pack) if blocks else _shape(page) for page in pages]
+            columns = [
+                pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in others), *columns], names=[*others, *names]
+            )
+
+    kept = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in others)
+    return source.mapInArrow(lean(run), f"{kept}, {made}")
+
+
+def host_tokens(shapes: DataFrame) -> DataFrame:
     """Rows (host, token, above, element, vector, pages, chars, links), one a token of a host.
 
     ``vector`` is the hash of the token's occurrence vector (of its pages alone, if
@@ -477,9 +495,7 @@ def host_tokens(parsed: DataFrame) -> DataFrame:
     last two count the characters of a slot and those in links. Token 0 is the page
     itself; tokens of fewer than LEAST_PAGES pages are left out.
     """
-    rows = parsed.filter(F.col("host").isNotNull()).select(
-        "host", "mark", F.inline("tokens")
-    )
+    rows = shapes.select("host", "mark", F.inline("tokens"))
 
     def halves(number) -> list:
         # Sums of 31 bits over all pages of a host stay in 64.
@@ -510,9 +526,9 @@ def host_tokens(parsed: DataFrame) -> DataFrame:
     )
 
 
-def main_slots(parsed: DataFrame) -> DataFrame:
+def main_slots(shapes: DataFrame) -> DataFrame:
     """Rows (host, role, depth) of the containers that hold nearly all of their pages' text."""
-    rows = parsed.filter(F.col("host").isNotNull()).select(
+    rows = shapes.select(
         "host", F.col("chars").alias("whole"), F.inline("held")
     )
     grouped = rows.groupBy("host", "role").agg(
@@ -597,15 +613,18 @@ def main_text(
     others = [c for c in pages.columns if c not in (page, "text", "n_chars")]
     names = [f"he__{k}" for k in range(len(others))]
     body = F.coalesce(F.col(page).cast("string"), F.lit(""))
+    at_host = F.col(host).cast("string")
     source = pages.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(host).cast("string").alias("host"),
-        F.xxhash64(F.col(host).cast("string"), body).alias("mark"),
+        at_host.alias("host"),
+        F.xxhash64(at_host, body).alias("mark"),
         body.alias("page"),
         *(F.col(c).alias(n) for c, n in zip(others, names, strict=True)),
     )
-    parsed = scratch.keep(_with_others(source, names), "parsed")
-    template = _template(scratch.keep(host_tokens(parsed), "tokens"))
+    # Pages alike of one host are told the same, so they share a key.
+    source = source.withColumn("key", row_key(source, "host", "page"))
+    shapes = _parsed(source.select("host", "mark", "key", "page"), False)
+    shapes = scratch.keep(shapes.filter(F.col("host").isNotNull()), "shapes")
+    template = _template(scratch.keep(host_tokens(shapes), "tokens"))
     menu = (F.col("element") == 1) & (F.col("chars") > 0)
     menu = menu & (F.col("links") >= LINK_SHARE * F.col("chars"))
     text = (F.col("element") == 0) & F.col("kind").isNotNull()
@@ -614,27 +633,34 @@ def main_text(
         F.col("token").alias("of"),
         F.when(text, F.struct("kind", (-F.col("pages")).alias("width"), "vector.low")).alias("class"),
     )
-    mains = main_slots(parsed).select(
+    mains = main_slots(shapes).select(
         F.col("host").alias("at"), F.col("role").alias("of"), "depth"
     )
     told, mains = scratch.keep(told, "told"), scratch.keep(mains, "mains")
     # A page's own tokens and containers, as far as the template says something of them.
     same = (F.col("host") == F.col("at")) & (F.col("token") == F.col("of"))
-    fits = parsed.select("row", "host", F.explode("tokens.token").alias("token")).join(told, same)
-    fits = fits.select("row", "token", "class", F.lit(None).cast("int").alias("depth"))
-    slots = parsed.select("row", "host", F.explode("roles").alias("token")).join(mains, same)
+    fits = shapes.select("key", "host", F.explode("tokens.token").alias("token")).join(told, same)
+    fits = fits.select("key", "token", "class", F.lit(None).cast("int").alias("depth"))
+    slots = shapes.select("key", "host", F.explode("held.role").alias("token")).join(mains, same)
     none = told.schema["class"].dataType
-    slots = slots.select("row", "token", F.lit(None).cast(none).alias("class"), "depth")
-    found = fits.unionByName(slots).groupBy(F.col("row").alias("for")).agg(
-        F.collect_list(F.struct("token", "class", "depth")).alias("told")
+    slots = slots.select("key", "token", F.lit(None).cast(none).alias("class"), "depth")
+    found = fits.unionByName(slots).groupBy(F.col("key").alias("for")).agg(
+        F.collect_set(F.struct("token", "class", "depth")).alias("told")
     )
-    columns = ["texts", "slots", "hashes", "flags", "inside", "roles", "ups"]
-    joined = parsed.select("row", *columns, *names).join(found, F.col("row") == F.col("for"), "left")
+    # Written, so that its size says whether the pages have to be moved to it.
+    found = scratch.keep(found, "found")
+    parsed = _parsed(source.select("key", "page", *names), True)
+    columns = ["texts", "sizes", "slots", "flags", "inside", "roles", "ups"]
+    joined = parsed.join(found, F.col("key") == F.col("for"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = zip(*(batch[c].to_pylist() for c in (*columns, "told")), strict=True)
-            texts = [_chosen(*row) for row in rows]
+            texts = [
+                _chosen(unpack(packed).decode("utf-8", "surrogatepass"), *row)
+                for packed, *row in rows
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch[n] for n in names),
@@ -652,26 +678,14 @@ def main_text(
     )
 
 
-def _with_others(source: DataFrame, names: list[str]) -> DataFrame:
-    """parse() of rows, with some of their columns beside it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = _parsed(batch)
-            yield pa.RecordBatch.from_arrays(
-                [*made.columns, *(batch[n] for n in names)], names=[*made.schema.names, *names]
-            )
-
-    kinds = ", ".join(f"{n} {source.schema[n].dataType.simpleString()}" for n in names)
-    return source.mapInArrow(lean(run), f"{PARSED}, {kinds}" if kinds else PARSED)
-
-
-def _chosen(texts, slots, hashes, flags, inside, roles, ups, told) -> str:
+def _chosen(whole, sizes, slots, flags, inside, roles, ups, told) -> str:
     """The text of a parsed page, from its columns and what its template says."""
-    blocks = [
-        Kept(text, token, slot, bool(flag & GONE), bool(flag & MAIN), bool(flag & HEADING), at)
-        for text, slot, token, flag, at in zip(texts, slots, hashes, flags, inside, strict=True)
-    ]
+    blocks, begin = [], 0
+    for size, slot, flag, at in zip(sizes, slots, flags, inside, strict=True):
+        text = whole[begin : begin + size]
+        begin += size
+        gone, main, heading = bool(flag & GONE), bool(flag & MAIN), bool(flag & HEADING)
+        blocks.append(Kept(text, _hash(slot, text), slot, gone, main, heading, at))
     fixed, menus, mains = {}, set(), {}
     for one in told or ():
         if one["class"] is not None:

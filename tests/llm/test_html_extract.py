@@ -213,9 +213,9 @@ def plain_template(pages):
 def test_classes_equal_a_plain_deduction(spark, kind):
     """The template's fixed texts and menus, from classes of whole vectors."""
     pages = [kind(i, "h") if kind is site else kind(i) for i in range(24)]
-    rows = [(k, "h", k * 7919 + 1, page) for k, page in enumerate(pages)]
-    df = spark.createDataFrame(rows, "row long, host string, mark long, page string")
-    parsed = Scratch(spark, "test").keep(html_extract._with_others(df, []), "parsed")
+    rows = [("h", k * 7919 + 1, page) for k, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "host string, mark long, page string")
+    parsed = Scratch(spark, "test").keep(html_extract._parsed(df, False), "shapes")
     template = html_extract._template(html_extract.host_tokens(parsed)).collect()
     fixed, menus = plain_template([Page(p) for p in pages])
     assert {r.token: r.kind for r in template if not r.element and r.kind is not None} == fixed

@@ -184,7 +184,8 @@ def judge(
 
     A null text has no words. ``base_failed``: under 20 words, or over 30 % of
     them in repeated windows; such documents are never kept. The others are
-    kept if their posterior probability of quality is ``keep`` or more. An
+    kept if their posterior probability of quality (to nine digits) is ``keep`` or
+    more, so at a tie they stay. Repeated rows come back as often as they came. An
     empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))

@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 
 import numpy as np
@@ -69,3 +70,60 @@ def test_judge(spark):
     failed = {r.doc_id for r in got if r.base_failed}
     assert failed >= {2000, 2001, 2002, 2003, None} and not failed & kept
     assert judge(df.limit(0), Scratch(spark, "test")).count() == 0
+
+
+def plain_posteriors(votes):
+    """Expectation maximisation document by document, from the definition."""
+    n, rules = len(votes), len(votes[0])
+
+    def tables(good, anchors):
+        out = []
+        for side in (0, 1):
+            chance = [g if side else 1 - g for g in good]
+            rows = []
+            for k in range(rules):
+                row = [0.5 + sum(c for c, v in zip(chance, votes) if v[k] == x) for x in (-1, 0, 1)]
+                if anchors:
+                    row = [r + 0.02 * sum(chance) * a for r, a in zip(row, anchors[side][k])]
+                rows.append([r / sum(row) for r in row])
+            out.append(rows)
+        return out
+
+    good = [0.05 if -1 in v else 0.95 for v in votes]
+    now = anchors = tables(good, None)
+    share = (sum(good) + 1) / (n + 2)
+    for _ in range(200):
+        before = good
+        good = []
+        for v in votes:
+            odds = math.log(share / (1 - share))
+            odds += sum(math.log(now[1][k][x + 1] / now[0][k][x + 1]) for k, x in enumerate(v))
+            good.append(1 / (1 + math.exp(-odds)))
+        if max(abs(a - b) for a, b in zip(good, before)) < 1e-9:
+            break
+        share = (sum(good) + 1) / (n + 2)
+        now = tables(good, anchors)
+    out = []
+    for v in votes:
+        odds = math.log(share / (1 - share))
+        for k, x in enumerate(v):
+            weight = math.log(now[1][k][x + 1] / now[0][k][x + 1])
+            odds += max(weight, 0) if x == 1 else min(weight, 0) if x == -1 else 0
+        out.append(1 / (1 + math.exp(-odds)))
+    return out
+
+
+def test_posteriors_equal_a_plain_estimation(spark):
+    rng = np.random.default_rng(5)
+    words = ["the", "and", "of", "story", "told", "Here.", "$$", "AB", "1", "x#"]
+    texts = [
+        "\n".join(" ".join(rng.choice(words[: rng.integers(3, 11)], rng.integers(3, 40))) for _ in range(4))
+        for _ in range(150)
+    ]
+    texts += [None, "", texts[0], texts[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = judge(df.repartition(3), Scratch(spark, "test")).orderBy("doc_id").collect()
+    assert len({tuple(r.votes) for r in rows}) > 10
+    for row, want in zip(rows, plain_posteriors([r.votes for r in rows]), strict=True):
+        assert abs(row.posterior - want) < 1e-6
+        assert row.kept == (not row.base_failed and row.posterior >= 0.5)

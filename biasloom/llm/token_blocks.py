@@ -14,7 +14,6 @@ steps).
 
 from __future__ import annotations
 
-import gc
 import os
 import zlib
 from array import array
@@ -51,8 +50,6 @@ FREQUENCIES = "id long, freq long"
 FORMAT = "tokenizer string, end_id long, ids long, scale int, lanes int, steps int"
 #: Words that a worker remembers at most, besides those of one batch.
 CACHE_WORDS = 500_000
-#: Words that the model is given at once.
-WORDS_AT_ONCE = 10_000
 #: What may stand behind a word's letters and is encoded apart from them.
 PUNCTUATION = ".,;:!?#*$%&|<>()[]{}\"'/+=_~^@-"
 DTYPE = "<u4"
@@ -119,33 +116,25 @@ class WordTokenizer:
         runs = [i for i in missing if letters[i]]
         others = [i for i in missing if not letters[i]]
         others = [i for i in others if words[i] and not words[i][0].isspace()]
-        found: list[bytes] = []
-        for at in range(0, len(runs), WORDS_AT_ONCE):
-            found += self._runs([words[i] for i in runs[at : at + WORDS_AT_ONCE]])
+        tokenize = self.model.tokenize
+        found = []
+        for i in runs:
+            word, head = words[i], b""
+            if word[0] == "\n":
+                word, head = word[1:], self.line_break
+            else:
+                word = " " + word
+            if word.isascii():
+                written = word.replace(" ", self.space)
+            else:
+                written = word.encode().decode("latin-1").translate(self.letters)
+            found.append(head + array("I", [t.id for t in tokenize(written)]).tobytes())
         if others:
             found += self._bytes([" " + words[i] for i in others])
         for i, ids in zip(runs + others, found, strict=True):
             self.known[words[i]] = out[i] = ids
         return out
 
-    def _runs(self, words: list[str]) -> list[bytes]:
-        """The ids of runs of letters behind a space or a line break."""
-        tokenize, space, letters = self.model.tokenize, self.space, self.letters
-        broken = [word[0] == "\n" for word in words]
-        written = [
-            (w[1:] if b else space + w)
-            if w.isascii()
-            else (w[1:] if b else " " + w).encode().decode("latin-1").translate(letters)
-            for w, b in zip(words, broken, strict=True)
-        ]
-        pieces = list(map(tokenize, written))
-        data = array("I", [t.id for piece in pieces for t in piece]).tobytes()
-        ends = list(accumulate(4 * len(piece) for piece in pieces))
-        found = [data[a:b] for a, b in zip([0, *ends], ends)]
-        if any(broken):
-            found = [self.line_break + f if b else f for f, b in zip(found, broken, strict=True)]
-        return found
-
     def _tails(self, tails: list[str]) -> list[bytes]:
         """The ids of punctuation that follows a run of letters."""
         new = [t for t in tails if t not in self.tails]
@@ -162,16 +151,6 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts on end, and the number of ids of each text."""
-        # Nothing here makes cycles, so looking for them among millions of words is in vain.
-        looking = gc.isenabled()
-        gc.disable()
-        try:
-            return self._encode(texts)
-        finally:
-            if looking:
-                gc.enable()
-
-    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         # A line break between visible characters starts a word, as a space does.
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")

@@ -116,7 +116,8 @@ def test_a_rare_language_is_trained_on_all_its_rows(spark, monkeypatch):
 def plain_identify(rows):
     """The four parts fused for every row and language, nothing left out.
 
-    rows are (id, text, declared, host); all rows are the training sample.
+    rows are (id, text, declared, host), and may have the suffix's language behind that;
+    all rows are the training sample.
     """
     from collections import Counter, defaultdict
     from math import exp, log
@@ -125,12 +126,13 @@ def plain_identify(rows):
         return Counter(buckets([(text or "").encode()])[0].tolist())
 
     models = defaultdict(Counter)
-    for _, text, tag, _ in rows:
+    rows = [(*r, None)[:5] for r in rows]
+    for _, text, tag, *_ in rows:
         if tag:
             models[tag] += grams(text)
     tags, size = sorted(models), 1 << language_id.BUCKET_BITS
     logs = []
-    for _, text, _, _ in rows:
+    for _, text, *_ in rows:
         own = grams(text)
         logs.append(
             [
@@ -148,7 +150,8 @@ def plain_identify(rows):
             hosts[row[3]][tag] += tag is not None
             domains[".".join(row[3].split(".")[-2:])][tag] += tag is not None
     out = []
-    for (id, text, declared, host), own, some, text_tag in zip(rows, logs, lettered, best, strict=True):
+    for row, own, some, text_tag in zip(rows, logs, lettered, best, strict=True):
+        id, text, declared, host, suffix = row
         fused = []
         for tag, value in zip(tags, own, strict=True):
             prior = (corpus[tag] + 1) / (corpus.total() + len(tags))
@@ -159,6 +162,8 @@ def plain_identify(rows):
             said = 0.0
             if declared:
                 said = log(0.85 if tag == declared else 0.15 / (len(tags) - 1))
+            if suffix in tags:
+                said += log(0.75 if tag == suffix else 0.25 / (len(tags) - 1))
             fused.append(0.25 * value + log(prior) + said)
         top = max(fused)
         posterior = 1 / sum(exp(f - top) for f in fused)

@@ -30,15 +30,26 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def _located(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def output_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for files that stay after the session.
+    """A folder for files that stay after the session.
 
     It is below ``spark.biasloom.output.dir``, else the folder all executors
-    share, else (a local session) the warehouse.
+    share, else (a local session) the warehouse. Each call makes a new one, unless
+    ``spark.biasloom.output.run`` names the run: the folder of that name is replaced.
     """
     root = spark.conf.get("spark.biasloom.output.dir", None) or named_root(spark)
     root = root or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/biasloom-output/{name}-{uuid.uuid4().hex}"
+    run = spark.conf.get("spark.biasloom.output.run", None)
+    folder = f"{root.rstrip('/')}/biasloom-output/{name}-{run or uuid.uuid4().hex}"
+    if run:
+        files, path = _located(spark, folder)
+        files.delete(path, True)
+    return folder
 
 
 class Scratch:
@@ -50,15 +61,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/biasloom-llm/{name}-{uuid.uuid4().hex}"
-        files, path = self._locate(self.root)
+        files, path = _located(spark, self.root)
         files.mkdirs(path)
         files.deleteOnExit(path)
 
-    def _locate(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf), path
-
     def keep(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", codec).parquet(path)
@@ -78,7 +84,7 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            files, path = self._locate(f"{self.root}/{name}")
+            files, path = _located(self.spark, f"{self.root}/{name}")
             files.delete(path, True)
 
 

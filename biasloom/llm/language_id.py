@@ -239,7 +239,7 @@ def margin(n_languages: int, n_rows: int) -> float:
 
 
 def text_evidence(rows: DataFrame, text: str, models: Iterator[TrigramModels], far: float):
-    """rows with ``letters`` (trigrams), ``other``, ``best``, ``near`` and ``logs``.
+    """rows without the text, with ``letters`` (trigrams), ``other``, ``best``, ``near``, ``logs``.
 
     ``other`` is the log-likelihood under the background, ``near`` has the places
     of the languages whose tempered log-likelihood is at most ``far`` behind the best
@@ -248,7 +248,7 @@ def text_evidence(rows: DataFrame, text: str, models: Iterator[TrigramModels], f
     """
     small_batches(rows.sparkSession)
     found = rows.select(
-        "*",
+        *(c for c in rows.columns if c != text),
         text_bytes(text).alias("li__text"),
         F.lit(0).cast("long").alias("letters"),
         F.lit(0.0).alias("other"),
@@ -457,7 +457,7 @@ def identify(
     languages = [r[0] for r in counts.select("lang").distinct().orderBy("lang").collect()]
     far = margin(len(languages), rows.count())
     evidence = scratch.keep(
-        text_evidence(rows, "text", blocks(counts), far).drop("text"), "evidence"
+        text_evidence(rows, "text", blocks(counts), far), "evidence"
     )
     none = F.lit(None).cast("string")
     if languages:

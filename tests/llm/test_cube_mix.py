@@ -131,3 +131,15 @@ def test_many_rows_alike(spark):
     taken = found.selectExpr("source_size", "target", "size * copies AS n", "target t")
     per = taken.groupBy("target").sum("n").collect()
     assert all(abs(r["sum(n)"] - r.target) <= 0.02 * r.target + 40 for r in per)
+
+
+def test_clashing_columns_and_long_texts(spark):
+    rows = [(k, "a b c", "s" if k % 2 else None) for k in range(60)] + [(99, "w " * 200_000, "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = ["key", "doc", "cell", "n", "whole", "size", "chance", "mix__key", "target"]
+    wide = df.selectExpr("*", *(f"'x' AS {n}" for n in names))
+    plain = {tuple(r) for r in mix(df, Scratch(spark, "test")).drop("key").collect()}
+    assert {tuple(r) for r in mix(wide, Scratch(spark, "test")).drop("key").collect()} == plain
+    out = mixed(wide, Scratch(spark, "test"))
+    assert out.columns == wide.columns
+    assert {r[0] for r in plain if r[0] == 99 and r[1] == 200_000} == {99}

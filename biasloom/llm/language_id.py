@@ -35,6 +35,8 @@ BUCKET_BITS = 14
 SMOOTH = 0.5
 #: Counts of one block of models, which is what a task holds at a time.
 BLOCK_ENTRIES = 8 << 20
+#: Trigrams that are counted at once.
+COUNTED = 1 << 19
 #: Languages whose models are laid out in full at once.
 TILE = 64
 #: Priors laid out in full at once.
@@ -181,16 +183,19 @@ def train(rows: DataFrame, text: str, declared: str, scratch: Scratch) -> DataFr
         for batch in batches:
             tags, which = np.unique(np.array(batch["lang"].to_pylist()), return_inverse=True)
             code, sizes = buckets([t or b"" for t in batch["data"].to_pylist()])
-            key = np.repeat(which.astype(np.int64), sizes) << BUCKET_BITS | code
-            key, n = np.unique(key, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(tags[key >> BUCKET_BITS].tolist(), pa.string()),
-                    pa.array((key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)),
-                    pa.array(n.astype(np.int64)),
-                ],
-                names=["lang", "bucket", "n"],
-            )
+            owner = np.repeat(which.astype(np.int32), sizes)
+            for at in range(0, len(code), COUNTED):
+                part = slice(at, at + COUNTED)
+                key = owner[part].astype(np.int64) << BUCKET_BITS | code[part]
+                key, n = np.unique(key, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(tags[key >> BUCKET_BITS].tolist(), pa.string()),
+                        pa.array((key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)),
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=["lang", "bucket", "n"],
+                )
 
     counts = sample.mapInArrow(lean(run), "lang string, bucket int, n long")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))

@@ -65,12 +65,15 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars`` follows the text. A document that is mostly test items goes.
     """
     inner = {c: f"cp__{i}" for i, c in enumerate(docs.columns)}
+    scratch = Scratch(spark, "decontaminate")
     found = decontaminate.find(
         docs.withColumnsRenamed(inner),
         table(spark, sf_dir, "benchmark"),
-        Scratch(spark, "decontaminate"),
+        scratch,
         text=inner["text"],
     )
+    # Written, or a task would hold a Python worker for each of the two steps.
+    found = scratch.keep(found, "found")
     clean = decontaminate.remove(found, text=inner["text"])
     if "n_chars" in inner:
         length = F.length(inner["text"]).cast(docs.schema["n_chars"].dataType)

@@ -40,6 +40,9 @@ POINTER = "_table"
 ATTEMPT = re.compile(r"attempt-[0-9a-f]{32}")
 #: Files of a folder that are listed on the driver; more, by Spark.
 LISTED = 1000
+#: Values of a partition column up to which a task writes their files side by side;
+#: beyond that it sorts its rows by the value first.
+WRITERS = 4
 #: Leaves of a plan without files whose printed form says all about them.
 TOLD = ("Range", "OneRowRelation")
 
@@ -220,7 +223,14 @@ def _save(
     df: DataFrame, path: str, partition_by: Sequence[str], fmt: str, buckets: Buckets | None
 ) -> None:
     if buckets is None:
-        df.write.format(fmt).partitionBy(*partition_by).save(path)
+        writers = "spark.sql.maxConcurrentOutputFileWriters"
+        before = df.sparkSession.conf.get(writers)
+        if partition_by and int(before) < WRITERS:
+            df.sparkSession.conf.set(writers, WRITERS)
+        try:
+            df.write.format(fmt).partitionBy(*partition_by).save(path)
+        finally:
+            df.sparkSession.conf.set(writers, before)
         return
     # Only a table's writer lays out buckets; the files stay when the table goes.
     name = f"biasloom_{_digest([path])}"

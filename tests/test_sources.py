@@ -4,6 +4,7 @@ import pathlib
 import uuid
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from biasloom.operators.effects import effect_table, fit
 from biasloom.operators.joins import attach, rows_not_in
@@ -320,3 +321,18 @@ def test_ratings_of_unknown_items_stay(spark):
     items = spark.createDataFrame([(10, "a")], "item_id long, title string")
     got = attach(ratings, items, "item_id").collect()
     assert {r["user_id"]: r["title"] for r in got} == {1: "a", 2: None, 3: None}
+
+
+def test_partitioned_tables_are_written_without_a_sort(spark, keep, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, plain = spark.conf.get(name), DataFrameWriter.save
+
+    def save(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    df = spark.range(100).selectExpr("id", "id % 2 = 0 AS even")
+    table = keep("apart", lambda: df, partition_by=["even"])
+    assert seen == [store_module.WRITERS] and spark.conf.get(name) == before
+    assert table.count() == 100 and table.filter("even AND id % 2 = 1").count() == 0

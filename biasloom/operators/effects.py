@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biasloom.functions import level_effect, residual
-from biasloom.operators.joins import Keep, attach, attach_aligned
+from biasloom.operators.joins import Keep, attach, attach_aligned, largest_first
 from biasloom.schemas import LEVELS
 from biasloom.sources.store import Buckets
 
@@ -44,6 +44,8 @@ class Effects:
     levels: Sequence[str] = LEVELS
     #: How the train rows and one level's table lie apart alike, if they do.
     buckets: Buckets | None = None
+    #: Row counts of ``stats``.
+    sizes: tuple[int, ...] = ()
 
     def level_table(self, i: int, settings: Sequence[str]) -> DataFrame:
         """Key and one effect column per setting."""
@@ -58,10 +60,12 @@ class Effects:
     def join(self, df: DataFrame, depth: int, settings: Sequence[str]) -> DataFrame:
         """df with the effects of the first ``depth`` levels attached.
 
-        The level that rows lie apart by comes first, while they still do.
+        The level that rows lie apart by comes first, while they still do, then the
+        largest, while the rows are narrow.
         """
         aligned = self.buckets.key if self.buckets else None
-        for i in sorted(range(depth), key=lambda i: self.levels[i] != aligned):
+        order = largest_first(self.sizes[:depth])
+        for i in sorted(order, key=lambda i: self.levels[i] != aligned):
             join = attach_aligned if self.levels[i] == aligned else attach
             df = join(df, self.level_table(i, settings), self.levels[i])
         return df
@@ -104,7 +108,10 @@ def add_level(
     alike = {}
     if effects.buckets and effects.buckets.key == key:
         alike = {"buckets": effects.buckets}
-    return replace(effects, stats=(*effects.stats, keep(f"{name}_{key}", build, **alike)))
+    table = keep(f"{name}_{key}", build, **alike)
+    return replace(
+        effects, stats=(*effects.stats, table), sizes=(*effects.sizes, table.count())
+    )
 
 
 def fit(
@@ -162,3 +169,23 @@ def group_mean_on_rows(
     mean = F.avg(value).alias(alias)
     means = keep(f"{name}_{alias}", lambda: df.groupBy(key).agg(mean))
     return attach(df, means, key)
+
+
+def group_means_on_rows(
+    df: DataFrame, means: Sequence[tuple[str, Column, str]], keep: Keep, name: str
+) -> DataFrame:
+    """Every row with the means of its groups, each a (key, value, alias).
+
+    A value may use the means before it. The same as group_mean_on_rows() by turns, but
+    the largest table of means is attached first in the end, while the rows are narrow.
+    """
+    rows, tables = df, []
+    for key, value, alias in means:
+        mean = F.avg(value).alias(alias)
+        table = keep(f"{name}_{alias}", lambda rows=rows: rows.groupBy(key).agg(mean))
+        tables.append((key, table))
+        rows = attach(rows, table, key)
+    attached = df
+    for i in largest_first([table.count() for _, table in tables]):
+        attached = attach(attached, tables[i][1], tables[i][0])
+    return attached.select(*rows.columns)

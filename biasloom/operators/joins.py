@@ -22,6 +22,15 @@ def attach(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> Da
     return left.join(right, F.col(key).eqNullSafe(F.col(match)), how).drop(match)
 
 
+def largest_first(sizes: Sequence[int]) -> list[int]:
+    """The order to attach tables of so many rows in.
+
+    The largest are the ones that rows may have to be shuffled for, so they come while
+    the rows do not carry what the others add. Columns and values do not depend on it.
+    """
+    return sorted(range(len(sizes)), key=lambda i: -sizes[i])
+
+
 def attach_aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """attach() where both sides lie apart by the key already, so that neither is moved.
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from biasloom.functions import level_effect
 from biasloom.operators.effects import Effects, total_column
-from biasloom.operators.joins import Keep, attach
+from biasloom.operators.joins import Keep, attach, largest_first
 from biasloom.operators.tuning import Axis, best_point, lam_column
 
 #: Prefixes whose sums one scan of rows takes.
@@ -37,6 +37,7 @@ class Block:
 
     prefixes: Sequence[Prefix]
     table: DataFrame
+    size: int  # rows of the table
 
 
 def _blocks(axes: Sequence[Axis]) -> list[list[Prefix]]:
@@ -65,6 +66,7 @@ class _Rows:
     ):
         self.effects, self.axes = effects, axes
         self.sums: list[dict[Prefix, Column]] = []
+        tables: list[tuple[DataFrame, str, int]] = []
         for depth, blocks in enumerate(levels):
             key, wanted = effects.levels[depth], {p[:depth] for p in prefixes}
             found = {}
@@ -73,10 +75,12 @@ class _Rows:
                     continue
                 n, totals = f"n_{depth}_{b}", f"totals_{depth}_{b}"
                 renamed = block.table.withColumnsRenamed({"n": n, "totals": totals})
-                rows = attach(rows, renamed, key)
+                tables.append((renamed, key, block.size))
                 for place, prefix in enumerate(block.prefixes):
                     found[prefix] = (F.get(totals, F.lit(place)), F.col(n))
             self.sums.append(found)
+        for i in largest_first([size for _, _, size in tables]):
+            rows = attach(rows, *tables[i][:2])
         self.rows = rows
 
     def residual(self, prefix: Prefix) -> Column:
@@ -109,7 +113,8 @@ def _level(
             totals = F.array(*(F.col(f"s{k}") for k in range(len(prefixes))))
             return grouped.select(key, "n", totals.alias("totals"))
 
-        out.append(Block(prefixes, keep(f"{name}_{key}_{b}", build)))
+        table = keep(f"{name}_{key}_{b}", build)
+        out.append(Block(prefixes, table, table.count()))
     return out
 
 
@@ -159,7 +164,7 @@ def joint_curve(
     first = effects.stats[0].select(
         effects.levels[0], "n", F.array(F.col(total_column(setting))).alias("totals")
     )
-    levels: list[list[Block]] = [[Block([()], first)]]
+    levels: list[list[Block]] = [[Block([()], first, effects.sizes[0])]]
     while len(levels) < len(axes):
         levels.append(_level(effects, train, levels, axes, keep, name))
     last, before = axes[-1], levels[:-1]

@@ -127,7 +127,7 @@ def tune(
     key, setting = effects.levels[0], next(iter(effects.settings))
     total = F.col(total_column(setting)).alias(total_column("tuned"))
     first = effects.stats[0].select(key, "n", total)
-    tuned = replace(effects, settings={"tuned": ()}, stats=(first,))
+    tuned = replace(effects, settings={"tuned": ()}, stats=(first,), sizes=effects.sizes[:1])
     for depth, axis in enumerate(axes):
         curve = tuning_curve(tuned, test, depth, "tuned", axis)
         if depth == len(axes) - 1:

@@ -13,6 +13,7 @@ from biasloom.operators.effects import (
     effect_table,
     global_mean,
     group_mean_on_rows,
+    group_means_on_rows,
 )
 from biasloom.operators.joins import attach, rows_not_in
 from biasloom.operators.sampling import stratified_sample
@@ -347,9 +348,11 @@ def item_effect_window(p: Pipeline) -> DataFrame:
 
 @query
 def user_effect_window(p: Pipeline) -> DataFrame:
-    rows = _rows_with_item_mean(p)
-    off_item = residual(p.effects.mu, ["bi"])
-    rows = group_mean_on_rows(rows, "user_id", off_item, "bu", p.keep, "on_rows")
+    means = [
+        ("item_id", residual(p.effects.mu, []), "bi"),
+        ("user_id", residual(p.effects.mu, ["bi"]), "bu"),
+    ]
+    rows = group_means_on_rows(p.train, means, p.keep, "on_rows")
     return rounded(rows.select(*ROW_KEY, "bi", "bu"), "bi", "bu")
 
 

@@ -5,7 +5,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from biasloom.functions import residual
-from biasloom.operators.effects import effect_table, fit, global_mean, group_mean_on_rows
+from biasloom.operators.effects import (
+    effect_table,
+    fit,
+    global_mean,
+    group_mean_on_rows,
+    group_means_on_rows,
+)
 from biasloom.operators.scoring import Model, improvement, predict, score
 
 SCHEMA = "user_id string, item_id string, rating double, genres string"
@@ -106,3 +112,36 @@ def test_improvement_over_the_naive_model(spark):
     ladder = spark.createDataFrame([("a", 2.0), ("b", 1.5)], "model string, rmse double")
     rows = {r["model"]: r["improvement"] for r in improvement(ladder, "a").collect()}
     assert rows == {"a": 0.0, "b": 0.25}
+
+
+def test_group_means_on_rows_equal_means_by_turns(spark, keep):
+    df = spark.range(300).select(
+        "id",
+        F.when(F.col("id") % 5 > 0, F.col("id") % 90).alias("user_id"),
+        (F.col("id") % 11).alias("item_id"),
+        ((F.col("id") * 37 % 10 + 1) / 2).alias("rating"),
+    )
+    first, second = residual(2.5, []), residual(2.5, ["bi"])
+    rows = group_mean_on_rows(df, "item_id", first, "bi", keep, "t")
+    turns = group_mean_on_rows(rows, "user_id", second, "bu", keep, "t")
+    means = [("item_id", first, "bi"), ("user_id", second, "bu")]
+    ours = group_means_on_rows(df, means, keep, "m")
+    assert ours.columns == turns.columns
+    pairs = ours.join(turns.select("id", *(F.col(c).alias(f"w_{c}") for c in ("bi", "bu"))), "id")
+    assert pairs.filter("abs(bi - w_bi) <= 1e-12 AND abs(bu - w_bu) <= 1e-12").count() == 300
+
+
+@pytest.mark.parametrize("many", ["user_id", "item_id"])
+def test_the_largest_level_is_attached_first(spark, keep, many):
+    few = "item_id" if many == "user_id" else "user_id"
+    df = spark.range(60).select(
+        F.col("id").alias(many),
+        (F.col("id") % 3).alias(few),
+        (F.col("id") % 5 + 0.5).alias("rating"),
+        F.lit("g").alias("genres"),
+    )
+    fitted = fit(df, {"plain": (0.0, 0.0, 0.0)}, keep, "order")
+    assert dict(zip(fitted.levels, fitted.sizes, strict=True)) == {many: 60, few: 3, "genres": 1}
+    joined = fitted.join(df, 3, ["plain"])
+    added = [c for c in joined.columns if c.startswith("effect_")]
+    assert added == [f"effect_{level}_plain" for level in (many, few, "genres")]

@@ -128,3 +128,17 @@ def test_short_items_are_cut(spark, world, tmp_path):
     docs = spark.createDataFrame([(1, f"{rows[0][1]} Zig, zag zug {rows[1][1]}", "en", "s", 1, "")], SCHEMA)
     (out,) = corpus_pipeline.benchmark(spark, docs, folder).collect()
     assert out.text == f"{rows[0][1]}  {rows[1][1]}" and out.n_chars == len(out.text)
+
+
+def test_decontamination_runs_one_python_step_at_a_time(spark, tmp_path):
+    """Each Python step of a task has a worker of its own, which counts as memory."""
+    passage = " ".join(f"w{i}" for i in range(10))
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, f"{'a b c ' * 10}{passage} d"), (2, "e f"), (3, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = corpus_pipeline.benchmark(spark, docs, str(tmp_path))
+    leaves = clean._jdf.queryExecution().executedPlan().toString()
+    assert leaves.count("MapInArrow") == 1
+    left = {r.doc_id: r.text.split() for r in clean.collect()}
+    assert left == {1: ["a", "b", "c"] * 10 + ["d"], 2: ["e", "f"]}

@@ -18,7 +18,8 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ WRITTEN = BLOCKS.format("code binary, marks binary, crc32 long")
 #: The other tables of a folder of files.
 FREQUENCIES = "id long, freq long"
 FORMAT = "tokenizer string, end_id long, ids long, scale int, lanes int, steps int"
+#: Bytes of a batch of texts. Tokenising takes many times that beside the words remembered.
+TEXT_BYTES = 1 << 20
 #: Words that a worker remembers at most, besides those of one batch.
 CACHE_WORDS = 500_000
 #: What may stand behind a word's letters and is encoded apart from them.
@@ -109,9 +112,11 @@ class WordTokenizer:
         ``letters`` says which words are runs of letters (behind a line break or
         not); those the model takes as they are.
         """
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
         out = list(map(self.known.get, words))
+        if len(self.known) > CACHE_WORDS:
+            # Common words are in this batch too.
+            found = zip(words, out, strict=True)
+            self.known = {word: ids for word, ids in found if ids is not None}
         missing = [i for i, found in enumerate(out) if found is None]
         runs = [i for i in missing if letters[i]]
         others = [i for i in missing if not letters[i]]
@@ -119,16 +124,13 @@ class WordTokenizer:
         tokenize = self.model.tokenize
         found = []
         for i in runs:
-            word, head = words[i], b""
+            word, head, start = words[i], b"", self.space
             if word[0] == "\n":
-                word, head = word[1:], self.line_break
-            else:
-                word = " " + word
-            if word.isascii():
-                written = word.replace(" ", self.space)
-            else:
-                written = word.encode().decode("latin-1").translate(self.letters)
-            found.append(head + array("I", [t.id for t in tokenize(written)]).tobytes())
+                word, head, start = word[1:], self.line_break, ""
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in tokenize(start + word)])
+            found.append(head + ids.tobytes())
         if others:
             found += self._bytes([" " + words[i] for i in others])
         for i, ids in zip(runs + others, found, strict=True):
@@ -171,7 +173,7 @@ class WordTokenizer:
             self._letters(names.dictionary).tolist(),
         )
         core_of = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        odd = np.fromiter((part is None for part in found), dtype=bool, count=len(found))
+        odd = np.fromiter(map(is_, found, repeat(None)), dtype=bool, count=len(found))
         parts = [part or b"" for part in found]
         with_tail = np.nonzero(cut)[0]
         ends = words.take(pa.array(with_tail)).to_numpy(zero_copy_only=False).tolist()
@@ -222,7 +224,7 @@ class WordTokenizer:
 
 def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
     """The ids of the ordered documents, a row for each BLOCK_IDS of a partition."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, TEXT_BYTES)
     ordered = (
         docs.select(
             F.col(id).cast("long").alias("doc"),

@@ -57,6 +57,31 @@ def test_a_forgetful_tokenizer_is_right(monkeypatch, plain):
         assert coder.encode(pa.array([text]))[0].tolist() == plain(text)
 
 
+def test_a_full_memory_keeps_the_words_at_hand(monkeypatch):
+    monkeypatch.setattr(token_blocks, "CACHE_WORDS", 3)
+    coder = WordTokenizer(NAME)
+    coder.encode(pa.array(["x alpha beta gamma delta"]))
+    known = coder.known["alpha"]
+    coder.encode(pa.array(["x alpha epsilon"]))
+    assert coder.known["alpha"] is known and sorted(coder.known) == ["alpha", "epsilon", "x"]
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    """A worker's memory is many times the batch that it tokenises."""
+
+    class Bounded(WordTokenizer):
+        def encode(self, texts):
+            assert sum(len(t.as_py()) for t in texts) < 2 << 20
+            return super().encode(texts)
+
+    monkeypatch.setattr(token_blocks, "WordTokenizer", Bounded)
+    df = spark.range(60).selectExpr("id AS doc_id", "repeat('some words ', 20000) AS text")
+    scratch = Scratch(spark, "test")
+    blocks, freq = write(df.coalesce(1), scratch, NAME)
+    rows = by_document(blocks, freq, scratch).collect()
+    assert len(rows) == 60 and len({(r.n_tokens, r.ids_crc32) for r in rows}) == 1
+
+
 @pytest.mark.parametrize("n", [1, LANES - 1, LANES, LANES * STEPS + 17, 3 * LANES * STEPS])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)

@@ -53,6 +53,8 @@ FORMAT = "tokenizer string, end_id long, ids long, scale int, lanes int, steps i
 TEXT_BYTES = 1 << 20
 #: Words that a worker remembers at most, besides those of one batch.
 CACHE_WORDS = 500_000
+#: New runs of letters that the library's model takes in one piece.
+RUN_WORDS = 100
 #: What may stand behind a word's letters and is encoded apart from them.
 PUNCTUATION = ".,;:!?#*$%&|<>()[]{}\"'/+=_~^@-"
 DTYPE = "<u4"
@@ -80,7 +82,9 @@ class WordTokenizer:
     letters. So a text of single spaces and line breaks is the sequence of its
     words' ids, and a word that of its letters' and its punctuation's. Texts
     with other white space between words, or with the string of a special token,
-    are encoded whole.
+    are encoded whole. Where no token of the vocabulary reaches from one run of
+    letters into the next, no merge does, so the library's model takes many new
+    runs in one piece, and each id that begins with white space begins a run.
     """
 
     def __init__(self, path: str):
@@ -98,6 +102,10 @@ class WordTokenizer:
         self.letters = _byte_letters()
         self.space = self.letters[32]
         self.line_break = self._bytes(["\n"])[0]
+        self.points = np.array([ord(self.letters[b]) for b in range(256)], dtype="<u2")
+        # The model alone: nothing is cut, and there are no special tokens.
+        self.bare = Tokenizer(self.model)
+        self.begins = self._begins()
         self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
@@ -105,6 +113,55 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _begins(self) -> np.ndarray | None:
+        """Which ids begin with a space or line break; None if runs can't be joined."""
+        special = ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges")
+        if type(self.model).__name__ != "BPE" or any(getattr(self.model, s) for s in special):
+            return None
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        if not vocabulary.keys() >= set(self.letters.values()):
+            return None
+        values = {letter: b for b, letter in self.letters.items()}
+        end = self.letters[10]
+
+        def is_run(piece: str) -> bool:
+            # A piece may begin or end within a character; whole ones tell.
+            seen = bytes(values.get(c, 0) for c in piece).decode(errors="ignore")
+            return not seen or seen.isalpha()
+
+        begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, id in vocabulary.items():
+            if self.space not in token and end not in token:
+                continue
+            pieces = token.replace(end, self.space).split(self.space)
+            begins[id] = start = not pieces[0]
+            # Between two runs there is one space or line break.
+            if len(pieces) > 1 + start and all(pieces[1:-1]) and all(map(is_run, pieces)):
+                return None
+        return begins
+
+    def _run(self, word: str) -> bytes:
+        head, start = b"", self.space
+        if word[0] == "\n":
+            word, head, start = word[1:], self.line_break, ""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return head + array("I", [t.id for t in self.model.tokenize(start + word)]).tobytes()
+
+    def _runs(self, words: list[str]) -> list[bytes]:
+        """The ids of runs of letters behind a space, or the line break they begin with."""
+        if self.begins is None:
+            return [self._run(word) for word in words]
+        ids = array("I")
+        for i in range(0, len(words), RUN_WORDS):
+            text = (" " + " ".join(words[i : i + RUN_WORDS])).replace(" \n", "\n").encode()
+            text = self.points[np.frombuffer(text, dtype=np.uint8)].tobytes().decode("utf-16-le")
+            ids.extend(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        data = ids.tobytes()
+        at = 4 * np.flatnonzero(self.begins[np.frombuffer(data, dtype=DTYPE)])
+        ends = np.append(at[1:], len(data))
+        return [data[a:b] for a, b in zip(at.tolist(), ends[: len(at)].tolist(), strict=True)]
+
     def _words(self, words: list[str], letters: list[bool]) -> list[bytes | None]:
         """The ids of words behind a space; None for what has to be seen in its text.
 
@@ -121,16 +178,7 @@ class WordTokenizer:
         runs = [i for i in missing if letters[i]]
         others = [i for i in missing if not letters[i]]
         others = [i for i in others if words[i] and not words[i][0].isspace()]
-        tokenize = self.model.tokenize
-        found = []
-        for i in runs:
-            word, head, start = words[i], b"", self.space
-            if word[0] == "\n":
-                word, head, start = word[1:], self.line_break, ""
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in tokenize(start + word)])
-            found.append(head + ids.tobytes())
+        found = self._runs([words[i] for i in runs])
         if others:
             found += self._bytes([" " + words[i] for i in others])
         for i, ids in zip(runs + others, found, strict=True):

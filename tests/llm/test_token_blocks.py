@@ -1,3 +1,4 @@
+import json
 import pathlib
 import subprocess
 import sys
@@ -66,6 +67,57 @@ def test_a_full_memory_keeps_the_words_at_hand(monkeypatch):
     assert coder.known["alpha"] is known and sorted(coder.known) == ["alpha", "epsilon", "x"]
 
 
+def some_runs(n):
+    rng = np.random.default_rng(n)
+    letters = list("abcdefgetaoinsr" + "ABÉéüßñÅ" + "漢字日жд")
+    return ["".join(rng.choice(letters, k)) for k in rng.integers(1, 12, n)]
+
+
+def test_new_words_come_to_the_model_together(plain):
+    """The library takes many in one call; one by one costs three times as much."""
+
+    class Counted:
+        calls = 0
+
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            def call(*args, **options):
+                Counted.calls += 1
+                return getattr(self.inner, name)(*args, **options)
+
+            return call
+
+    coder = WordTokenizer(NAME)
+    for part in ("tokenizer", "model", "bare"):
+        if hasattr(coder, part):
+            setattr(coder, part, Counted(getattr(coder, part)))
+    runs = some_runs(4000)
+    texts = [" ".join(runs), "\n".join(runs[::-1]), "x. \n".join(runs)]
+    got = [coder.encode(pa.array([text]))[0].tolist() for text in texts]
+    assert got == [plain(text) for text in texts]
+    assert Counted.calls < 200
+
+
+def test_a_vocabulary_that_reaches_from_word_to_word(tmp_path):
+    """Merges across words are never made, whether the vocabulary has them or not."""
+    form = json.loads(pathlib.Path(public_tokenizers.path(NAME)).read_text())
+    vocab = form["model"]["vocab"]
+    form["model"]["merges"] = [["a", "\u0120"], ["a\u0120", "b"], ["\u0120", "b"], ["b", "\u010a"]]
+    form["model"]["vocab"] = {t: i for t, i in vocab.items() if len(t) == 1}
+    for left, right in form["model"]["merges"]:
+        form["model"]["vocab"].setdefault(left + right, len(vocab) + len(form["model"]["vocab"]))
+    path = tmp_path / "crossing.json"
+    path.write_text(json.dumps(form))
+    crossing = Tokenizer.from_file(str(path))
+    coder = WordTokenizer(str(path))
+    assert coder.begins is None
+    for text in ["b ba b a bb", "a\nb a\na b", "ab\nb ba"]:
+        want = crossing.encode(text, add_special_tokens=False).ids
+        assert coder.encode(pa.array([text]))[0].tolist() == want
+
+
 def test_texts_come_in_small_batches(spark, monkeypatch):
     """A worker's memory is many times the batch that it tokenises."""
 

@@ -18,6 +18,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate, repeat
 from operator import is_
 
@@ -46,6 +47,8 @@ BLOCKS = (
     "docs array<long>, pieces array<long>, {}"
 )
 WRITTEN = BLOCKS.format("code binary, marks binary, crc32 long")
+#: A partition's last row says how often each id occurs in the partition.
+CHUNKS = BLOCKS.format("used array<int>, times array<long>, data binary")
 #: The other tables of a folder of files.
 FREQUENCIES = "id long, freq long"
 FORMAT = "tokenizer string, end_id long, ids long, scale int, lanes int, steps int"
@@ -74,6 +77,54 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str, changed: int) -> tuple:
+    """The tokenizer of a file, and which ids begin a run (see _begins); a worker keeps them."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, _begins(tokenizer)
+
+
+def _begins(tokenizer) -> np.ndarray | None:
+    """Which ids begin with a space or line break; None if runs of letters can't be joined."""
+    special = ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges")
+    model = tokenizer.model
+    if type(model).__name__ != "BPE" or any(getattr(model, s) for s in special):
+        return None
+    vocabulary, letters = tokenizer.get_vocab(with_added_tokens=False), _byte_letters()
+    if not vocabulary.keys() >= set(letters.values()):
+        return None
+    values = {letter: b for b, letter in letters.items()}
+    space, end = letters[32], letters[10]
+
+    def is_run(piece: str) -> bool:
+        # A piece may begin or end within a character; whole ones tell.
+        seen = bytes(values.get(c, 0) for c in piece).decode(errors="ignore")
+        return not seen or seen.isalpha()
+
+    begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    for token, id in vocabulary.items():
+        if space not in token and end not in token:
+            continue
+        pieces = token.replace(end, space).split(space)
+        begins[id] = start = not pieces[0]
+        # Between two runs there is one space or line break.
+        if len(pieces) > 1 + start and all(pieces[1:-1]) and all(map(is_run, pieces)):
+            return None
+    return begins
+
+
+def _laid(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of flat that order names, on end, and where each of them ends."""
+    starts = np.cumsum(sizes) - sizes
+    size = sizes[order]
+    stops = np.cumsum(size)
+    total = int(stops[-1]) if len(stops) else 0
+    shift = (starts[order] - (stops - size)).astype(np.int32)
+    return flat[np.repeat(shift, size) + np.arange(total, dtype=np.int32)], stops
+
+
 class WordTokenizer:
     """A byte-level BPE tokenizer that encodes each distinct word once.
 
@@ -95,7 +146,7 @@ class WordTokenizer:
             import public_tokenizers
 
             path = public_tokenizers.path(path)
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.begins = _loaded(path, os.stat(path).st_mtime_ns)
         # What the library takes out of a text before it cuts it.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
@@ -105,7 +156,6 @@ class WordTokenizer:
         self.points = np.array([ord(self.letters[b]) for b in range(256)], dtype="<u2")
         # The model alone: nothing is cut, and there are no special tokens.
         self.bare = Tokenizer(self.model)
-        self.begins = self._begins()
         self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
@@ -113,33 +163,6 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _begins(self) -> np.ndarray | None:
-        """Which ids begin with a space or line break; None if runs can't be joined."""
-        special = ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges")
-        if type(self.model).__name__ != "BPE" or any(getattr(self.model, s) for s in special):
-            return None
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        if not vocabulary.keys() >= set(self.letters.values()):
-            return None
-        values = {letter: b for b, letter in self.letters.items()}
-        end = self.letters[10]
-
-        def is_run(piece: str) -> bool:
-            # A piece may begin or end within a character; whole ones tell.
-            seen = bytes(values.get(c, 0) for c in piece).decode(errors="ignore")
-            return not seen or seen.isalpha()
-
-        begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for token, id in vocabulary.items():
-            if self.space not in token and end not in token:
-                continue
-            pieces = token.replace(end, self.space).split(self.space)
-            begins[id] = start = not pieces[0]
-            # Between two runs there is one space or line break.
-            if len(pieces) > 1 + start and all(pieces[1:-1]) and all(map(is_run, pieces)):
-                return None
-        return begins
-
     def _run(self, word: str) -> bytes:
         head, start = b"", self.space
         if word[0] == "\n":
@@ -207,7 +230,7 @@ class WordTokenizer:
         at = split.offsets.to_numpy()
         at = at - at[0]
         coded = split.flatten().dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        index = coded.indices.to_numpy(zero_copy_only=False)
         words = coded.dictionary
         # Punctuation is a piece of its own where letters stand before it. Only
         # there; what begins otherwise is a word with its punctuation.
@@ -220,7 +243,7 @@ class WordTokenizer:
             names.dictionary.to_numpy(zero_copy_only=False).tolist(),
             self._letters(names.dictionary).tolist(),
         )
-        core_of = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        core_of = names.indices.to_numpy(zero_copy_only=False)
         odd = np.fromiter(map(is_, found, repeat(None)), dtype=bool, count=len(found))
         parts = [part or b"" for part in found]
         with_tail = np.nonzero(cut)[0]
@@ -233,45 +256,37 @@ class WordTokenizer:
         parts.append(b"")
         tail_of = np.full(len(words), nothing, dtype=np.int64)
         tail_of[with_tail] = [place[t] for t in tails]
-        # A text's first word has no space before it and is encoded as it is.
+        # A text's first word has no space before it and is encoded as it is; what has
+        # to be encoded whole stands in its place, with nothing behind it.
         first = at[:-1]
-        row_of = np.repeat(np.arange(len(texts)), np.diff(at))
-        bad = odd[core_of[index]]
+        bad = odd[core_of][index]
         bad[first] = False
-        bad_row = np.zeros(len(texts), dtype=bool)
-        bad_row[row_of[bad]] = True
+        bad_row = np.logical_or.reduceat(bad, first) if len(first) else bad
         for name in self.special:
             held = pc.match_substring(texts, name)
             bad_row |= held.to_numpy(zero_copy_only=False).astype(bool)
-        pairs = np.stack([core_of[index], tail_of[index]], axis=1)
-        pairs[first, 0] = len(parts) + np.arange(len(texts))
-        pairs[first, 1] = nothing
-        starters = words.take(pa.array(index[first])).to_pylist()
-        parts += self._bytes(starters)
+        starters = self._bytes(
+            pc.if_else(pa.array(bad_row), texts, words.take(pa.array(index[first]))).to_pylist()
+        )
+        order = index.astype(np.int32)
         if bad_row.any():
-            use = ~bad_row[row_of]
-            pairs, row_of = pairs[use], row_of[use]
+            order[np.repeat(bad_row, np.diff(at))] = len(words) + len(first)
+        order[first] = len(words) + np.arange(len(first))
+        # Each distinct word's ids once, then those of all words.
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-        starts = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(parts), dtype=DTYPE)
-        size = sizes[pairs]
-        lengths = np.bincount(row_of, weights=size.sum(1), minlength=len(texts)).astype(np.int64)
-        pairs, size = pairs.reshape(-1), size.reshape(-1)
-        stops = np.cumsum(size)
-        total = int(stops[-1]) if len(stops) else 0
-        shift = (starts[pairs] - (stops - size)).astype(np.int32)
-        ids = flat[np.repeat(shift, size) + np.arange(total, dtype=np.int32)]
-        if not bad_row.any():
-            return ids, lengths
-        own = np.split(ids, np.cumsum(lengths)[:-1])
-        whole = np.nonzero(bad_row)[0].tolist()
-        for row, data in zip(whole, self._bytes(texts.take(whole).to_pylist()), strict=True):
-            own[row] = np.frombuffer(data, dtype=DTYPE)
-        return np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64)
+        flat, stops = _laid(flat, sizes, np.stack([core_of, tail_of], axis=1).reshape(-1))
+        flat = np.concatenate([flat, np.frombuffer(b"".join(starters), dtype=DTYPE)])
+        own = np.array([*map(len, starters), 0], dtype=np.int64) // 4
+        ids, stops = _laid(flat, np.concatenate([np.diff(stops[1::2], prepend=0), own]), order)
+        return ids, np.diff(stops[at[1:] - 1], prepend=0)
 
 
 def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
-    """The ids of the ordered documents, a row for each BLOCK_IDS of a partition."""
+    """The ids of the ordered documents, a row for each BLOCK_IDS of a partition.
+
+    Ids take two bytes each where all of a row's fit, else four.
+    """
     small_batches(docs.sparkSession, TEXT_BYTES)
     ordered = (
         docs.select(
@@ -290,15 +305,23 @@ def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
         pieces: list[int] = []
         held: list[np.ndarray] = []
         size = block = first = origin = 0
-
-        def row(open_: bool) -> pa.RecordBatch:
-            ids = np.concatenate(held).astype(DTYPE).tobytes()
-            values = [part, block, first, origin, size, open_, docs, pieces, ids]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            kinds += [pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+        counts = np.zeros(1, dtype=np.int64)
+
+        def row(open_: bool, last: bool = False) -> pa.RecordBatch:
+            nonlocal counts
+            ids = np.concatenate(held)
+            found = np.bincount(ids, minlength=len(counts))
+            found[: len(counts)] += counts
+            counts = found
+            used = np.nonzero(counts if last else counts[:0])[0]
+            data = ids.astype("<u2" if ids.max() < 1 << 16 else DTYPE).tobytes()
+            values = [part, block, first, origin, size, open_, docs, pieces]
+            values += [used, counts[used], data]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            kinds += [pa.list_(k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
-                names=[*COLUMNS, "data"],
+                [pa.array([v], k) for v, k in zip(values, [*kinds, pa.binary()], strict=True)],
+                names=[*COLUMNS, "used", "times", "data"],
             )
 
         for batch in batches:
@@ -324,31 +347,15 @@ def _chunks(docs: DataFrame, id: str, text: str, tokenizer: str) -> DataFrame:
                     size += len(take)
                     one = one[len(take) :]
         if size:
-            yield row(False)
+            yield row(False, last=True)
 
-    return ordered.mapInArrow(lean(run), BLOCKS.format("data binary"))
+    return ordered.mapInArrow(lean(run), CHUNKS)
 
 
 def count_ids(chunks: DataFrame) -> np.ndarray:
     """How often each id occurs; one number for each id of the vocabulary."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, dtype=np.int64)
-        for batch in batches:
-            for data in batch["data"]:
-                part = np.bincount(np.frombuffer(data.as_buffer(), dtype=DTYPE))
-                if len(part) > len(total):
-                    part[: len(total)] += total
-                    total = part
-                else:
-                    total[: len(part)] += part
-        ids = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"]
-        )
-
-    counted = chunks.select("data").mapInArrow(lean(run), "id long, n long")
-    rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = chunks.select(F.inline(F.arrays_zip("used", "times")).alias("id", "times"))
+    rows = found.groupBy(F.col("id")).agg(F.sum("times").alias("n")).collect()
     out = np.zeros(max((r.id for r in rows), default=0) + 1, dtype=np.int64)
     for r in rows:
         out[r.id] = r.n
@@ -477,17 +484,19 @@ def write(
         for batch in batches:
             for i in range(len(batch)):
                 data = batch["data"][i].as_py()
-                code, marks = codec.encode(np.frombuffer(data, dtype=DTYPE))
-                one = batch.slice(i, 1).select(batch.schema.names[:-1])
+                width = len(data) // batch["ids"][i].as_py()
+                ids = np.frombuffer(data, dtype=f"<u{width}").astype(DTYPE)
+                code, marks = codec.encode(ids)
+                one = batch.slice(i, 1).select(COLUMNS)
                 added = [pa.array([code], pa.binary()), pa.array([marks], pa.binary())]
-                added.append(pa.array([zlib.crc32(data)], pa.int64()))
+                added.append(pa.array([zlib.crc32(ids)], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*one.columns, *added], names=[*one.schema.names, "code", "marks", "crc32"]
                 )
 
     spark = docs.sparkSession
     folder = folder or output_folder(spark, name)
-    coded = chunks.mapInArrow(lean(run), WRITTEN)
+    coded = chunks.select(*COLUMNS, "data").mapInArrow(lean(run), WRITTEN)
     coded.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
     used = np.nonzero(freq)[0]
     table = pa.table({"id": used.astype(np.int64), "freq": freq[used].astype(np.int64)})

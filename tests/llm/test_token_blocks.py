@@ -118,6 +118,33 @@ def test_a_vocabulary_that_reaches_from_word_to_word(tmp_path):
         assert coder.encode(pa.array([text]))[0].tolist() == want
 
 
+def test_ids_of_more_than_two_bytes(spark, monkeypatch, tmp_path):
+    """Rows of wide and of narrow ids, each partition counted once."""
+    monkeypatch.setattr(token_blocks, "BLOCK_IDS", 50)
+    form = json.loads(pathlib.Path(public_tokenizers.path(NAME)).read_text())
+    form["model"]["vocab"]["z"] = 100_000
+    path = tmp_path / "wide.json"
+    path.write_text(json.dumps(form))
+    wide = Tokenizer.from_file(str(path))
+    texts = ["some words " * 40, "z z zz " * 30, "", "other words", "z"]
+    rows = list(enumerate(texts * 4))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scratch = Scratch(spark, "test")
+    chunks = scratch.keep(token_blocks._chunks(df, "doc_id", "text", str(path)), "ids")
+    widths = {len(r.data) // r.ids for r in chunks.collect()}
+    counts = token_blocks.count_ids(chunks)
+    got = by_document(*write(df, scratch, str(path)), scratch).orderBy("start").collect()
+    start, every = 0, []
+    for row, (doc, text) in zip(got, rows, strict=True):
+        ids = [*wide.encode(text, add_special_tokens=False).ids, 2]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert tuple(row) == (doc, start, len(ids), crc)
+        start += len(ids)
+        every += ids
+    assert widths == {2, 4}
+    assert counts.tolist() == np.bincount(every).tolist()
+
+
 def test_texts_come_in_small_batches(spark, monkeypatch):
     """A worker's memory is many times the batch that it tokenises."""
 

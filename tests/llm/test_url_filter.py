@@ -260,3 +260,29 @@ def test_addresses_of_any_kind_are_scored_at_once(spark):
     for key, url, fold in asked:
         known = [(u, v) for u, v, f in rows if f != fold]
         assert got[key] == pytest.approx(plain_difference(url, known), abs=1e-9), key
+
+
+def test_no_side_is_broadcast_for_its_small_files(spark, monkeypatch, pages):
+    """Characters, runs and addresses are far more than their compressed files say."""
+    _, df = pages
+    plans = []
+    plain_keep, plain_calibrated = Scratch.keep, calibrated
+
+    def noted(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+
+    def spy_keep(self, rows, *args):
+        noted(rows)
+        return plain_keep(self, rows, *args)
+
+    def spy_calibrated(scores):
+        noted(scores)
+        return plain_calibrated(scores)
+
+    monkeypatch.setattr(Scratch, "keep", spy_keep)
+    monkeypatch.setattr(url_filter, "calibrated", spy_calibrated)
+    judge(df, Scratch(spark, "test"))
+    joins = "\n".join(plans).count("SortMergeJoin")
+    # Counts of a run, of its context and the shorter run's chances; those of a character; its address.
+    assert joins == 3 * (ORDER + 1) - 1 + 1 + 1
+    assert not [plan for plan in plans if "Broadcast" in plan]
